@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wordlake.llm import packing
+from wordlake.llm import packing, substring_dedup
 from wordlake.llm.common import read_table
 
 
@@ -16,6 +16,14 @@ def op3_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op3_pack": op3_pack}
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = substring_dedup.substring_dedup(read_table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_pack": op3_pack,
+    "op9_substring_dedup": op9_substring_dedup,
+}
 
 SQL: dict[str, str] = {}
