@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wordlake.llm import packing, substring_dedup
+from wordlake.llm import packing, substring_dedup, suffix_dedup
 from wordlake.llm.common import read_table
 
 
@@ -21,8 +21,13 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.repeated_passages(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_pack": op3_pack,
+    "op6_suffix_dedup": op6_suffix_dedup,
     "op9_substring_dedup": op9_substring_dedup,
 }
 
