@@ -36,4 +36,33 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_substring_dedup": op9_substring_dedup,
 }
 
-SQL: dict[str, str] = {}
+OP8_SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) >= 2 THEN list_sort(list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) ELSE w END AS s FROM words),
+classes AS (SELECT s, min(doc_id) AS rep, len(s) AS n FROM sets WHERE len(s) > 0 GROUP BY s),
+items AS (SELECT rep, n, unnest(s) AS g FROM classes),
+pairs AS (
+  SELECT a.rep AS x, b.rep AS y FROM items a JOIN items b ON a.g = b.g AND a.rep < b.rep AND 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)
+  GROUP BY a.rep, b.rep, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+links AS (SELECT x, y FROM pairs UNION ALL SELECT y, x FROM pairs),
+reach AS (SELECT rep AS node, rep AS top FROM classes UNION SELECT l.y, r.top FROM reach r JOIN links l ON l.x = r.node),
+tops AS (SELECT node, min(top) AS top FROM reach GROUP BY node)
+SELECT d.doc_id, CAST(len(d.s) AS BIGINT) AS n_shingles, coalesce(t.top, d.doc_id) AS component_id, d.doc_id = coalesce(t.top, d.doc_id) AS kept
+FROM sets d LEFT JOIN classes c ON c.s = d.s LEFT JOIN tops t ON t.node = c.rep
+"""
+
+OP9_SQL = r"""
+WITH words AS (SELECT doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
+windows AS (SELECT doc_id, i, array_to_string(w[i:i + 19], ' ') AS win FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS i FROM words WHERE len(w) >= 20)),
+repeats AS (SELECT doc_id, i FROM windows QUALIFY row_number() OVER (PARTITION BY win ORDER BY doc_id, i) > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 20)) AS i FROM repeats),
+gone_lists AS (SELECT doc_id, count(*) AS n, list(i) AS gone FROM gone GROUP BY doc_id),
+each AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM words),
+kept AS (SELECT e.doc_id, string_agg(e.word, ' ' ORDER BY e.i) AS t FROM each e ANTI JOIN gone g ON g.doc_id = e.doc_id AND g.i = e.i GROUP BY e.doc_id)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(g.n, 0) AS BIGINT) AS n_removed, sha256(coalesce(k.t, '')) AS kept_sha256
+FROM words d LEFT JOIN gone_lists g USING (doc_id) LEFT JOIN kept k USING (doc_id)
+"""
+
+SQL: dict[str, str] = {"op8_near_dup": OP8_SQL, "op9_substring_dedup": OP9_SQL}
