@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wordlake.llm import near_dup, packing, substring_dedup, suffix_dedup
+from wordlake.llm import html_text, license_scan, near_dup, packing, substring_dedup, suffix_dedup
 from wordlake.llm.common import read_table
 
 
@@ -25,12 +25,22 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract_text(read_table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
+
+
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.license_summary(read_table(spark, sf_dir, "documents"))
+
+
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.repeated_passages(read_table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_html_text": op2_html_text,
     "op3_pack": op3_pack,
+    "op4_license_scan": op4_license_scan,
     "op6_suffix_dedup": op6_suffix_dedup,
     "op8_near_dup": op8_near_dup,
     "op9_substring_dedup": op9_substring_dedup,
