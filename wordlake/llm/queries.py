@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wordlake.llm import html_text, license_scan, near_dup, packing, substring_dedup, suffix_dedup
-from wordlake.llm.common import read_table
+from wordlake.llm import html_text, language_id, license_scan, near_dup, packing, substring_dedup, suffix_dedup
+from wordlake.llm.common import fold, read_table
 
 
 def op3_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,6 +25,12 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang").withColumn("held_out", fold(F.col("doc_id"), 3) == 1)
+    model = language_id.train(docs.filter(~F.coalesce("held_out", F.lit(False))))
+    return language_id.predict(docs.select("doc_id", "held_out", "text"), model).select("doc_id", "held_out", "lang_pred", "score", "ambiguous")
+
+
 def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract_text(read_table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
 
@@ -38,6 +44,7 @@ def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_language_id": op1_language_id,
     "op2_html_text": op2_html_text,
     "op3_pack": op3_pack,
     "op4_license_scan": op4_license_scan,
