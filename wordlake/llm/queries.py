@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wordlake.llm import html_text, language_id, license_scan, near_dup, packing, substring_dedup, suffix_dedup
+from wordlake.llm import html_text, language_id, license_scan, line_crf, near_dup, packing, quality_rules, substring_dedup, suffix_dedup
 from wordlake.llm.common import fold, read_table
 
 
@@ -16,6 +16,12 @@ def op3_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = read_table(spark, sf_dir, "labels").select("doc_id", "quality")
+    return quality_rules.judge(docs, quality_rules.train(docs.join(labels, "doc_id")))
+
+
 def op8_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(read_table(spark, sf_dir, "documents"))
 
@@ -43,14 +49,24 @@ def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.repeated_passages(read_table(spark, sf_dir, "documents"))
 
 
+def op10_line_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = read_table(spark, sf_dir, "labels").select("doc_id", "quality")
+    model = line_crf.train(docs.join(labels.filter(fold(F.col("doc_id"), 5) != 0), "doc_id"))
+    scored = line_crf.score_lines(docs, model)
+    return scored.select("doc_id", (fold(F.col("doc_id"), 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_html_text": op2_html_text,
     "op3_pack": op3_pack,
     "op4_license_scan": op4_license_scan,
     "op6_suffix_dedup": op6_suffix_dedup,
+    "op7_quality_rules": op7_quality_rules,
     "op8_near_dup": op8_near_dup,
     "op9_substring_dedup": op9_substring_dedup,
+    "op10_line_crf": op10_line_crf,
 }
 
 OP8_SQL = r"""
