@@ -20,6 +20,8 @@ U64 = np.uint64
 WORD_BASE = U64(0x9E3779B97F4A7C15)
 GRAM_BASE = U64(0xD1342543DE82EF95)
 HASH_BLOCK = 1 << 20
+#: Only where the session names no shared folder.
+OWN_FOLDER: dict[str, str] = {}
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,6 +29,15 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share: ``spark.checkpoint.dir``, else one of our own."""
+    named = spark.conf.get("spark.checkpoint.dir", "")
+    if not named:
+        named = OWN_FOLDER.setdefault("path", "") or os.path.join(tempfile.mkdtemp(prefix="spark-"), "shared")
+        OWN_FOLDER["path"] = named
+    return named
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Store ``df`` in the shared checkpoint folder and return it without its lineage.
 
@@ -35,8 +46,7 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """
     sc = df.sparkSession.sparkContext
     if not sc._jsc.sc().getCheckpointDir().isDefined():
-        named = df.sparkSession.conf.get("spark.checkpoint.dir", "") or os.path.join(tempfile.mkdtemp(prefix="spark-"), "shared")
-        sc.setCheckpointDir(named)
+        sc.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wordlake.llm import html_text, language_id, license_scan, line_crf, near_dup, packing, quality_rules, substring_dedup, suffix_dedup
+from wordlake.llm import decontaminate, html_text, language_id, license_scan, line_crf, near_dup, packing, quality_rules, substring_dedup, suffix_dedup
 from wordlake.llm.common import fold, read_table
 
 
@@ -45,6 +45,10 @@ def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.license_summary(read_table(spark, sf_dir, "documents"))
 
 
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.repeated_passages(read_table(spark, sf_dir, "documents"))
 
@@ -62,6 +66,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_html_text": op2_html_text,
     "op3_pack": op3_pack,
     "op4_license_scan": op4_license_scan,
+    "op5_decontaminate": op5_decontaminate,
     "op6_suffix_dedup": op6_suffix_dedup,
     "op7_quality_rules": op7_quality_rules,
     "op8_near_dup": op8_near_dup,
