@@ -26,15 +26,24 @@ def suggest(prefixes: DataFrame, entries: DataFrame, n: int = 10) -> DataFrame:
     return best_per_key(prefix_join(prefixes, entries), ["prefix"], [F.col("rank"), F.col("word")], n)
 
 
+def letter_counts(word: str) -> Column:
+    """How often each of a-z stands in a word, and all other characters together."""
+    counts = [F.length(word) - F.length(F.replace(F.col(word), F.lit(c))) for c in "abcdefghijklmnopqrstuvwxyz"]
+    return F.array(*counts, F.length(F.regexp_replace(word, "[a-z]", "")))
+
+
 def fuzzy_join(terms: DataFrame, entries: DataFrame, block: int = 5000, cutoff: float = 0.72) -> DataFrame:
     """Per term the most similar word of the same first character among the block's best ranked.
 
-    The block is a part of the rule; ratio bounds by length turn most pairs away before the UDF.
+    The block is a part of the rule; upper bounds of the ratio by length and by common letters turn
+    most pairs away before the UDF.
     """
-    near = best_per_key(entries.withColumn("letter", F.substring("word", 1, 1)), ["letter"], [F.col("rank"), F.col("word")], block).select("letter", "word")
-    pairs = terms.withColumn("letter", F.substring("term", 1, 1)).join(near, "letter")
+    near = best_per_key(entries.withColumn("letter", F.substring("word", 1, 1)), ["letter"], [F.col("rank"), F.col("word")], block).select("letter", "word", letter_counts("word").alias("word_letters"))
+    pairs = terms.select("term", letter_counts("term").alias("term_letters"), F.substring("term", 1, 1).alias("letter")).join(near, "letter")
     possible = 2.0 * F.least(F.length("term"), F.length("word")) / (F.length("term") + F.length("word"))
-    scored = pairs.filter(possible >= cutoff).withColumn("score", ratio("term", "word")).filter(F.col("score") >= cutoff)
+    shared = F.aggregate(F.zip_with("term_letters", "word_letters", lambda a, b: F.least(a, b)), F.lit(0), lambda a, n: a + n)
+    likely = pairs.filter(possible >= cutoff).filter(2.0 * shared / (F.length("term") + F.length("word")) >= cutoff)
+    scored = likely.withColumn("score", ratio("term", "word")).filter(F.col("score") >= cutoff)
     return scored.groupBy("term").agg(F.max(F.struct("score", "word")).alias("b")).select("term", F.col("b.word").alias("word"), F.col("b.score").alias("score"))
 
 

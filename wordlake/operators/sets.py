@@ -55,18 +55,18 @@ def three_way(baseline: DataFrame, delta: DataFrame, central: DataFrame, id_col:
 
     A changed column conflicts where central is neither the baseline's value nor the delta's.
     """
-    b = baseline.select(F.col(id_col).alias("__b"), F.struct(*columns).alias("b"))
-    d = delta.select(F.col(id_col).alias("__d"), F.struct(*columns).alias("d"), F.col(changed).alias("__changed"))
+    b = baseline.select(F.col(id_col).alias("__b"), F.struct(*columns).alias("__base"))
+    d = delta.select(F.col(id_col).alias("__d"), F.struct(*columns).alias("__delta"), F.col(changed).alias("__changed"))
     joined = central.join(b, F.col(id_col) == F.col("__b"), "left").join(d, F.col(id_col) == F.col("__d"), "left")
 
     def touched(c: str) -> Column:
         return F.coalesce(F.array_contains("__changed", c), F.lit(False))
 
     def clash(c: str) -> Column:
-        return touched(c) & ~F.col(c).eqNullSafe(F.col(f"b.{c}")) & ~F.col(c).eqNullSafe(F.col(f"d.{c}"))
+        return touched(c) & ~F.col(c).eqNullSafe(F.col(f"__base.{c}")) & ~F.col(c).eqNullSafe(F.col(f"__delta.{c}"))
 
     conflicts = F.filter(F.array(*[F.when(clash(c), c) for c in columns]), lambda c: c.isNotNull())
-    merged = [F.when(touched(c), F.col(f"d.{c}")).otherwise(F.col(c)).alias(c) if c in columns else F.col(c) for c in central.columns]
+    merged = [F.when(touched(c), F.col(f"__delta.{c}")).otherwise(F.col(c)).alias(c) if c in columns else F.col(c) for c in central.columns]
     return joined.select(*merged, conflicts.alias("conflicts"))
 
 

@@ -154,10 +154,10 @@ def session_gaps(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def retry_worklist(spark: SparkSession, sf: str) -> DataFrame:
-    """Users whose newest event is no purchase and older than a week at a fixed moment."""
+    """Users whose newest event is no purchase and older than a day at a fixed moment."""
     state = aggregates.latest_attempt(table(spark, sf, "events").select("user_id", "ts", "event_id", "event_type"), ["user_id"], "ts", "event_id")
     entries = state.select("user_id", F.when(F.col("event_type") == "purchase", "completed").otherwise("partial").alias("status"), F.col("ts").cast("timestamp").alias("last_attempt"))
-    return enrich.worklist(entries, F.lit("2024-02-01 00:00:00").cast("timestamp"), 168).select("user_id", "status")
+    return enrich.worklist(entries, F.lit("2024-01-31 00:00:00").cast("timestamp"), 24).select("user_id", "status")
 
 
 def needs_merge(spark: SparkSession, sf: str) -> DataFrame:
@@ -248,7 +248,7 @@ SQL = {
       s AS (SELECT user_id, sum(new) OVER (PARTITION BY user_id ORDER BY ts RANGE UNBOUNDED PRECEDING) AS s FROM g), n AS (SELECT user_id, s, count(*) AS n FROM s GROUP BY ALL)
       SELECT user_id, count(*) AS sessions, max(n) AS largest FROM n GROUP BY user_id""",
     "retry_worklist": """WITH l AS (SELECT user_id, arg_max(event_type, (ts, event_id)) AS t, max(ts) AS ts FROM events GROUP BY user_id)
-      SELECT user_id, 'partial' AS status FROM l WHERE t IS DISTINCT FROM 'purchase' AND ts <= TIMESTAMP '2024-01-25 00:00:00'""",
+      SELECT user_id, 'partial' AS status FROM l WHERE t IS DISTINCT FROM 'purchase' AND ts <= TIMESTAMP '2024-01-30 00:00:00'""",
     "needs_merge": "SELECT user_id, bool_or(value > 50) AS dictionary, bool_or(event_type = 'click') AS exact, bool_or(value < 5) AS related FROM events GROUP BY user_id",
     "provider_plan": """
       WITH e AS (SELECT user_id AS term, bool_or(value > 20) AS d, bool_or(event_type = 'click') AS u, bool_or(value < 5) AS r, bool_or(value > 60) AS hd, bool_or(event_type = 'view') AS hu FROM events GROUP BY user_id),
