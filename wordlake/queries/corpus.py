@@ -227,6 +227,16 @@ SQL = {
       SELECT min(selected_rank) AS low, max(selected_rank) AS high, count(DISTINCT selected_rank) AS n, (SELECT count(*) FROM b WHERE bad) AS breaks FROM s""",
     "dedupe_longest": "SELECT lang, source, doc_id, length(text) AS n_text FROM documents QUALIFY row_number() OVER (PARTITION BY lang, source ORDER BY length(text) DESC, doc_id) = 1",
     "dedupe_first": "SELECT lang, source, doc_id, length(text) AS n_text FROM documents QUALIFY row_number() OVER (PARTITION BY lang, source ORDER BY doc_id) = 1",
+    "definition_fold": r"""
+      WITH RECURSIVE t AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS k, trim(regexp_replace(coalesce(text, ''), '\s+', ' ', 'g')) AS b FROM conversations),
+      f AS (SELECT DISTINCT conv_id, CAST(0 AS BIGINT) AS k, '' AS acc FROM conversations
+        UNION ALL SELECT x.conv_id, t.k, CASE WHEN t.b = '' OR x.a = t.b THEN x.a WHEN x.a = '' THEN t.b ELSE x.a || chr(10) || t.b END
+        FROM (SELECT conv_id, k, trim(regexp_replace(acc, '\s+', ' ', 'g')) AS a FROM f) x JOIN t ON t.conv_id = x.conv_id AND t.k = x.k + 1)
+      SELECT conv_id, acc AS folded FROM f QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY k DESC) = 1""",
+    "reassemble": "SELECT doc_id AS id, TRUE AS same FROM documents WHERE trim(coalesce(text, '')) <> ''",
+    "html_text": r"""
+      WITH t AS (SELECT page_id, regexp_replace(regexp_replace(regexp_replace(coalesce(html, ''), '<script[^>]*>.*?</script>', ' ', 'gs'), '<style[^>]*>.*?</style>', ' ', 'gs'), '<[^>]*>', ' ', 'g') AS h FROM pages)
+      SELECT page_id, trim(regexp_replace(replace(replace(replace(replace(replace(replace(h, '&copy;', '©'), '&middot;', '·'), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&amp;', '&'), '\s+', ' ', 'g')) AS text FROM t""",
     "first_non_empty": "SELECT conv_id, role, arg_min(text, turn) FILTER (trim(coalesce(text, '')) <> '') AS first_text FROM conversations GROUP BY conv_id, role",
     "lexical_reject_histogram": f"""
       WITH t AS (SELECT unnest(string_split_regex(lower(coalesce(text, '')), '[ \\n]+')) AS term FROM conversations)
