@@ -5,7 +5,7 @@ least hash among its k-grams, so equal windows have equal minimisers.  Consecuti
 the same minimiser travel as one packed string (a super-k-mer) to the minimiser's partition.
 Within one chunk of a task, equal strings are packed once: later copies are repeats already.
 
-A document is the pair (doc_id, xxhash64 of its text), so rows that repeat a doc_id with the same
+A document is the pair (doc_id, 32 bits of the xxhash64 of its text), so rows that repeat a doc_id with the same
 text are one document and rows that share a doc_id with other texts are not mixed up.  A null
 doc_id sorts after all others.
 """
@@ -32,7 +32,9 @@ LAST_ID = np.iinfo(np.int64).max
 
 PACKED = "part int, kind int, raw_bytes long, body binary, meta binary"
 #: Of each packed string: its document's key, the word it starts at, its minimiser's place in it.
-META = np.dtype([("doc", "<i8"), ("text", "<i8"), ("start", "<i8"), ("anchor", "<i8"), ("group", "<u4"), ("pad", "<u4")])
+META = np.dtype([("doc", "<i8"), ("text", "<i8"), ("start", "<i8"), ("anchor", "<i8"), ("group", "<i8")])
+#: How META travels: column by column, the rising document ids as differences.
+SENT = {"doc": "<i8", "text": "<u4", "start": "<u4", "anchor": "<u4", "group": "<u2"}
 #: Runs of repeated windows: where they are and where the first of them stands first.
 SPAN = np.dtype([("doc", "<i8"), ("text", "<i8"), ("start", "<i8"), ("count", "<i8"), ("first_doc", "<i8"), ("first_text", "<i8"), ("first_start", "<i8")])
 SPANS = "doc long, text_hash long, start long, count long, first_doc long, first_text long, first_start long"
@@ -53,7 +55,24 @@ class Strings:
 
 def with_keys(docs: DataFrame) -> DataFrame:
     """``docs`` with the key columns ``__doc`` and ``__text``."""
-    return docs.withColumns({"__doc": F.coalesce(F.col("doc_id").cast("long"), F.lit(int(LAST_ID))), "__text": F.xxhash64("text")})
+    return docs.withColumns({"__doc": F.coalesce(F.col("doc_id").cast("long"), F.lit(int(LAST_ID))), "__text": F.xxhash64("text").bitwiseAND(F.lit(0xFFFFFFFF))})
+
+
+def send_meta(meta: np.ndarray) -> bytes:
+    """META rows as bytes for ``read_meta``."""
+    columns = {name: meta[name] for name in SENT} | {"doc": np.diff(meta["doc"], prepend=0)}
+    return b"".join(columns[name].astype(kind).tobytes() for name, kind in SENT.items())
+
+
+def read_meta(sent: bytes) -> np.ndarray:
+    """META rows that ``send_meta`` packed."""
+    n = len(sent) // sum(np.dtype(kind).itemsize for kind in SENT.values())
+    out, at = np.empty(n, META), 0
+    for name, kind in SENT.items():
+        out[name] = np.frombuffer(sent, kind, n, at)
+        at += n * np.dtype(kind).itemsize
+    np.cumsum(out["doc"], out=out["doc"])
+    return out
 
 
 def runs_of_windows(words: np.ndarray, doc: np.ndarray, width: int, k: int) -> tuple[np.ndarray, ...]:
@@ -109,7 +128,7 @@ def pack_chunk(batch: pa.RecordBatch, width: int, k: int, parts: int) -> Iterato
             elif (keys[d], w) != (keys[owners[i][0]], owners[i][1]):
                 d0, w0 = owners[i]
                 spans.append((*keys[d], w, n, *keys[d0], w0))
-    press = zstandard.ZstdCompressor(level=1)
+    press = zstandard.ZstdCompressor(level=3)
     group = np.array(groups, U64)
     to = (group % U64(parts)).astype(np.int64)
     by = np.argsort(to, kind="stable")
@@ -120,8 +139,8 @@ def pack_chunk(batch: pa.RecordBatch, width: int, k: int, parts: int) -> Iterato
         meta = np.zeros(len(which), META)
         for name, values in zip(("doc", "text", "start", "anchor"), zip(*(rows[i] for i in which), strict=True), strict=True):
             meta[name] = values
-        meta["group"] = ((group[by[a:b]] // U64(parts)) & U64(0xFFFFFFFF)).astype(np.uint32)
-        yield int(to[by[a]]), 0, len(body), press.compress(body), press.compress(meta.tobytes())
+        meta["group"] = ((group[by[a:b]] // U64(parts)) & U64(0xFFFF)).astype(np.int64)
+        yield int(to[by[a]]), 0, len(body), press.compress(body), press.compress(send_meta(meta))
     for a in range(0, len(spans), 4096):
         some = np.array(spans[a : a + 4096], SPAN)
         yield int(some["text"][0] % parts), 1, 0, b"", press.compress(some.tobytes())
@@ -144,7 +163,7 @@ def unpack(bodies: list[tuple[bytes, bytes]], turn: int, turns: int) -> Strings:
     """The strings whose minimiser group falls to ``turn``, in order of their documents."""
     metas, strings = [], []
     for body, meta in bodies:
-        rows = np.frombuffer(zstandard.decompress(meta), META)
+        rows = read_meta(zstandard.decompress(meta))
         mine = np.flatnonzero(rows["group"] % turns == turn)
         if len(mine):
             text = zstandard.decompress(body).split(b"\n")
