@@ -1,8 +1,9 @@
 """Operator 5, benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
 
 Words are lower-cased runs of ASCII letters and digits and of anything beyond ASCII.  The
-n-grams of the test items are counted over all documents; of each item the rarer half are its
-seeds, so every item has seeds however often it was copied.  Where a document holds
+n-grams of the test items are counted over all documents, for each item over those that are no
+copies of it (they hold under a fifth of its n-grams).  The item's seeds are the n-grams that are
+no more frequent than its median one, so every item has seeds.  Where a document holds
 ``min_hits`` different seeds of an item within a stretch of its length, the stretch (widened on
 both sides) is aligned with the item word by word; the alignment's score as a share of a perfect
 one decides.
@@ -18,7 +19,6 @@ leaks.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -45,6 +45,7 @@ class Items:
     seeds: np.ndarray
     item: np.ndarray
     place: np.ndarray
+    pair: np.ndarray  # number of each seed's (item, hash)
     need: np.ndarray
 
 
@@ -67,7 +68,8 @@ def item_block(rows: list, n: int) -> Items:
     """All n-grams of a block of (item_id, text) rows."""
     words, counts = hashed([(r[1] or "").encode() for r in rows])
     seeds, item, place = grams_of(words, counts, n)
-    return Items([r[0] for r in rows], np.split(words, np.cumsum(counts)[:-1]) if rows else [], seeds, item, place, np.ones(len(rows), np.int64))
+    _, pair = np.unique(np.stack([item.astype(U64), seeds], 1), axis=0, return_inverse=True) if len(seeds) else (None, np.empty(0, np.int64))
+    return Items([r[0] for r in rows], np.split(words, np.cumsum(counts)[:-1]) if rows else [], seeds, item, place, pair.ravel(), np.ones(len(rows), np.int64))
 
 
 class Finder:
@@ -89,42 +91,57 @@ class Finder:
         return at[fine], which[fine]
 
 
-def seed_counts(docs: DataFrame, seeds: np.ndarray, n: int) -> dict[int, int]:
-    """In how many documents each seed stands."""
-    sent = docs.sparkSession.sparkContext.broadcast(np.unique(seeds))
+def hits_in_chunk(texts: list[bytes], items: Items, finder: Finder, n: int) -> tuple[np.ndarray, ...]:
+    """Word hashes, first words, and per hit: text, seed row of the items, place in the text."""
+    words, counts = hashed(texts)
+    grams, owner, place = grams_of(words, counts, n)
+    at, which = finder.hits(grams)
+    order = np.argsort(items.seeds, kind="stable")
+    held = items.seeds[order]
+    wanted = finder.sorted[which]
+    lo, hi = np.searchsorted(held, wanted, "left"), np.searchsorted(held, wanted, "right")
+    rep = np.repeat(np.arange(len(at)), hi - lo)
+    row = order[np.arange(len(rep)) - np.repeat(np.cumsum(hi - lo) - (hi - lo), hi - lo) + lo[rep]] if len(rep) else np.empty(0, np.int64)
+    return words, first_words(counts), owner[at[rep]], row, place[at[rep]]
+
+
+def seed_counts(docs: DataFrame, items: Items, n: int, copy_share: float = 0.2) -> np.ndarray:
+    """In how many documents that are no copies of its item each (item, n-gram) stands."""
+    sent = docs.sparkSession.sparkContext.broadcast(items)
+    pairs = int(items.pair.max()) + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        finder = Finder(sent.value)
-        total = np.zeros(len(finder.sorted), np.int64)
+        items = sent.value
+        finder, total = Finder(items.seeds), np.zeros(pairs, np.int64)
+        item_of = np.zeros(pairs, np.int64)
+        item_of[items.pair] = items.item
+        size = np.bincount(item_of, minlength=len(items.ids))
         for piece in pieces(batches, "text", CHUNK_BYTES):
-            grams, owner, _ = grams_of(*hashed(utf8(piece.column("text"))), n)
-            at, which = finder.hits(grams)
-            pairs = np.unique(owner[at] * (len(total) + 1) + which) % (len(total) + 1)
-            total += np.bincount(pairs, minlength=len(total))
+            _, _, doc, row, _ = hits_in_chunk(utf8(piece.column("text")), items, finder, n)
+            seen = np.unique(doc * pairs + items.pair[row])
+            doc, pair = seen // pairs, seen % pairs
+            group, back = np.unique(doc * len(items.ids) + item_of[pair], return_inverse=True)
+            share = np.bincount(back, minlength=len(group)) / size[group % len(items.ids)]
+            total += np.bincount(pair[share[back] < copy_share], minlength=pairs)
         full = np.flatnonzero(total)
-        yield pa.record_batch([pa.array(finder.sorted[full].view(np.int64)), pa.array(total[full])], names=["seed", "n"])
-
-    counted = docs.select("text").mapInArrow(run, "seed long, n long").groupBy("seed").agg(F.sum("n").alias("n"))
-    return {r[0]: r[1] for r in counted.collect()}
-
-
-def rare_seeds(items: Items, counts: dict[int, int], min_hits: int) -> Items:
-    """Of each item the rarer half of its distinct n-grams (at least four, if it has them)."""
-    if not len(items.seeds):
-        return items
-    often = np.fromiter((counts.get(x, 0) for x in items.seeds.view(np.int64).tolist()), np.int64, len(items.seeds))
-    order = np.lexsort((items.place, items.seeds, often, items.item))
-    keep = np.zeros(len(order), bool)
-    item, seeds = items.item[order], items.seeds[order]
-    new = np.ones(len(order), bool)
-    new[1:] = (item[1:] != item[:-1]) | (seeds[1:] != seeds[:-1])
+        yield pa.record_batch([pa.array(full), pa.array(total[full])], names=["pair", "n"])
+
+    out = np.zeros(pairs, np.int64)
+    for r in docs.select("text").mapInArrow(run, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).collect():
+        out[r[0]] = r[1]
+    return out
+
+
+def rare_seeds(items: Items, counts: np.ndarray, min_hits: int) -> Items:
+    """Of each item the n-grams that are no more frequent than its median one."""
+    often = counts[items.pair]
+    keep = np.zeros(len(often), bool)
     need = np.ones(len(items.ids), np.int64)
-    for a, b in zip(*(lambda c: (c[:-1].tolist(), c[1:].tolist()))(np.append(np.flatnonzero(np.diff(item, prepend=-1)), len(item))), strict=True):
-        number = np.cumsum(new[a:b])
-        keep[a:b] = number <= max(4, math.ceil(number[-1] / 2))
-        need[item[a]] = min(min_hits, int(number[keep[a:b]][-1]))
-    chosen = order[keep]
-    return Items(items.ids, items.words, items.seeds[chosen], items.item[chosen], items.place[chosen], need)
+    edges = np.append(np.flatnonzero(np.diff(items.item, prepend=-1)), len(often))
+    for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+        keep[a:b] = often[a:b] <= np.median(often[a:b])
+        need[items.item[a]] = min(min_hits, len(np.unique(items.pair[a:b][keep[a:b]])))
+    return Items(items.ids, items.words, items.seeds[keep], items.item[keep], items.place[keep], items.pair[keep], need)
 
 
 def align(item: np.ndarray, text: np.ndarray) -> tuple[int, int]:
@@ -159,19 +176,10 @@ def stretches(doc_at: np.ndarray, place: np.ndarray, seed: np.ndarray, length: i
 
 def leaks_in_chunk(texts: list[bytes], items: Items, finder: Finder, n: int, least: float) -> Iterator[tuple]:
     """(text number, item number, score, start word, end word) of each leak."""
-    words, counts = hashed(texts)
-    first = first_words(counts)
-    grams, owner, place = grams_of(words, counts, n)
-    at, which = finder.hits(grams)
-    if not len(at):
+    words, first, doc, row, doc_at = hits_in_chunk(texts, items, finder, n)
+    if not len(doc):
         return
-    order = np.argsort(items.seeds, kind="stable")
-    sorted_seeds = items.seeds[order]
-    lo, hi = np.searchsorted(sorted_seeds, finder.sorted[which], "left"), np.searchsorted(sorted_seeds, finder.sorted[which], "right")
-    rep = np.repeat(np.arange(len(at)), hi - lo)
-    ref = order[np.arange(len(rep)) - np.repeat(np.cumsum(hi - lo) - (hi - lo), hi - lo) + lo[rep]]
-    doc, item = owner[at[rep]], items.item[ref]
-    doc_at, item_at, seed = place[at[rep]], items.place[ref], which[rep]
+    item, item_at, seed = items.item[row], items.place[row], items.pair[row]
     by = np.lexsort((doc_at, item, doc))
     doc, item, doc_at, item_at, seed = doc[by], item[by], doc_at[by], item_at[by], seed[by]
     edge = np.append(np.flatnonzero(np.append(True, (doc[1:] != doc[:-1]) | (item[1:] != item[:-1]))), len(doc))
@@ -207,7 +215,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, n: int = 3, min_hits: int = 2,
         items = item_block(rows, n)
         if not len(items.seeds):
             continue
-        items = rare_seeds(items, seed_counts(taken, items.seeds, n), min_hits)
+        items = rare_seeds(items, seed_counts(taken, items, n), min_hits)
         sent = spark.sparkContext.broadcast(items)
 
         def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:  # noqa: ANN001

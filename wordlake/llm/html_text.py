@@ -48,19 +48,19 @@ class Lines(HTMLParser):
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.stack: list[tuple[str, bool, int, bool]] = []  # tag, dropped, region, in main
+        self.stack: list[tuple[str, bool, int, bool, bool]] = []  # tag, dropped, region, in main, its block dropped
         self.lines: list[tuple[str, float, int, bool, bool]] = []
         self.buffer: list[str] = []
         self.tags = self.regions = 0
 
-    def state(self) -> tuple[bool, int, bool]:
-        return self.stack[-1][1:] if self.stack else (False, 0, False)
+    def state(self) -> tuple[bool, int, bool, bool]:
+        return self.stack[-1][1:] if self.stack else (False, 0, False, False)
 
     def flush(self) -> None:
         if self.buffer:
             text = " ".join("".join(self.buffer).split())
             if text:
-                dropped, region, main = self.state()
+                _, region, main, dropped = self.state()
                 self.lines.append((text, len(text) / (1 + self.tags), region, main, dropped))
             self.buffer = []
         self.tags = 0
@@ -78,7 +78,7 @@ class Lines(HTMLParser):
             self.buffer.append(" ")
         if tag in VOID:
             return
-        dropped, region, main = self.state()
+        dropped, region, main, block = self.state()
         if tag == "article" or tag == "main" or not main and tag in REGIONS:
             if not main:
                 self.regions += 1
@@ -89,7 +89,7 @@ class Lines(HTMLParser):
             role = next((v or "" for k, v in attrs if k == "role"), "").lower()
             hidden = any(k == "hidden" or k == "aria-hidden" and v == "true" for k, v in attrs)
             dropped = tag in DROPPED or hidden or role in DROPPED_ROLES or tag == "header" and not main or bool(names) and (bool(DROPPED_NAMES.search(names)) or not main and bool(HEADER_NAMES.search(names)))
-        self.stack.append((tag, dropped, region, main))
+        self.stack.append((tag, dropped, region, main, dropped if tag in BLOCKS else block))
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.handle_starttag(tag, attrs)
@@ -98,7 +98,8 @@ class Lines(HTMLParser):
         """Close the innermost open ``tag`` unless an element of ``stops`` lies inside it."""
         for i in range(len(self.stack) - 1, -1, -1):
             if self.stack[i][0] == tag:
-                self.flush()
+                if any(x[0] in BLOCKS for x in self.stack[i:]):
+                    self.flush()
                 del self.stack[i:]
                 return
             if self.stack[i][0] in stops:
@@ -113,7 +114,9 @@ class Lines(HTMLParser):
         self.close(tag, frozenset())
 
     def handle_data(self, data: str) -> None:
-        self.buffer.append(data)
+        dropped, _, _, block = self.state()
+        if block or not dropped:  # text of a dropped inline element is no part of its line
+            self.buffer.append(data)
 
     def close_page(self) -> list[tuple[str, float, int, bool, bool]]:
         self.close_feed()
