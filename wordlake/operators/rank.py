@@ -22,30 +22,28 @@ def global_rank(df: DataFrame, order: list[Column], out: str = "rank", parts: in
 
 
 def stream_rank(df: DataFrame, kind: str, order: list[Column], limit: int, out: str = "stream_rank") -> DataFrame:
-    """Rank within each kind, cut to the first ``limit`` of each; ranks above it are never built.
+    """Rank within each kind, cut to the first ``limit`` of each.
 
-    The cut comes before the ranking: each kind's rows are limited by a partial top-n.
+    Rows are first cut to ``limit`` within hash shares of each kind, so no task ever sorts a whole
+    kind; the last window ranks at most shares times limit rows of a kind.
     """
-    kinds = [r[0] for r in df.select(kind).distinct().limit(100).collect()]
-    tops = None
-    for k in kinds:
-        top = df.filter(F.col(kind).eqNullSafe(F.lit(k))).orderBy(*order).limit(limit)
-        tops = top if tops is None else tops.unionByName(top)
-    if tops is None:
-        return df.withColumn(out, F.lit(0).cast("int")).limit(0)
-    return tops.withColumn(out, F.row_number().over(Window.partitionBy(kind).orderBy(*order)))
+    shares = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = df.withColumn("__share", F.pmod(F.xxhash64(*[c for c in df.columns if c != kind]), F.lit(shares)))
+    first = dealt.withColumn("__n", F.row_number().over(Window.partitionBy(kind, "__share").orderBy(*order))).filter(F.col("__n") <= limit).drop("__n", "__share")
+    return first.withColumn(out, F.row_number().over(Window.partitionBy(kind).orderBy(*order))).filter(F.col(out) <= limit)
 
 
-def interleave(ranked: DataFrame, is_phrase: Column, limit: int, phrases: int, rank: str = "stream_rank", out: str = "selected_rank") -> DataFrame:
+def interleave(ranked: DataFrame, is_phrase: Column, limit: int | Column, phrases: int | Column, rank: str = "stream_rank", out: str = "selected_rank") -> DataFrame:
     """Merge two ranked streams so that phrases stand evenly among ``limit`` places.
 
     The k-th phrase takes place ceil(k * limit / phrases), the j-th word floor((j - 1) * limit /
     (limit - phrases)) + 1.
     """
+    limit, phrases = (F.lit(x) if isinstance(x, int) else x for x in (limit, phrases))
     words = limit - phrases
     k = F.col(rank).cast("long")
-    phrase_at = F.ceil(k * limit / F.lit(max(phrases, 1))).cast("long")
-    word_at = (F.floor((k - 1) * limit / F.lit(max(words, 1))) + 1).cast("long")
+    phrase_at = F.ceil(k * limit / F.greatest(phrases, F.lit(1))).cast("long")
+    word_at = (F.floor((k - 1) * limit / F.greatest(words, F.lit(1))) + 1).cast("long")
     kept = ranked.filter((is_phrase & (k <= phrases)) | (~is_phrase & (k <= words)))
     return kept.withColumn(out, F.when(is_phrase, phrase_at).otherwise(word_at))
 

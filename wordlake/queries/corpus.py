@@ -32,9 +32,11 @@ def frequency_bands(spark: SparkSession, sf: str) -> DataFrame:
 def select_bounded(spark: SparkSession, sf: str) -> DataFrame:
     """An edition of 2,000 terms with 400 phrases spread evenly among the words."""
     found = rank.stream_rank(terms(table(spark, sf, "documents")), "kind", [F.desc("n"), F.asc("term")], EDITION)
-    counts = {r[0]: r[1] for r in found.groupBy("kind").count().collect()}
-    words, phrases = rank.choose_counts(EDITION, PHRASES, counts.get("word", 0), counts.get("phrase", 0))
-    chosen = rank.interleave(found, F.col("kind") == "phrase", words + phrases, phrases)
+    # how many of each kind, as one row of the same plan: terms are counted once
+    there = found.agg(F.count_if(F.col("kind") == "word").alias("w"), F.count_if(F.col("kind") == "phrase").alias("p"))
+    there = there.withColumn("p0", F.least(F.lit(PHRASES), "p")).withColumn("words", F.least("w", F.lit(EDITION) - F.col("p0")))
+    there = there.select("words", (F.col("p0") + F.least(F.col("p") - F.col("p0"), F.lit(EDITION) - F.col("words") - F.col("p0"))).alias("phrases"))
+    chosen = rank.interleave(found.join(F.broadcast(there)), F.col("kind") == "phrase", F.col("words") + F.col("phrases"), F.col("phrases"))
     return chosen.select("selected_rank", "term", "kind", "n")
 
 
