@@ -7,10 +7,11 @@ order of its own (optimal densification).  ``rows`` bins make a band, equal band
 
 Exact copies are folded first.  In each bucket only the edges from one hub to the other members
 are candidates, so candidates never outnumber bands times documents; the hub is the member whose
-buckets hold most documents.  Candidates are confirmed on the full sets.  Where a bucket's members
-still fall into different components, the pairs between these components are candidates too: all
-at once where they are few for the data, else through further hubs, so no pair of a bucket is left
-out.
+buckets hold most documents.  Candidates are confirmed on the full sets.  A star may miss a link between two leaves, so
+the members of buckets that still hold several components are dealt anew, by their rarest shingles:
+similar sets share one of these for certain, while sets that differ in many places do not.  There
+the pairs between components are confirmed too: all at once where they are few for the data, else
+hub by hub, so no pair is left out.
 
 Defined results: null and empty texts are components of their own; rows that share a doc_id are
 one document; rows with a null doc_id take part, their component is the least doc_id they reach
@@ -25,7 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wordlake.llm.common import U64, cut_lineage, first_words, gram_hashes, joined_words, mix, pieces, utf8, word_bounds, word_hashes
@@ -35,7 +36,7 @@ LAST_ID = (1 << 63) - 1
 #: Nodes of rows without a doc_id lie above this.
 NULL_FROM = LAST_ID - (1 << 40)
 #: Pairs between components of a bucket are taken at once up to so many times the bucket rows.
-PAIRS_PER_ROW = 4
+PAIRS_PER_ROW = 32
 
 
 def probe_order(bins: int, seed: int = 11) -> np.ndarray:
@@ -173,6 +174,38 @@ def hub_edges(members: DataFrame) -> DataFrame:
     return members.join(hubs, "key").select("key", F.col("node").alias("leaf"), "hub")
 
 
+def rare_prefixes(texts: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """node, key, size: the rarest shingles of each set, of which similar sets share at least one.
+
+    A set of n shingles meets any partner of the similarity in ceil(percent * n / 100) of them, so
+    the n - that + 1 rarest of both (in one order for all) have one in common.  Rarity is counted
+    over the given texts; shingles of one text only have no partner and are left out.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece in pieces(iter([batch]), "text", CHUNK_BYTES):
+                hashes, counts, _ = shingle_sets(utf8(piece.column("text")), shingle)
+                nodes = np.repeat(piece.column("node").to_numpy(), counts)
+                sizes = np.repeat(counts.astype(np.int64), counts)
+                yield pa.record_batch([pa.array(nodes), pa.array(hashes.view(np.int64)), pa.array(sizes)], names=["node", "key", "size"])
+
+    items = texts.select("node", "text").mapInArrow(run, "node long, key long, size long")
+    often = items.groupBy("key").agg(F.count("*").alias("often"))
+    place = F.row_number().over(Window.partitionBy("node").orderBy("often", "key"))
+    needed = F.ceil(F.col("size") * percent / 100)
+    return items.join(often, "key").withColumn("place", place).filter((F.col("place") <= F.col("size") - needed + 1) & (F.col("often") > 1)).select("node", "key", "size")
+
+
+def mixed_buckets(members: DataFrame, found: DataFrame) -> DataFrame:
+    """Members of the buckets that hold more than one component, with the bucket's size ``n``, the
+    members of their own component in it, and ``pairs``: the bucket's pairs across components."""
+    now = members.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    each = now.groupBy("key", "component").agg(F.count("*").alias("own"))
+    square = F.sum(F.col("own") * F.col("own"))
+    mixed = each.groupBy("key").agg(F.sum("own").alias("n"), ((F.sum("own") * F.sum("own") - square) / 2).alias("pairs"), F.count("*").alias("parts")).filter("parts > 1")
+    return now.join(each, ["key", "component"]).join(mixed.drop("parts"), "key")
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 2, percent: int = 80, bands: int = 56, rows: int = 7) -> DataFrame:
     """Per row of docs: doc_id, n_shingles, component_id, kept.
 
@@ -191,35 +224,35 @@ def near_duplicates(docs: DataFrame, shingle: int = 2, percent: int = 80, bands:
     else:
         keyed = with_text.select(F.col("doc_id").alias("node"), "text")
     texts = cut_lineage(keyed.join(weight.select("node"), "node", "left_semi"))
-    stars = hub_edges(members)
-    edges = cut_lineage(stars.filter("leaf <> hub").select("leaf", "hub").distinct())
-    links, checked = cut_lineage(confirmed(edges, texts, shingle, percent)), edges
+    checked = cut_lineage(hub_edges(members).filter("leaf <> hub").select("leaf", "hub").distinct())
+    links = cut_lineage(confirmed(checked, texts, shingle, percent))
     found = components(links)
-    left = stars.filter("leaf <> hub").select("key", F.col("leaf").alias("node"))
+    unsure = mixed_buckets(members, found).select("node").distinct()
+    left = cut_lineage(rare_prefixes(texts.join(unsure, "node", "left_semi"), shingle, percent).join(weight, "node"))
     while True:
-        # members of a bucket (without its earlier hubs) in components other than their bucket-mates'
-        left = left.join(weight, "node").join(found, "node", "left").select("key", "node", "weight", F.coalesce("component", "node").alias("component"))
-        mixed = left.groupBy("key").agg(F.count("*").alias("n"), F.min("component").alias("a"), F.max("component").alias("b")).filter("a <> b").select("key", "n")
-        left = cut_lineage(left.join(mixed, "key"))
-        rows_left, pairs = left.agg(F.count("*"), F.coalesce(F.sum(F.col("n") - 1), F.lit(0)) / 2).first()
+        now = cut_lineage(mixed_buckets(left, found))
+        rows_left, pairs = now.agg(F.count("*"), F.coalesce(F.sum(F.col("pairs") / F.col("n")), F.lit(0))).first()
         if not rows_left:
             break
-        few = pairs <= PAIRS_PER_ROW * max(rows_left, 50_000)
-        if few:
-            other = left.select("key", F.col("node").alias("hub"), F.col("component").alias("of"))
-            pairs_df = left.join(other, "key").filter("component <> of and node > hub").select(F.col("node").alias("leaf"), "hub")
-        else:
-            pairs_df = hub_edges(left).join(found.select(F.col("node").alias("leaf"), F.col("component").alias("c1")), "leaf", "left").join(found.select(F.col("node").alias("hub"), F.col("component").alias("c2")), "hub", "left").filter("leaf <> hub and coalesce(c1, leaf) <> coalesce(c2, hub)").select("leaf", "hub")
+        most = PAIRS_PER_ROW * max(rows_left, 200_000)
+        order = Window.partitionBy("key").orderBy("own", "component", F.desc("weight"), "node")
+        now = now.withColumn("turn", F.row_number().over(order))
+        hubs = now.select("key", F.col("node").alias("hub"), F.col("component").alias("of"), F.col("size").alias("hub_size"), F.col("turn").alias("hub_turn"))
+        last_round = pairs <= most
+        if not last_round:
+            hubs = hubs.filter(F.col("hub_turn") <= max(1, most // rows_left))
+        fits = F.lit(100) * F.least("size", "hub_size") >= F.lit(percent) * F.greatest("size", "hub_size")
+        pairs_df = now.join(hubs, "key").filter((F.col("turn") > F.col("hub_turn")) & fits & (F.col("component") != F.col("of")))
         done = checked.unionByName(checked.select(F.col("hub").alias("leaf"), F.col("leaf").alias("hub")))
-        fresh = cut_lineage(pairs_df.distinct().join(done, ["leaf", "hub"], "left_anti"))
+        fresh = cut_lineage(pairs_df.select(F.greatest("node", "hub").alias("leaf"), F.least("node", "hub").alias("hub")).distinct().join(done, ["leaf", "hub"], "left_anti"))
         more = cut_lineage(confirmed(fresh, texts, shingle, percent))
         if more.limit(1).count():
             links = links.unionByName(more)
             found = components(links)
-        if few:
+        if last_round:
             break
         checked = checked.unionByName(fresh)
-        left = hub_edges(left).filter("leaf <> hub").select("key", F.col("leaf").alias("node"))
+        left = now.filter(F.col("turn") > max(1, most // rows_left)).select("key", "node", "size", "weight")
     reps = sketch.filter("n_shingles > 0").select("copy", "node").groupBy("copy").agg(F.min("node").alias("rep"))
     labels = reps.join(found.withColumnRenamed("node", "rep"), "rep", "left").select("copy", F.coalesce("component", "rep").alias("component"))
     out = sketch.select("doc_id", "node", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("copy")).alias("copy")).join(labels, "copy", "left")
