@@ -7,11 +7,13 @@ order of its own (optimal densification).  ``rows`` bins make a band, equal band
 
 Exact copies are folded first.  In each bucket only the edges from one hub to the other members
 are candidates, so candidates never outnumber bands times documents; the hub is the member whose
-buckets hold most documents.  Candidates are confirmed on the full sets.  A star may miss a link between two leaves, so
+buckets hold most documents, and each document tries its heaviest hub first.  Candidates are
+confirmed on the full sets.  A star may miss a link between two leaves, so
 the members of buckets that still hold several components are dealt anew, by their rarest shingles:
 similar sets share one of these for certain, while sets that differ in many places do not.  There
-the pairs between components are confirmed too: all at once where they are few for the data, else
-hub by hub, so no pair is left out.
+the pairs between components are confirmed too, unless bounds on sizes, on what can follow the
+first common shingle or on differing parities rule them out: all at once where they are few for
+the data, else hub by hub, so no pair is left out.
 
 Defined results: null and empty texts are components of their own; rows that share a doc_id are
 one document; rows with a null doc_id take part, their component is the least doc_id they reach
@@ -169,13 +171,19 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def hub_edges(members: DataFrame) -> DataFrame:
-    """Per bucket the edges from its hub; members has key, node, component and weight."""
-    hubs = members.groupBy("key").agg(F.max(F.struct("weight", (-F.col("node")).alias("less"))).alias("top")).select("key", (-F.col("top.less")).alias("hub"))
-    return members.join(hubs, "key").select("key", F.col("node").alias("leaf"), "hub")
+    """Leaf, hub and the hub's weight: one edge from each bucket's hub to its other members."""
+    hubs = members.groupBy("key").agg(F.max(F.struct("weight", (-F.col("node")).alias("less"))).alias("top")).select("key", (-F.col("top.less")).alias("hub"), F.col("top.weight").alias("hub_weight"))
+    return members.join(hubs, "key").filter("node <> hub").select(F.col("node").alias("leaf"), "hub", "hub_weight")
+
+
+def across(edges: DataFrame, found: DataFrame) -> DataFrame:
+    """The edges whose ends lie in different components."""
+    ends = edges.join(found.select(F.col("node").alias("leaf"), F.col("component").alias("c1")), "leaf", "left").join(found.select(F.col("node").alias("hub"), F.col("component").alias("c2")), "hub", "left")
+    return ends.filter("coalesce(c1, leaf) <> coalesce(c2, hub)").select("leaf", "hub")
 
 
 def rare_prefixes(texts: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """node, key, size: the rarest shingles of each set, of which similar sets share at least one.
+    """node, key, size, place: the rarest shingles of each set, of which similar sets share at least one.
 
     A set of n shingles meets any partner of the similarity in ceil(percent * n / 100) of them, so
     the n - that + 1 rarest of both (in one order for all) have one in common.  Rarity is counted
@@ -193,7 +201,32 @@ def rare_prefixes(texts: DataFrame, shingle: int, percent: int) -> DataFrame:
     often = items.groupBy("key").agg(F.count("*").alias("often"))
     place = F.row_number().over(Window.partitionBy("node").orderBy("often", "key"))
     needed = F.ceil(F.col("size") * percent / 100)
-    return items.join(often, "key").withColumn("place", place).filter((F.col("place") <= F.col("size") - needed + 1) & (F.col("often") > 1)).select("node", "key", "size")
+    return items.join(often, "key").withColumn("place", place).filter((F.col("place") <= F.col("size") - needed + 1) & (F.col("often") > 1)).select("node", "key", "size", "place")
+
+
+def parity_bits(texts: DataFrame, shingle: int) -> DataFrame:
+    """node, bits: 1,024 parities of each set.  Two sets differ in at least as many shingles as bits."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece in pieces(iter([batch]), "text", CHUNK_BYTES):
+                hashes, counts, _ = shingle_sets(utf8(piece.column("text")), shingle)
+                of = np.repeat(np.arange(len(counts)), counts)
+                odd = np.bincount(of * 1024 + (hashes % U64(1024)).astype(np.int64), minlength=len(counts) * 1024) & 1
+                bits = np.packbits(odd.astype(np.uint8)).view(np.int64)
+                lists = pa.ListArray.from_arrays(pa.array(np.arange(len(counts) + 1, dtype=np.int32) * 16), pa.array(bits))
+                yield pa.record_batch([piece.column("node"), lists], names=["node", "bits"])
+
+    return texts.select("node", "text").mapInArrow(run, "node long, bits array<long>")
+
+
+def may_reach(percent: int) -> Column:
+    """False only for pairs that cannot reach the similarity: by their sizes, by what can follow
+    their first common shingle, or by the parities that differ."""
+    n = F.col("size") + F.col("hub_size")
+    sizes = F.lit(100) * F.least("size", "hub_size") >= F.lit(percent) * F.greatest("size", "hub_size")
+    follow = F.lit(1) + F.least(F.col("size") - F.col("place"), F.col("hub_size") - F.col("hub_place"))
+    differ = sum((F.bit_count(F.col("bits")[i].bitwiseXOR(F.col("hub_bits")[i])) for i in range(16)), F.lit(0))
+    return sizes & (follow * (100 + percent) >= n * percent) & (differ * (100 + percent) <= n * (100 - percent))
 
 
 def mixed_buckets(members: DataFrame, found: DataFrame) -> DataFrame:
@@ -224,11 +257,17 @@ def near_duplicates(docs: DataFrame, shingle: int = 2, percent: int = 80, bands:
     else:
         keyed = with_text.select(F.col("doc_id").alias("node"), "text")
     texts = cut_lineage(keyed.join(weight.select("node"), "node", "left_semi"))
-    checked = cut_lineage(hub_edges(members).filter("leaf <> hub").select("leaf", "hub").distinct())
+    stars = cut_lineage(hub_edges(members).distinct())
+    # first each leaf's heaviest hub, then the edges that still lead from one component to another
+    checked = cut_lineage(stars.groupBy("leaf").agg(F.max_by("hub", F.struct("hub_weight", "hub")).alias("hub")))
     links = cut_lineage(confirmed(checked, texts, shingle, percent))
     found = components(links)
+    second = cut_lineage(across(stars.select("leaf", "hub"), found).join(checked, ["leaf", "hub"], "left_anti"))
+    links, checked = cut_lineage(links.unionByName(confirmed(second, texts, shingle, percent))), checked.unionByName(second)
+    found = components(links)
     unsure = mixed_buckets(members, found).select("node").distinct()
-    left = cut_lineage(rare_prefixes(texts.join(unsure, "node", "left_semi"), shingle, percent).join(weight, "node"))
+    unsure_texts = texts.join(unsure, "node", "left_semi")
+    left = cut_lineage(rare_prefixes(unsure_texts, shingle, percent).join(parity_bits(unsure_texts, shingle), "node").join(weight, "node"))
     while True:
         now = cut_lineage(mixed_buckets(left, found))
         rows_left, pairs = now.agg(F.count("*"), F.coalesce(F.sum(F.col("pairs") / F.col("n")), F.lit(0))).first()
@@ -237,12 +276,11 @@ def near_duplicates(docs: DataFrame, shingle: int = 2, percent: int = 80, bands:
         most = PAIRS_PER_ROW * max(rows_left, 200_000)
         order = Window.partitionBy("key").orderBy("own", "component", F.desc("weight"), "node")
         now = now.withColumn("turn", F.row_number().over(order))
-        hubs = now.select("key", F.col("node").alias("hub"), F.col("component").alias("of"), F.col("size").alias("hub_size"), F.col("turn").alias("hub_turn"))
+        hubs = now.select("key", F.col("node").alias("hub"), F.col("component").alias("of"), F.col("size").alias("hub_size"), F.col("place").alias("hub_place"), F.col("bits").alias("hub_bits"), F.col("turn").alias("hub_turn"))
         last_round = pairs <= most
         if not last_round:
             hubs = hubs.filter(F.col("hub_turn") <= max(1, most // rows_left))
-        fits = F.lit(100) * F.least("size", "hub_size") >= F.lit(percent) * F.greatest("size", "hub_size")
-        pairs_df = now.join(hubs, "key").filter((F.col("turn") > F.col("hub_turn")) & fits & (F.col("component") != F.col("of")))
+        pairs_df = now.join(hubs, "key").filter((F.col("turn") > F.col("hub_turn")) & (F.col("component") != F.col("of")) & may_reach(percent))
         done = checked.unionByName(checked.select(F.col("hub").alias("leaf"), F.col("leaf").alias("hub")))
         fresh = cut_lineage(pairs_df.select(F.greatest("node", "hub").alias("leaf"), F.least("node", "hub").alias("hub")).distinct().join(done, ["leaf", "hub"], "left_anti"))
         more = cut_lineage(confirmed(fresh, texts, shingle, percent))
@@ -252,7 +290,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 2, percent: int = 80, bands:
         if last_round:
             break
         checked = checked.unionByName(fresh)
-        left = now.filter(F.col("turn") > max(1, most // rows_left)).select("key", "node", "size", "weight")
+        left = now.filter(F.col("turn") > max(1, most // rows_left)).select("key", "node", "size", "place", "bits", "weight")
     reps = sketch.filter("n_shingles > 0").select("copy", "node").groupBy("copy").agg(F.min("node").alias("rep"))
     labels = reps.join(found.withColumnRenamed("node", "rep"), "rep", "left").select("copy", F.coalesce("component", "rep").alias("component"))
     out = sketch.select("doc_id", "node", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("copy")).alias("copy")).join(labels, "copy", "left")
