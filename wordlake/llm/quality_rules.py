@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wordlake.llm.common import U64, first_words, gram_hashes, joined_words, pieces, utf8, word_bounds, word_hashes
-from wordlake.llm.training import bounded_sample, fit_logistic, fit_platt, sigmoid
+from wordlake.llm.training import fit_logistic, fit_platt, labelled_sample, sigmoid
 
 CHUNK_BYTES = 2 << 20
 WORD_SIZE = CHAR_SIZE = 4096
@@ -93,9 +93,9 @@ def describe(texts: list[bytes], with_features: bool = True) -> tuple[np.ndarray
     return base, out
 
 
-def train(rows: DataFrame, per_label: int = ROWS_PER_LABEL) -> Model:
-    """Fit on a bounded sample of rows with ``text`` and ``quality`` (0 or 1)."""
-    sample = bounded_sample(rows, "quality", per_label)
+def train(docs: DataFrame, labels: DataFrame, per_label: int = ROWS_PER_LABEL) -> Model:
+    """Fit on a bounded sample of documents that ``labels`` (doc_id, quality 0 or 1) marks."""
+    sample = labelled_sample(docs, labels, "quality", per_label)
     y = np.array([float(label) > 0 for label, _ in sample])
     if not len(y) or y.all() or not y.any():
         return Model(None)

@@ -19,7 +19,7 @@ def op3_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = read_table(spark, sf_dir, "labels").select("doc_id", "quality")
-    return quality_rules.judge(docs, quality_rules.train(docs.join(labels, "doc_id")))
+    return quality_rules.judge(docs, quality_rules.train(docs, labels))
 
 
 def op8_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,12 +5,22 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wordlake.llm.common import hash01
 
 
+def shares(labels: DataFrame, label: str, per_label: int, max_labels: int) -> Column | None:
+    """Which share of each label's rows makes a sample of about ``per_label`` rows."""
+    counts = labels.groupBy(label).count().limit(max_labels + 1).collect()
+    if len(counts) > max_labels:
+        raise ValueError(f"more than {max_labels} labels in {label}")
+    if not counts:
+        return None
+    return F.create_map(*[F.lit(x) for c in counts for x in (c[0], min(1.0, per_label / c["count"]))])[F.col(label)]
+
+
 def bounded_sample(rows: DataFrame, label: str, per_label: int, max_labels: int = 1000) -> list[tuple[str, str]]:
     """About ``per_label`` (label, text) rows of each label, chosen by a hash of the text.
 
@@ -18,16 +28,29 @@ def bounded_sample(rows: DataFrame, label: str, per_label: int, max_labels: int
     driver.  More than ``max_labels`` labels are an error.
     """
     rows = rows.filter(F.col(label).isNotNull() & F.col("text").isNotNull())
-    counts = rows.groupBy(label).count().limit(max_labels + 1).collect()
-    if len(counts) > max_labels:
-        raise ValueError(f"more than {max_labels} labels in {label}")
-    if not counts:
+    share = shares(rows, label, per_label, max_labels)
+    if share is None:
         return []
-    share = F.create_map(*[F.lit(x) for c in counts for x in (c[0], min(1.0, per_label / c["count"]))])
-    chosen = rows.filter(hash01("text", F.lit(7)) < share[F.col(label)]).select(F.col(label).cast("string"), "text")
+    chosen = rows.filter(hash01("text", F.lit(7)) < share).select(F.col(label).cast("string"), "text")
     return sorted((r[0], r[1]) for r in chosen.collect())
 
 
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_label: int, max_labels: int = 100) -> list[tuple[str, str]]:
+    """As ``bounded_sample``, for labels in a table of their own (doc_id, label).
+
+    The labels are sampled first, by a hash of doc_id; only these, at most twice ``per_label`` times
+    the number of labels, are broadcast to the documents, so no text is shuffled.
+    """
+    labels = labels.filter(F.col(label).isNotNull() & F.col("doc_id").isNotNull()).select("doc_id", label)
+    share = shares(labels, label, per_label, max_labels)
+    if share is None:
+        return []
+    bound = 2 * per_label * max_labels
+    chosen = labels.filter(hash01("doc_id", F.lit(7)) < share).distinct().limit(bound)
+    found = docs.filter(F.col("text").isNotNull()).select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    return sorted((r[0], r[1]) for r in found.select(F.col(label).cast("string"), "text").limit(bound).collect())
+
+
 def fit_logistic(x: np.ndarray, y: np.ndarray, l2: float = 1e-4, steps: int = 250, rate: float = 0.5, weight: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Weights (features x outputs) and biases of independent logistic models; y is 0 or 1 (rows x outputs)."""
     n, outputs = len(x), y.shape[1]
