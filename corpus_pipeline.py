@@ -19,8 +19,8 @@ from wordlake.llm.common import read_table, shared_folder
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose text is clearly of a known language; texts without letters and ambiguous ones go."""
     model = language_id.train(docs.select("text", "lang"))
-    found = language_id.predict(docs, model)
-    return found.filter((F.col("lang_pred") != language_id.UNKNOWN) & ~F.col("ambiguous")).select(*docs.columns)
+    found = language_id.predict(docs, model, names=("__lang", "__score", "__ambiguous"))
+    return found.filter((F.col("__lang") != language_id.UNKNOWN) & ~F.col("__ambiguous")).select(*docs.columns)
 
 
 def keep_one_per_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -13,12 +13,12 @@ from tests.conftest import SF
 from wordlake.llm import decontaminate, html_text, license_scan, near_dup, packing, quality_rules, substring_dedup, suffix_dedup
 from wordlake.llm.queries import QUERIES
 
-SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, node long, score double"
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, node long, score double, doc long, start long, lang_pred string"
 
 
 def table(spark, rows):
     """Documents with extra columns whose names clash with the operators' own."""
-    return spark.createDataFrame([(d, t, None, "s", None, 7, 0.5) for d, t in rows], SCHEMA)
+    return spark.createDataFrame([(d, t, None, "s", None, 7, 0.5, 1, 2, "q") for d, t in rows], SCHEMA)
 
 
 def corpus(seed=1, n=60):

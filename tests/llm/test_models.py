@@ -19,13 +19,13 @@ def test_language_defined_results(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("text", "lang")
     model = language_id.train(docs)
     odd = table(spark, [(1, None), (2, ""), (3, "123 !!"), (4, "the and of that"), (4, "the and of that"), (None, "der die das und")])
-    got = language_id.predict(odd.drop("score"), model).collect()
+    got = language_id.predict(odd, model).collect()
     assert [(r.lang_pred, r.score) for r in got[:3]] == [("und", 0.0)] * 3 and got[3].lang_pred == "en" and got[5].lang_pred == "de"
-    assert language_id.predict(table(spark, []).drop("score"), model).count() == 0
+    assert language_id.predict(table(spark, []), model).count() == 0
     none = language_id.train(docs.limit(0))
-    assert {r.lang_pred for r in language_id.predict(odd.drop("score"), none).collect()} == {"und"}
+    assert {r.lang_pred for r in language_id.predict(odd, none).collect()} == {"und"}
     one = language_id.train(docs.filter("lang = 'en'"))
-    assert language_id.predict(odd.drop("score"), one).collect()[3][-3:] == ("en", 1.0, False)
+    assert language_id.predict(odd, one).collect()[3][-3:] == ("en", 1.0, False)
 
 
 def test_codewords_are_far_apart():
@@ -92,6 +92,12 @@ def test_forward_backward_against_all_paths():
     assert np.allclose(pairs, total)
 
 
+def test_language_stage_keeps_clashing_columns(spark):
+    docs = table(spark, [(1, "the and of that is"), (2, "55")]).withColumn("lang", F.lit("en"))
+    kept = corpus_pipeline.keep_known_languages(spark, docs, SF)
+    assert kept.columns == docs.columns and [(r.doc_id, r.score, r.lang_pred) for r in kept.collect()] == [(1, 0.5, "q")]
+
+
 def documents(spark, rows):
     return spark.createDataFrame([(d, t, "en", "s", len(t or "")) for d, t in rows], ", ".join(SCHEMA.split(", ")[:5]))
 

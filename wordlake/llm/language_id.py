@@ -100,14 +100,17 @@ def decode(margin: np.ndarray, model: Model) -> tuple[np.ndarray, np.ndarray, np
     return loss.argmin(1), order[:, -1], order[:, -1] - (order[:, -2] if share.shape[1] > 1 else 0)
 
 
-def predict(docs: DataFrame, model: Model, ambiguous_below: float = 0.2) -> DataFrame:
-    """Per row of docs: all its columns, lang_pred, score, ambiguous."""
+def predict(docs: DataFrame, model: Model, ambiguous_below: float = 0.2, names: tuple[str, str, str] = ("lang_pred", "score", "ambiguous")) -> DataFrame:
+    """Per row of docs: its columns, and the predicted language, its score and the ambiguity flag.
+
+    The three take the names given; columns of docs that have these names are replaced.
+    """
+    docs = docs.drop(*names)
     spark = docs.sparkSession
     sent = spark.sparkContext.broadcast(model)
-    found = [("lang_pred", pa.string()), ("score", pa.float64()), ("ambiguous", pa.bool_())]
-    names = docs.columns
+    own = docs.columns
     taken = docs.select("*", F.col("text").rlike("\\p{L}").alias("__letter"))
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields), "lang_pred string, score double, ambiguous boolean"])
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields), *(f"`{n}` {t}" for n, t in zip(names, ("string", "double", "boolean"), strict=True))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = sent.value
@@ -127,6 +130,6 @@ def predict(docs: DataFrame, model: Model, ambiguous_below: float = 0.2) -> Data
                 for i, j in zip(some, best.tolist(), strict=True):
                     pred[i] = m.languages[j]
             values = [pa.array(pred), pa.array(score), pa.array(unsure)]
-            yield pa.record_batch([*(piece.column(c) for c in names), *values], names=[*names, *(f[0] for f in found)])
+            yield pa.record_batch([*(piece.column(c) for c in own), *values], names=[*own, *names])
 
     return taken.mapInArrow(run, schema)

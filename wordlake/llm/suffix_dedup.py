@@ -110,8 +110,8 @@ def cut_passages(docs: DataFrame, min_words: int = 50, k: int = 5) -> DataFrame:
     Texts without repeats are returned unchanged, other columns as they are (``n_chars``, where
     present as a number, follows the new text).
     """
-    spans = windows.spans_per_document(passage_spans(docs, min_words, k))
-    joined = windows.with_keys(docs).join(spans, (F.col("__doc") == F.col("doc")) & (F.col("__text") == F.col("text_hash")), "left")
+    spans = windows.spans_per_document(passage_spans(docs, min_words, k)).withColumnsRenamed({"doc": "__span_doc", "text_hash": "__span_text"})
+    joined = windows.with_keys(docs).join(spans, (F.col("__doc") == F.col("__span_doc")) & (F.col("__text") == F.col("__span_text")), "left")
     schema = T.StructType([*docs.schema.fields, T.StructField("__gone", T.BooleanType())])
     names = docs.columns
 
@@ -124,5 +124,5 @@ def cut_passages(docs: DataFrame, min_words: int = 50, k: int = 5) -> DataFrame:
 
     out = joined.select(*names, "__runs").mapInArrow(run, schema).filter(~F.col("__gone")).drop("__gone")
     if "n_chars" in names:
-        out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+        out = out.withColumn("n_chars", F.coalesce(F.length("text").cast(docs.schema["n_chars"].dataType), "n_chars"))
     return out
