@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wordlake.llm.common import pieces, utf8, word_bounds, word_hashes
-from wordlake.llm.training import bounded_sample, fit_platt, sigmoid
+from wordlake.llm.training import fit_platt, labelled_sample, sigmoid
 
 CHUNK_BYTES = 2 << 20
 #: Labelled rows per label that the model is fitted on: the bound of the sample.
@@ -145,9 +145,9 @@ def fit(x: np.ndarray, counts: np.ndarray, good: np.ndarray, steps: int = 150, r
     return Model(*params, float(good.mean()))
 
 
-def train(rows: DataFrame, per_label: int = ROWS_PER_LABEL) -> Model:
-    """Fit on a bounded sample of rows with ``text`` and ``quality`` (0 or 1)."""
-    sample = [(float(label) > 0, t) for label, t in bounded_sample(rows, "quality", per_label) if t.strip()]
+def train(docs: DataFrame, labels: DataFrame, per_label: int = ROWS_PER_LABEL) -> Model:
+    """Fit on a bounded sample of documents that ``labels`` (doc_id, quality 0 or 1) marks."""
+    sample = [(float(label) > 0, t) for label, t in labelled_sample(docs, labels, "quality", per_label) if t.strip()]
     good = np.array([g for g, _ in sample], bool)
     if not len(good) or good.all() or not good.any():
         return Model(None, None, None, float(good.mean()) if len(good) else 0.5)

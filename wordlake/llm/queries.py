@@ -56,7 +56,7 @@ def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_line_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = read_table(spark, sf_dir, "labels").select("doc_id", "quality")
-    model = line_crf.train(docs.join(labels.filter(fold(F.col("doc_id"), 5) != 0), "doc_id"))
+    model = line_crf.train(docs, labels.filter(fold(F.col("doc_id"), 5) != 0))
     scored = line_crf.score_lines(docs, model)
     return scored.select("doc_id", (fold(F.col("doc_id"), 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
