@@ -28,7 +28,7 @@ def stream_rank(df: DataFrame, kind: str, order: list[Column], limit: int, out:
     kind; the last window ranks at most shares times limit rows of a kind.
     """
     shares = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = df.withColumn("__share", F.pmod(F.xxhash64(*[c for c in df.columns if c != kind]), F.lit(shares)))
+    dealt = df.withColumn("__share", F.pmod(F.xxhash64(*[f.name for f in df.schema.fields if f.name != kind and "map<" not in f.dataType.simpleString()]), F.lit(shares)))
     first = dealt.withColumn("__n", F.row_number().over(Window.partitionBy(kind, "__share").orderBy(*order))).filter(F.col("__n") <= limit).drop("__n", "__share")
     return first.withColumn(out, F.row_number().over(Window.partitionBy(kind).orderBy(*order))).filter(F.col(out) <= limit)
 
