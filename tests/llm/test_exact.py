@@ -218,6 +218,35 @@ def test_leaks(spark):
     assert decontaminate.leaks(table(spark, rows), bench.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("hits", [1, 1 << 20])
+def test_leaks_against_every_alignment(spark, monkeypatch, hits):
+    """Every document with every item: substituted and inserted words, many edited copies of one item."""
+    monkeypatch.setattr(decontaminate, "HITS", hits)
+    rng = random.Random(21)
+    items = [[f"i{k}w{i}" for i in range(length)] for k, length in enumerate((15, 24, 40, 59))]
+    rows, noise = [(0, ""), (1, None)], iter(range(10**6))
+    for d in range(2, 150):
+        item = items[d % 4] if d % 3 else items[3]
+        copy = []
+        for w in item:
+            copy += [f"n{next(noise)}"] * (rng.random() < 0.15)  # one more word
+            copy.append(f"n{next(noise)}" if rng.random() < 0.35 else w)
+        rows.append((d, " ".join([*(f"n{next(noise)}" for _ in range(rng.randrange(40))), *copy, *(f"n{next(noise)}" for _ in range(rng.randrange(40)))])))
+    item = items[2]
+    spread = item[:14] + [f"n{next(noise)}" for _ in range(30)] + item[14:40]
+    rows += [(200, " ".join(spread)), (201, " ".join(item[:3])), (202, " ".join(item[:4] + [f"n{next(noise)}" for _ in range(40)]))]
+    threes = lambda w: {tuple(w[i : i + 3]) for i in range(len(w) - 2)}
+    expected = {}
+    for d, t in rows:
+        for k, item in enumerate(items):
+            words = (t or "").split()
+            score = align_brute(item, words) / (2 * len(item))
+            if len(threes(item) & threes(words)) >= 2 and score >= 0.4:
+                expected[d, k] = score
+    bench = spark.createDataFrame([(k, " ".join(x)) for k, x in enumerate(items)], "item_id long, text string")
+    assert {(r.doc_id, r.item_id): r.score for r in decontaminate.leaks(table(spark, rows), bench).collect()} == expected and len(expected) > 40
+
+
 PAGES = {
     "plain": ("<html><body><nav><a>Home</a></nav><article><h1>Title</h1><p>First &amp; <b>bold</b>\n text.</p><p>Be.</p></article><footer>&copy; x</footer></body></html>", "Title\nFirst & bold text.\nBe."),
     "divs": ("<body><div class='menu'>One Two</div><div id=content><p>A long paragraph of words that says something at length here.</p><p>Short.</p></div><div class=sidebar>links links links</div><div class='comments'><p>A reader says a lot of words in this very long comment, too.</p></div></body>", "A long paragraph of words that says something at length here.\nShort."),

@@ -1,12 +1,12 @@
-"""Operator 5, benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+"""Operator 5, benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
 
-Words are lower-cased runs of ASCII letters and digits and of anything beyond ASCII.  The
-n-grams of the test items are counted over all documents, for each item over those that are no
-copies of it (they hold under a fifth of its n-grams).  The item's seeds are the n-grams that are
-no more frequent than its median one, so every item has seeds.  Where a document holds
-``min_hits`` different seeds of an item within a stretch of its length, the stretch (widened on
-both sides) is aligned with the item word by word; the alignment's score as a share of a perfect
-one decides.
+Words are lower-cased runs of ASCII letters and digits and of anything beyond ASCII.  Every n-gram
+of a test item is a seed, however frequent: two shared n-grams may both be common ones, so a choice
+by rarity would lose copies that the rule below reports.  Where a document holds ``min_hits``
+different seeds of an item within a stretch (the item's length, widened on both sides by as many
+words as an alignment of the least score can insert), the stretch is aligned with the item word by
+word, unless the words they share cannot reach the score; the alignment's score as a share of a
+perfect one decides.
 
 The items come to the tasks in blocks of bounded size; each block is one pass over the documents,
 so neither side is ever shuffled or collected as a whole.
@@ -32,6 +32,8 @@ from wordlake.llm.common import U64, first_words, gram_hashes, pieces, utf8, wor
 CHUNK_BYTES = 4 << 20
 #: Bytes of item text in one block: what a pass broadcasts.
 BLOCK_BYTES = 8 << 20
+#: Hits of a chunk that are handled at once; a document's are never parted.
+HITS = 1 << 20
 SPACED = bytes(c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
 MATCH, MISMATCH, GAP = 2, -1, -1
 
@@ -64,12 +66,13 @@ def grams_of(words: np.ndarray, counts: np.ndarray, n: int) -> tuple[np.ndarray,
     return grams[at], owner[at], at - first_words(counts)[owner[at]]
 
 
-def item_block(rows: list, n: int) -> Items:
-    """All n-grams of a block of (item_id, text) rows."""
+def item_block(rows: list, n: int, min_hits: int) -> Items:
+    """All n-grams of a block of (item_id, text) rows; an item of few n-grams needs no more than it has."""
     words, counts = hashed([(r[1] or "").encode() for r in rows])
     seeds, item, place = grams_of(words, counts, n)
-    _, pair = np.unique(np.stack([item.astype(U64), seeds], 1), axis=0, return_inverse=True) if len(seeds) else (None, np.empty(0, np.int64))
-    return Items([r[0] for r in rows], np.split(words, np.cumsum(counts)[:-1]) if rows else [], seeds, item, place, pair.ravel(), np.ones(len(rows), np.int64))
+    known, pair = np.unique(np.stack([item.astype(U64), seeds], 1), axis=0, return_inverse=True) if len(seeds) else (np.empty((0, 2), U64), np.empty(0, np.int64))
+    need = np.minimum(min_hits, np.bincount(known[:, 0].astype(np.int64), minlength=len(rows)))
+    return Items([r[0] for r in rows], np.split(words, np.cumsum(counts)[:-1]) if rows else [], seeds, item, place, pair.ravel(), np.maximum(need, 1))
 
 
 class Finder:
@@ -91,57 +94,29 @@ class Finder:
         return at[fine], which[fine]
 
 
-def hits_in_chunk(texts: list[bytes], items: Items, finder: Finder, n: int) -> tuple[np.ndarray, ...]:
-    """Word hashes, first words, and per hit: text, seed row of the items, place in the text."""
+def hits_in_chunk(texts: list[bytes], items: Items, finder: Finder, n: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """Word hashes, first words, and per hit: text, seed row of the items, place in the text; some texts at a time."""
     words, counts = hashed(texts)
+    first = first_words(counts)
     grams, owner, place = grams_of(words, counts, n)
     at, which = finder.hits(grams)
     order = np.argsort(items.seeds, kind="stable")
     held = items.seeds[order]
     wanted = finder.sorted[which]
-    lo, hi = np.searchsorted(held, wanted, "left"), np.searchsorted(held, wanted, "right")
-    rep = np.repeat(np.arange(len(at)), hi - lo)
-    row = order[np.arange(len(rep)) - np.repeat(np.cumsum(hi - lo) - (hi - lo), hi - lo) + lo[rep]] if len(rep) else np.empty(0, np.int64)
-    return words, first_words(counts), owner[at[rep]], row, place[at[rep]]
-
-
-def seed_counts(docs: DataFrame, items: Items, n: int, copy_share: float = 0.2) -> np.ndarray:
-    """In how many documents that are no copies of its item each (item, n-gram) stands."""
-    sent = docs.sparkSession.sparkContext.broadcast(items)
-    pairs = int(items.pair.max()) + 1
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        items = sent.value
-        finder, total = Finder(items.seeds), np.zeros(pairs, np.int64)
-        item_of = np.zeros(pairs, np.int64)
-        item_of[items.pair] = items.item
-        size = np.bincount(item_of, minlength=len(items.ids))
-        for piece in pieces(batches, "text", CHUNK_BYTES):
-            _, _, doc, row, _ = hits_in_chunk(utf8(piece.column("text")), items, finder, n)
-            seen = np.unique(doc * pairs + items.pair[row])
-            doc, pair = seen // pairs, seen % pairs
-            group, back = np.unique(doc * len(items.ids) + item_of[pair], return_inverse=True)
-            share = np.bincount(back, minlength=len(group)) / size[group % len(items.ids)]
-            total += np.bincount(pair[share[back] < copy_share], minlength=pairs)
-        full = np.flatnonzero(total)
-        yield pa.record_batch([pa.array(full), pa.array(total[full])], names=["pair", "n"])
-
-    out = np.zeros(pairs, np.int64)
-    for r in docs.select("text").mapInArrow(run, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).collect():
-        out[r[0]] = r[1]
-    return out
-
-
-def rare_seeds(items: Items, counts: np.ndarray, min_hits: int) -> Items:
-    """Of each item the n-grams that are no more frequent than its median one."""
-    often = counts[items.pair]
-    keep = np.zeros(len(often), bool)
-    need = np.ones(len(items.ids), np.int64)
-    edges = np.append(np.flatnonzero(np.diff(items.item, prepend=-1)), len(often))
-    for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
-        keep[a:b] = often[a:b] <= np.median(often[a:b])
-        need[items.item[a]] = min(min_hits, len(np.unique(items.pair[a:b][keep[a:b]])))
-    return Items(items.ids, items.words, items.seeds[keep], items.item[keep], items.place[keep], items.pair[keep], need)
+    low = np.searchsorted(held, wanted, "left")
+    many = np.searchsorted(held, wanted, "right") - low
+    total = np.cumsum(many)
+    a = 0
+    while a < len(at):
+        b = max(a + 1, int(np.searchsorted(total, total[a] - many[a] + HITS, "right")))
+        if b < len(at):  # whole documents, one at least
+            edge = int(np.searchsorted(owner[at], owner[at[b]], "left"))
+            b = edge if edge > a else int(np.searchsorted(owner[at], owner[at[b]], "right"))
+        some = many[a:b]
+        rep = np.repeat(np.arange(a, b), some)
+        row = order[np.arange(len(rep)) - np.repeat(np.cumsum(some) - some, some) + low[rep]]
+        yield words, first, owner[at[rep]], row, place[at[rep]]
+        a = b
 
 
 def align(item: np.ndarray, text: np.ndarray) -> tuple[int, int]:
@@ -158,47 +133,43 @@ def align(item: np.ndarray, text: np.ndarray) -> tuple[int, int]:
     return best, end
 
 
-def stretches(doc_at: np.ndarray, place: np.ndarray, seed: np.ndarray, length: int, need: int) -> list[tuple[int, int]]:
+def stretches(doc_at: np.ndarray, place: np.ndarray, seed: np.ndarray, length: int, need: int, slack: int) -> list[tuple[int, int]]:
     """Merged stretches of a document around the hits of one item that hold enough seeds."""
-    slack = length // 2 + 2
     begin = doc_at - place - slack
     order = np.argsort(begin, kind="stable")
     begin, seed = begin[order], seed[order]
     stop = begin + length + 2 * slack
-    group = np.cumsum(np.append(True, begin[1:] > np.maximum.accumulate(stop)[:-1]))
-    out = []
-    for g in range(1, int(group[-1]) + 1):
-        mine = group == g
-        if len(np.unique(seed[mine])) >= need:
-            out.append((max(0, int(begin[mine][0])), int(stop[mine].max())))
-    return out
+    edges = np.append(np.flatnonzero(np.append(True, begin[1:] > stop[:-1])), len(begin)).tolist()
+    return [(max(0, int(begin[a])), int(stop[b - 1])) for a, b in zip(edges[:-1], edges[1:], strict=True) if b - a >= need and len(np.unique(seed[a:b])) >= need]
 
 
 def leaks_in_chunk(texts: list[bytes], items: Items, finder: Finder, n: int, least: float) -> Iterator[tuple]:
     """(text number, item number, score, start word, end word) of each leak."""
-    words, first, doc, row, doc_at = hits_in_chunk(texts, items, finder, n)
-    if not len(doc):
-        return
-    item, item_at, seed = items.item[row], items.place[row], items.pair[row]
-    by = np.lexsort((doc_at, item, doc))
-    doc, item, doc_at, item_at, seed = doc[by], item[by], doc_at[by], item_at[by], seed[by]
-    edge = np.append(np.flatnonzero(np.append(True, (doc[1:] != doc[:-1]) | (item[1:] != item[:-1]))), len(doc))
-    for a, b in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True):
-        d, i = int(doc[a]), int(item[a])
-        need, own = int(items.need[i]), items.words[i]
-        if b - a < need:
-            continue
-        text = words[first[d] : first[d + 1]]
-        best = (0, 0, 0, 0)
-        for lo_, hi_ in stretches(doc_at[a:b], item_at[a:b], seed[a:b], len(own), need):
-            part = text[lo_:hi_]
-            score, end = align(own, part)
-            if score > best[0]:
-                best = (score, lo_, hi_, end)
-        if best[0] >= least * MATCH * len(own):
-            _, lo_, hi_, end = best
-            back = align(own[::-1], text[lo_ : lo_ + end][::-1])[1]
-            yield d, i, best[0] / (MATCH * len(own)), lo_ + end - back, lo_ + end
+    for words, first, doc, row, doc_at in hits_in_chunk(texts, items, finder, n):
+        item, item_at, seed = items.item[row], items.place[row], items.pair[row]
+        by = np.lexsort((seed, item, doc))
+        doc, item, doc_at, item_at, seed = doc[by], item[by], doc_at[by], item_at[by], seed[by]
+        head = np.append(True, (doc[1:] != doc[:-1]) | (item[1:] != item[:-1]))
+        edge = np.append(np.flatnonzero(head), len(doc))
+        distinct = np.add.reduceat((head | np.append(True, seed[1:] != seed[:-1])).astype(np.int64), edge[:-1])
+        fine = np.flatnonzero(distinct >= items.need[item[edge[:-1]]])
+        for a, b in zip(edge[fine].tolist(), edge[fine + 1].tolist(), strict=True):
+            d, i = int(doc[a]), int(item[a])
+            own = items.words[i]
+            text, enough = words[first[d] : first[d + 1]], least * MATCH * len(own)
+            best = (0, 0, 0, 0)
+            slack = int(max(0.0, MATCH * len(own) - enough) / -GAP) + 1
+            for lo_, hi_ in stretches(doc_at[a:b], item_at[a:b], seed[a:b], len(own), int(items.need[i]), slack):
+                part = text[lo_:hi_]
+                if MATCH * min(np.isin(own, part).sum(), np.isin(part, own).sum()) < enough:
+                    continue
+                score, end = align(own, part)
+                if score > best[0]:
+                    best = (score, lo_, hi_, end)
+            if best[0] and best[0] >= enough:
+                _, lo_, hi_, end = best
+                back = align(own[::-1], text[lo_ : lo_ + end][::-1])[1]
+                yield d, i, best[0] / (MATCH * len(own)), lo_ + end - back, lo_ + end
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, n: int = 3, min_hits: int = 2, least: float = 0.4, id_column: str = "doc_id") -> DataFrame:
@@ -212,10 +183,9 @@ def leaks(docs: DataFrame, benchmark: DataFrame, n: int = 3, min_hits: int = 2,
     out = spark.createDataFrame([], schema)
     for block in range(blocks):
         rows = benchmark.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).select(F.col("item_id").cast("long"), "text").collect()
-        items = item_block(rows, n)
+        items = item_block(rows, n, min_hits)
         if not len(items.seeds):
             continue
-        items = rare_seeds(items, seed_counts(taken, items, n), min_hits)
         sent = spark.sparkContext.broadcast(items)
 
         def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:  # noqa: ANN001
