@@ -70,6 +70,40 @@ def test_suffix_dedup(spark):
     assert got == {d: {i for i, (_, g) in enumerate(x) if g} for d, x in brute.items()} and got[101] == set(range(70))
 
 
+def passages_brute(rows, width):
+    """Maximal runs of windows whose first copies follow one another."""
+    first, words, out = {}, {d: t.split() for d, t in rows}, []
+    for d in sorted(words):
+        last = None
+        for i in range(len(words[d]) - width + 1):
+            f = first.setdefault(tuple(words[d][i : i + width]), (d, i))
+            if f == (d, i):
+                last = None
+            elif last == (f[0], f[1] - i):
+                out[-1][2] += 1
+            else:
+                last = (f[0], f[1] - i)
+                out.append([d, i, width, *f])
+    return sorted(map(tuple, out))
+
+
+@pytest.mark.parametrize("chunk_bytes", [300, 1500, 4 << 20])
+def test_passages_do_not_depend_on_chunks(spark, monkeypatch, chunk_bytes):
+    monkeypatch.setattr(suffix_dedup.windows, "CHUNK_BYTES", chunk_bytes)
+    rng = random.Random(17)
+    shared = [[f"s{k}w{i}" for i in range(30)] for k in range(5)]
+    rows = []
+    for d in range(60):
+        words = []
+        for _ in range(rng.randrange(1, 4)):
+            words += [f"d{d}w{rng.randrange(10**6)}" for _ in range(rng.randrange(4))] + shared[rng.randrange(5)][rng.randrange(3) :] + shared[rng.randrange(5)]
+        rows.append((d, " ".join(words)))
+    order = [*rows, *rows[10:20]]  # some rows twice, in another chunk
+    rng.shuffle(order)
+    got = suffix_dedup.repeated_passages(table(spark, order).coalesce(1), 20).collect()
+    assert sorted(map(tuple, got)) == passages_brute(rows, 20)
+
+
 def test_cut_passages(spark):
     passage = " ".join(f"p{i}" for i in range(60))
     docs = table(spark, [(1, "a  b\n" + passage), (2, "c  d " + passage + "\te  f"), (3, passage), (4, None), (5, "")])

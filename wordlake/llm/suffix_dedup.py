@@ -76,19 +76,42 @@ def passage_spans(docs: DataFrame, min_words: int = 50, k: int = 5) -> DataFrame
     return windows.reduce_strings(packed, parts, lambda s: suffix_matches(s, min_words))
 
 
+def first_places(spans: DataFrame) -> DataFrame:
+    """The spans with the first place in the corpus, also those that only name the first copy of their chunk.
+
+    Such a copy is a whole packed string, so it is dealt to the string it names and takes on that
+    string's own spans; windows between and around these stand first in the named string.
+    """
+    sent = F.col("home") >= 0
+    key = [F.when(sent, F.col("doc")).otherwise(F.col("first_doc")).alias("d"), F.when(sent, F.col("text_hash")).otherwise(F.col("first_text")).alias("t"), F.when(sent, F.col("home")).otherwise(F.col("first_start")).alias("w")]
+    own = F.when(sent, F.struct((F.col("start") - F.col("home")).alias("at"), "count", "first_doc", "first_text", "first_start"))
+    copy = F.when(~sent, F.struct("doc", "text_hash", "start", "count"))
+    strings = spans.select(*key, own.alias("own"), copy.alias("copy")).groupBy("d", "t", "w").agg(F.array_sort(F.collect_set("own")).alias("own"), F.collect_set("copy").alias("copies"))
+    stop = F.coalesce(F.array_max(F.transform("copies", lambda c: c["count"])), F.lit(0).cast("long"))
+    at = lambda i: F.coalesce(F.get("own", i)["at"], stop)
+    named = lambda a, b: F.struct(a.alias("at"), (b - a).alias("count"), F.col("d").alias("first_doc"), F.col("t").alias("first_text"), (F.col("w") + a).alias("first_start"))
+    gaps = F.transform("own", lambda x, i: named(x["at"] + x["count"], at(i + 1)))
+    whole = F.concat("own", F.array(named(F.lit(0).cast("long"), at(F.lit(0)))), gaps)
+    place = lambda doc, text, start, x, count: F.struct(doc.alias("doc"), text.alias("text_hash"), (start + x["at"]).alias("start"), count.alias("count"), x["first_doc"].alias("first_doc"), x["first_text"].alias("first_text"), x["first_start"].alias("first_start"))
+    mine = F.transform("own", lambda x: place(F.col("d"), F.col("t"), F.col("w"), x, x["count"]))
+    copied = F.flatten(F.transform("copies", lambda c: F.transform("whole", lambda x: place(c["doc"], c["text_hash"], c["start"], x, F.least(x["count"], c["count"] - x["at"])))))
+    return strings.withColumn("whole", whole).select(F.explode(F.concat(mine, copied)).alias("x")).select("x.*").filter(F.col("count") > 0)
+
+
 def repeated_passages(docs: DataFrame, min_words: int = 50, k: int = 5) -> DataFrame:
     """One row per repeated passage: doc_id, start_word, n_words, first_doc_id, first_start_word.
 
-    The first copy of a passage is named by first_doc_id and first_start_word.
+    The first copy of a passage is named by first_doc_id and first_start_word; a passage ends where
+    the first copies of its windows no longer follow one another.
     """
-    spans = passage_spans(docs, min_words, k)
-    by_doc = Window.partitionBy("doc", "text_hash").orderBy("start", "first_doc", "first_text", "first_start")
-    follows = (F.lag("first_doc").over(by_doc) == F.col("first_doc")) & (F.lag("first_text").over(by_doc) == F.col("first_text")) & (F.lag(F.col("start") + F.col("count")).over(by_doc) == F.col("start")) & (F.lag(F.col("first_start") + F.col("count")).over(by_doc) == F.col("first_start"))
-    runs = spans.withColumn("run", F.sum(F.when(follows, 0).otherwise(1)).over(by_doc.rowsBetween(Window.unboundedPreceding, 0)))
+    spans = first_places(passage_spans(docs, min_words, k)).withColumn("shift", F.col("first_start") - F.col("start"))
+    along = Window.partitionBy("doc", "text_hash", "first_doc", "first_text", "shift").orderBy("start", "count")
+    reached = F.max(F.col("start") + F.col("count")).over(along.rowsBetween(Window.unboundedPreceding, -1))
+    runs = spans.withColumn("new", F.when(F.col("start") <= reached, 0).otherwise(1)).withColumn("run", F.sum("new").over(along.rowsBetween(Window.unboundedPreceding, 0)))
     null_last = lambda c: F.when(F.col(c) != F.lit(int(windows.LAST_ID)), F.col(c))
     return (
-        runs.groupBy("doc", "text_hash", "run")
-        .agg(F.min("start").alias("start_word"), (F.sum("count") + F.lit(min_words - 1)).alias("n_words"), F.min("first_doc").alias("first_doc"), F.min("first_start").alias("first_start_word"))
+        runs.groupBy("doc", "text_hash", "first_doc", "first_text", "shift", "run")
+        .agg(F.min("start").alias("start_word"), (F.max(F.col("start") + F.col("count")) - F.min("start") + F.lit(min_words - 1)).alias("n_words"), F.min("first_start").alias("first_start_word"))
         .select(null_last("doc").alias("doc_id"), "start_word", "n_words", null_last("first_doc").alias("first_doc_id"), "first_start_word")
     )
 

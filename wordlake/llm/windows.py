@@ -35,9 +35,11 @@ PACKED = "part int, kind int, raw_bytes long, body binary, meta binary"
 META = np.dtype([("doc", "<i8"), ("text", "<i8"), ("start", "<i8"), ("anchor", "<i8"), ("group", "<i8")])
 #: How META travels: column by column, the rising document ids as differences.
 SENT = {"doc": "<i8", "text": "<u4", "start": "<u4", "anchor": "<u4", "group": "<u2"}
-#: Runs of repeated windows: where they are and where the first of them stands first.
-SPAN = np.dtype([("doc", "<i8"), ("text", "<i8"), ("start", "<i8"), ("count", "<i8"), ("first_doc", "<i8"), ("first_text", "<i8"), ("first_start", "<i8")])
-SPANS = "doc long, text_hash long, start long, count long, first_doc long, first_text long, first_start long"
+#: Runs of repeated windows: where they are and where the first of them stands first.  ``home`` is the
+#: first word of the packed string they lie in, or -1: a whole string that was not sent, since its chunk
+#: holds it earlier, at first_doc, first_text, first_start (itself perhaps a repeat).
+SPAN = np.dtype([("doc", "<i8"), ("text", "<i8"), ("start", "<i8"), ("count", "<i8"), ("first_doc", "<i8"), ("first_text", "<i8"), ("first_start", "<i8"), ("home", "<i8")])
+SPANS = "doc long, text_hash long, start long, count long, first_doc long, first_text long, first_start long, home long"
 
 
 @dataclass
@@ -127,7 +129,7 @@ def pack_chunk(batch: pa.RecordBatch, width: int, k: int, parts: int) -> Iterato
                 groups.append(g)
             elif (keys[d], w) != (keys[owners[i][0]], owners[i][1]):
                 d0, w0 = owners[i]
-                spans.append((*keys[d], w, n, *keys[d0], w0))
+                spans.append((*keys[d], w, n, *keys[d0], w0, -1))
     press = zstandard.ZstdCompressor(level=3)
     group = np.array(groups, U64)
     to = (group % U64(parts)).astype(np.int64)
@@ -226,6 +228,7 @@ def repeated_windows(s: Strings, width: int, chosen: np.ndarray | None = None) -
     out["count"] = np.diff(np.append(head, len(here)))
     out["doc"], out["text"], out["start"] = key(here[head])
     out["first_doc"], out["first_text"], out["first_start"] = key(lead[head])
+    out["home"] = s.meta["start"][s.of[here[head]]]
     return out
 
 
