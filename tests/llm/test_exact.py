@@ -137,6 +137,30 @@ def test_near_duplicates(spark, monkeypatch, pairs_per_row):
     assert got == {d: (n, top, d == top) for d, (n, top) in jaccard_brute(rows, 2, 80).items()}
 
 
+@pytest.mark.parametrize("pairs_per_row", [0, 32])
+def test_near_duplicates_of_a_table_that_stands_twice(spark, monkeypatch, pairs_per_row):
+    """Few, broad buckets: most links are those that stars miss and prefixes have to recover."""
+    monkeypatch.setattr(near_dup, "PAIRS_PER_ROW", pairs_per_row)
+    rng = random.Random(8)
+    base = [[f"b{k}w{i}" for i in range(60)] for k in range(4)]
+    rows = []
+    for d in range(80):
+        t = list(base[d % 4])
+        for i in rng.sample(range(60), rng.randrange(2, 7)):
+            t[i] = f"x{rng.randrange(3)}"
+        rows.append((d, " ".join(t)))
+    expected = {d: (n, top, d == top) for d, (n, top) in jaccard_brute(rows, 2, 80).items()}
+    got = near_dup.near_duplicates(table(spark, rows * 2), bands=14, rows=1).collect()
+    assert len(got) == 2 * len(rows) and {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in got} == expected
+
+
+def test_rare_prefixes_of_texts_that_share_a_node(spark):
+    rows = [(d, " ".join(f"w{d % 3}_{i}" for i in range(20 + d))) for d in range(6)]
+    whole = near_dup.rare_prefixes(spark.createDataFrame(rows, "node long, text string"), 2, 80)
+    shared = near_dup.rare_prefixes(spark.createDataFrame([(0, d, t) for d, t in rows], "node long, copy long, text string"), 2, 80)
+    assert sorted(map(tuple, whole.collect())) == sorted((r.copy, r.key, r.size, r.place) for r in shared.collect())
+
+
 def test_near_duplicates_without_ids(spark):
     text = "some words that are here twice and more"
     got = near_dup.near_duplicates(table(spark, [(None, text), (5, text), (9, text.upper()), (None, "alone and lonely here"), (9, text)])).collect()

@@ -183,29 +183,34 @@ def across(edges: DataFrame, found: DataFrame) -> DataFrame:
 
 
 def rare_prefixes(texts: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """node, key, size, place: the rarest shingles of each set, of which similar sets share at least one.
+    """node (and copy, if given), key, size, place: the rarest shingles of each set, of which similar sets share at least one.
 
     A set of n shingles meets any partner of the similarity in ceil(percent * n / 100) of them, so
     the n - that + 1 rarest of both (in one order for all) have one in common.  Rarity is counted
-    over the given texts; shingles of one text only have no partner and are left out.
+    over the given texts; shingles of one text only have no partner and are left out.  Each text is
+    a set of its own, so a node of several texts needs ``copy`` to tell them apart.
     """
+    by = [c for c in ("node", "copy") if c in texts.columns]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in pieces(iter([batch]), "text", CHUNK_BYTES):
                 hashes, counts, _ = shingle_sets(utf8(piece.column("text")), shingle)
-                nodes = np.repeat(piece.column("node").to_numpy(), counts)
+                owners = [pa.array(np.repeat(piece.column(c).to_numpy(), counts)) for c in by]
                 sizes = np.repeat(counts.astype(np.int64), counts)
-                yield pa.record_batch([pa.array(nodes), pa.array(hashes.view(np.int64)), pa.array(sizes)], names=["node", "key", "size"])
+                yield pa.record_batch([*owners, pa.array(hashes.view(np.int64)), pa.array(sizes)], names=[*by, "key", "size"])
 
-    items = texts.select("node", "text").mapInArrow(run, "node long, key long, size long")
+    items = texts.select(*by, "text").mapInArrow(run, ", ".join(f"{c} long" for c in [*by, "key", "size"]))
     often = items.groupBy("key").agg(F.count("*").alias("often"))
-    place = F.row_number().over(Window.partitionBy("node").orderBy("often", "key"))
+    place = F.row_number().over(Window.partitionBy(*by).orderBy("often", "key"))
     needed = F.ceil(F.col("size") * percent / 100)
-    return items.join(often, "key").withColumn("place", place).filter((F.col("place") <= F.col("size") - needed + 1) & (F.col("often") > 1)).select("node", "key", "size", "place")
+    return items.join(often, "key").withColumn("place", place).filter((F.col("place") <= F.col("size") - needed + 1) & (F.col("often") > 1)).select(*by, "key", "size", "place")
 
 
 def parity_bits(texts: DataFrame, shingle: int) -> DataFrame:
-    """node, bits: 1,024 parities of each set.  Two sets differ in at least as many shingles as bits."""
+    """node (and copy, if given), bits: 1,024 parities of each set.  Two sets differ in at least as many shingles as bits."""
+    by = [c for c in ("node", "copy") if c in texts.columns]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in pieces(iter([batch]), "text", CHUNK_BYTES):
@@ -214,9 +219,9 @@ def parity_bits(texts: DataFrame, shingle: int) -> DataFrame:
                 odd = np.bincount(of * 1024 + (hashes % U64(1024)).astype(np.int64), minlength=len(counts) * 1024) & 1
                 bits = np.packbits(odd.astype(np.uint8)).view(np.int64)
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(len(counts) + 1, dtype=np.int32) * 16), pa.array(bits))
-                yield pa.record_batch([piece.column("node"), lists], names=["node", "bits"])
+                yield pa.record_batch([*(piece.column(c) for c in by), lists], names=[*by, "bits"])
 
-    return texts.select("node", "text").mapInArrow(run, "node long, bits array<long>")
+    return texts.select(*by, "text").mapInArrow(run, "".join(f"{c} long, " for c in by) + "bits array<long>")
 
 
 def may_reach(percent: int) -> Column:
@@ -252,11 +257,16 @@ def near_duplicates(docs: DataFrame, shingle: int = 2, percent: int = 80, bands:
     weight = members.groupBy("node").agg(F.sum("size").alias("weight"))
     members = members.join(weight, "node").select("key", "node", "weight")
     with_text = docs.select(F.col("doc_id").cast("long"), "text")
-    if docs.filter(F.col("doc_id").isNull()).limit(1).count():
+    repeated = bool(sketch.groupBy("node").count().filter("count > 1").limit(1).count())
+    if repeated or docs.filter(F.col("doc_id").isNull()).limit(1).count():
         keyed = sketches_text(with_text)
     else:
         keyed = with_text.select(F.col("doc_id").alias("node"), "text")
-    texts = cut_lineage(keyed.join(weight.select("node"), "node", "left_semi"))
+    texts = keyed.join(weight.select("node"), "node", "left_semi")
+    if repeated:  # one row per node and word sequence: the rarity and the prefixes count sets, not rows
+        texts = texts.dropDuplicates(["node", "copy"])
+    by = ["node", "copy"] if repeated else ["node"]
+    texts = cut_lineage(texts.select(*by, "text"))
     stars = cut_lineage(hub_edges(members).distinct())
     # first each leaf's heaviest hub, then the edges that still lead from one component to another
     checked = cut_lineage(stars.groupBy("leaf").agg(F.max_by("hub", F.struct("hub_weight", "hub")).alias("hub")))
@@ -267,14 +277,14 @@ def near_duplicates(docs: DataFrame, shingle: int = 2, percent: int = 80, bands:
     found = components(links)
     unsure = mixed_buckets(members, found).select("node").distinct()
     unsure_texts = texts.join(unsure, "node", "left_semi")
-    left = cut_lineage(rare_prefixes(unsure_texts, shingle, percent).join(parity_bits(unsure_texts, shingle), "node").join(weight, "node"))
+    left = cut_lineage(rare_prefixes(unsure_texts, shingle, percent).join(parity_bits(unsure_texts, shingle), by).join(weight, "node"))
     while True:
         now = cut_lineage(mixed_buckets(left, found))
         rows_left, pairs = now.agg(F.count("*"), F.coalesce(F.sum(F.col("pairs") / F.col("n")), F.lit(0))).first()
         if not rows_left:
             break
         most = PAIRS_PER_ROW * max(rows_left, 200_000)
-        order = Window.partitionBy("key").orderBy("own", "component", F.desc("weight"), "node")
+        order = Window.partitionBy("key").orderBy("own", "component", F.desc("weight"), *by)
         now = now.withColumn("turn", F.row_number().over(order))
         hubs = now.select("key", F.col("node").alias("hub"), F.col("component").alias("of"), F.col("size").alias("hub_size"), F.col("place").alias("hub_place"), F.col("bits").alias("hub_bits"), F.col("turn").alias("hub_turn"))
         last_round = pairs <= most
@@ -290,7 +300,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 2, percent: int = 80, bands:
         if last_round:
             break
         checked = checked.unionByName(fresh)
-        left = now.filter(F.col("turn") > max(1, most // rows_left)).select("key", "node", "size", "place", "bits", "weight")
+        left = now.filter(F.col("turn") > max(1, most // rows_left)).select(*by, "key", "size", "place", "bits", "weight")
     reps = sketch.filter("n_shingles > 0").select("copy", "node").groupBy("copy").agg(F.min("node").alias("rep"))
     labels = reps.join(found.withColumnRenamed("node", "rep"), "rep", "left").select("copy", F.coalesce("component", "rep").alias("component"))
     out = sketch.select("doc_id", "node", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("copy")).alias("copy")).join(labels, "copy", "left")
@@ -300,7 +310,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 2, percent: int = 80, bands:
 
 
 def sketches_text(with_text: DataFrame) -> DataFrame:
-    """node and text of all rows, where some lack a doc_id."""
+    """node, copy (a number for the word sequence) and text of all rows, where some lack a doc_id or share one."""
     arrow = pa.schema([("doc_id", pa.int64()), ("copy", pa.binary()), ("text", pa.string())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -308,7 +318,7 @@ def sketches_text(with_text: DataFrame) -> DataFrame:
             digests = [hashlib.blake2b(b" ".join(t.lower().split()), digest_size=16).digest() for t in utf8(batch.column("text"))]
             yield pa.record_batch([batch.column("doc_id"), pa.array(digests, pa.binary()), batch.column("text").cast(pa.string())], schema=arrow)
 
-    return with_text.mapInArrow(run, "doc_id long, copy binary, text string").select(node_of(F.col("doc_id"), F.col("copy")).alias("node"), "text")
+    return with_text.mapInArrow(run, "doc_id long, copy binary, text string").select(node_of(F.col("doc_id"), F.col("copy")).alias("node"), F.xxhash64("copy").alias("copy"), "text")
 
 
 def drop_near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, bands: int = 56, rows: int = 7) -> DataFrame:
