@@ -129,18 +129,19 @@ def jaccard_brute(rows, n, percent):
     return {d: (len(sets[d]), top[d]) for d in sets}
 
 
-@pytest.mark.parametrize("pairs_per_row", [0, 32])
-def test_near_duplicates(spark, monkeypatch, pairs_per_row):
-    monkeypatch.setattr(near_dup, "PAIRS_PER_ROW", pairs_per_row)  # 0: hub by hub
+@pytest.mark.parametrize("hubs", [6, 32])
+def test_near_duplicates(spark, monkeypatch, hubs):
+    monkeypatch.setattr(near_dup, "HUBS", hubs)
     rows = corpus(3)
     got = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in near_dup.near_duplicates(table(spark, rows)).collect()}
     assert got == {d: (n, top, d == top) for d, (n, top) in jaccard_brute(rows, 2, 80).items()}
 
 
-@pytest.mark.parametrize("pairs_per_row", [0, 32])
-def test_near_duplicates_of_a_table_that_stands_twice(spark, monkeypatch, pairs_per_row):
+@pytest.mark.parametrize(("hubs", "share"), [(8, 4), (32, 512)])
+def test_near_duplicates_of_a_table_that_stands_twice(spark, monkeypatch, hubs, share):
     """Few, broad buckets: most links are those that stars miss and prefixes have to recover."""
-    monkeypatch.setattr(near_dup, "PAIRS_PER_ROW", pairs_per_row)
+    monkeypatch.setattr(near_dup, "HUBS", hubs)
+    monkeypatch.setattr(near_dup, "SHARE", share)
     rng = random.Random(8)
     base = [[f"b{k}w{i}" for i in range(60)] for k in range(4)]
     rows = []
@@ -154,11 +155,31 @@ def test_near_duplicates_of_a_table_that_stands_twice(spark, monkeypatch, pairs_
     assert len(got) == 2 * len(rows) and {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in got} == expected
 
 
-def test_rare_prefixes_of_texts_that_share_a_node(spark):
-    rows = [(d, " ".join(f"w{d % 3}_{i}" for i in range(20 + d))) for d in range(6)]
-    whole = near_dup.rare_prefixes(spark.createDataFrame(rows, "node long, text string"), 2, 80)
-    shared = near_dup.rare_prefixes(spark.createDataFrame([(0, d, t) for d, t in rows], "node long, copy long, text string"), 2, 80)
-    assert sorted(map(tuple, whole.collect())) == sorted((r.copy, r.key, r.size, r.place) for r in shared.collect())
+def test_components(spark, monkeypatch):
+    """Long chains, stars around the greatest node, and blocks of a few edges only."""
+    monkeypatch.setattr(near_dup, "EDGES", 5)
+    rng = random.Random(3)
+    nodes = list(range(400))
+    rng.shuffle(nodes)
+    edges = [(a, b) for a, b in zip(nodes[:100], nodes[1:101])] + [(999, x) for x in nodes[150:220]] + [(x, nodes[300]) for x in nodes[301:350]] + [(5000, 5000)]
+    top = {x: x for e in edges for x in e}
+    for _ in edges:
+        for a, b in edges:
+            top[a] = top[b] = min(top[a], top[b])
+    got = near_dup.components(spark.createDataFrame(edges * 2, "leaf long, hub long").repartition(7)).collect()
+    assert sorted(map(tuple, got)) == sorted((x, t) for x, t in top.items() if x != t)
+
+
+def test_near_duplicates_with_shared_ids(spark):
+    a, b = "these are the words of one text " * 3, "another text that has nothing in common " * 3
+    rows = [(3, a), (5, a.upper()), (5, b), (5, b), (None, b + " x"), (7, "  "), (7, None), (None, "alone here"), (None, "alone  HERE")]
+    got = near_dup.near_duplicates(table(spark, rows)).collect()
+    assert sorted((str(r.doc_id), r.n_shingles > 0, str(r.component_id), r.kept) for r in got) == sorted(
+        [("3", True, "3", True), ("5", True, "3", False), ("5", True, "5", True), ("5", True, "5", True), ("None", True, "5", False), ("7", False, "7", True), ("7", False, "7", True), ("None", True, "None", True), ("None", True, "None", True)]
+    )
+    kept = near_dup.drop_near_duplicates(table(spark, rows), shingle=2).collect()
+    assert sorted((str(r.doc_id), (r.text or "").split()[:2]) for r in kept if (r.text or "").lower().split()[:1] != ["alone"]) == [("3", ["these", "are"]), ("5", ["another", "text"]), ("7", []), ("7", [])]
+    assert len(kept) == 5 and list(kept[0].asDict()) == table(spark, []).columns
 
 
 def test_near_duplicates_without_ids(spark):

@@ -5,20 +5,21 @@ run; a text without words has an empty set and links with nothing).  Each set is
 i keeps the least hash in its share of the range, and an empty bin copies the first full bin in an
 order of its own (optimal densification).  ``rows`` bins make a band, equal bands share a bucket.
 
-Exact copies are folded first.  In each bucket only the edges from one hub to the other members
-are candidates, so candidates never outnumber bands times documents; the hub is the member whose
-buckets hold most documents, and each document tries its heaviest hub first.  Candidates are
-confirmed on the full sets.  A star may miss a link between two leaves, so
-the members of buckets that still hold several components are dealt anew, by their rarest shingles:
-similar sets share one of these for certain, while sets that differ in many places do not.  There
-the pairs between components are confirmed too, unless bounds on sizes, on what can follow the
-first common shingle or on differing parities rule them out: all at once where they are few for
-the data, else hub by hub, so no pair is left out.
-
-Defined results: null and empty texts are components of their own; rows that share a doc_id are
-one document; rows with a null doc_id take part, their component is the least doc_id they reach
-(null if there is none), and of those that reach none all are kept.  Other columns are ignored by
-``near_duplicates`` and carried by ``drop_near_duplicates``; an empty table gives no rows.
+Exact copies are folded first.  In each bucket only the edges from one hub (the least node) to the
+other members are candidates, so candidates never outnumber bands times documents; each document
+tries the hub it shares most buckets with.  Candidates are confirmed on the full sets.  A star may
+miss a link between two leaves, so the members of buckets that still hold several components are
+dealt anew, by their rarest shingles: similar sets share one of these for certain, while sets that
+differ in many places do not.  There stars are drawn again, ``HUBS`` hubs a round (members of the
+smallest components first), until no bucket holds two components whose pairs were not looked at.
+
+Defined results: null, empty and blank texts are components of their own; repeated rows get equal
+results; rows that share a doc_id with other words are judged apart, each by its own text; rows
+with a null doc_id take part, their component_id is the least doc_id they reach (null if there is
+none).  Ties between hubs go to the lesser node.  Texts of any length are hashed whole.  Other
+columns are ignored by ``near_duplicates`` and carried by ``drop_near_duplicates``; an empty table
+gives no rows.  doc_ids lie below 2**62: numbers above that stand for texts without an id of
+their own.
 """
 
 from __future__ import annotations
@@ -30,15 +31,19 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wordlake.llm.common import U64, cut_lineage, first_words, gram_hashes, joined_words, mix, pieces, utf8, word_bounds, word_hashes
 
 CHUNK_BYTES = 3 << 20
-LAST_ID = (1 << 63) - 1
-#: Nodes of rows without a doc_id lie above this.
-NULL_FROM = LAST_ID - (1 << 40)
-#: Pairs between components of a bucket are taken at once up to so many times the bucket rows.
-PAIRS_PER_ROW = 32
+#: Nodes that are made of a text's digest, not of a doc_id, begin here.
+HASHED = 1 << 62
+#: Leaves of one hub that are confirmed in one place.
+SHARE = 512
+#: Edges that a task joins at once.
+EDGES = 1 << 20
+#: Hubs of a bucket of rare shingles in one round.
+HUBS = 32
 
 
 def probe_order(bins: int, seed: int = 11) -> np.ndarray:
@@ -103,8 +108,12 @@ def band_keys(signs: np.ndarray, bands: int, rows: int) -> np.ndarray:
 
 
 def sketches(docs: DataFrame, shingle: int, bands: int, rows: int) -> DataFrame:
-    """Per row of docs: node, doc_id, copy (digest of the word sequence), n_shingles, keys."""
-    arrow = pa.schema([("doc_id", pa.int64()), ("copy", pa.binary()), ("n_shingles", pa.int64()), ("keys", pa.list_(pa.int64()))])
+    """Per row of docs: doc_id, copy (digest of the word sequence), n_shingles, keys, bits.
+
+    ``bits`` holds 512 parities of the set: two sets differ in at least as many shingles as bits.
+    """
+    names = ["doc_id", "copy", "n_shingles", "keys", "bits"]
+    arrow = pa.schema(list(zip(names, [pa.int64(), pa.binary(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64())], strict=True)))
     bins = bands * rows
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -114,218 +123,256 @@ def sketches(docs: DataFrame, shingle: int, bands: int, rows: int) -> DataFrame:
                 some = piece.slice(a, 2000)
                 hashes, counts, digests = shingle_sets(utf8(some.column("text")), shingle)
                 keys = band_keys(signatures(hashes, counts, bins, probes), bands, rows)
-                sizes = np.where(counts > 0, bands, 0)
-                lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)), pa.array(keys[counts > 0].ravel().view(np.int64)))
-                yield pa.record_batch([some.column("doc_id").cast(pa.int64()), pa.array(digests, pa.binary()), pa.array(counts.astype(np.int64)), lists], schema=arrow)
+                full = counts > 0
+                odd = np.bincount(np.repeat(np.arange(len(counts)), counts) * 512 + (hashes % U64(512)).astype(np.int64), minlength=len(counts) * 512) & 1
+                bits = np.packbits(odd.astype(np.uint8)).view(np.int64).reshape(-1, 8)
+                lists = [pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(full * x.shape[1])).astype(np.int32)), pa.array(x[full].ravel().view(np.int64))) for x in (keys, bits)]
+                yield pa.record_batch([some.column("doc_id").cast(pa.int64()), pa.array(digests, pa.binary()), pa.array(counts.astype(np.int64)), *lists], schema=arrow)
+
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, copy binary, n_shingles long, keys array<long>, bits array<long>")
+
 
-    found = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, copy binary, n_shingles long, keys array<long>")
-    return found.withColumn("node", node_of(F.col("doc_id"), F.col("copy")))
+def with_copy(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``__copy``, the digest of the lower-cased word sequence."""
+    schema = T.StructType([*docs.schema.fields, T.StructField("__copy", T.BinaryType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            digests = [hashlib.blake2b(b" ".join(t.lower().split()), digest_size=16).digest() for t in utf8(batch.column("text"))]
+            yield pa.record_batch([*batch.columns, pa.array(digests, pa.binary())], names=[*batch.schema.names, "__copy"])
 
+    return docs.mapInArrow(run, schema)
 
-def node_of(doc_id: Column, copy: Column) -> Column:
-    """The doc_id; without one, a number above all doc_ids that equal texts share."""
-    return F.coalesce(doc_id, F.lit(LAST_ID) - F.pmod(F.xxhash64(copy), F.lit(1 << 40)))
+
+def text_classes(sketch: DataFrame) -> DataFrame:
+    """One row per distinct word sequence: copy, id (least doc_id), node, n_shingles, keys, bits.
+
+    The node is the id where no other sequence has it, else a number above all doc_ids that is
+    made of the digest: so every sequence has a node of its own.
+    """
+    classes = cut_lineage(sketch.filter("n_shingles > 0").groupBy("copy").agg(F.min("doc_id").alias("id"), *[F.first(c).alias(c) for c in ("n_shingles", "keys", "bits")]))
+    clash = classes.filter(F.col("id").isNotNull()).groupBy("id").count().filter("count > 1").select("id", F.lit(True).alias("clash"))
+    own = F.when(F.col("clash").isNull(), F.col("id"))
+    return classes.join(clash, "id", "left").withColumn("node", F.coalesce(own, F.lit(HASHED) + F.pmod(F.xxhash64("copy"), F.lit(HASHED)))).drop("clash")
 
 
 def confirmed(edges: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """The edges (leaf, hub) whose full sets reach the similarity."""
-    leaf, hub = texts.select(F.col("node").alias("leaf"), F.col("text").alias("leaf_text")), texts.select(F.col("node").alias("hub"), F.col("text").alias("hub_text"))
-    both = edges.join(leaf, "leaf").join(hub, "hub").select("leaf", "hub", "leaf_text", "hub_text")
+    """The edges (leaf, hub) whose full sets reach the similarity.
+
+    A hub's leaves are dealt out in shares of about ``SHARE`` rows; its text goes once to each
+    share and the leaves' texts stream past it, so neither a hub of very many leaves nor its text
+    weighs on one task.
+    """
+    hubs = edges.groupBy("hub").agg(F.ceil(F.count("*") / SHARE).alias("shares"))
+    leaves = edges.join(hubs, "hub").withColumnRenamed("leaf", "node").join(texts, "node").select("hub", F.pmod(F.xxhash64("node"), F.col("shares")).alias("share"), F.col("node").alias("leaf"), "text")
+    centres = hubs.withColumnRenamed("hub", "node").join(texts, "node").select(F.col("node").alias("hub"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("shares") - 1)).alias("share"), F.lit(None).cast("long").alias("leaf"), "text")
+    both = centres.unionByName(leaves).repartition("hub", "share").sortWithinPartitions("hub", "share", F.asc_nulls_first("leaf"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: tuple[bytes, np.ndarray] = (b"", np.empty(0, U64))
-        for batch in batches:
-            out = []
-            for i, (a, b) in enumerate(zip(utf8(batch.column("leaf_text")), utf8(batch.column("hub_text")), strict=True)):
-                if b != known[0]:
-                    known = b, shingle_sets([b], shingle)[0]
-                own = shingle_sets([a], shingle)[0]
-                common = len(np.intersect1d(own, known[1], assume_unique=True))
-                if 100 * common >= percent * (len(own) + len(known[1]) - common):
+        own = np.empty(0, U64)
+        for piece in pieces(batches, "text", CHUNK_BYTES):
+            sets, counts, _ = shingle_sets(utf8(piece.column("text")), shingle)
+            edge, out = first_words(counts).tolist(), []
+            for i, leaf in enumerate(piece.column("leaf").to_pylist()):
+                mine = sets[edge[i] : edge[i + 1]]
+                if leaf is None:
+                    own = mine.copy()
+                    continue
+                at = np.minimum(np.searchsorted(own, mine), len(own) - 1)
+                common = int((own[at] == mine).sum())
+                if 100 * common >= percent * (len(mine) + len(own) - common):
                     out.append(i)
-            yield batch.select(["leaf", "hub"]).take(pa.array(out, pa.int64()))
+            yield piece.select(["leaf", "hub"]).take(pa.array(out, pa.int64()))
 
     return both.mapInArrow(run, "leaf long, hub long")
 
 
+def joined_ends(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each node of the edges that is not its component's least, and that least node."""
+    nodes, at = np.unique(np.concatenate([u, v]), return_inverse=True)
+    a, b = at[: len(u)], at[len(u) :]
+    top = np.arange(len(nodes))
+    while True:
+        low = np.minimum(top[a], top[b])
+        new = top.copy()
+        for end in (a, b, top[a], top[b]):
+            np.minimum.at(new, end, low)
+        new = new[new]
+        if (new == top).all():
+            break
+        top = new
+    rest = np.flatnonzero(top != np.arange(len(nodes)))
+    return nodes[rest], nodes[top[rest]]
+
+
+def contracted(edges: DataFrame, by: str | None = None) -> DataFrame:
+    """Edges (u, v) replaced, some at a time, by stars around the least node of what they join.
+
+    With ``by``, edges of the same value lie in the same place and are never parted.
+    """
+    def stars(u: list[np.ndarray], v: list[np.ndarray]) -> pa.RecordBatch:
+        return pa.record_batch([pa.array(x) for x in joined_ends(np.concatenate(u), np.concatenate(v))], names=["u", "v"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        u: list[np.ndarray] = []
+        v: list[np.ndarray] = []
+        held = 0
+        for batch in batches:
+            new_u, new_v = (batch.column(c).to_numpy() for c in ("u", "v"))
+            if held > EDGES:  # the rows are sorted by u: what belongs to the last u stays together
+                cut = int(np.searchsorted(new_u, u[-1][-1], "right")) if by else 0
+                u.append(new_u[:cut])
+                v.append(new_v[:cut])
+                new_u, new_v = new_u[cut:], new_v[cut:]
+                if len(new_u):
+                    yield stars(u, v)
+                    u, v, held = [], [], 0
+            if len(new_u):
+                u.append(new_u)
+                v.append(new_v)
+                held += len(new_u)
+        if u:
+            yield stars(u, v)
+
+    dealt = edges.repartition(by).sortWithinPartitions(by) if by else edges
+    return dealt.mapInArrow(run, "u long, v long")
+
+
 def components(links: DataFrame) -> DataFrame:
     """node, component (the least node reachable) of all nodes that are not their component's least.
 
-    Large-star and small-star steps in turn until nothing changes: rounds grow with the logarithm
-    of the longest chain.
+    Each round joins what stands together in a task, brings all labels of a node together (a node
+    has one per task at most, so no node is hot), and lets every node jump to its label's own
+    label.  Rounds grow with the logarithm of the longest chain.
     """
-    def mark(df: DataFrame) -> tuple:
-        return tuple(df.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
-
-    e = cut_lineage(links.select(F.greatest("leaf", "hub").alias("u"), F.least("leaf", "hub").alias("v")).filter("u <> v").distinct())
-    now, last = mark(e), None
-    while now != last:
-        sym = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = sym.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = sym.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v"))).distinct()
-        e = cut_lineage(small)
-        now, last = mark(e), now
-    return e.select(F.col("u").alias("node"), F.col("v").alias("component"))
+    e = contracted(links.select(F.greatest("leaf", "hub").alias("u"), F.least("leaf", "hub").alias("v")).filter("u <> v"))
+    while True:
+        e = cut_lineage(contracted(e, "u"))
+        up = e.select(F.col("u").alias("v"), F.col("v").alias("w"))
+        jumped = e.join(up, "v").select("u", F.col("w").alias("v"))
+        if jumped.isEmpty():
+            return e.select(F.col("u").alias("node"), F.col("v").alias("component"))
+        roots = e.join(up.select("v"), "v", "left_anti").select("u", "v")
+        e = contracted(jumped.unionByName(roots))
 
 
 def hub_edges(members: DataFrame) -> DataFrame:
-    """Leaf, hub and the hub's weight: one edge from each bucket's hub to its other members."""
-    hubs = members.groupBy("key").agg(F.max(F.struct("weight", (-F.col("node")).alias("less"))).alias("top")).select("key", (-F.col("top.less")).alias("hub"), F.col("top.weight").alias("hub_weight"))
-    return members.join(hubs, "key").filter("node <> hub").select(F.col("node").alias("leaf"), "hub", "hub_weight")
-
-
-def across(edges: DataFrame, found: DataFrame) -> DataFrame:
-    """The edges whose ends lie in different components."""
-    ends = edges.join(found.select(F.col("node").alias("leaf"), F.col("component").alias("c1")), "leaf", "left").join(found.select(F.col("node").alias("hub"), F.col("component").alias("c2")), "hub", "left")
-    return ends.filter("coalesce(c1, leaf) <> coalesce(c2, hub)").select("leaf", "hub")
+    """Leaf, hub and the buckets they share: one edge from each bucket's hub to its other members."""
+    return members.filter("node <> hub").groupBy(F.col("node").alias("leaf"), "hub").agg(F.count("*").alias("shared"))
 
 
 def rare_prefixes(texts: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """node (and copy, if given), key, size, place: the rarest shingles of each set, of which similar sets share at least one.
+    """node, key, size, place: the rarest shingles of each set, of which similar sets share at least one.
 
     A set of n shingles meets any partner of the similarity in ceil(percent * n / 100) of them, so
     the n - that + 1 rarest of both (in one order for all) have one in common.  Rarity is counted
-    over the given texts; shingles of one text only have no partner and are left out.  Each text is
-    a set of its own, so a node of several texts needs ``copy`` to tell them apart.
+    over the given texts; shingles of one text only have no partner and are left out.
     """
-    by = [c for c in ("node", "copy") if c in texts.columns]
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for piece in pieces(iter([batch]), "text", CHUNK_BYTES):
-                hashes, counts, _ = shingle_sets(utf8(piece.column("text")), shingle)
-                owners = [pa.array(np.repeat(piece.column(c).to_numpy(), counts)) for c in by]
-                sizes = np.repeat(counts.astype(np.int64), counts)
-                yield pa.record_batch([*owners, pa.array(hashes.view(np.int64)), pa.array(sizes)], names=[*by, "key", "size"])
+        for piece in pieces(batches, "text", CHUNK_BYTES):
+            hashes, counts, _ = shingle_sets(utf8(piece.column("text")), shingle)
+            owners = np.repeat(piece.column("node").to_numpy(), counts)
+            yield pa.record_batch([pa.array(owners), pa.array(hashes.view(np.int64)), pa.array(np.repeat(counts.astype(np.int64), counts))], names=["node", "key", "size"])
 
-    items = texts.select(*by, "text").mapInArrow(run, ", ".join(f"{c} long" for c in [*by, "key", "size"]))
+    items = texts.select("node", "text").mapInArrow(run, "node long, key long, size long")
     often = items.groupBy("key").agg(F.count("*").alias("often"))
-    place = F.row_number().over(Window.partitionBy(*by).orderBy("often", "key"))
+    place = F.row_number().over(Window.partitionBy("node").orderBy("often", "key"))
     needed = F.ceil(F.col("size") * percent / 100)
-    return items.join(often, "key").withColumn("place", place).filter((F.col("place") <= F.col("size") - needed + 1) & (F.col("often") > 1)).select(*by, "key", "size", "place")
-
-
-def parity_bits(texts: DataFrame, shingle: int) -> DataFrame:
-    """node (and copy, if given), bits: 1,024 parities of each set.  Two sets differ in at least as many shingles as bits."""
-    by = [c for c in ("node", "copy") if c in texts.columns]
+    return items.join(often, "key").withColumn("place", place).filter((F.col("place") <= F.col("size") - needed + 1) & (F.col("often") > 1)).select("node", "key", "size", "place")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for piece in pieces(iter([batch]), "text", CHUNK_BYTES):
-                hashes, counts, _ = shingle_sets(utf8(piece.column("text")), shingle)
-                of = np.repeat(np.arange(len(counts)), counts)
-                odd = np.bincount(of * 1024 + (hashes % U64(1024)).astype(np.int64), minlength=len(counts) * 1024) & 1
-                bits = np.packbits(odd.astype(np.uint8)).view(np.int64)
-                lists = pa.ListArray.from_arrays(pa.array(np.arange(len(counts) + 1, dtype=np.int32) * 16), pa.array(bits))
-                yield pa.record_batch([*(piece.column(c) for c in by), lists], names=[*by, "bits"])
 
-    return texts.select(*by, "text").mapInArrow(run, "".join(f"{c} long, " for c in by) + "bits array<long>")
+def mixed(rows: DataFrame, found: DataFrame) -> DataFrame:
+    """The rows (key, node, ...) of the keys that still hold more than one component, with
+    ``component`` and ``own``, the rows of that component under the key."""
+    now = rows.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    each = now.groupBy("key", "component").agg(F.count("*").alias("own"))
+    keys = each.groupBy("key").agg(F.min("component").alias("a"), F.max("component").alias("b")).filter("a <> b").select("key")
+    return now.join(cut_lineage(each.join(keys, "key", "left_semi")), ["key", "component"])
 
 
-def may_reach(percent: int) -> Column:
-    """False only for pairs that cannot reach the similarity: by their sizes, by what can follow
-    their first common shingle, or by the parities that differ."""
+def possible(percent: int) -> Column:
+    """False only for pairs that cannot reach the similarity: by their sizes, or by what can follow
+    their first common shingle."""
     n = F.col("size") + F.col("hub_size")
     sizes = F.lit(100) * F.least("size", "hub_size") >= F.lit(percent) * F.greatest("size", "hub_size")
     follow = F.lit(1) + F.least(F.col("size") - F.col("place"), F.col("hub_size") - F.col("hub_place"))
-    differ = sum((F.bit_count(F.col("bits")[i].bitwiseXOR(F.col("hub_bits")[i])) for i in range(16)), F.lit(0))
-    return sizes & (follow * (100 + percent) >= n * percent) & (differ * (100 + percent) <= n * (100 - percent))
-
-
-def mixed_buckets(members: DataFrame, found: DataFrame) -> DataFrame:
-    """Members of the buckets that hold more than one component, with the bucket's size ``n``, the
-    members of their own component in it, and ``pairs``: the bucket's pairs across components."""
-    now = members.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    each = now.groupBy("key", "component").agg(F.count("*").alias("own"))
-    square = F.sum(F.col("own") * F.col("own"))
-    mixed = each.groupBy("key").agg(F.sum("own").alias("n"), ((F.sum("own") * F.sum("own") - square) / 2).alias("pairs"), F.count("*").alias("parts")).filter("parts > 1")
-    return now.join(each, ["key", "component"]).join(mixed.drop("parts"), "key")
-
-
-def near_duplicates(docs: DataFrame, shingle: int = 2, percent: int = 80, bands: int = 56, rows: int = 7) -> DataFrame:
-    """Per row of docs: doc_id, n_shingles, component_id, kept.
-
-    With 56 bands of 7 bins two sets of similarity 0.8 share no bucket once in 500,000 pairs.
-    """
-    sketch = cut_lineage(sketches(docs, shingle, bands, rows))
-    classes = sketch.filter("n_shingles > 0").groupBy("copy").agg(F.min("node").alias("rep"), F.min_by("keys", "node").alias("keys"))
-    buckets = classes.select(F.col("rep").alias("node"), F.explode("keys").alias("key"))
-    shared = buckets.groupBy("key").agg(F.count("*").alias("size")).filter("size > 1")
-    members = cut_lineage(buckets.join(shared, "key"))
-    weight = members.groupBy("node").agg(F.sum("size").alias("weight"))
-    members = members.join(weight, "node").select("key", "node", "weight")
-    with_text = docs.select(F.col("doc_id").cast("long"), "text")
-    repeated = bool(sketch.groupBy("node").count().filter("count > 1").limit(1).count())
-    if repeated or docs.filter(F.col("doc_id").isNull()).limit(1).count():
-        keyed = sketches_text(with_text)
-    else:
-        keyed = with_text.select(F.col("doc_id").alias("node"), "text")
-    texts = keyed.join(weight.select("node"), "node", "left_semi")
-    if repeated:  # one row per node and word sequence: the rarity and the prefixes count sets, not rows
-        texts = texts.dropDuplicates(["node", "copy"])
-    by = ["node", "copy"] if repeated else ["node"]
-    texts = cut_lineage(texts.select(*by, "text"))
-    stars = cut_lineage(hub_edges(members).distinct())
-    # first each leaf's heaviest hub, then the edges that still lead from one component to another
-    checked = cut_lineage(stars.groupBy("leaf").agg(F.max_by("hub", F.struct("hub_weight", "hub")).alias("hub")))
+    return sizes & (follow * (100 + percent) >= n * percent)
+
+
+def near_enough(edges: DataFrame, marks: DataFrame, percent: int) -> DataFrame:
+    """The edges whose sizes and differing parities leave the similarity possible."""
+    a, b = (marks.select(F.col("node").alias(end), F.col("n_shingles").alias(f"{end}_n"), F.col("bits").alias(f"{end}_bits")) for end in ("leaf", "hub"))
+    differ = sum((F.bit_count(F.col("leaf_bits")[i].bitwiseXOR(F.col("hub_bits")[i])) for i in range(8)), F.lit(0))
+    n = F.col("leaf_n") + F.col("hub_n")
+    fine = (F.lit(100) * F.least("leaf_n", "hub_n") >= F.lit(percent) * F.greatest("leaf_n", "hub_n")) & (differ * (100 + percent) <= n * (100 - percent))
+    return edges.join(a, "leaf").join(b, "hub").filter(fine).select("leaf", "hub")
+
+
+def linked_classes(docs: DataFrame, sketch: DataFrame, shingle: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """The classes of equal word sequences, and (node, component) of those that are not their component's least."""
+    classes = cut_lineage(text_classes(sketch))
+    buckets = classes.select("node", F.explode("keys").alias("key"))
+    hubs = buckets.groupBy("key").agg(F.min("node").alias("hub"), F.count("*").alias("size")).filter("size > 1").select("key", "hub")
+    members = cut_lineage(buckets.join(hubs, "key"))
+    nodes = members.select("node").distinct()
+    marks = cut_lineage(classes.join(nodes, "node", "left_semi").select("node", "copy", "id", "n_shingles", "bits"))
+    rows = with_copy(docs.select(F.col("doc_id").cast("long"), "text")).withColumnRenamed("__copy", "copy")
+    mine = rows.join(marks.select("copy", "id", "node"), (rows["copy"] == marks["copy"]) & rows["doc_id"].eqNullSafe(marks["id"]))
+    texts = cut_lineage(mine.groupBy("node").agg(F.first("text").alias("text")))
+    # each leaf's nearest hub first: most leaves need no other
+    stars = hub_edges(members)
+    checked = cut_lineage(near_enough(stars.groupBy("leaf").agg(F.max_by("hub", F.struct("shared", -F.col("hub"))).alias("hub")), marks, percent))
     links = cut_lineage(confirmed(checked, texts, shingle, percent))
     found = components(links)
-    second = cut_lineage(across(stars.select("leaf", "hub"), found).join(checked, ["leaf", "hub"], "left_anti"))
-    links, checked = cut_lineage(links.unionByName(confirmed(second, texts, shingle, percent))), checked.unionByName(second)
-    found = components(links)
-    unsure = mixed_buckets(members, found).select("node").distinct()
-    unsure_texts = texts.join(unsure, "node", "left_semi")
-    left = cut_lineage(rare_prefixes(unsure_texts, shingle, percent).join(parity_bits(unsure_texts, shingle), by).join(weight, "node"))
+    unsure = mixed(members.select("key", "node"), found).select("node").distinct()
+    left = cut_lineage(rare_prefixes(texts.join(unsure, "node", "left_semi"), shingle, percent))
     while True:
-        now = cut_lineage(mixed_buckets(left, found))
-        rows_left, pairs = now.agg(F.count("*"), F.coalesce(F.sum(F.col("pairs") / F.col("n")), F.lit(0))).first()
-        if not rows_left:
-            break
-        most = PAIRS_PER_ROW * max(rows_left, 200_000)
-        order = Window.partitionBy("key").orderBy("own", "component", F.desc("weight"), *by)
-        now = now.withColumn("turn", F.row_number().over(order))
-        hubs = now.select("key", F.col("node").alias("hub"), F.col("component").alias("of"), F.col("size").alias("hub_size"), F.col("place").alias("hub_place"), F.col("bits").alias("hub_bits"), F.col("turn").alias("hub_turn"))
-        last_round = pairs <= most
-        if not last_round:
-            hubs = hubs.filter(F.col("hub_turn") <= max(1, most // rows_left))
-        pairs_df = now.join(hubs, "key").filter((F.col("turn") > F.col("hub_turn")) & (F.col("component") != F.col("of")) & may_reach(percent))
-        done = checked.unionByName(checked.select(F.col("hub").alias("leaf"), F.col("leaf").alias("hub")))
-        fresh = cut_lineage(pairs_df.select(F.greatest("node", "hub").alias("leaf"), F.least("node", "hub").alias("hub")).distinct().join(done, ["leaf", "hub"], "left_anti"))
+        now = cut_lineage(mixed(left, found))
+        if now.isEmpty():
+            return classes, found
+        order = Window.partitionBy("key").orderBy("own", "component", "node")
+        hubs = cut_lineage(now.withColumn("turn", F.row_number().over(order)).filter(F.col("turn") <= HUBS).select("key", F.col("node").alias("hub"), F.col("component").alias("of"), F.col("size").alias("hub_size"), F.col("place").alias("hub_place")))
+        pairs = now.join(hubs, "key").filter((F.col("component") != F.col("of")) & possible(percent)).select(F.greatest("node", "hub").alias("leaf"), F.least("node", "hub").alias("hub")).distinct()
+        done = checked.select(F.greatest("leaf", "hub").alias("leaf"), F.least("leaf", "hub").alias("hub"))
+        fresh = cut_lineage(near_enough(pairs.join(done, ["leaf", "hub"], "left_anti"), marks, percent))
         more = cut_lineage(confirmed(fresh, texts, shingle, percent))
-        if more.limit(1).count():
+        if not more.isEmpty():
             links = links.unionByName(more)
             found = components(links)
-        if last_round:
-            break
         checked = checked.unionByName(fresh)
-        left = now.filter(F.col("turn") > max(1, most // rows_left)).select(*by, "key", "size", "place", "bits", "weight")
-    reps = sketch.filter("n_shingles > 0").select("copy", "node").groupBy("copy").agg(F.min("node").alias("rep"))
-    labels = reps.join(found.withColumnRenamed("node", "rep"), "rep", "left").select("copy", F.coalesce("component", "rep").alias("component"))
-    out = sketch.select("doc_id", "node", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("copy")).alias("copy")).join(labels, "copy", "left")
-    component = F.coalesce("component", "node")
-    component_id = F.when(component <= F.lit(NULL_FROM), component)
-    return out.select("doc_id", "n_shingles", component_id.alias("component_id"), F.col("doc_id").eqNullSafe(component_id).alias("kept"))
+        left = now.join(hubs.select("key", F.col("hub").alias("node")), ["key", "node"], "left_anti").select("node", "key", "size", "place")
 
 
-def sketches_text(with_text: DataFrame) -> DataFrame:
-    """node, copy (a number for the word sequence) and text of all rows, where some lack a doc_id or share one."""
-    arrow = pa.schema([("doc_id", pa.int64()), ("copy", pa.binary()), ("text", pa.string())])
+def labelled(docs: DataFrame, shingle: int, percent: int, bands: int, rows: int) -> DataFrame:
+    """Per row of docs: doc_id, copy, n_shingles, component (a node), node, id (its class's least doc_id), component_id."""
+    sketch = cut_lineage(sketches(docs, shingle, bands, rows))
+    classes, found = linked_classes(docs, sketch, shingle, percent)
+    known = classes.select("copy", "id", "node").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    # only nodes that are no doc_id can hide a smaller one
+    hidden = known.filter(F.col("node") >= HASHED).groupBy("component").agg(F.min("id").alias("hidden_id"))
+    known = known.join(hidden, "component", "left").withColumn("component_id", F.least(F.when(F.col("component") < HASHED, F.col("component")), F.col("hidden_id")))
+    out = sketch.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("copy")).alias("copy")).join(known, "copy", "left")
+    return out.withColumn("component_id", F.when(F.col("copy").isNull(), F.col("doc_id")).otherwise(F.col("component_id")))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            digests = [hashlib.blake2b(b" ".join(t.lower().split()), digest_size=16).digest() for t in utf8(batch.column("text"))]
-            yield pa.record_batch([batch.column("doc_id"), pa.array(digests, pa.binary()), batch.column("text").cast(pa.string())], schema=arrow)
 
-    return with_text.mapInArrow(run, "doc_id long, copy binary, text string").select(node_of(F.col("doc_id"), F.col("copy")).alias("node"), F.xxhash64("copy").alias("copy"), "text")
+def near_duplicates(docs: DataFrame, shingle: int = 2, percent: int = 80, bands: int = 56, rows: int = 7) -> DataFrame:
+    """Per row of docs: doc_id, n_shingles, component_id, kept.
+
+    With 56 bands of 7 bins two sets of similarity 0.8 share no bucket once in 500,000 pairs.
+    """
+    return labelled(docs, shingle, percent, bands, rows).select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
 def drop_near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, bands: int = 56, rows: int = 7) -> DataFrame:
-    """``docs`` with one document of each group: that with the least doc_id.
+    """``docs`` with one document of each group: that of the least doc_id, or any if none has one.
 
-    Of rows that share the kept doc_id, one stays; rows without any doc_id stay as they are.
+    Rows are told apart by doc_id and word sequence: of rows alike in both one stays, and rows
+    that share a doc_id with other words are judged apart.  Texts without words all stay.
     """
-    kept = near_duplicates(docs, shingle, percent, bands, rows).filter("kept and doc_id is not null").select("doc_id").distinct()
-    named = docs.join(kept.withColumnRenamed("doc_id", "__kept"), F.col("doc_id") == F.col("__kept"), "left_semi")
-    return named.dropDuplicates(["doc_id"]).unionByName(docs.filter(F.col("doc_id").isNull()))
+    rows_of = labelled(docs, shingle, percent, bands, rows).filter(F.col("copy").isNotNull()).select("component", "copy", "doc_id")
+    chosen = rows_of.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "copy")).alias("c")).select(F.col("c.doc_id").alias("__id"), F.col("c.copy").alias("__class"))
+    keyed = with_copy(docs).withColumn("__id_of", F.col("doc_id").cast("long"))
+    wordless = F.coalesce("text", F.lit("")).rlike("\\A[ \\t-\\r]*\\z")
+    one = keyed.filter(~wordless).groupBy("__copy", "__id_of").agg(*[F.first(c).alias(c) for c in docs.columns])
+    kept = one.join(chosen, one["__copy"].eqNullSafe(chosen["__class"]) & one["__id_of"].eqNullSafe(chosen["__id"]), "left_semi")
+    return kept.select(*docs.columns).unionByName(docs.filter(wordless))
