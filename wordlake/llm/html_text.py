@@ -1,21 +1,24 @@
 """Operator 2, HTML extraction: parser events, text-to-tag ratios, smoothing, threshold clustering.
 
 The standard library's parser streams events.  Block-level tags part the page into lines; each
-line has a text-to-tag ratio.  The ratios are smoothed with a Gaussian along the page and split
-into two clusters by a threshold; the region (the outermost article or main element, else the
-nearest container) that holds lines of the upper cluster is the content, and all its lines stay,
-short ones too.  Elements that are menus, headers, footers, sidebars, notices, adverts, forms,
-scripts, styles or comments by tag, role, class or id never count as content.
-
-Defined results: null or empty html gives an empty text; a page without any text line gives an
-empty text; unclosed and stray tags are taken as browsers do; repeated rows are extracted each on
-its own; other columns are ignored; an empty table gives no rows.
+line has a text-to-tag ratio (text outside links, over its tags).  Classes and ids that speak
+against content lower the ratios inside (they decide nothing by themselves); menus, footers,
+asides, forms, scripts, styles and hidden elements by tag, role or attribute have none.  The
+ratios are smoothed with a Gaussian along the page and split into two clusters by a threshold.
+Lines of the upper cluster are the seeds that select the content regions: see ``line_chosen``.
+
+Defined results: null or empty html gives an empty text, and so does a page without any text
+outside links; unclosed and stray tags are taken as browsers do; pages of any length are parsed
+whole; lines whose smoothed ratios tie with the threshold are seeds; repeated rows are extracted
+each on its own, null ids and urls are carried; other columns are ignored; an empty table gives no
+rows.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from dataclasses import dataclass, replace
 from html.parser import HTMLParser
 
 import numpy as np
@@ -31,39 +34,80 @@ BLOCKS = frozenset("address article aside blockquote body caption center dd deta
 REGIONS = frozenset("article main section div body td".split())
 DROPPED = frozenset("head script style noscript template nav footer aside form menu dialog button select option textarea label svg math iframe object canvas audio video".split())
 DROPPED_ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert menu menubar form".split())
-DROPPED_NAMES = re.compile(
-    r"(?:^|[\s_-])(?:ad|ads|adv|advert|advertisement|adsense|sponsor|sponsored|promo|promotion|banner|nav|navbar|navigation|menu|breadcrumb|breadcrumbs|sidebar|side|aside|footer|foot|masthead"
-    r"|cookie|cookies|consent|gdpr|notice|alert|newsletter|subscribe|subscription|signup|login|popup|modal|overlay|share|sharing|social|related|recommended|comment|comments|disqus|reply|replies|respond"
-    r"|pagination|pager|widget|toolbar|skip|search|copyright|legal|hidden)(?:$|[\s_-])",
-    re.I,
-)
-HEADER_NAMES = re.compile(r"(?:^|[\s_-])(?:header|site-header|page-header)(?:$|[\s_-])", re.I)
+#: Elements whose class or id speaks for or against their lines; of headings, paragraphs and inline elements it is only an anchor or a style.
+NAMED = frozenset("div section header ul ol dl table td figure details center".split())
+#: Words of a class or id, and what they leave of the ratio of the lines inside.
+UNLIKELY = {
+    **dict.fromkeys("ad ads adv advert advertisement adsense sponsor sponsored promo promotion nav navbar navigation menu breadcrumb breadcrumbs sidebar footer masthead cookie cookies consent gdpr newsletter subscribe subscription signup login popup modal overlay comment comments disqus respond replies pagination pager toolbar".split(), 0.1),
+    **dict.fromkeys("banner aside foot notice alert share sharing social related recommended reply widget skip search copyright legal hidden".split(), 0.4),
+}
+#: Such parts in front of a name say how the element looks, not what it is.
+STYLES = frozenset("has no with is without show not".split())
 CLOSES_P = BLOCKS - {"body", "html", "head"}
 SAME_CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 SAME_STOPS = frozenset("ul ol dl table".split())
 
 
+def name_factor(names: str) -> float:
+    """What the words of a class or id leave of a ratio: 1 if none speaks against content."""
+    out = 1.0
+    for name in names.lower().split():
+        parts = re.split("[_-]+", name)
+        if parts[0] not in STYLES:
+            out = min([out, *(UNLIKELY.get(x, 1.0) for x in parts)])
+    return out
+
+
+@dataclass
+class Line:
+    """A line of a page: its text, ratio, region, list, named block, and outermost article or main (0: none of it)."""
+
+    text: str
+    ratio: float
+    linked: float
+    region: int
+    group: int
+    block: int
+    main: int
+    dropped: bool
+
+
+@dataclass
+class State:
+    """What holds inside an open element."""
+
+    tag: str
+    dropped: bool = False
+    own_line: bool = False  # the innermost block element is dropped
+    region: int = 0
+    group: int = 0
+    block: int = 0
+    main: int = 0
+    factor: float = 1.0
+    link: bool = False
+
+
 class Lines(HTMLParser):
-    """Collects (text, ratio, region, in_main, dropped) per line of a page."""
+    """Collects the lines of a page."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.stack: list[tuple[str, bool, int, bool, bool]] = []  # tag, dropped, region, in main, its block dropped
-        self.lines: list[tuple[str, float, int, bool, bool]] = []
+        self.stack = [State("")]
+        self.lines: list[Line] = []
+        self.parent = [0]  # of each region
         self.buffer: list[str] = []
-        self.tags = self.regions = 0
-
-    def state(self) -> tuple[bool, int, bool, bool]:
-        return self.stack[-1][1:] if self.stack else (False, 0, False, False)
+        self.tags = self.linked = self.groups = self.blocks = 0
 
     def flush(self) -> None:
         if self.buffer:
             text = " ".join("".join(self.buffer).split())
             if text:
-                _, region, main, dropped = self.state()
-                self.lines.append((text, len(text) / (1 + self.tags), region, main, dropped))
+                now = self.stack[-1]
+                plain = max(0, len(text) - self.linked)
+                ratio = 0.0 if now.dropped else now.factor * plain / (1 + self.tags)
+                self.lines.append(Line(text, ratio, 1 - plain / len(text), now.region, now.group, now.block, now.main, now.dropped))
             self.buffer = []
-        self.tags = 0
+        self.tags = self.linked = 0
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if tag in BLOCKS:
@@ -78,31 +122,43 @@ class Lines(HTMLParser):
             self.buffer.append(" ")
         if tag in VOID:
             return
-        dropped, region, main, block = self.state()
-        if tag == "article" or tag == "main" or not main and tag in REGIONS:
-            if not main:
-                self.regions += 1
-                region = self.regions
-            main = main or tag in ("article", "main")
-        if not dropped and tag != "body" and tag != "html":
-            names = " ".join(v for k, v in attrs if v and k in ("class", "id"))
+        new = replace(self.stack[-1], tag=tag)
+        if tag in REGIONS:
+            self.parent.append(new.region)
+            new.region = len(self.parent) - 1
+            if tag in ("article", "main") and not new.main:
+                new.main = new.region
+        if tag in SAME_STOPS:
+            self.groups += 1
+            new.group = self.groups
+        new.link = new.link or tag == "a"
+        if not new.dropped and tag not in ("body", "html"):
             role = next((v or "" for k, v in attrs if k == "role"), "").lower()
             hidden = any(k == "hidden" or k == "aria-hidden" and v == "true" for k, v in attrs)
-            dropped = tag in DROPPED or hidden or role in DROPPED_ROLES or tag == "header" and not main or bool(names) and (bool(DROPPED_NAMES.search(names)) or not main and bool(HEADER_NAMES.search(names)))
-        self.stack.append((tag, dropped, region, main, dropped if tag in BLOCKS else block))
+            new.dropped = tag in DROPPED or hidden or role in DROPPED_ROLES or tag == "header" and not new.main
+            if tag in NAMED:
+                factor = name_factor(" ".join(v for k, v in attrs if v and (k == "class" or k == "id" and not new.main)))
+                if factor < 1:
+                    new.factor *= factor
+                    if not new.block:
+                        self.blocks += 1
+                        new.block = self.blocks
+        if tag in BLOCKS:
+            new.own_line = new.dropped
+        self.stack.append(new)
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.handle_starttag(tag, attrs)
 
     def close(self, tag: str, stops: frozenset | set) -> None:
         """Close the innermost open ``tag`` unless an element of ``stops`` lies inside it."""
-        for i in range(len(self.stack) - 1, -1, -1):
-            if self.stack[i][0] == tag:
-                if any(x[0] in BLOCKS for x in self.stack[i:]):
+        for i in range(len(self.stack) - 1, 0, -1):
+            if self.stack[i].tag == tag:
+                if any(x.tag in BLOCKS for x in self.stack[i:]):
                     self.flush()
                 del self.stack[i:]
                 return
-            if self.stack[i][0] in stops:
+            if self.stack[i].tag in stops:
                 return
 
     def handle_endtag(self, tag: str) -> None:
@@ -114,18 +170,18 @@ class Lines(HTMLParser):
         self.close(tag, frozenset())
 
     def handle_data(self, data: str) -> None:
-        dropped, _, _, block = self.state()
-        if block or not dropped:  # text of a dropped inline element is no part of its line
+        now = self.stack[-1]
+        if now.own_line or not now.dropped:  # text of a dropped inline element is no part of its line
             self.buffer.append(data)
+            if now.link:
+                self.linked += len(data)
 
-    def close_page(self) -> list[tuple[str, float, int, bool, bool]]:
-        self.close_feed()
+    def page(self, html: str) -> list[Line]:
+        self.feed(html)
+        super().close()
         self.flush()
         return self.lines
 
-    def close_feed(self) -> None:
-        super().close()
-
 
 def smoothed(ratios: np.ndarray, sigma: float) -> np.ndarray:
     """Gaussian smoothing along the page, weights renewed at its ends."""
@@ -148,26 +204,63 @@ def threshold(values: np.ndarray) -> float:
     return cut
 
 
-def main_text(html: str, sigma: float = 1.0, share: float = 0.2) -> str:
+def line_chosen(lines: list[Line], parent: list[int], sigma: float) -> list[bool]:
+    """Which lines are content.
+
+    Lines whose ratio and smoothed ratio lie in the upper cluster are seeds.  A named block without
+    a line whose own, lowered ratio lies there goes.  The seeds fix the root: the articles and mains
+    if these hold at least half of them (by ratio), else the innermost region that holds all.  Below
+    the root a region without seeds goes (of articles and in them, only if it is mostly links), and
+    so does a list that is nearly all links; everything else stays, short lines too.
+    """
+    ratios = smoothed(np.array([x.ratio for x in lines]), sigma)
+    cut = threshold(ratios)
+    dense = {x.block for x in lines if x.ratio >= cut}
+    open_ = [not x.dropped and (not x.block or x.block in dense) for x in lines]
+    seeds = [o and x.ratio > 0 and min(r, x.ratio) >= cut for o, x, r in zip(open_, lines, ratios.tolist(), strict=True)]
+    found = [x for x, s in zip(lines, seeds, strict=True) if s]
+    if not found:
+        return [False] * len(lines)
+
+    def above(region: int) -> list[int]:
+        out = [region]
+        while out[-1]:
+            out.append(parent[out[-1]])
+        return out
+
+    seeded = {r for x in found for r in above(x.region)}
+    mains = 2 * sum(x.ratio for x in found if x.main) >= sum(x.ratio for x in found)
+    shared = set.intersection(*(set(above(x.region)) for x in found))
+    root = max(shared)  # regions are numbered from the outside in
+    linked: dict[tuple[bool, int], list[float]] = {}
+    with_seed = {x.group for x in found}
+    for x, o in zip(lines, open_, strict=True):
+        if o:
+            for key in [(True, x.group), *((False, r) for r in above(x.region))]:
+                sums = linked.setdefault(key, [0.0, 0.0])
+                sums[0] += x.linked * len(x.text)
+                sums[1] += len(x.text)
+    share = {k: a / b for k, (a, b) in linked.items()}
+    seed_regions = {x.region for x in found}
+
+    def stays(x: Line) -> bool:
+        if x.group and x.group not in with_seed and share[True, x.group] >= 0.8:
+            return False
+        chain = above(x.region)
+        if mains:
+            return x.main > 0 and all(r in seeded or share[False, r] < 0.5 for r in chain[: chain.index(x.main) + 1])
+        return root in chain and all(r in seeded for r in chain) and (root > 0 and parent[root] > 0 or x.region in seed_regions or x.region != root)
+
+    return [o and stays(x) for o, x in zip(open_, lines, strict=True)]
+
+
+def main_text(html: str, sigma: float = 1.0) -> str:
     """The page's content lines, joined by newlines."""
     parser = Lines()
-    parser.feed(html)
-    lines = parser.close_page()
-    open_lines = [x for x in lines if not x[4]]
-    if not open_lines:
+    lines = parser.page(html)
+    if not lines:
         return ""
-    ratios = smoothed(np.array([x[1] for x in lines]), sigma)
-    cut = threshold(ratios)
-    weight: dict[int, int] = {}
-    main = {x[2] for x in open_lines if x[3]}
-    for (text, _, region, _, dropped), ratio in zip(lines, ratios.tolist(), strict=True):
-        if not dropped and ratio >= cut and (not main or region in main):
-            weight[region] = weight.get(region, 0) + len(text)
-    if not weight:
-        weight = {r: 1 for r in (main or {x[2] for x in open_lines})}
-    least = share * max(weight.values())
-    chosen = {r for r, w in weight.items() if w >= least}
-    return "\n".join(x[0] for x in open_lines if x[2] in chosen)
+    return "\n".join(x.text for x, c in zip(lines, line_chosen(lines, parser.parent, sigma), strict=True) if c)
 
 
 def extract_text(pages: DataFrame) -> DataFrame:
