@@ -3,17 +3,19 @@
 Of all suffixes of the corpus only those are retained that start at a minimiser: the k-gram of
 least hash in a window of ``min_words`` words.  Copies of a passage of ``min_words`` or more words
 choose the same places, so every repeated passage holds a retained suffix in each copy.  Retained
-suffixes travel with their context to the minimiser's partition, are sorted there, and each is
-compared with its neighbours; where the common right part and the left context together can reach
-``min_words``, the match is extended left and right, word by word, to the exact passages.
+suffixes travel with their context to the minimiser's place, are sorted there, and each is
+compared with its neighbours; the texts before them are sorted and compared from their ends.  The
+two common lengths extend a match to the right and to the left, word by word (by 64-bit hashes of
+the words).
 
 Every word that lies in a run of ``min_words`` words which also starts earlier (smaller doc_id, or
 same document, earlier) is a repeat; the first copy stays.
 
-Defined results: null and empty texts have no passages; rows with equal doc_id and text are one
-document; rows with equal doc_id and other text are ordered by the hash of their text; a null
-doc_id sorts last and is given back as null; an empty table gives no rows.  Other columns are
-ignored, or carried as they are by ``cut_passages``.
+Defined results: null and empty texts have no passages; texts of any length are read whole; rows
+with equal doc_id and text are one document, and so are equal texts without a doc_id; rows with
+equal doc_id and other text are ordered by the hash of their text; a null doc_id sorts last and is
+given back as null; of tied copies the first in that order is named; an empty table gives no rows.
+Other columns are ignored, or carried as they are by ``cut_passages``.
 """
 
 from __future__ import annotations
@@ -33,14 +35,14 @@ from wordlake.llm.common import pieces
 WORD = re.compile(rb"[^\x20\x09-\x0d]+")
 
 
-def common_right(s: windows.Strings, left: np.ndarray, right: np.ndarray, limit: int) -> np.ndarray:
-    """Words (at most ``limit``) that the suffixes starting at two lists of words have in common."""
-    stop = s.first[1:][s.of]
+def common(s: windows.Strings, left: np.ndarray, right: np.ndarray, step: int, limit: int) -> np.ndarray:
+    """Words (at most ``limit``) that two lists of places have in common, going on by ``step`` (1 or -1)."""
+    low, high = s.first[:-1][s.of], s.first[1:][s.of]
     out = np.zeros(len(left), np.int64)
     alive = np.arange(len(left))
-    for step in range(limit):
-        a, b = left[alive] + step, right[alive] + step
-        fine = (a < stop[left[alive]]) & (b < stop[right[alive]])
+    for i in range(limit):
+        a, b = left[alive] + step * i, right[alive] + step * i
+        fine = (a >= low[left[alive]]) & (a < high[left[alive]]) & (b >= low[right[alive]]) & (b < high[right[alive]])
         alive, a, b = alive[fine], a[fine], b[fine]
         alive = alive[s.words[a] == s.words[b]]
         if not len(alive):
@@ -49,31 +51,73 @@ def common_right(s: windows.Strings, left: np.ndarray, right: np.ndarray, limit:
     return out
 
 
+def sorted_neighbours(keys: list[bytes], s: windows.Strings, at: np.ndarray, step: int, limit: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Order of the keys, the words each shares with the one before it there, and per key the most it shares with a neighbour."""
+    order = np.array(sorted(range(len(keys)), key=keys.__getitem__), np.int64)
+    shared = np.append(0, common(s, at[order[:-1]], at[order[1:]], step, limit))
+    most = np.zeros(len(keys), np.int64)
+    most[order] = np.maximum(shared, np.append(shared[1:], 0))
+    return order, shared, most
+
+
 def suffix_matches(s: windows.Strings, min_words: int) -> np.ndarray:
-    """SPANs of the passages that stand earlier as well, from the sorted retained suffixes."""
+    """SPANs of the passages that stand earlier as well, from the sorted retained suffixes.
+
+    The suffixes (from the minimiser on) are sorted and compared with their neighbours, which
+    gives the words a match extends to the right; the texts before the minimiser are sorted from
+    their ends likewise, which gives its extension to the left.  Suffixes that share r words with
+    their neighbours on the right and l on the left of the minimiser, r + l >= ``min_words``, hold
+    the same passage; the first of them in the corpus is the one the others repeat.
+    """
     n = len(s.meta)
     if n < 2:
-        chosen = np.ones(n, bool)
-    else:
-        anchor = s.first[:-1] + s.meta["anchor"]
-        ends = s.ends[s.first[1:] - 1].tolist()
-        suffixes = [s.data[a:b] for a, b in zip(s.starts[anchor].tolist(), ends, strict=True)]
-        order = np.array(sorted(range(n), key=suffixes.__getitem__))
-        del suffixes
-        common = common_right(s, anchor[order[:-1]], anchor[order[1:]], min_words)
-        right = np.zeros(n, np.int64)
-        right[order[:-1]] = common
-        right[order[1:]] = np.maximum(right[order[1:]], common)
-        own = s.first[1:] - s.first[:-1] > min_words  # more than one window: it may repeat itself
-        chosen = (right + s.meta["anchor"] >= min_words) | (own & (right > 0))
-    return windows.repeated_windows(s, min_words, chosen)
+        return np.empty(0, windows.SPAN)
+    anchor = s.first[:-1] + s.meta["anchor"]
+    begin, stop = s.starts[s.first[:-1]].tolist(), s.ends[s.first[1:] - 1].tolist()
+    middle = s.starts[anchor].tolist()
+    right = sorted_neighbours([s.data[a:b] + b" " for a, b in zip(middle, stop, strict=True)], s, anchor, 1, min_words)
+    left = sorted_neighbours([(b" " + s.data[a:b])[::-1] for a, b in zip(begin, middle, strict=True)], s, anchor - 1, -1, min_words)
+    left[2][s.meta["anchor"] == 0] = 0
+    # words left of the minimiser in the passages of min_words words that a suffix may share
+    most = np.minimum(left[2], s.meta["anchor"])
+    least = np.maximum(min_words - right[2], s.meta["anchor"] - (np.diff(s.first) - min_words))
+    where, before, lead = [], [], []
+    for words in range(int(least.min()), int(most.max()) + 1):
+        some = np.flatnonzero((least <= words) & (words <= most))
+        if len(some) < 2:
+            continue
+        same = []
+        for (order, shared, _), need in ((right, min_words - words), (left, words)):
+            group = np.empty(n, np.int64)
+            group[order] = np.cumsum(shared < need)
+            same.append(group[some])
+        by = np.lexsort((some, same[1], same[0]))  # strings are in order of the corpus
+        a, b, i = same[0][by], same[1][by], some[by]
+        head = np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1]))
+        first = i[np.flatnonzero(head)[np.cumsum(head) - 1]]
+        again = ~head & windows.differ(s.meta, i, first)
+        where.append(i[again])
+        lead.append(first[again])
+        before.append(np.full(int(again.sum()), words))
+    if not where:
+        return np.empty(0, windows.SPAN)
+    i, first, l = (np.concatenate(x) for x in (where, lead, before))
+    by = np.lexsort((-l, i))
+    i, first, l = i[by], first[by], l[by]
+    head = np.flatnonzero(np.append(True, (i[1:] != i[:-1]) | (first[1:] != first[:-1]) | (l[1:] != l[:-1] - 1))[: len(i)])
+    out = np.empty(len(head), windows.SPAN)
+    out["count"] = np.diff(np.append(head, len(i)))
+    i, first, l = i[head], first[head], l[head]
+    for name, of in (("", i), ("first_", first)):
+        out[f"{name}doc"], out[f"{name}text"] = s.meta["doc"][of], s.meta["text"][of]
+        out[f"{name}start"] = s.meta["start"][of] + s.meta["anchor"][of] - l
+    out["home"] = s.meta["start"][i]
+    return out
 
 
 def passage_spans(docs: DataFrame, min_words: int = 50, k: int = 5) -> DataFrame:
     """Runs of repeated windows, as ``windows.SPANS``."""
-    parts = windows.parts_for(docs)
-    packed = windows.packed_strings(windows.with_keys(docs), min_words, k, parts)
-    return windows.reduce_strings(packed, parts, lambda s: suffix_matches(s, min_words))
+    return windows.found_spans(docs, min_words, k, lambda s: suffix_matches(s, min_words))
 
 
 def first_places(spans: DataFrame) -> DataFrame:
@@ -108,11 +152,10 @@ def repeated_passages(docs: DataFrame, min_words: int = 50, k: int = 5) -> DataF
     along = Window.partitionBy("doc", "text_hash", "first_doc", "first_text", "shift").orderBy("start", "count")
     reached = F.max(F.col("start") + F.col("count")).over(along.rowsBetween(Window.unboundedPreceding, -1))
     runs = spans.withColumn("new", F.when(F.col("start") <= reached, 0).otherwise(1)).withColumn("run", F.sum("new").over(along.rowsBetween(Window.unboundedPreceding, 0)))
-    null_last = lambda c: F.when(F.col(c) != F.lit(int(windows.LAST_ID)), F.col(c))
     return (
         runs.groupBy("doc", "text_hash", "first_doc", "first_text", "shift", "run")
         .agg(F.min("start").alias("start_word"), (F.max(F.col("start") + F.col("count")) - F.min("start") + F.lit(min_words - 1)).alias("n_words"), F.min("first_start").alias("first_start_word"))
-        .select(null_last("doc").alias("doc_id"), "start_word", "n_words", null_last("first_doc").alias("first_doc_id"), "first_start_word")
+        .select(windows.doc_id_of("doc").alias("doc_id"), "start_word", "n_words", windows.doc_id_of("first_doc").alias("first_doc_id"), "first_start_word")
     )
 
 

@@ -2,12 +2,18 @@
 
 A window is ``width`` consecutive words of one document.  Its minimiser is the leftmost k-gram of
 least hash among its k-grams, so equal windows have equal minimisers.  Consecutive windows with
-the same minimiser travel as one packed string (a super-k-mer) to the minimiser's partition.
-Within one chunk of a task, equal strings are packed once: later copies are repeats already.
-
-A document is the pair (doc_id, 32 bits of the xxhash64 of its text), so rows that repeat a doc_id with the same
-text are one document and rows that share a doc_id with other texts are not mixed up.  A null
-doc_id sorts after all others.
+the same minimiser travel as one packed string (a super-k-mer) to the minimiser's place.  k-grams
+that hold a large share of the corpus come last in that order, so a common phrase does not draw
+all its surroundings to one place.  Within one chunk of a task, equal strings are packed once (as
+a map-side combine does): later copies are repeats already.
+
+A survey of the corpus (its bytes, its frequent k-grams) fixes how many units the strings are
+dealt to, so that a unit stays small whatever the corpus; a task streams its units one by one.
+
+A document is the pair (doc_id, 32 bits of the xxhash64 of its text), so rows that repeat a doc_id
+with the same text are one document and rows that share a doc_id with other texts are not mixed
+up.  A null doc_id sorts after all others; there 60 more bits of the text stand for the id, so
+equal texts without an id are one document.  doc_ids lie below 2**62.
 """
 
 from __future__ import annotations
@@ -18,17 +24,24 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wordlake.llm.common import U64, first_words, gram_hashes, joined_words, long_gram_hashes, pieces, shuffle_parts, sliding_min, utf8, word_bounds, word_hashes
+from wordlake.llm.common import U64, first_words, gram_hashes, joined_words, long_gram_hashes, pieces, sliding_min, utf8, word_bounds, word_hashes
 
 CHUNK_BYTES = 4 << 20
 #: Longest run of words handled at once; longer documents are handled in overlapping runs.
 MAX_WORDS = 1 << 19
 #: Raw bytes of packed strings that a reducing task unpacks at once.
 UNPACK_BYTES = 12 << 20
-LAST_ID = np.iinfo(np.int64).max
+#: Document keys from here on stand for texts without a doc_id.
+KEYLESS = 1 << 62
+#: Bytes of text whose strings make a unit; units above this number of tasks share tasks.
+UNIT_BYTES = 3 << 20
+MOST_TASKS = 20_000
+#: Buckets that k-grams are counted in, and the share of all k-grams that makes a bucket frequent.
+BUCKETS = 1 << 20
+FREQUENT = 1 / (1 << 14)
 
 PACKED = "part int, kind int, raw_bytes long, body binary, meta binary"
 #: Of each packed string: its document's key, the word it starts at, its minimiser's place in it.
@@ -55,9 +68,53 @@ class Strings:
     meta: np.ndarray
 
 
+@dataclass
+class Plan:
+    """Units that strings are dealt to, tasks that hold them, and which buckets of k-grams are frequent."""
+
+    units: int
+    tasks: int
+    frequent: np.ndarray
+
+
 def with_keys(docs: DataFrame) -> DataFrame:
     """``docs`` with the key columns ``__doc`` and ``__text``."""
-    return docs.withColumns({"__doc": F.coalesce(F.col("doc_id").cast("long"), F.lit(int(LAST_ID))), "__text": F.xxhash64("text").bitwiseAND(F.lit(0xFFFFFFFF))})
+    keyless = F.lit(KEYLESS) + F.shiftrightunsigned(F.xxhash64("text"), 4)
+    return docs.withColumns({"__doc": F.coalesce(F.col("doc_id").cast("long"), keyless), "__text": F.xxhash64("text").bitwiseAND(F.lit(0xFFFFFFFF))})
+
+
+def doc_id_of(key: str) -> Column:
+    """The doc_id of a document key."""
+    return F.when(F.col(key) < F.lit(KEYLESS), F.col(key))
+
+
+def survey(docs: DataFrame, k: int) -> Plan:
+    """Bytes of the corpus and its frequent k-grams, by one pass over the texts.
+
+    A task reports only buckets that hold the share ``FREQUENT`` of its own k-grams, so at most
+    1 / FREQUENT rows; at most as many come to the driver.  What is called frequent changes how
+    windows are dealt, never which are found.
+    """
+    arrow = pa.schema([("bucket", pa.int64()), ("n", pa.int64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts, size = np.zeros(BUCKETS, np.int64), 0
+        for piece in pieces(batches, "text", CHUNK_BYTES):
+            data, _ = joined_words(utf8(piece.column("text")))
+            buf = np.frombuffer(data, np.uint8)
+            grams = gram_hashes(word_hashes(buf, *word_bounds(buf)), k)
+            counts += np.bincount((grams % U64(BUCKETS)).astype(np.int64), minlength=BUCKETS)
+            size += len(data)
+        total = int(counts.sum())
+        many = np.flatnonzero(counts > total * FREQUENT)
+        yield pa.record_batch([pa.array(np.concatenate([[-1, -2], many])), pa.array(np.concatenate([[size, total], counts[many]]))], schema=arrow)
+
+    sums = docs.select("text").mapInArrow(run, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
+    rows = dict(sums.orderBy(F.col("bucket") >= 0, F.desc("n")).limit(2 + int(1 / FREQUENT)).collect())
+    frequent = np.zeros(BUCKETS, bool)
+    frequent[[b for b, n in rows.items() if b >= 0 and n > rows[-2] * FREQUENT]] = True
+    units = 1 + rows.get(-1, 0) // UNIT_BYTES
+    return Plan(units, min(units, MOST_TASKS), frequent)
 
 
 def send_meta(meta: np.ndarray) -> bytes:
@@ -77,9 +134,11 @@ def read_meta(sent: bytes) -> np.ndarray:
     return out
 
 
-def runs_of_windows(words: np.ndarray, doc: np.ndarray, width: int, k: int) -> tuple[np.ndarray, ...]:
+def runs_of_windows(words: np.ndarray, doc: np.ndarray, width: int, k: int, frequent: np.ndarray) -> tuple[np.ndarray, ...]:
     """First window, last window and minimiser place of each super-k-mer, and the minimiser's hash."""
     grams = gram_hashes(words, k)
+    late = frequent[(grams % U64(BUCKETS)).astype(np.int64)]
+    grams = (grams >> U64(1)) | (late.astype(U64) << U64(63))
     size = len(words) - width + 1
     if size <= 0:
         none = np.empty(0, np.int64)
@@ -95,7 +154,7 @@ def runs_of_windows(words: np.ndarray, doc: np.ndarray, width: int, k: int) -> t
     return at, stop, place, grams[place]
 
 
-def pack_chunk(batch: pa.RecordBatch, width: int, k: int, parts: int) -> Iterator[tuple]:
+def pack_chunk(batch: pa.RecordBatch, width: int, k: int, parts: int, frequent: np.ndarray) -> Iterator[tuple]:
     """Rows of PACKED for the documents of one chunk."""
     order = np.lexsort((batch.column("__text").to_numpy(), batch.column("__doc").to_numpy()))
     batch = batch.take(pa.array(order))
@@ -115,7 +174,7 @@ def pack_chunk(batch: pa.RecordBatch, width: int, k: int, parts: int) -> Iterato
     spans: list[tuple] = []
     for base in range(0, max(1, len(words) - width + 1), MAX_WORDS - width + 1):
         part = slice(base, min(len(words), base + MAX_WORDS))
-        at, stop, place, least = runs_of_windows(words[part], doc[part], width, k)
+        at, stop, place, least = runs_of_windows(words[part], doc[part], width, k, frequent)
         a_bytes, b_bytes = starts[base + at].tolist(), ends[base + stop + width - 1].tolist()
         docs_of = doc[base + at]
         begin = (base + at - first[docs_of]).tolist()
@@ -148,13 +207,14 @@ def pack_chunk(batch: pa.RecordBatch, width: int, k: int, parts: int) -> Iterato
         yield int(some["text"][0] % parts), 1, 0, b"", press.compress(some.tobytes())
 
 
-def packed_strings(docs: DataFrame, width: int, k: int, parts: int) -> DataFrame:
-    """All super-k-mers of the documents, each row the strings of one chunk for one partition."""
+def packed_strings(docs: DataFrame, width: int, k: int, plan: Plan) -> DataFrame:
+    """All super-k-mers of the documents, each row the strings of one chunk for one unit."""
+    sent = docs.sparkSession.sparkContext.broadcast(plan)
     arrow = pa.schema([("part", pa.int32()), ("kind", pa.int32()), ("raw_bytes", pa.int64()), ("body", pa.binary()), ("meta", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in pieces(batches, "text", CHUNK_BYTES):
-            cols = list(zip(*pack_chunk(piece, width, k, parts), strict=True))
+            cols = list(zip(*pack_chunk(piece, width, k, sent.value.units, sent.value.frequent), strict=True))
             if cols:
                 yield pa.record_batch([pa.array(c, t) for c, t in zip(cols, arrow.types, strict=True)], schema=arrow)
 
@@ -182,8 +242,14 @@ def unpack(bodies: list[tuple[bytes, bytes]], turn: int, turns: int) -> Strings:
     return Strings(data, starts, ends, words, of, first, meta[order])
 
 
-def repeated_windows(s: Strings, width: int, chosen: np.ndarray | None = None) -> np.ndarray:
-    """SPANs of the windows (only of the chosen strings, if given) that stand earlier as well.
+def differ(meta: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Which strings of two lists have their minimisers at different places of the corpus (repeated rows are one place)."""
+    place = meta["start"] + meta["anchor"]
+    return (meta["doc"][a] != meta["doc"][b]) | (meta["text"][a] != meta["text"][b]) | (place[a] != place[b])
+
+
+def repeated_windows(s: Strings, width: int) -> np.ndarray:
+    """SPANs of the windows that stand earlier as well.
 
     Windows are sorted by hash; each is then compared byte by byte with the first of its hash.
     """
@@ -192,8 +258,6 @@ def repeated_windows(s: Strings, width: int, chosen: np.ndarray | None = None) -
     if not size:
         return np.empty(0, SPAN)
     at = np.flatnonzero(s.of[:size] == s.of[width - 1 :])
-    if chosen is not None:
-        at = at[chosen[s.of[at]]]
     if not len(at):
         return np.empty(0, SPAN)
     by = np.argsort(grams[at], kind="stable")
@@ -232,30 +296,46 @@ def repeated_windows(s: Strings, width: int, chosen: np.ndarray | None = None) -
     return out
 
 
-def reduce_strings(packed: DataFrame, parts: int, find: Callable[[Strings], np.ndarray]) -> DataFrame:
-    """Bring each minimiser's strings together and return the SPANs that ``find`` makes of them."""
+def reduce_strings(packed: DataFrame, plan: Plan, find: Callable[[Strings], np.ndarray]) -> DataFrame:
+    """Bring each minimiser's strings together and return the SPANs that ``find`` makes of them.
+
+    A task streams its units in order and holds one at a time; a unit above ``UNPACK_BYTES`` is
+    taken in turns, some minimisers each.
+    """
     names = [f for f in SPAN.names]
     arrow = pa.schema([(c.split()[0], pa.int64()) for c in SPANS.split(", ")])
 
     def batch(spans: np.ndarray) -> pa.RecordBatch:
         return pa.record_batch([pa.array(np.ascontiguousarray(spans[n])) for n in names], schema=arrow)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bodies, raw = [], 0
-        for b in batches:
-            for kind, size, body, meta in zip(*(b.column(c).to_pylist() for c in ("kind", "raw_bytes", "body", "meta")), strict=True):
-                if kind:
-                    yield batch(np.frombuffer(zstandard.decompress(meta), SPAN))
-                else:
-                    bodies.append((body, meta))
-                    raw += size
+    def unit(bodies: list[tuple[bytes, bytes]], raw: int) -> Iterator[pa.RecordBatch]:
         turns = 1 + raw // UNPACK_BYTES
         for turn in range(turns if bodies else 0):
             spans = find(unpack(bodies, turn, turns))
             for i in range(0, len(spans), 100_000):
                 yield batch(spans[i : i + 100_000])
 
-    return packed.repartitionById(parts, "part").mapInArrow(run, SPANS)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bodies, raw, at = [], 0, -1
+        for b in batches:
+            for part, kind, size, body, meta in zip(*(b.column(c).to_pylist() for c in ("part", "kind", "raw_bytes", "body", "meta")), strict=True):
+                if kind:
+                    yield batch(np.frombuffer(zstandard.decompress(meta), SPAN))
+                    continue
+                if part != at:
+                    yield from unit(bodies, raw)
+                    bodies, raw, at = [], 0, part
+                bodies.append((body, meta))
+                raw += size
+        yield from unit(bodies, raw)
+
+    return packed.repartitionById(plan.tasks, F.col("part") % plan.tasks).sortWithinPartitions("part").mapInArrow(run, SPANS)
+
+
+def found_spans(docs: DataFrame, width: int, k: int, find: Callable[[Strings], np.ndarray]) -> DataFrame:
+    """The SPANs that ``find`` makes of all windows of ``docs``."""
+    plan = survey(docs, k)
+    return reduce_strings(packed_strings(with_keys(docs), width, k, plan), plan, find)
 
 
 def spans_per_document(spans: DataFrame) -> DataFrame:
@@ -287,8 +367,3 @@ def removed_words(docs: DataFrame, spans: DataFrame, width: int) -> DataFrame:
             yield pa.record_batch([piece.column("doc_id").cast(pa.int64()), pa.array(kept, pa.binary()).cast(pa.string()), pa.array(words, pa.int64()), pa.array(gone, pa.int64())], schema=arrow)
 
     return joined.mapInArrow(run, "doc_id long, kept_text string, n_words long, n_removed long")
-
-
-def parts_for(docs: DataFrame) -> int:
-    """Partitions for packed strings: they hold a few times the text, so more than usual."""
-    return shuffle_parts(docs.sparkSession, 4)
