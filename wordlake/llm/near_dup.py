@@ -43,7 +43,7 @@ SHARE = 512
 #: Edges that a task joins at once.
 EDGES = 1 << 20
 #: Hubs of a bucket of rare shingles in one round.
-HUBS = 32
+HUBS = 1024
 
 
 def probe_order(bins: int, seed: int = 11) -> np.ndarray:
@@ -290,21 +290,25 @@ def mixed(rows: DataFrame, found: DataFrame) -> DataFrame:
     return now.join(cut_lineage(each.join(keys, "key", "left_semi")), ["key", "component"])
 
 
+def unlike(bits: str, other: str) -> Column:
+    """In how many parities two sets differ: in at least as many shingles do they."""
+    return sum((F.bit_count(F.col(bits)[i].bitwiseXOR(F.col(other)[i])) for i in range(8)), F.lit(0))
+
+
 def possible(percent: int) -> Column:
-    """False only for pairs that cannot reach the similarity: by their sizes, or by what can follow
-    their first common shingle."""
+    """False only for pairs that cannot reach the similarity: by their sizes, by what can follow
+    their first common shingle, or by the parities that differ."""
     n = F.col("size") + F.col("hub_size")
     sizes = F.lit(100) * F.least("size", "hub_size") >= F.lit(percent) * F.greatest("size", "hub_size")
     follow = F.lit(1) + F.least(F.col("size") - F.col("place"), F.col("hub_size") - F.col("hub_place"))
-    return sizes & (follow * (100 + percent) >= n * percent)
+    return sizes & (follow * (100 + percent) >= n * percent) & (unlike("bits", "hub_bits") * (100 + percent) <= n * (100 - percent))
 
 
 def near_enough(edges: DataFrame, marks: DataFrame, percent: int) -> DataFrame:
     """The edges whose sizes and differing parities leave the similarity possible."""
     a, b = (marks.select(F.col("node").alias(end), F.col("n_shingles").alias(f"{end}_n"), F.col("bits").alias(f"{end}_bits")) for end in ("leaf", "hub"))
-    differ = sum((F.bit_count(F.col("leaf_bits")[i].bitwiseXOR(F.col("hub_bits")[i])) for i in range(8)), F.lit(0))
     n = F.col("leaf_n") + F.col("hub_n")
-    fine = (F.lit(100) * F.least("leaf_n", "hub_n") >= F.lit(percent) * F.greatest("leaf_n", "hub_n")) & (differ * (100 + percent) <= n * (100 - percent))
+    fine = (F.lit(100) * F.least("leaf_n", "hub_n") >= F.lit(percent) * F.greatest("leaf_n", "hub_n")) & (unlike("leaf_bits", "hub_bits") * (100 + percent) <= n * (100 - percent))
     return edges.join(a, "leaf").join(b, "hub").filter(fine).select("leaf", "hub")
 
 
@@ -327,19 +331,19 @@ def linked_classes(docs: DataFrame, sketch: DataFrame, shingle: int, percent: in
     unsure = mixed(members.select("key", "node"), found).select("node").distinct()
     left = cut_lineage(rare_prefixes(texts.join(unsure, "node", "left_semi"), shingle, percent))
     while True:
-        now = cut_lineage(mixed(left, found))
+        now = cut_lineage(mixed(left, found).join(marks.select("node", "bits"), "node"))
         if now.isEmpty():
             return classes, found
         order = Window.partitionBy("key").orderBy("own", "component", "node")
-        hubs = cut_lineage(now.withColumn("turn", F.row_number().over(order)).filter(F.col("turn") <= HUBS).select("key", F.col("node").alias("hub"), F.col("component").alias("of"), F.col("size").alias("hub_size"), F.col("place").alias("hub_place")))
+        hubs = cut_lineage(now.withColumn("turn", F.row_number().over(order)).filter(F.col("turn") <= HUBS).select("key", F.col("node").alias("hub"), F.col("component").alias("of"), F.col("size").alias("hub_size"), F.col("place").alias("hub_place"), F.col("bits").alias("hub_bits")))
         pairs = now.join(hubs, "key").filter((F.col("component") != F.col("of")) & possible(percent)).select(F.greatest("node", "hub").alias("leaf"), F.least("node", "hub").alias("hub")).distinct()
         done = checked.select(F.greatest("leaf", "hub").alias("leaf"), F.least("leaf", "hub").alias("hub"))
-        fresh = cut_lineage(near_enough(pairs.join(done, ["leaf", "hub"], "left_anti"), marks, percent))
+        fresh = cut_lineage(pairs.join(done, ["leaf", "hub"], "left_anti"))
         more = cut_lineage(confirmed(fresh, texts, shingle, percent))
         if not more.isEmpty():
-            links = links.unionByName(more)
+            links = cut_lineage(links.unionByName(more))
             found = components(links)
-        checked = checked.unionByName(fresh)
+        checked = cut_lineage(checked.unionByName(fresh))
         left = now.join(hubs.select("key", F.col("hub").alias("node")), ["key", "node"], "left_anti").select("node", "key", "size", "place")
 
 
