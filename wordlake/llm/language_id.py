@@ -7,9 +7,10 @@ score is the codewords' softmax at the chosen one; a text is flagged ambiguous w
 nearest codewords are close, or no codeword is near.
 
 Defined results: null texts and texts without a letter are ``und`` with score 0; with no labelled
-rows every text is ``und``; with one language only, every other text is that language with score 1;
-repeated rows and null doc_ids are predicted each on its own; other columns are ignored; an empty
-table gives no rows.
+rows every text is ``und``; with one language only, every other text is that language with score 1; of
+languages that tie the first in order of name is taken (and flagged); texts of any length are read
+whole; repeated rows and null doc_ids are predicted each on its own; other columns are ignored; an
+empty table gives no rows.
 """
 
 from __future__ import annotations

@@ -7,8 +7,9 @@ calibrated (Platt) on rows of the sample that it was not fitted on; texts are sc
 batches against a fixed threshold.
 
 Defined results: null and empty texts have zero counts and fail the base rules; without rows of
-both labels the classifier scores 1 and only the base rules count; repeated rows and null doc_ids
-are judged each on its own; other columns are ignored; an empty table gives no rows.
+both labels the classifier scores 1 and only the base rules count; a score that ties with the
+threshold is kept; texts of any length are judged whole; repeated rows and null doc_ids are judged
+each on its own; other columns are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations

@@ -11,42 +11,43 @@ from pyspark.sql import functions as F
 from wordlake.llm.common import hash01
 
 
-def shares(labels: DataFrame, label: str, per_label: int, max_labels: int) -> Column | None:
-    """Which share of each label's rows makes a sample of about ``per_label`` rows."""
-    counts = labels.groupBy(label).count().limit(max_labels + 1).collect()
+def shares(labels: DataFrame, label: str, n_rows: Column, per_label: int, max_labels: int) -> tuple[Column, int] | None:
+    """Which share of each label's rows (counted by ``n_rows``) makes a sample of about ``per_label`` rows; and the labels."""
+    counts = labels.groupBy(label).agg(n_rows.alias("n")).limit(max_labels + 1).collect()
     if len(counts) > max_labels:
         raise ValueError(f"more than {max_labels} labels in {label}")
     if not counts:
         return None
-    return F.create_map(*[F.lit(x) for c in counts for x in (c[0], min(1.0, per_label / c["count"]))])[F.col(label)]
+    return F.create_map(*[F.lit(x) for c in counts for x in (c[0], min(1.0, per_label / max(1, c["n"])))])[F.col(label)], len(counts)
 
 
 def bounded_sample(rows: DataFrame, label: str, per_label: int, max_labels: int = 1000) -> list[tuple[str, str]]:
-    """About ``per_label`` (label, text) rows of each label, chosen by a hash of the text.
+    """About ``per_label`` different (label, text) pairs of each label, chosen by a hash of the text.
 
     The sample is what a model is fitted on; it is the only part of the rows that comes to the
-    driver.  More than ``max_labels`` labels are an error.
+    driver: copies of a text count once, and at most ``2 * per_label`` pairs times the number of
+    labels are taken.  More than ``max_labels`` labels are an error.
     """
-    rows = rows.filter(F.col(label).isNotNull() & F.col("text").isNotNull())
-    share = shares(rows, label, per_label, max_labels)
+    rows = rows.filter(F.col(label).isNotNull() & F.col("text").isNotNull()).select(F.col(label).cast("string").alias(label), "text")
+    share = shares(rows, label, F.approx_count_distinct(F.xxhash64("text")), per_label, max_labels)
     if share is None:
         return []
-    chosen = rows.filter(hash01("text", F.lit(7)) < share).select(F.col(label).cast("string"), "text")
-    return sorted((r[0], r[1]) for r in chosen.collect())
+    chosen = rows.filter(hash01("text", F.lit(7)) < share[0]).groupBy(label, F.xxhash64("text").alias("h")).agg(F.min("text").alias("text"))
+    return sorted((r[0], r[1]) for r in chosen.orderBy("h", label).limit(2 * per_label * share[1]).select(label, "text").collect())
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_label: int, max_labels: int = 100) -> list[tuple[str, str]]:
     """As ``bounded_sample``, for labels in a table of their own (doc_id, label).
 
     The labels are sampled first, by a hash of doc_id; only these, at most twice ``per_label`` times
-    the number of labels, are broadcast to the documents, so no text is shuffled.
+    the number of different labels, are broadcast to the documents, so no text is shuffled.
     """
     labels = labels.filter(F.col(label).isNotNull() & F.col("doc_id").isNotNull()).select("doc_id", label)
-    share = shares(labels, label, per_label, max_labels)
+    share = shares(labels, label, F.count("*"), per_label, max_labels)
     if share is None:
         return []
-    bound = 2 * per_label * max_labels
-    chosen = labels.filter(hash01("doc_id", F.lit(7)) < share).distinct().limit(bound)
+    bound = 2 * per_label * share[1]
+    chosen = labels.filter(hash01("doc_id", F.lit(7)) < share[0]).distinct().limit(bound)
     found = docs.filter(F.col("text").isNotNull()).select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
     return sorted((r[0], r[1]) for r in found.select(F.col(label).cast("string"), "text").limit(bound).collect())
 
