@@ -6,8 +6,10 @@ differ by up to ``edits`` characters: cut into edits + 1 seeds, one of them must
 (pigeonhole), so exact seeds locate candidate windows and the regex library's bounded-error match
 verifies the edits there and reports the span.
 
-Defined results: null and empty texts have no words, no labels and score 0; repeated rows and
-null doc_ids are scanned each on its own; other columns are ignored; an empty table gives no rows.
+Defined results: null and empty texts have no words, no labels and score 0; texts of any length are
+scanned whole, in time that grows with their length; places that tie are all reported; repeated
+rows and null doc_ids are scanned each on its own; other columns are ignored; an empty table gives
+no rows.
 """
 
 from __future__ import annotations
@@ -15,6 +17,7 @@ from __future__ import annotations
 import functools
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -54,42 +57,43 @@ def matcher(notice: str, edits: int):  # noqa: ANN201
     return regex.compile(rb"(?e)(?<![^ ])(?:" + regex.escape(notice).replace("\\ ", " ").encode() + b"){e<=" + str(edits).encode() + rb"}(?![^ ])")
 
 
-def windows(text: bytes, notice: str, edits: int) -> list[tuple[int, int]]:
-    """Merged candidate windows, widened to word bounds."""
+def windows(text: bytes, spaces: np.ndarray, notice: str, edits: int) -> list[tuple[int, int]]:
+    """Merged candidate windows, widened to word bounds; ``spaces`` are the places of the text's spaces."""
     found = []
     for at, seed in seeds(notice, edits):
         i = text.find(seed)
         while i >= 0:
             found.append((max(0, i - at - edits - 1), min(len(text), i - at + len(notice) + edits + 1)))
             i = text.find(seed, i + 1)
-    out: list[tuple[int, int]] = []
-    for a, b in sorted(found):
-        a, b = text.rfind(b" ", 0, a + 1) + 1, text.find(b" ", b)
-        b = len(text) if b < 0 else b
-        if out and a <= out[-1][1]:
-            out[-1] = (out[-1][0], max(b, out[-1][1]))
-        else:
-            out.append((a, b))
-    return out
+    if not found:
+        return []
+    bounds = np.concatenate([[-1], spaces, [len(text)]])
+    a, b = np.array(sorted(found)).T
+    a = bounds[np.searchsorted(bounds, a, "right") - 1] + 1
+    b = np.maximum.accumulate(bounds[np.searchsorted(bounds, b, "left")])
+    head = np.flatnonzero(np.append(True, a[1:] > b[:-1]))
+    return list(zip(a[head].tolist(), b[np.append(head[1:], len(b)) - 1].tolist(), strict=True))
 
 
 def scan(text: bytes) -> tuple[int, list[tuple]]:
     """Words of the text and its places: (label, kind, start_word, n_words, edits, score)."""
     words = text.lower().translate(SPACED).split()
     flat = b" " + b" ".join(words) + b" "
+    body = flat[1:-1]
+    spaces = np.flatnonzero(np.frombuffer(body, np.uint8) == 32)
+    word_at = lambda i: int(np.searchsorted(spaces, i))
     out: list[tuple] = []
     for phrase, label in BASE.items():
         look = b" " + phrase.encode() + b" "
         i = flat.find(look)
         while i >= 0:
-            out.append((label, "base", flat.count(b" ", 0, i), phrase.count(" ") + 1, 0, 1.0))
+            out.append((label, "base", word_at(i), phrase.count(" ") + 1, 0, 1.0))
             i = flat.find(look, i + len(look) - 1)
-    body = flat[1:-1]
     for label, notice, edits in NOTICES:
-        for a, b in windows(body, notice, edits):
+        for a, b in windows(body, spaces, notice, edits):
             for m in matcher(notice, edits).finditer(body[a:b]):
                 cost = sum(m.fuzzy_counts)
-                out.append((label, "notice", body.count(b" ", 0, a + m.start()), m[0].strip().count(b" ") + 1, cost, 1.0 - cost / len(notice)))
+                out.append((label, "notice", word_at(a + m.start()), m[0].strip().count(b" ") + 1, cost, 1.0 - cost / len(notice)))
     return len(words), out
 
 
