@@ -5,8 +5,9 @@ A document of n tokens is cut into pieces whose lengths are the powers of two in
 crosses documents and none is padded; equal lengths share a bucket, from which equal-shape
 batches are drawn.  The whole job is one scan: no shuffle.
 
-Defined results: null text is empty (one piece holding only the end id); null ``doc_id`` is
-carried; repeated rows are packed each; an empty table gives no rows; other columns are ignored.
+Defined results: null and empty texts give one piece holding only the end id; texts of any length
+are tokenized whole; null ``doc_id`` is carried; repeated and tied rows are packed each, under
+sequence ids of their own; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -44,7 +45,8 @@ class Encoder:
     """Token ids of texts, by units that the pre-tokenizer never joins.
 
     A unit starts where a space or newline follows anything else, and where ASCII punctuation
-    follows an ASCII letter.  Equal units of a chunk are found by 64-bit hash and length; each
+    follows an ASCII letter.  Equal units of a chunk are found by 64-bit hash and compared by their
+    bytes (should two differ, the chunk is encoded whole); each
     unit that is new to the worker goes through the tokenizer, the others come from a table of at
     most ``known_units`` units (beyond that it starts anew).
     """
@@ -86,13 +88,17 @@ class Encoder:
         odd = [bool(OTHER_SPACE.search(t)) for t in texts]
         raw = [b"" if o else t.encode() for t, o in zip(texts, odd, strict=True)]
         sizes = np.fromiter(map(len, raw), np.int64, len(raw))
-        ids, bounds = self._units(np.frombuffer(b"".join(raw), np.uint8), np.cumsum(sizes) - sizes, sizes)
+        found = self._units(np.frombuffer(b"".join(raw), np.uint8), np.cumsum(sizes) - sizes, sizes)
+        if found is None:
+            return [np.array(x, np.uint32) for x in self.whole(texts)]
+        ids, bounds = found
         out = [ids[a:b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
         for i in np.flatnonzero(odd):
             out[i] = np.array(self.whole([texts[i]])[0], np.uint32)
         return out
 
-    def _units(self, buf: np.ndarray, doc_at: np.ndarray, doc_size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def _units(self, buf: np.ndarray, doc_at: np.ndarray, doc_size: np.ndarray) -> tuple[np.ndarray, np.ndarray] | None:
+        """All ids and each text's bounds in them; None if two different units share a hash."""
         if not len(buf):
             return np.empty(0, np.uint32), np.zeros(len(doc_at) + 1, np.int64)
         kind = KIND[buf]
@@ -104,6 +110,9 @@ class Encoder:
         hashes = word_hashes(buf, starts, ends)
         hashes ^= (ends - starts).astype(np.uint64)
         _, sample, group = np.unique(hashes, return_index=True, return_inverse=True)
+        of_sample = np.arange(len(buf)) + np.repeat(starts[sample][group] - starts, ends - starts)
+        if (ends - starts != (ends - starts)[sample][group]).any() or (buf[of_sample] != buf).any():
+            return None
         data = buf.tobytes()
         units = [data[a:b] for a, b in zip(starts[sample].tolist(), ends[sample].tolist(), strict=True)]
         if len(self.rows) > self.known_units:
