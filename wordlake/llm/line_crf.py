@@ -5,11 +5,13 @@ character classes, repeated words and lines, and the same of the lines before an
 transition weights tie neighbouring labels.  The labelled rows mark whole documents, so a
 document's label stands for each of its lines in training.  A document's score is the mean of its
 lines' forward-backward marginals for "good", weighted by line length and calibrated (Platt) on
-the sample's documents.
+documents of the sample that the model was not fitted on.
 
 Defined results: null, empty and blank texts get the labelled rows' share of good documents (0.5
-without any); so does every text if the labels are all alike or missing; repeated rows and null
-doc_ids are scored each on its own; other columns are ignored; an empty table gives no rows.
+without any); so does every text if the labels are all alike or missing; texts of any length are
+scored whole, their lines' features made in parts; equal lines of a text count each; repeated rows
+and null doc_ids are scored each on its own; other columns are ignored; an empty table gives no
+rows.
 """
 
 from __future__ import annotations
@@ -31,6 +33,8 @@ ROWS_PER_LABEL = 800
 #: Character classes by byte: 0 other, 1 lower, 2 upper, 3 digit, 4 space, 5 full stop or comma, 6 other punctuation, 7 beyond ASCII.
 CLASS = np.array([7 if c >= 128 else 1 if 97 <= c <= 122 else 2 if 65 <= c <= 90 else 3 if 48 <= c <= 57 else 4 if chr(c).isspace() else 5 if chr(c) in ".,;:'" else 6 if 33 <= c <= 126 else 0 for c in range(256)], np.int64)
 OWN = 14
+#: Lines whose features are held at once; texts of more lines are taken in parts.
+LINES = 1 << 13
 
 
 @dataclass
@@ -45,8 +49,20 @@ class Model:
     offset: float = 0.0
 
 
-def line_features(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Features per line, lines per text, and the lines' lengths (0 for blank lines)."""
+def repeated_lines(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """Which lines stand earlier in their text as well."""
+    whole = word_hashes(buf, starts, ends)
+    by = np.lexsort((np.arange(len(whole)), whole, doc))
+    again = np.zeros(len(whole), bool)
+    again[by[1:]] = (whole[by[1:]] == whole[by[:-1]]) & (doc[by[1:]] == doc[by[:-1]])
+    return again
+
+
+def line_features(texts: list[bytes], again: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Features per line, lines per text, and the lines' lengths (0 for blank lines).
+
+    ``again`` says which lines are repeats where the texts are only parts.
+    """
     counts = np.fromiter((t.count(b"\n") + 1 for t in texts), np.int64, len(texts))
     data = b"\n".join(texts)
     buf = np.frombuffer(data, np.uint8)
@@ -66,11 +82,7 @@ def line_features(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarra
     first = np.ones(len(by), bool)
     first[1:] = (words[by[1:]] != words[by[:-1]]) | (of[by[1:]] != of[by[:-1]])
     distinct = np.bincount(of[by[first]], minlength=n).astype(np.float64)
-    whole = word_hashes(buf, starts, ends)
-    by = np.lexsort((np.arange(n), whole, doc))
-    again = np.zeros(n, bool)
-    again[by[1:]] = (whole[by[1:]] == whole[by[:-1]]) & (doc[by[1:]] == doc[by[:-1]])
-    again &= n_words > 0
+    again = (repeated_lines(buf, starts, ends, doc) if again is None else again) & (n_words > 0)
     size, count = np.maximum(length, 1), np.maximum(n_words, 1)
     letters = np.maximum(kinds[:, 1] + kinds[:, 2] + kinds[:, 7], 1)
     last = np.where(length > 0, buf[np.maximum(ends - 1, 0)] if len(buf) else 0, 0)
@@ -122,6 +134,61 @@ def forward_backward(score: np.ndarray, counts: np.ndarray, move: np.ndarray, st
     return marginals, pairs
 
 
+def along(first: np.ndarray, steps: np.ndarray) -> np.ndarray:
+    """Logarithms of the vectors that ``first`` becomes by one matrix of ``steps`` (n x 2 x 2) after another.
+
+    The chain is cut into segments whose matrices are multiplied side by side, so n steps take
+    about twice the square root of n operations on arrays.
+    """
+    n = len(steps)
+    if not n:
+        return np.empty((0, 2))
+    size = int(np.sqrt(n))
+    parts = -(-n // size)
+    padded = np.full((parts * size, 2, 2), -np.inf)
+    padded[:, [0, 1], [0, 1]] = 0.0  # the identity
+    padded[:n] = steps
+    grid = padded.reshape(parts, size, 2, 2)
+    total = np.empty_like(grid)
+    total[:, 0] = grid[:, 0]
+    for t in range(1, size):
+        total[:, t] = np.logaddexp(total[:, t - 1, :, :1] + grid[:, t, :1, :], total[:, t - 1, :, 1:] + grid[:, t, 1:, :])
+    begin = np.empty((parts, 2))
+    begin[0] = first
+    for s in range(1, parts):
+        begin[s] = np.logaddexp(begin[s - 1, 0] + total[s - 1, -1, 0], begin[s - 1, 1] + total[s - 1, -1, 1])
+    out = np.logaddexp(begin[:, None, :1] + total[:, :, 0], begin[:, None, 1:] + total[:, :, 1])
+    return out.reshape(-1, 2)[:n]
+
+
+def long_marginals(score: np.ndarray, move: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """The marginals of ``forward_backward`` for one chain of many lines."""
+    first = score[0] + start
+    ahead = np.concatenate([first[None], along(first, move[None] + score[1:, None, :])])
+    onward = (move[None] + score[1:, None, :]).transpose(0, 2, 1)[::-1]
+    back = np.concatenate([np.zeros((1, 2)), along(np.zeros(2), onward)])[::-1]
+    joint = ahead + back
+    return np.exp(joint - log_add(joint)[:, None])
+
+
+def long_text(text: bytes, model: Model) -> tuple[float, float, np.ndarray]:
+    """As ``raw_scores`` for one text of many lines: features are made for some lines at a time."""
+    buf = np.frombuffer(text, np.uint8)
+    ends = np.append(np.flatnonzero(buf == 10), len(buf))
+    starts = np.append(0, ends[:-1] + 1)
+    n = len(ends)
+    again = repeated_lines(buf, starts, ends, np.zeros(n, np.int8))
+    score, length = np.empty((n, 2)), np.empty(n)
+    for a in range(0, n, LINES):
+        b = min(n, a + LINES)
+        lo, hi = max(0, a - 1), min(n, b + 1)  # a line sees its neighbours
+        x, _, size = line_features([text[starts[lo] : ends[hi - 1]]], again[lo:hi])
+        score[a:b], length[a:b] = x[a - lo : b - lo] @ model.emit, size[a - lo : b - lo]
+    good = long_marginals(score, model.move, model.start)[:, 1]
+    total = float(length.sum())
+    return (float((length * good).sum() / total) if total else model.prior), total, good
+
+
 def fit(x: np.ndarray, counts: np.ndarray, good: np.ndarray, steps: int = 150, rate: float = 0.1, l2: float = 1e-3) -> Model:
     """Maximum likelihood (Adam) with each document's label on all its lines."""
     label = np.repeat(good.astype(int), counts)
@@ -152,9 +219,14 @@ def train(docs: DataFrame, labels: DataFrame, per_label: int = ROWS_PER_LABEL) -
     if not len(good) or good.all() or not good.any():
         return Model(None, None, None, float(good.mean()) if len(good) else 0.5)
     texts = [t.encode() for _, t in sample]
-    x, counts, _ = line_features(texts)
-    model = fit(x, counts, good)
-    model.slope, model.offset = fit_platt(log_odds(raw_scores(texts, model)[0]), good)
+    held = np.arange(len(texts)) % 4 == 3  # calibrated on texts that the model was not fitted on
+    if min(good[held].sum(), (~good[held]).sum(), good[~held].sum(), (~good[~held]).sum()) == 0:
+        held[:] = False
+    x, counts, _ = line_features([t for t, h in zip(texts, held, strict=True) if not h])
+    model = fit(x, counts, good[~held])
+    model.prior = float(good.mean())
+    check = held if held.any() else ~held
+    model.slope, model.offset = fit_platt(log_odds(raw_scores([t for t, c in zip(texts, check, strict=True) if c], model)[0]), good[check])
     return model
 
 
@@ -166,6 +238,17 @@ def log_odds(share: np.ndarray) -> np.ndarray:
 
 def raw_scores(texts: list[bytes], model: Model) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
     """Length-weighted mean marginal per text (the prior for blank texts), text length, line marginals."""
+    many = [t.count(b"\n") >= LINES for t in texts]
+    if any(many):
+        score, total, lines = np.empty(len(texts)), np.empty(len(texts)), [np.empty(0)] * len(texts)
+        rest = [i for i, x in enumerate(many) if not x]
+        if rest:
+            score[rest], total[rest], found = raw_scores([texts[i] for i in rest], model)
+            for i, x in zip(rest, found, strict=True):
+                lines[i] = x
+        for i in np.flatnonzero(many).tolist():
+            score[i], total[i], lines[i] = long_text(texts[i], model)
+        return score, total, lines
     x, counts, length = line_features(texts)
     good = forward_backward(x @ model.emit, counts, model.move, model.start)[0][:, 1]
     doc = np.repeat(np.arange(len(texts)), counts)
