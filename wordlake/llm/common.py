@@ -30,9 +30,12 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``, else one of our own."""
+    """The folder that driver and executors share: ``spark.checkpoint.dir``; unset on one machine, one of our own."""
     named = spark.conf.get("spark.checkpoint.dir", "")
     if not named:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         named = OWN_FOLDER.setdefault("path", "") or os.path.join(tempfile.mkdtemp(prefix="spark-"), "shared")
         OWN_FOLDER["path"] = named
     return named
@@ -50,11 +53,6 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def shuffle_parts(spark: SparkSession, factor: int = 1) -> int:
-    """The session's number of shuffle partitions times ``factor``."""
-    return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")) * factor)
-
-
 def fold(column: Column, modulus: int) -> Column:
     """crc32 of the column's text form, modulo ``modulus``: the folds of the contracts."""
     return F.pmod(F.crc32(column.cast("string").cast("binary")), F.lit(modulus))

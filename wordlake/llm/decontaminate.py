@@ -8,11 +8,14 @@ words as an alignment of the least score can insert), the stretch is aligned wit
 word, unless the words they share cannot reach the score; the alignment's score as a share of a
 perfect one decides.
 
-The items come to the tasks in blocks of bounded size; each block is one pass over the documents,
-so neither side is ever shuffled or collected as a whole.
-
-Defined results: null and empty texts, and items of fewer than ``n`` words, match nothing; rows
-that repeat an item_id are items of their own; repeated documents are each reported; null ids are
+The items come to the tasks in blocks of ``BLOCK_BYTES`` (or one item, if that is longer); each
+block is one pass over the documents, so neither side is ever shuffled or collected as a whole.  The
+number of passes follows the benchmark's size alone; every block goes through the same plan.
+
+Defined results: null and empty texts, and items of fewer than ``n`` words, match nothing (a word or
+two stand in any text; such an item says nothing about a leak); rows that share an item_id are items
+of their own, but rows that repeat an item whole are one; repeated documents are each reported; of
+stretches that tie the first is reported; texts of any length are searched whole; null ids are
 carried; other columns are ignored by ``leaks`` and carried by ``drop_leaks``; empty tables give no
 leaks.
 """
@@ -31,7 +34,7 @@ from wordlake.llm.common import U64, first_words, gram_hashes, pieces, utf8, wor
 
 CHUNK_BYTES = 4 << 20
 #: Bytes of item text in one block: what a pass broadcasts.
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 16 << 20
 #: Hits of a chunk that are handled at once; a document's are never parted.
 HITS = 1 << 20
 SPACED = bytes(c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
@@ -175,14 +178,15 @@ def leaks_in_chunk(texts: list[bytes], items: Items, finder: Finder, n: int, lea
 def leaks(docs: DataFrame, benchmark: DataFrame, n: int = 3, min_hits: int = 2, least: float = 0.4, id_column: str = "doc_id") -> DataFrame:
     """One row per document and item it holds: doc_id, item_id, score, start_word, end_word."""
     spark = docs.sparkSession
-    size = benchmark.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
+    benchmark = benchmark.select(F.col("item_id").cast("long"), "text").distinct()
+    size = benchmark.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     blocks = 1 + int(size) // BLOCK_BYTES
     schema = "doc_id long, item_id long, score double, start_word long, end_word long"
     arrow = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("score", pa.float64()), ("start_word", pa.int64()), ("end_word", pa.int64())])
     taken = docs.filter(F.col("text").isNotNull()).select(F.col(id_column).cast("long").alias("doc_id"), "text")
     out = spark.createDataFrame([], schema)
     for block in range(blocks):
-        rows = benchmark.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).select(F.col("item_id").cast("long"), "text").collect()
+        rows = benchmark.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).collect()
         items = item_block(rows, n, min_hits)
         if not len(items.seeds):
             continue
