@@ -44,6 +44,103 @@ def windows_brute(rows, width):
     return {d: [(w, any(first[tuple(ws[j : j + width])] != (d, j) for j in range(max(0, i - width + 1), min(i, len(ws) - width) + 1))) for i, w in enumerate(ws)] for d, ws in words.items()}
 
 
+def spans_of(rows, width, k, frequent=None):
+    """Both operators' spans by packing and reducing in this process, all in one unit."""
+    import numpy as np
+    import pyarrow as pa
+
+    from wordlake.llm import windows
+
+    frequent = np.zeros(windows.BUCKETS, bool) if frequent is None else frequent
+    chunks = [pa.record_batch([pa.array([d]), pa.array([0]), pa.array([t])], names=["__doc", "__text", "text"]) for d, t in rows]
+    packed = [row for chunk in chunks for row in windows.pack_chunk(chunk, width, k, 1, frequent)]
+    strings = windows.unpack([(body, meta) for _, kind, _, body, meta in packed if not kind], 0, 1)
+    assert all(not kind for _, kind, *_ in packed)
+    return windows.repeated_windows(strings, width), suffix_dedup.suffix_matches(strings, width)
+
+
+@pytest.mark.parametrize("often", [False, True])
+def test_windows_of_documents_that_are_handled_in_runs(monkeypatch, often):
+    import numpy as np
+
+    from wordlake.llm import windows
+
+    monkeypatch.setattr(windows, "MAX_WORDS", 90)
+    rng = random.Random(12)
+    shared = [f"s{i}" for i in range(160)]
+    rows = [(d, " ".join([f"d{d}w{i}" for i in range(rng.randrange(40))] + shared[rng.randrange(9) :] + [f"e{d}w{i}" for i in range(rng.randrange(40))])) for d in range(6)]
+    for spans in spans_of(rows, 20, 3, np.random.RandomState(1).rand(windows.BUCKETS) < 0.7 if often else None):
+        got = {(int(x["doc"]), int(x["start"]) + i, int(x["first_doc"]), int(x["first_start"]) + i) for x in spans for i in range(int(x["count"]))}
+        first, expected = {}, set()
+        for d, t in rows:
+            w = t.split()
+            for i in range(len(w) - 19):
+                f = first.setdefault(tuple(w[i : i + 20]), (d, i))
+                if f != (d, i):
+                    expected.add((d, i, *f))
+        assert got == expected
+
+
+@pytest.mark.parametrize("units", [1, 7])
+def test_windows_in_units_and_turns(spark, monkeypatch, units):
+    """Several units and turns, frequent k-grams, one long text, and many copies."""
+    from wordlake.llm import windows
+
+    monkeypatch.setattr(windows, "UNPACK_BYTES", 20_000)
+    rng = random.Random(2)
+    common = "in the end of it all".split()
+    rows = [(d, " ".join(x for _ in range(12) for x in [*common, *(f"w{rng.randrange(60)}" for _ in range(3))])) for d in range(60)] + [(900, " ".join(f"u{i}" for i in range(40_000)))] + [(1000 + d, "one text that stands here many times " * 5) for d in range(300)]
+    size = sum(len(t) for _, t in rows)
+    monkeypatch.setattr(windows, "UNIT_BYTES", 1 + size // units)
+    brute = windows_brute(rows, 20)
+    docs = table(spark, rows).repartition(5)
+    got = {r.doc_id: r.n_removed for r in substring_dedup.substring_dedup(docs).collect()}
+    assert got == {d: sum(g for _, g in x) for d, x in brute.items()} and sum(got.values()) > 5000
+    covered = {}
+    for r in suffix_dedup.repeated_passages(docs, 20, 3).collect():
+        covered.setdefault(r.doc_id, set()).update(range(r.start_word, r.start_word + r.n_words))
+    assert {d: len(x) for d, x in covered.items()} == {d: n for d, n in got.items() if n}
+
+
+def test_texts_without_ids(spark):
+    """Equal texts without an id are one document; others are told apart by the text."""
+    passage = " ".join(f"w{i}" for i in range(60))
+    rows = [(None, "a b " + passage), (None, "c d " + passage), (None, "c d " + passage), (3, passage)]
+    assert sorted((str(r.doc_id), r.n_removed) for r in substring_dedup.substring_dedup(table(spark, rows)).collect()) == [("3", 0)] + [("None", 60)] * 3
+    found = suffix_dedup.repeated_passages(table(spark, rows)).distinct().collect()
+    assert {(r.doc_id, r.start_word, r.n_words, r.first_doc_id) for r in found} == {(None, 2, 60, 3)}
+    assert sorted(str(r.text) for r in suffix_dedup.cut_passages(table(spark, rows)).collect()) == sorted(["a b", "c d", "c d", passage])
+    assert {r.doc_id for r in quality_rules.judge(table(spark, rows), quality_rules.Model(None)).collect()} == {None, 3}
+
+
+def test_repeated_rows_and_very_long_texts(spark):
+    """Row-wise operators give equal rows equal results; one text of megabytes passes through all of them."""
+    long = " ".join(f"w{i % 90_000}" for i in range(300_000))
+    rows = [(1, "cc by words here"), (1, "cc by words here"), (2, long)]
+    docs = table(spark, rows)
+    summary = license_scan.license_summary(docs).collect()
+    assert len(summary) == 3 and summary[0] == summary[1] and summary[2].n_words == 300_000
+    judged = quality_rules.judge(docs, quality_rules.Model(None)).collect()
+    assert judged[0] == judged[1] and judged[2].n_words == 300_000
+    html = "<article><p>" + long + "</p></article>"
+    pages = html_text.extract_text(spark.createDataFrame([(1, "u", html), (1, "u", html), (None, None, "")], "page_id long, url string, html string")).collect()
+    assert [r.text for r in pages] == [long, long, ""]
+    near = near_dup.near_duplicates(docs).collect()
+    assert sorted((r.doc_id, r.n_shingles, r.kept) for r in near) == [(1, 3, True), (1, 3, True), (2, 90_000, True)]
+    assert {r.doc_id: r.n_removed for r in substring_dedup.substring_dedup(docs).collect()} == {1: 0, 2: 210_000}
+    leaks = decontaminate.leaks(docs, spark.createDataFrame([(7, " ".join(f"w{i}" for i in range(500, 530)))], "item_id long, text string")).collect()
+    assert [(r.doc_id, r.item_id, r.score) for r in leaks] == [(2, 7, 1.0)]
+    items = spark.createDataFrame([(7, "cc by words here"), (7, "cc by words here")], "item_id long, text string")
+    assert sorted((r.doc_id, r.item_id) for r in decontaminate.leaks(docs, items).collect()) == [(1, 7), (1, 7)]
+
+
+def test_buckets_are_written_by_length(spark, tmp_path):
+    packed = packing.pack(table(spark, [(1, "word " * 700), (2, "")]), packing.public_path(packing.TOKENIZER_FILE))
+    packing.write_buckets(packed, f"{tmp_path}/packed")
+    back = spark.read.parquet(f"{tmp_path}/packed")
+    assert back.count() == packed.count() and {(1 << r.bucket) for r in back.collect()} == {r.length for r in back.collect()}
+
+
 def test_substring_dedup(spark):
     rows = corpus()
     brute = windows_brute(rows, 20)
@@ -246,6 +343,38 @@ def test_license_scan_base_on_documents(spark):
         assert (r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels) == (len(w), len(at), min((i for i, _ in at), default=None), max((i for i, _ in at), default=None), ",".join(sorted({x for _, x in at})))
 
 
+def test_license_seeds_lose_no_notice():
+    """Edited notices in random words: the seeds' windows against the pattern over the whole text."""
+    rng = random.Random(13)
+    letters = "abcdefghijklmnop qrstuvwxyz"
+    found = 0
+    for _ in range(400):
+        words = [rng.choice(["the", "license", "granted", "of", "free", "under", "mit", "cc", "by", "xq", "use"]) for _ in range(rng.randrange(30))]
+        _, notice, edits = rng.choice(license_scan.NOTICES)
+        text = list(notice)
+        for _ in range(rng.randrange(edits + 2)):
+            at = rng.randrange(len(text))
+            text[at : at + 1] = rng.choice(([], [rng.choice(letters)], [text[at], rng.choice(letters)]))
+        at = rng.randrange(len(words) + 1)
+        whole = " ".join([*words[:at], "".join(text), *words[at:]]).encode()
+        body = b" ".join(whole.lower().translate(license_scan.SPACED).split())
+        every = {label for label, n, e in license_scan.NOTICES if license_scan.matcher(n, e).search(body)}
+        got = {p[0] for p in license_scan.scan(whole)[1] if p[1] == "notice"}
+        assert got == every
+        found += bool(every)
+    assert found > 200
+
+
+def test_license_scan_of_long_texts_is_linear():
+    import time
+
+    began = time.time()
+    words, places = license_scan.scan(b"cc by " * 100_000)
+    assert words == 200_000 and sum(p[1] == "base" for p in places) == 100_000
+    license_scan.scan(b"thelicense" * 100_000)
+    assert time.time() - began < 20
+
+
 def test_quality_counts(spark):
     rows = [*corpus(4), (200, "a#*$ b\na#*$ b\n\n \n x&|<>% " + "r s t " * 30)]
     word, three = re.compile(r"[^\x20\x09-\x0D]+"), {}
@@ -366,6 +495,10 @@ def test_html_is_chosen_by_ratios(monkeypatch):
             assert html_text.main_text(html) != text or name != "no names"
 
 
+def test_empty_table_of_pages(spark):
+    assert html_text.extract_text(spark.createDataFrame([], "page_id long, url string, html string, text string")).collect() == []
+
+
 @pytest.mark.parametrize("run", [substring_dedup.substring_dedup, suffix_dedup.repeated_passages, suffix_dedup.cut_passages, near_dup.near_duplicates, near_dup.drop_near_duplicates, license_scan.license_summary])
 def test_empty_tables(spark, run):
     assert run(table(spark, [])).collect() == []

@@ -8,6 +8,7 @@ from tests.conftest import SF
 from tests.llm.test_exact import SCHEMA, corpus, table
 from wordlake.llm import language_id, line_crf, quality_rules
 from wordlake.llm.queries import QUERIES
+from wordlake.llm.training import bounded_sample
 
 
 def test_language_accuracy_on_held_out_rows(spark):
@@ -92,6 +93,77 @@ def test_forward_backward_against_all_paths():
     assert np.allclose(pairs, total)
 
 
+def test_long_chains_against_the_plain_recursion():
+    rng = np.random.RandomState(4)
+    for n in (1, 2, 3, 7, 64, 333):
+        score, move, start = rng.randn(n, 2) * 3, rng.randn(2, 2), rng.randn(2)
+        assert np.allclose(line_crf.long_marginals(score, move, start), line_crf.forward_backward(score, np.array([n]), move, start)[0])
+
+
+def test_texts_of_many_lines_are_scored_as_whole(monkeypatch):
+    rng = np.random.RandomState(6)
+    model = line_crf.Model(rng.randn(1 + 3 * line_crf.OWN, 2), rng.randn(2, 2), rng.randn(2), 0.4, 1.5, 0.2)
+    lines = ["", "A line. With words, 12 of them!", "a line", "#### $$", "über ß", "  "]
+    texts = ["\n".join(lines[i] for i in rng.randint(0, 6, n)).encode() for n in (1, 3, 9, 40, 101)] + [b"\n" * 30, b"", b"x"]
+    whole = line_crf.document_scores(texts, model)
+    monkeypatch.setattr(line_crf, "LINES", 8)
+    parts = line_crf.document_scores(texts, model)
+    assert np.allclose(whole[0], parts[0]) and all(np.allclose(a, b) for a, b in zip(whole[1], parts[1], strict=True))
+
+
+def test_line_crf_query_against_its_model_text_by_text(spark):
+    """Every row of the query, scored by sums over the plain recursion for its text alone."""
+    docs, labels = labelled(spark)
+    model = line_crf.train(docs, labels.filter(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 != 0))
+    texts = {r.doc_id: (r.text or "").encode() for r in docs.collect()}
+    for r in QUERIES["op10_line_crf"](spark, SF).collect():
+        x, counts, length = line_crf.line_features([texts[r.doc_id]])
+        good = line_crf.forward_backward(x @ model.emit, counts, model.move, model.start)[0][:, 1]
+        share = (length * good).sum() / max(1, length.sum())
+        odds = np.log(np.clip(share, 1e-6, 1 - 1e-6)) - np.log1p(-np.clip(share, 1e-6, 1 - 1e-6))
+        expected = 1 / (1 + np.exp(-(model.slope * odds + model.offset))) if length.sum() else model.prior
+        assert abs(r.score - expected) < 1e-6 and r.predicted == (r.score >= 0.3)
+
+
+def test_language_query_against_codewords_one_by_one(spark):
+    """Every row of the query by the definition: the codeword of least weighted loss."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").withColumn("h", F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3)
+    model = language_id.train(docs.filter("h <> 1").select("text", "lang"))
+    rows = {r.doc_id: r for r in docs.collect()}
+    for r in QUERIES["op1_language_id"](spark, SF).collect():
+        text = rows[r.doc_id].text or ""
+        assert r.held_out == (rows[r.doc_id].h == 1)
+        if not any(c.isalpha() for c in text):
+            assert (r.lang_pred, r.score) == ("und", 0.0)
+            continue
+        count = np.zeros(language_id.SIZE)
+        for key in language_id.ngram_keys(text).tolist():
+            count[key] += 1
+        x = np.sqrt(count) / np.sqrt(count.sum())
+        margin = x @ model.weights + model.bias
+        loss = [sum(t * np.log1p(np.exp(-m * c)) for m, c, t in zip(margin, code, model.trust, strict=True)) for code in model.codes]
+        odds = np.exp(-np.array(loss))
+        assert r.lang_pred == model.languages[int(np.argmin(loss))] and abs(r.score - odds.max() / odds.sum()) < 1e-3
+
+
+def test_quality_query_against_its_model_text_by_text(spark):
+    docs, labels = labelled(spark)
+    model = quality_rules.train(docs, labels)
+    texts = {r.doc_id: (r.text or "").encode() for r in docs.collect()}
+    for r in QUERIES["op7_quality_rules"](spark, SF).collect():
+        base, x = quality_rules.describe([texts[r.doc_id]])
+        score = model.score(x)[0]
+        assert abs(r.score - score) < 1e-4 and (r.kept == (not r.base_failed and score >= 0.5) or abs(score - 0.5) < 1e-4)
+
+
+def test_samples_count_copies_once_and_are_bounded(spark):
+    rows = spark.range(4000).select(F.when(F.col("id") % 4 == 0, "a").otherwise("b").alias("lang"), F.when(F.col("id") < 3000, "the same text").otherwise(F.concat(F.lit("text "), F.col("id"))).alias("text"))
+    sample = bounded_sample(rows, "lang", 50)
+    assert len(sample) == len(set(sample)) <= 200 and len(sample) > 40
+    whole = bounded_sample(rows, "lang", 10_000)
+    assert len(whole) == 1002 and ("a", "the same text") in whole and ("b", "the same text") in whole
+
+
 def test_language_stage_keeps_clashing_columns(spark):
     docs = table(spark, [(1, "the and of that is"), (2, "55")]).withColumn("lang", F.lit("en"))
     kept = corpus_pipeline.keep_known_languages(spark, docs, SF)
