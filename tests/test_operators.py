@@ -92,8 +92,9 @@ def test_title_variants(spark):
     assert got == [["people-to-people", "people to people"], ["pre-"]]
 
 
-def test_html_text():
-    assert lookup.visible_text("<p>A &amp; <script>x()</script>B</p>") == "A & B" and lookup.visible_text(None) == ""
+def test_html_text(spark):
+    pages = spark.createDataFrame([("<p>A &amp; <script>x('</p>')</script>B<!-- c -->&amp;lt;</p>",), (None,)], "html string")
+    assert [r[0] for r in pages.select(lookup.html_text("html")).collect()] == ["A & B &lt;", ""]
 
 
 def rows(spark, *values):

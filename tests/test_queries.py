@@ -42,10 +42,6 @@ def test_oracle(spark, duck, name):
     assert sorted(tuple(text(r[c]) for c in cols) for r in df.collect()) == want
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(SQL) - {"fuzzy_lookup"}))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(SQL)))
 def test_runs(spark, name):
     assert QUERIES[name](spark, SF).count() > 0
-
-
-def test_reassembled(spark):
-    assert QUERIES["reassemble"](spark, SF).filter("not same").count() == 0

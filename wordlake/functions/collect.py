@@ -2,16 +2,29 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wordlake.functions.normalize import collapse
 
 
-def clean_list(values: Column, cap: int = 40) -> Column:
-    """Collapsed, non-blank, distinct in order of first occurrence, at most ``cap``."""
-    cleaned = F.filter(F.transform(values, lambda v: collapse(v)), lambda v: F.coalesce(v, F.lit("")) != "")
-    return F.slice(F.array_distinct(cleaned), 1, cap)
+def clean_list(values: Column, cap: int | None = 40) -> Column:
+    """Collapsed, non-blank, distinct in order of first occurrence, at most ``cap`` (None: all)."""
+    cleaned = F.array_distinct(F.filter(F.transform(values, lambda v: collapse(v)), lambda v: F.coalesce(v, F.lit("")) != ""))
+    return cleaned if cap is None else F.slice(cleaned, 1, cap)
+
+
+def ordered_lists(df: DataFrame, keys: list[str], value: Column, *order: Column, cap: int = 40, out: str = "values") -> DataFrame:
+    """Per key its values in order, cleaned as ``clean_list``, where a key may have any number of rows.
+
+    Each (key, value) is reduced to its first place by a partial aggregate, and a key's values are
+    cut to the first ``cap`` before they are collected, so no list is longer than that.
+    """
+    clean = F.coalesce(collapse(value), F.lit(""))
+    places = df.select(*keys, clean.alias("__v"), F.struct(*[o.alias(f"o{i}") for i, o in enumerate(order)]).alias("__o")).groupBy(*keys, "__v").agg(F.min("__o").alias("__o"))
+    first = places.filter("__v <> ''").withColumn("__n", F.row_number().over(Window.partitionBy(*keys).orderBy("__o", "__v"))).filter(F.col("__n") <= cap)
+    lists = first.groupBy(*keys).agg(F.transform(F.array_sort(F.collect_list(F.struct("__n", "__v"))), lambda r: r["__v"]).alias(out))
+    return places.select(*keys).distinct().join(lists, keys, "left").withColumn(out, F.coalesce(out, F.array().cast("array<string>")))
 
 
 def collect_ordered(value: Column, *order: Column, cap: int = 40) -> Column:
@@ -22,11 +35,16 @@ def collect_ordered(value: Column, *order: Column, cap: int = 40) -> Column:
 
 def fold_text(values: Column) -> Column:
     """Left fold of texts: each step collapses what is there to one line and adds a line unless equal."""
+    # what is held: one collapsed line, and the line added last
+    state = lambda line, last: F.struct(line.alias("line"), last.alias("last"))
+    none = F.lit("")
+
     def step(held: Column, item: Column) -> Column:
-        a, b = F.coalesce(collapse(held), F.lit("")), F.coalesce(collapse(item), F.lit(""))
-        return F.when((b == "") | (a == b), a).when(a == "", b).otherwise(F.concat(a, F.lit("\n"), b))
+        a = F.when(held["last"] == "", held["line"]).otherwise(F.concat(held["line"], F.lit(" "), held["last"]))
+        return F.when((item == "") | (a == item), state(a, none)).when(a == "", state(item, none)).otherwise(state(a, item))
 
-    return F.aggregate(values, F.lit(""), step)
+    texts = F.transform(values, lambda v: F.coalesce(collapse(v), none))
+    return F.aggregate(texts, state(none, none), step, lambda h: F.when(h["last"] == "", h["line"]).otherwise(F.concat(h["line"], F.lit("\n"), h["last"])))
 
 
 def first_non_empty(value: Column, *order: Column) -> Column:

@@ -160,9 +160,9 @@ def resolved_difficulty(old: Column, old_frequency: Column, score: Column) -> Co
 
 
 def fill_empty(old: Column, new: Column) -> Column:
-    """struct(value, conflict): the old value unless blank; conflict where both differ."""
+    """struct(value, conflict): the old value unless it is blank and the new one is not; conflict where both differ."""
     both = ~blank(old) & ~blank(new)
-    return F.struct(F.when(~blank(old), old).otherwise(new).alias("value"), F.coalesce(both & (F.trim(old) != F.trim(new)), F.lit(False)).alias("conflict"))
+    return F.struct(F.when(blank(old) & ~blank(new), new).otherwise(old).alias("value"), F.coalesce(both & (F.trim(old) != F.trim(new)), F.lit(False)).alias("conflict"))
 
 
 def shard_filter(df: DataFrame, id_col: str, i: int, n: int, mode: str = "range", rank_cap: int | None = None) -> DataFrame:

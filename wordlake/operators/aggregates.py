@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wordlake.functions.normalize import blank
-
 
 def dedupe(df: DataFrame, keys: list[str], order: Column, keep: str = "first", length_of: Column | None = None) -> DataFrame:
     """One row per key: the first in order, or the first of the longest.
@@ -118,7 +116,3 @@ def check_report(reports: DataFrame) -> DataFrame:
     total, complete, incomplete = F.col("total"), F.col("complete"), F.col("incomplete")
     code = F.when((total < 0) | (complete < 0) | (incomplete < 0) | total.isNull() | complete.isNull() | incomplete.isNull(), "negative_count").when(complete + incomplete != total, "sum_mismatch")
     return reports.select(code.alias("code"), F.col("shard").cast("string").alias("example")).filter("code is not null")
-
-
-def non_blank(df: DataFrame, column: str) -> DataFrame:
-    return df.filter(~blank(F.col(column)))

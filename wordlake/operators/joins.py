@@ -48,12 +48,12 @@ def index_diff(entries: DataFrame, index: DataFrame, key: str, columns: list[str
 def prefix_join(prefixes: DataFrame, entries: DataFrame, prefix: str = "prefix", word: str = "word") -> DataFrame:
     """Pairs of a prefix and a word that starts with it, as one equi-join.
 
-    Each word is exploded to its beginnings of the lengths that prefixes have, so there is neither
-    a nested loop nor a range join.
+    Each word is exploded to its beginnings, of the lengths that prefixes have, so there is neither
+    a nested loop nor a range join.  Empty prefixes match nothing.
     """
-    lengths = sorted(r[0] for r in prefixes.select(F.length(prefix)).distinct().limit(1000).collect() if r[0])
-    begins = F.filter(F.array(*[F.when(F.length(word) >= n, F.substring(word, 1, n)) for n in lengths]), lambda x: x.isNotNull()) if lengths else F.array().cast("array<string>")
-    return prefixes.join(entries.withColumn(prefix, F.explode(begins)), prefix)
+    lengths = prefixes.select(F.length(prefix).alias("__n")).distinct()
+    begins = entries.filter(F.length(word) > 0).withColumn("__n", F.explode(F.sequence(F.lit(1), F.length(word)))).join(lengths, "__n")
+    return prefixes.join(begins.withColumn(prefix, F.expr(f"substring({word}, 1, __n)")).drop("__n"), prefix)
 
 
 def best_per_key(df: DataFrame, keys: list[str], order: list[Column], n: int) -> DataFrame:

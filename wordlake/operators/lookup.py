@@ -3,12 +3,11 @@
 from __future__ import annotations
 
 from difflib import SequenceMatcher
-from html.parser import HTMLParser
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StringType
+from pyspark.sql.types import DoubleType
 
 from wordlake.functions.collect import clean_list
 from wordlake.functions.normalize import collapse
@@ -26,24 +25,34 @@ def suggest(prefixes: DataFrame, entries: DataFrame, n: int = 10) -> DataFrame:
     return best_per_key(prefix_join(prefixes, entries), ["prefix"], [F.col("rank"), F.col("word")], n)
 
 
-def letter_counts(word: str) -> Column:
-    """How often each of a-z stands in a word, and all other characters together."""
-    counts = [F.length(word) - F.length(F.replace(F.col(word), F.lit(c))) for c in "abcdefghijklmnopqrstuvwxyz"]
-    return F.array(*counts, F.length(F.regexp_replace(word, "[a-z]", "")))
+LETTERS = "abcdefghijklmnopqrstuvwxyz"
+#: What bounds give way for rounding; pairs that only just reach the cutoff must stay.
+SLACK = 1e-6
+
+
+def letter_counts(word: str, prefix: str) -> list[Column]:
+    """How often each of a-z stands in a word, and all other characters together, as columns."""
+    counts = [(F.length(word) - F.length(F.replace(F.col(word), F.lit(c)))).alias(f"{prefix}{i}") for i, c in enumerate(LETTERS)]
+    return [*counts, F.length(F.regexp_replace(word, "[a-z]", "")).alias(f"{prefix}{len(LETTERS)}")]
 
 
 def fuzzy_join(terms: DataFrame, entries: DataFrame, block: int = 5000, cutoff: float = 0.72) -> DataFrame:
     """Per term the most similar word of the same first character among the block's best ranked.
 
-    The block is a part of the rule; upper bounds of the ratio by length and by common letters turn
-    most pairs away before the UDF.
+    The block is a part of the rule.  Words meet terms of the same first character and of a length
+    that leaves the cutoff possible; a bound by common letters turns most of these away before the
+    UDF.
     """
-    near = best_per_key(entries.withColumn("letter", F.substring("word", 1, 1)), ["letter"], [F.col("rank"), F.col("word")], block).select("letter", "word", letter_counts("word").alias("word_letters"))
-    pairs = terms.select("term", letter_counts("term").alias("term_letters"), F.substring("term", 1, 1).alias("letter")).join(near, "letter")
-    possible = 2.0 * F.least(F.length("term"), F.length("word")) / (F.length("term") + F.length("word"))
-    shared = F.aggregate(F.zip_with("term_letters", "word_letters", lambda a, b: F.least(a, b)), F.lit(0), lambda a, n: a + n)
-    likely = pairs.filter(possible >= cutoff).filter(2.0 * shared / (F.length("term") + F.length("word")) >= cutoff)
-    scored = likely.withColumn("score", ratio("term", "word")).filter(F.col("score") >= cutoff)
+    near = best_per_key(entries.withColumn("letter", F.substring("word", 1, 1)), ["letter"], [F.col("rank"), F.col("word")], block)
+    # 2 * min / (a + b) >= cutoff bounds the other length by this share
+    reach = cutoff / (2 - cutoff)
+    lengths = F.explode(F.sequence(F.ceil(F.length("word") * reach - SLACK), F.floor(F.length("word") / reach + SLACK)))
+    near = near.select("letter", "word", F.length("word").alias("word_length"), *letter_counts("word", "w")).withColumn("length", lengths)
+    asked = terms.select("term", F.substring("term", 1, 1).alias("letter"), F.length("term").cast("long").alias("length"), *letter_counts("term", "t"))
+    n = range(len(LETTERS) + 1)
+    shared = sum((F.least(f"t{i}", f"w{i}") for i in n), F.lit(0))
+    pairs = asked.join(near.withColumn("length", F.col("length").cast("long")), ["letter", "length"]).filter(2.0 * shared >= cutoff * (F.col("length") + F.col("word_length")) - SLACK).select("term", "word")
+    scored = pairs.withColumn("score", ratio("term", "word")).filter(F.col("score") >= cutoff)
     return scored.groupBy("term").agg(F.max(F.struct("score", "word")).alias("b")).select("term", F.col("b.word").alias("word"), F.col("b.score").alias("score"))
 
 
@@ -75,11 +84,11 @@ def search(index: DataFrame, terms: list[str]) -> DataFrame:
     return hits.groupBy("id").agg(F.countDistinct("term").alias("found"), F.sum("n").alias("hits")).filter(F.col("found") == len(terms)).select("id", "hits")
 
 
-def import_terms(docs: DataFrame, id_col: str, text: str, max_len: int = 120, cap: int = 10_000) -> DataFrame:
-    """Term lists: split at newlines, commas, semicolons and tabs; clean, valid, distinct in order."""
-    parts = F.transform(F.split(F.coalesce(text, F.lit("")), "[\\n,，;；\\t]"), lambda t: F.lower(collapse(t)))
+def import_terms(docs: DataFrame, id_col: str, text: str, max_len: int = 120) -> DataFrame:
+    """Term lists: split at line ends, commas, semicolons and tabs; clean, valid, distinct in order."""
+    parts = F.transform(F.split(F.coalesce(text, F.lit("")), "[\\r\\n,，;；\\t]+"), lambda t: F.lower(collapse(t)))
     fine = F.filter(parts, lambda t: t.rlike(r"^[a-z][a-z' .-]*$") & (F.length(t) <= max_len))
-    return docs.select(id_col, clean_list(fine, cap).alias("terms"))
+    return docs.select(id_col, clean_list(fine, None).alias("terms"))
 
 
 def title_variants(term: Column) -> Column:
@@ -89,50 +98,35 @@ def title_variants(term: Column) -> Column:
     return F.when(edge, F.array(term)).otherwise(F.array_distinct(F.array(term, twin)))
 
 
-class VisibleText(HTMLParser):
-    """Text outside script and style."""
-
-    def __init__(self) -> None:
-        super().__init__(convert_charrefs=True)
-        self.parts: list[str] = []
-        self.hidden = 0
-
-    def handle_starttag(self, tag: str, attrs: list) -> None:
-        self.hidden += tag in ("script", "style")
-
-    def handle_endtag(self, tag: str) -> None:
-        if tag in ("script", "style") and self.hidden:
-            self.hidden -= 1
-
-    def handle_data(self, data: str) -> None:
-        if not self.hidden:
-            self.parts.append(data)
+# The named character references that are decoded (the ampersand last).
+REFERENCES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&apos;": "'", "&nbsp;": "\u00a0", "&copy;": "©", "&middot;": "·", "&hellip;": "…", "&ndash;": "–", "&mdash;": "—", "&amp;": "&"}
 
 
-def visible_text(html: str | None) -> str:
-    parser = VisibleText()
-    parser.feed(html or "")
-    parser.close()
-    return " ".join(" ".join(parser.parts).split())
-
-
-@F.pandas_udf(StringType())
-def html_text(pages: pd.Series) -> pd.Series:
-    """Visible text of each page, white space collapsed."""
-    return pages.map(visible_text)
+def html_text(html: Column | str) -> Column:
+    """Visible text of a page: no scripts, styles, comments or tags, white space collapsed."""
+    out = F.coalesce(F.col(html) if isinstance(html, str) else html, F.lit(""))
+    for pattern in (r"(?is)<(script|style)\b[^>]*>.*?</\1\s*>", r"(?s)<!--.*?-->", r"(?s)<[^>]*>"):
+        out = F.regexp_replace(out, pattern, " ")
+    for name, sign in REFERENCES.items():
+        out = F.replace(out, F.lit(name), F.lit(sign))
+    return collapse(out)
 
 
 def copied_runs(left: DataFrame, right: DataFrame, n: int = 8) -> DataFrame:
     """Pairs (left_id, right_id) that share a run of n words, and how many different runs.
 
-    Both inputs have id and words.  Runs are hashed, distinct per row, and equi-joined; runs that
-    the smaller side lacks never leave the scan's partial aggregate.
+    Both inputs have id and words; the right one is meant to be small.  Runs of the left side meet
+    the right side's by their first words' hash first, so that only places where a run may begin are
+    spelled out as text and compared.
     """
-    def runs(df: DataFrame, name: str) -> DataFrame:
-        places = F.when(F.size("words") >= n, F.sequence(F.lit(1), F.size("words") - (n - 1)))
-        return df.select(F.col("id").alias(name), F.explode(F.array_distinct(F.transform(places, lambda i: F.array_join(F.slice("words", i, n), " ")))).alias("run"))
-
-    return runs(left, "left_id").join(runs(right, "right_id"), "run").groupBy("left_id", "right_id").agg(F.count("*").alias("n_runs"))
+    last = F.size("words") - (n - 1)
+    run = F.array_join(F.slice("words", F.col("at"), n), " ")
+    places = lambda df, name: df.filter(F.size("words") >= n).select(F.col("id").alias(name), "words", F.posexplode(F.slice("words", F.lit(1), last)).alias("at", "first")).withColumn("at", F.col("at") + 1)
+    other = places(right, "right_id").select("right_id", run.alias("run")).distinct()
+    pair = lambda at: F.xxhash64(F.get("words", at - 1), F.get("words", at), F.get("words", at + (n - 2)))
+    starts = places(right, "right_id").select(pair(F.col("at")).alias("start")).distinct()
+    mine = places(left, "left_id").withColumn("start", pair(F.col("at"))).join(starts, "start", "left_semi").select("left_id", run.alias("run")).distinct()
+    return mine.join(other, "run").groupBy("left_id", "right_id").agg(F.count("*").alias("n_runs"))
 
 
 def chunks(text: str | None, limit: int) -> list[str]:
@@ -167,10 +161,7 @@ def book(terms: DataFrame, entries: DataFrame) -> DataFrame:
     return terms.join(lookup(terms, entries), "term", "left").orderBy("pos")
 
 
-def postings_of(index: DataFrame) -> DataFrame:
-    """Per term: documents and hits."""
-    return index.groupBy("term").agg(F.countDistinct("id").alias("docs"), F.sum("n").alias("hits"))
-
-
-def rank_by(df: DataFrame, keys: list[str], *order: Column) -> Column:
-    return F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+def postings_of(index: DataFrame, one_field: bool = False) -> DataFrame:
+    """Per term: documents and hits.  An index of one field has one row per term and document already."""
+    docs = F.count("*") if one_field else F.countDistinct("id")
+    return index.groupBy("term").agg(docs.alias("docs"), F.sum("n").alias("hits"))

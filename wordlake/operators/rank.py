@@ -5,18 +5,20 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from wordlake.operators.lineage import cut_lineage
+
 
 def global_rank(df: DataFrame, order: list[Column], out: str = "rank", parts: int | None = None) -> DataFrame:
     """Dense 1..n over the whole table without a one-task sort.
 
-    Rows are dealt by range, numbered inside their partition, and the partitions' sizes are added
-    up (one small row per partition).  ``order`` must be a total order for a fixed result.
+    Rows are dealt by range and numbered inside their partition; the numbered table is stored once
+    in the shared folder, so that the partitions' sizes (one small row each) and the rows stem from
+    the same dealing.  ``order`` must be a total order for a fixed result.
     """
-    spark = df.sparkSession
-    parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    dealt = df.repartitionByRange(parts, *order).withColumn("__part", F.spark_partition_id())
-    local = dealt.withColumn("__local", F.row_number().over(Window.partitionBy("__part").orderBy(*order)))
-    sizes = dealt.groupBy("__part").count()
+    dealt = df.repartitionByRange(parts, *order) if parts else df.repartitionByRange(*order)
+    local = dealt.withColumn("__part", F.spark_partition_id()).withColumn("__local", F.row_number().over(Window.partitionBy("__part").orderBy(*order)))
+    local = cut_lineage(local)
+    sizes = local.groupBy("__part").agg(F.max("__local").alias("count"))
     before = sizes.withColumn("__before", F.coalesce(F.sum("count").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).select("__part", "__before")
     return local.join(F.broadcast(before), "__part").withColumn(out, F.col("__local") + F.col("__before")).drop("__part", "__local", "__before")
 

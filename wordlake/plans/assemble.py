@@ -9,7 +9,7 @@ from wordlake.functions.collect import append_capped, clean_list, collect_ordere
 from wordlake.functions.normalize import RELATED_RELATIONS, blank, fill_empty, keep_relation_types, map_pos
 from wordlake.operators.aggregates import dedupe
 from wordlake.operators.joins import resolve_links
-from wordlake.operators.rank import global_rank
+from wordlake.operators.rank import global_rank, top_n
 from wordlake.sources.files import WordNet
 
 STRINGS = "array<string>"
@@ -98,9 +98,21 @@ def assemble_entries(csv: DataFrame, dump: DataFrame, frequency: DataFrame) -> D
         F.filter(F.array(F.when(F.col("b.key").isNotNull(), "ecdict"), F.when(F.col("d.key").isNotNull(), "kaikki")), lambda s: s.isNotNull()).alias("sources"),
         F.coalesce("b.score", F.lit(0.0)).alias("frequency"),
     )
-    order = F.when(F.col("frequency") == 0, -20.0).otherwise(F.col("frequency"))
-    ranked = global_rank(rows, [F.desc(order), F.asc("normalized_word")], "frequency_rank")
-    return ranked.withColumn("id", F.col("frequency_rank").cast("long"))
+    return ranked_by_frequency(rows).withColumn("id", F.col("frequency_rank").cast("long"))
+
+
+def ranked_by_frequency(rows: DataFrame) -> DataFrame:
+    """Rows with ``frequency_rank``: by frequency (0 last), then key."""
+    order = F.when(F.coalesce("frequency", F.lit(0.0)) == 0, -20.0).otherwise(F.col("frequency"))
+    return global_rank(rows.drop("frequency_rank"), [F.desc(order), F.asc("normalized_word")], "frequency_rank")
+
+
+def finalize(entries: DataFrame, n: int) -> tuple[DataFrame, DataFrame]:
+    """(the n best of the entries ranked anew, one row of counts: all rows, enriched and completed ones)."""
+    ranked = ranked_by_frequency(entries)
+    status = F.get_json_object("enrichment", "$.status")
+    counts = entries.agg(F.count("*").alias("n_rows"), F.count_if(status.isNotNull()).alias("enriched"), F.count_if(status == "completed").alias("completed"))
+    return top_n(ranked, "frequency_rank", n, "normalized_word"), counts
 
 
 def sense_rows(wn: WordNet) -> DataFrame:

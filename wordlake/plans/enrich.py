@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from wordlake.functions.collect import append_capped, clean_list, merge_named
 from wordlake.functions.normalize import blank, fill_empty, norm_key, normalize_phonetic, quality_gaps, resolved_difficulty
+from wordlake.operators.lookup import html_text
 
 DICTIONARY_SCHEMA = (
     "array<struct<word:string,phonetic:string,phonetics:array<struct<text:string,audio:string>>,meanings:array<struct<partOfSpeech:string,synonyms:array<string>,antonyms:array<string>,"
@@ -20,7 +21,7 @@ FINISHED = ["completed", "partial", "not_found"]
 
 def each(values: Column, get) -> Column:  # noqa: ANN001
     """All values of a nested list in order, nulls as empty lists."""
-    return F.flatten(F.transform(F.coalesce(values, F.array()), lambda v: F.coalesce(get(v), F.array())))
+    return F.flatten(F.transform(values, get))
 
 
 def dictionary_fields(responses: DataFrame, json_col: str = "response") -> DataFrame:
@@ -84,6 +85,28 @@ def association_fields(responses: DataFrame, json_col: str = "response", exact:
     )
 
 
+# The landed page's layout, and bounds on its definitions.
+PAGE_SCHEMA = "struct<en:array<struct<partOfSpeech:string,definitions:array<struct<definition:string>>>>>"
+SECTION = r"(?is)<h2\b[^>]*\bid=[\"']English[\"'][^>]*>(.*?)(?:<h2\b|\z)"
+IPA_SPAN = r"(?is)<span\b[^>]*\bclass=[\"'](?:[^\"']*\s)?IPA(?:\s[^\"']*)?[\"'][^>]*>(.*?)</span>"
+LONGEST_DEFINITION, MOST_DEFINITIONS = 800, 8
+
+
+def page_ipa(html: Column) -> Column:
+    """The first pronunciation in the English section of a page, '' if there is none."""
+    spans = F.regexp_extract_all(F.regexp_extract(F.coalesce(html, F.lit("")), SECTION, 1), F.lit(IPA_SPAN))
+    return F.coalesce(F.get(F.filter(F.transform(spans, lambda s: normalize_phonetic(html_text(s))), lambda p: p != ""), F.lit(0)), F.lit(""))
+
+
+def page_definitions(response: Column) -> Column:
+    """struct(definition, pos) of a landed page's English entries: short, different definitions, one per line."""
+    entries = F.coalesce(F.from_json(response, PAGE_SCHEMA)["en"], F.from_json(F.lit("{\"en\":[]}"), PAGE_SCHEMA)["en"])
+    texts = F.transform(each(entries, lambda e: e["definitions"]), lambda d: html_text(d["definition"]))
+    fine = F.filter(texts, lambda t: F.length(t) <= LONGEST_DEFINITION)
+    pos = F.transform(entries, lambda e: F.lower(e["partOfSpeech"]))
+    return F.struct(F.array_join(clean_list(fine, MOST_DEFINITIONS), "\n").alias("definition"), F.array_join(clean_list(pos, MOST_DEFINITIONS), ", ").alias("pos"))
+
+
 def combine_fields(dictionary: DataFrame, exact: DataFrame, key: str) -> DataFrame:
     """Dictionary fields first, the exact association as fallback; its phonetic is a US one."""
     e = exact.select(key, *[F.col(c).alias(f"__{c}") for c in ("definition", "pos", "phonetic", "frequency")])

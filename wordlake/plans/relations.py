@@ -147,7 +147,9 @@ def apply_relation_delta(entries: DataFrame, delta: DataFrame, id_range: tuple[i
         "related_words": related, "related_entries": related_entries, "phrases": phrases, "phrase_entries": phrase_entries, "senses": F.concat(F.transform(own, merged), added),
         "sources": append_capped(F.col("sources"), F.array(F.lit("kaikki"))),
     }
-    result = joined.select(*[F.when(hit, out[c]).otherwise(F.col(c)).alias(c) if c in out else F.col(c) for c in entries.columns], F.struct(*[F.col(c).alias(c) for c in ("related_words", "phrases", "senses")]).alias("__old"))
+    # under names of their own first: an alias that hides a column would be seen inside later lambdas
+    joined = joined.withColumns({f"__new_{c}": F.when(hit, x).otherwise(F.col(c)) for c, x in out.items() if c in entries.columns})
+    result = joined.select(*[F.col(f"__new_{c}").alias(c) if c in out else F.col(c) for c in entries.columns], F.struct(*[F.col(c).alias(c) for c in ("related_words", "phrases", "senses")]).alias("__old"))
     size = lambda c: F.coalesce(F.size(c), F.lit(0))
     as_text = lambda c: F.to_json(F.struct(c))
     changed = (as_text(F.col("related_words")) != as_text(F.col("__old.related_words").alias("related_words"))) | (as_text(F.col("phrases")) != as_text(F.col("__old.phrases").alias("phrases"))) | (as_text(F.col("senses")) != as_text(F.col("__old.senses").alias("senses")))

@@ -128,6 +128,11 @@ def gate(candidate: Candidate, canonical: DataFrame, limit: int, shards: int = 1
     return report, {"structural": structural, "ready": structural and not codes}
 
 
+def backfilled_beyond(candidate: Candidate, limit: int) -> DataFrame:
+    """One row: how many selected rows rank beyond ``limit`` among all entries."""
+    return candidate.provenance.agg(F.count_if(F.col("canonical_rank") > limit).alias("backfilled"))
+
+
 def refresh(canonical: DataFrame, template: Candidate, shards: int = 1, owner: int | None = None) -> Candidate:
     """The edition's rows with the canonical content of now; ids, ranks, kinds and keys stay.
 
@@ -199,7 +204,3 @@ def export_if_ready(entries: DataFrame, finished: Column, columns: list[str]) ->
     if done < total:
         return f"waiting finished={done} total={total}", None
     return "ready", entries.select("id", *columns)
-
-
-def rejected_blank(entries: DataFrame) -> DataFrame:
-    return entries.filter(blank(F.col("word")))

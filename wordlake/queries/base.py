@@ -11,15 +11,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def tokens(text: str | Column = "text") -> Column:
-    """Runs of a-z of the lower-cased text, in order."""
+    """Runs of letters of any script of the lower-cased text, in order."""
     c = F.col(text) if isinstance(text, str) else text
-    return F.regexp_extract_all(F.lower(F.coalesce(c, F.lit(""))), F.lit("([a-z]+)"))
-
-
-def grams(words: Column, n: int) -> Column:
-    """Runs of n consecutive words joined by a space."""
-    places = F.when(F.size(words) >= n, F.sequence(F.lit(1), F.size(words) - (n - 1)))
-    return F.coalesce(F.transform(places, lambda i: F.array_join(F.slice(words, i, n), " ")), F.array().cast("array<string>"))
+    return F.regexp_extract_all(F.lower(F.coalesce(c, F.lit(""))), F.lit(r"(\p{L}+)"))
 
 
 def lexicon(docs: DataFrame) -> DataFrame:
@@ -37,12 +31,12 @@ def ranked_lexicon(docs: DataFrame) -> DataFrame:
 def terms(docs: DataFrame) -> DataFrame:
     """term, kind (word or phrase), n: single tokens and pairs of neighbours."""
     words = docs.select(tokens().alias("w"))
-    both = F.concat(
-        F.transform("w", lambda x: F.struct(x.alias("term"), F.lit("word").alias("kind"))),
-        F.transform(grams(F.col("w"), 2), lambda x: F.struct(x.alias("term"), F.lit("phrase").alias("kind"))),
-    )
-    return words.select(F.explode(both).alias("t")).groupBy("t.term", "t.kind").agg(F.count("*").alias("n"))
+    # pairs are counted as two words; the phrase is put together once per different pair
+    pairs = F.arrays_zip(F.slice("w", F.lit(1), F.greatest(F.size("w") - 1, F.lit(0))).alias("a"), F.slice("w", 2, F.greatest(F.size("w"), F.lit(1))).alias("b"))
+    single = words.select(F.explode("w").alias("term")).groupBy("term").agg(F.count("*").alias("n")).select("term", F.lit("word").alias("kind"), "n")
+    double = words.select(F.explode(pairs).alias("p")).groupBy("p.a", "p.b").agg(F.count("*").alias("n"))
+    return single.unionByName(double.select(F.concat_ws(" ", "a", "b").alias("term"), F.lit("phrase").alias("kind"), "n"))
 
 
-TOKENS_SQL = "regexp_extract_all(lower(coalesce(text, '')), '[a-z]+')"
+TOKENS_SQL = r"regexp_extract_all(lower(coalesce(text, '')), '\p{L}+')"
 LEXICON_SQL = f"SELECT word, count(*) AS n FROM (SELECT unnest({TOKENS_SQL}) AS word FROM documents) GROUP BY word"

@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wordlake.functions import collect, normalize
 from wordlake.operators import aggregates, joins, lookup, rank
-from wordlake.queries.base import LEXICON_SQL, TOKENS_SQL, grams, lexicon, ranked_lexicon, table, terms, tokens
+from wordlake.queries.base import LEXICON_SQL, TOKENS_SQL, lexicon, ranked_lexicon, table, terms, tokens
 
 EDITION, PHRASES = 2000, 400
-STRIDE = 97
 
 
 def lexicon_counts(spark: SparkSession, sf: str) -> DataFrame:
@@ -138,21 +137,20 @@ def chunk_documents(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def reassemble(spark: SparkSession, sf: str) -> DataFrame:
-    """Chunks of all documents joined by spaces again; equal to the text up to white space."""
+    """Chunks of all documents joined by spaces again: a digest of the text up to white space."""
     parts = chunk_documents(spark, sf)
     expected = parts.groupBy("id").agg(F.count("*").alias("n_chunks"))
     whole = lookup.reassemble(parts, expected, " ")
-    docs = table(spark, sf, "documents").select(F.col("doc_id").alias("id"), F.regexp_replace(F.trim("text"), r"\s+", " ").alias("original"))
-    return whole.join(docs, "id").select("id", (F.regexp_replace("text", r"\s+", " ") == F.col("original")).alias("same"))
+    return whole.select("id", F.sha2(F.regexp_replace("text", r"\s+", ""), 256).alias("digest"))
 
 
 def inverted_index(spark: SparkSession, sf: str) -> DataFrame:
     """Documents and hits per term."""
-    return lookup.postings_of(lookup.build_index(table(spark, sf, "documents"), "doc_id", ["text"], "[a-z]+"))
+    return lookup.postings_of(lookup.build_index(table(spark, sf, "documents"), "doc_id", ["text"], r"\p{L}+"), one_field=True)
 
 
 def keyword_search(spark: SparkSession, sf: str) -> DataFrame:
-    index = lookup.build_index(table(spark, sf, "documents"), "doc_id", ["text"], "[a-z]+")
+    index = lookup.build_index(table(spark, sf, "documents"), "doc_id", ["text"], r"\p{L}+")
     return lookup.search(index, ["the", "and", "in"])
 
 
@@ -181,15 +179,15 @@ def copied_runs(spark: SparkSession, sf: str) -> DataFrame:
 
 def phrase_counts(spark: SparkSession, sf: str) -> DataFrame:
     """Three-word phrases of conversations per role that stand more than once."""
-    words = table(spark, sf, "conversations").select("role", F.explode(grams(tokens(), 3)).alias("phrase"))
+    words = table(spark, sf, "conversations").select("role", F.explode(normalize.runs_of(tokens(), 3)).alias("phrase"))
     return words.groupBy("role", "phrase").agg(F.count("*").alias("n")).filter("n > 1")
 
 
 def translation_needs(spark: SparkSession, sf: str) -> DataFrame:
-    """Each assistant turn as the translation of the turn before it: which would need another."""
-    w = Window.partitionBy("conv_id").orderBy("turn")
-    pairs = table(spark, sf, "conversations").withColumn("source", F.lag("text").over(w)).filter("role = 'assistant' and source is not null")
-    return pairs.groupBy(normalize.needs_translation(F.col("source"), F.col("text")).alias("needed")).agg(F.count("*").alias("n"))
+    """Turns with made-up translations (none, the text itself, Chinese with a copy, long and short Chinese): which need another."""
+    turns = table(spark, sf, "conversations").withColumn("k", F.expr("(conv_id + turn) % 5"))
+    target = F.when(F.col("k") == 0, "").when(F.col("k") == 1, F.col("text")).when(F.col("k") == 2, F.concat(F.lit("中 "), F.col("text"))).when(F.col("k") == 3, F.repeat(F.lit("中文"), F.length("text").cast("int"))).otherwise("中文")
+    return turns.select("conv_id", "turn", normalize.needs_translation(F.col("text"), target).alias("needed"))
 
 
 QUERIES = {
@@ -221,7 +219,7 @@ GAPS_SQL = """SELECT d.doc_id, d.text, list_filter([CASE WHEN trim(coalesce(text
 WORD_PART = normalize.WORD_PART
 
 SQL = {
-    "lexicon_counts": f"SELECT word, n, word AS key FROM ({LEXICON_SQL}) WHERE length(word) <= 80",
+    "lexicon_counts": f"SELECT word, n, word AS key FROM ({LEXICON_SQL}) WHERE length(word) <= 80 AND regexp_full_match(word, '[a-z]+')",
     "zipf_scores": ZIPF_SQL,
     "frequency_bands": f"SELECT CASE WHEN zipf >= 6.0 THEN 'A1–A2' WHEN zipf >= 4.8 THEN 'B1–B2' WHEN zipf >= 3.4 THEN 'C1–C2' ELSE 'C2+' END AS band, count(*) AS n_words FROM ({ZIPF_SQL}) GROUP BY ALL",
     "select_bounded": SELECT_SQL,
@@ -235,7 +233,7 @@ SQL = {
         UNION ALL SELECT x.conv_id, t.k, CASE WHEN t.b = '' OR x.a = t.b THEN x.a WHEN x.a = '' THEN t.b ELSE x.a || chr(10) || t.b END
         FROM (SELECT conv_id, k, trim(regexp_replace(acc, '\s+', ' ', 'g')) AS a FROM f) x JOIN t ON t.conv_id = x.conv_id AND t.k = x.k + 1)
       SELECT conv_id, acc AS folded FROM f QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY k DESC) = 1""",
-    "reassemble": "SELECT doc_id AS id, TRUE AS same FROM documents WHERE trim(coalesce(text, '')) <> ''",
+    "reassemble": r"SELECT doc_id AS id, sha256(regexp_replace(text, '\s+', '', 'g')) AS digest FROM documents WHERE trim(coalesce(text, '')) <> ''",
     "html_text": r"""
       WITH t AS (SELECT page_id, regexp_replace(regexp_replace(regexp_replace(coalesce(html, ''), '<script[^>]*>.*?</script>', ' ', 'gs'), '<style[^>]*>.*?</style>', ' ', 'gs'), '<[^>]*>', ' ', 'g') AS h FROM pages)
       SELECT page_id, trim(regexp_replace(replace(replace(replace(replace(replace(replace(h, '&copy;', '©'), '&middot;', '·'), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&amp;', '&'), '\s+', ' ', 'g')) AS text FROM t""",
@@ -269,13 +267,16 @@ SQL = {
     "index_consistency": """WITH c AS (SELECT conv_id FROM conversations GROUP BY conv_id)
       SELECT conv_id, CASE WHEN conv_id % 7 = 0 THEN 'missing' ELSE 'different' END AS kind FROM c WHERE conv_id % 7 = 0 OR conv_id % 5 = 0""",
     "import_terms": """
-      WITH p AS (SELECT doc_id, list_filter(list_transform(string_split_regex(coalesce(text, ''), '[\\n,，;；\\t]'), lambda t: trim(regexp_replace(lower(t), '\\s+', ' ', 'g'))), lambda t: regexp_full_match(t, '[a-z][a-z'' .-]*') AND length(t) <= 120) AS t FROM documents),
+      WITH p AS (SELECT doc_id, list_filter(list_transform(string_split_regex(coalesce(text, ''), '[\\r\\n,，;；\\t]+'), lambda t: trim(regexp_replace(lower(t), '\\s+', ' ', 'g'))), lambda t: regexp_full_match(t, '[a-z][a-z'' .-]*') AND length(t) <= 120) AS t FROM documents),
       d AS (SELECT doc_id, list_filter(t, lambda x, i: list_position(t, x) = i) AS t FROM p)
       SELECT doc_id, len(t) AS n_terms, array_to_string(t, '|') AS terms FROM d""",
     "copied_runs": f"""
       WITH a AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 7], ' ') AS run FROM (SELECT doc_id, w, unnest(range(1, len(w) - 6)) AS i FROM (SELECT doc_id, {TOKENS_SQL} AS w FROM documents))),
       b AS (SELECT DISTINCT item_id, array_to_string(w[i:i + 7], ' ') AS run FROM (SELECT item_id, w, unnest(range(1, len(w) - 6)) AS i FROM (SELECT item_id, {TOKENS_SQL} AS w FROM benchmark)))
       SELECT doc_id AS left_id, item_id AS right_id, count(*) AS n_runs FROM a JOIN b USING (run) GROUP BY doc_id, item_id""",
+    "translation_needs": r"""
+      WITH t AS (SELECT conv_id, turn, (conv_id + turn) % 5 AS k, trim(regexp_replace(coalesce(text, ''), '\s+', ' ', 'g')) AS s FROM conversations)
+      SELECT conv_id, turn, s <> '' AND (k IN (0, 1) OR (k = 2 AND len(regexp_extract_all(s, '[A-Za-z]+(?:[''’-][A-Za-z]+)*')) >= 8) OR (k = 4 AND length(s) > 120)) AS needed FROM t""",
     "phrase_counts": f"""
       SELECT role, phrase, count(*) AS n FROM (SELECT role, unnest(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) AS phrase FROM (SELECT role, {TOKENS_SQL} AS w FROM conversations))
       GROUP BY role, phrase HAVING count(*) > 1""",

@@ -118,7 +118,8 @@ SQL = {
     "row_digest": f"SELECT p_partkey, sha256({' || '.join(framed(c) for c in ('p_partkey', 'p_name', 'p_brand', 'p_type', 'p_size'))}) AS digest FROM part",
     "ordered_digest": f"SELECT p_brand, sha256(string_agg(sha256({framed('p_partkey')} || {framed('p_name')}), chr(10) ORDER BY p_partkey) || chr(10)) AS digest FROM part GROUP BY p_brand",
     "bucket_digest": f"SELECT o_orderkey // 1000 AS bucket, count(*) AS n_rows, min(o_orderkey) AS min_id, max(o_orderkey) AS max_id, sha256(string_agg({ORDER_DIGEST}, chr(10) ORDER BY o_orderkey) || chr(10)) AS digest FROM orders GROUP BY 1",
-    "replica_compare": "SELECT r AS replica, r <> 2 AS same FROM range(3) t(r) WHERE (SELECT count(*) FROM orders WHERE o_orderkey % 100 = 0) > 0",
+    "replica_compare": """WITH c AS (SELECT r, sha256(string_agg(o_orderkey || ':' || CASE WHEN r = 2 AND o_orderkey % 100 = 0 THEN 'X' ELSE o_orderstatus END, ',' ORDER BY o_orderkey)) AS d, count(*) AS n FROM orders, range(3) t(r) GROUP BY r)
+      SELECT r AS replica, (d, n) = (SELECT (d, n) FROM c WHERE r = 0) AS same FROM c""",
     "contiguous_shards": """WITH b AS (SELECT min(o_orderkey) AS low, max(o_orderkey) AS high FROM orders)
       SELECT ((o_orderkey - low + 1) * 8 - 1) // (high - low + 1) AS shard, count(*) AS n, min(o_orderkey) AS first_id, max(o_orderkey) AS last_id FROM orders, b GROUP BY 1""",
     "owner_shards": "SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderkey % 8 = 3",

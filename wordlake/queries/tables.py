@@ -9,11 +9,12 @@ from wordlake.functions import collect, normalize
 from wordlake.operators import aggregates, joins, lookup, rank
 from wordlake.plans import enrich
 from wordlake.queries.base import table
+from wordlake.streaming import streams
 
 
 def global_rank(spark: SparkSession, sf: str) -> DataFrame:
-    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice")
-    return rank.global_rank(lines, [F.desc("l_extendedprice"), F.asc("l_orderkey"), F.asc("l_linenumber")]).select("l_orderkey", "l_linenumber", "rank")
+    """All columns of all order lines, and their rank by price."""
+    return rank.global_rank(table(spark, sf, "lineitem"), [F.desc("l_extendedprice"), F.asc("l_orderkey"), F.asc("l_linenumber")])
 
 
 def zigzag_order(spark: SparkSession, sf: str) -> DataFrame:
@@ -26,7 +27,7 @@ def ordered_capped_lists(spark: SparkSession, sf: str) -> DataFrame:
     orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey")
     parts = table(spark, sf, "part").select("p_partkey", "p_name")
     joined = lines.join(orders, lines.l_orderkey == orders.o_orderkey).join(parts, lines.l_partkey == parts.p_partkey)
-    return joined.groupBy("o_custkey").agg(F.array_join(collect.collect_ordered(F.col("p_name"), F.col("l_orderkey"), F.col("l_linenumber")), "|").alias("names"))
+    return collect.ordered_lists(joined, ["o_custkey"], F.col("p_name"), F.col("l_orderkey"), F.col("l_linenumber"), out="names").withColumn("names", F.array_join("names", "|"))
 
 
 def append_capped(spark: SparkSession, sf: str) -> DataFrame:
@@ -135,8 +136,8 @@ def progress_rollup(spark: SparkSession, sf: str) -> DataFrame:
 
 def daily_window(spark: SparkSession, sf: str) -> DataFrame:
     """Events per day and type: the batch twin of the progress stream."""
-    events = table(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp"))
-    return events.groupBy(F.window("ts", "1 day").alias("w"), "event_type").agg(F.count("*").alias("n")).select(F.date_format("w.start", "yyyy-MM-dd").alias("day"), "event_type", "n")
+    windows = streams.progress_windows(streams.timed(table(spark, sf, "events")), "1 day", status="event_type")
+    return windows.select(F.date_format("start", "yyyy-MM-dd").alias("day"), "event_type", "n")
 
 
 def stalls(spark: SparkSession, sf: str) -> DataFrame:
@@ -148,8 +149,7 @@ def stalls(spark: SparkSession, sf: str) -> DataFrame:
 
 def session_gaps(spark: SparkSession, sf: str) -> DataFrame:
     """Sessions of a user's events parted by 45 minutes of silence: the batch twin of the stream."""
-    events = table(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp"))
-    sessions = events.groupBy(F.session_window("ts", "45 minutes"), "user_id").agg(F.count("*").alias("n"))
+    sessions = streams.stalls(streams.timed(table(spark, sf, "events")))
     return sessions.groupBy("user_id").agg(F.count("*").alias("sessions"), F.max("n").alias("largest"))
 
 
@@ -203,7 +203,7 @@ QUERIES = {
 
 LINE_NAMES = "SELECT o_custkey, p_name, l_orderkey, l_linenumber FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey"
 SQL = {
-    "global_rank": "SELECT l_orderkey, l_linenumber, row_number() OVER (ORDER BY l_extendedprice DESC, l_orderkey, l_linenumber) AS rank FROM lineitem",
+    "global_rank": "SELECT *, row_number() OVER (ORDER BY l_extendedprice DESC, l_orderkey, l_linenumber) AS rank FROM lineitem",
     "zigzag_order": """SELECT p_partkey, CASE WHEN p < (n + 1) // 2 THEN 2 * p ELSE 2 * (n - 1 - p) + 1 END AS slot
       FROM (SELECT p_partkey, row_number() OVER (ORDER BY p_retailprice DESC, p_partkey) - 1 AS p, count(*) OVER () AS n FROM part)""",
     "ordered_capped_lists": f"""
@@ -221,7 +221,7 @@ SQL = {
     "title_variants": "SELECT DISTINCT p_partkey, unnest([lower(p_name), CASE WHEN contains(p_name, '-') THEN replace(lower(p_name), '-', ' ') ELSE replace(lower(p_name), ' ', '-') END]) AS variant FROM part",
     "semi_match": "SELECT o_orderkey AS k, o_orderstatus FROM orders WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem WHERE l_quantity > 49)",
     "anti_match": "SELECT o_orderkey AS k, o_orderstatus FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE l_quantity > 49)",
-    "overlay_upsert": """SELECT coalesce(c_custkey, s_suppkey * 3) AS key, CASE WHEN c_custkey IS NOT NULL AND c_custkey % 3 <> 0 THEN c_name ELSE coalesce(s_name, CASE WHEN c_custkey IS NOT NULL THEN NULL END) END AS name,
+    "overlay_upsert": """SELECT coalesce(c_custkey, s_suppkey * 3) AS key, CASE WHEN c_custkey IS NOT NULL AND c_custkey % 3 <> 0 THEN c_name ELSE coalesce(s_name, CASE WHEN c_custkey IS NOT NULL THEN '' END) END AS name,
       CASE WHEN s_suppkey IS NULL THEN c_mktsegment WHEN c_custkey IS NULL THEN 'supplier|BUILDING' WHEN c_mktsegment = 'BUILDING' THEN 'BUILDING|supplier' ELSE c_mktsegment || '|supplier|BUILDING' END AS tags
       FROM customer FULL JOIN supplier ON c_custkey = s_suppkey * 3""",
     "synonym_self_join": "WITH l AS (SELECT DISTINCT l_orderkey AS k, l_partkey AS p FROM lineitem) SELECT x.p AS a, y.p AS b, count(*) AS n_orders FROM l x JOIN l y ON x.k = y.k AND x.p < y.p GROUP BY ALL",

@@ -38,8 +38,14 @@ def parse_dump(lines: DataFrame, lang: str = "en") -> tuple[DataFrame, DataFrame
 
 
 def read_dump_jsonl(spark: SparkSession, path: str, lang: str = "en", parts: int | None = None) -> tuple[DataFrame, DataFrame]:
-    """Dump of JSON lines; a compressed file is one split, so its lines are dealt out at once."""
+    """Dump of JSON lines.
+
+    A compressed file is one split: it is read by one task, which deals its lines out to ``parts``
+    tasks (by default as many as the session has cores) before they are parsed.
+    """
     lines = spark.read.text(path).withColumn("line", F.monotonically_increasing_id())
+    if parts is None and path.endswith((".gz", ".bz2", ".zst", ".xz")):
+        parts = spark.sparkContext.defaultParallelism
     return parse_dump(lines.repartition(parts) if parts else lines, lang)
 
 
