@@ -32,11 +32,11 @@ from pyspark.sql import functions as F
 
 from wordlake.llm.common import U64, first_words, gram_hashes, pieces, utf8, word_bounds, word_hashes
 
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 2 << 20
 #: Bytes of item text in one block: what a pass broadcasts.
 BLOCK_BYTES = 16 << 20
 #: Hits of a chunk that are handled at once; a document's are never parted.
-HITS = 1 << 20
+HITS = 1 << 19
 SPACED = bytes(c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
 MATCH, MISMATCH, GAP = 2, -1, -1
 

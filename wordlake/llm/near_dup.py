@@ -35,7 +35,7 @@ from pyspark.sql import types as T
 
 from wordlake.llm.common import U64, cut_lineage, first_words, gram_hashes, joined_words, mix, pieces, utf8, word_bounds, word_hashes
 
-CHUNK_BYTES = 3 << 20
+CHUNK_BYTES = 1 << 20
 #: Nodes that are made of a text's digest, not of a doc_id, begin here.
 HASHED = 1 << 62
 #: Leaves of one hub that are confirmed in one place.
@@ -119,8 +119,8 @@ def sketches(docs: DataFrame, shingle: int, bands: int, rows: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         probes = probe_order(bins)
         for piece in pieces(batches, "text", CHUNK_BYTES):
-            for a in range(0, piece.num_rows, 2000):
-                some = piece.slice(a, 2000)
+            for a in range(0, piece.num_rows, 1000):
+                some = piece.slice(a, 1000)
                 hashes, counts, digests = shingle_sets(utf8(some.column("text")), shingle)
                 keys = band_keys(signatures(hashes, counts, bins, probes), bands, rows)
                 full = counts > 0
@@ -137,9 +137,9 @@ def with_copy(docs: DataFrame) -> DataFrame:
     schema = T.StructType([*docs.schema.fields, T.StructField("__copy", T.BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            digests = [hashlib.blake2b(b" ".join(t.lower().split()), digest_size=16).digest() for t in utf8(batch.column("text"))]
-            yield pa.record_batch([*batch.columns, pa.array(digests, pa.binary())], names=[*batch.schema.names, "__copy"])
+        for piece in pieces(batches, "text", CHUNK_BYTES):
+            digests = [hashlib.blake2b(b" ".join(t.lower().split()), digest_size=16).digest() for t in utf8(piece.column("text"))]
+            yield pa.record_batch([*piece.columns, pa.array(digests, pa.binary())], names=[*piece.schema.names, "__copy"])
 
     return docs.mapInArrow(run, schema)
 

@@ -29,7 +29,7 @@ TOKENIZER_FILE = "byte_bpe_50k.json"
 OTHER_SPACE = re.compile("[\t\r\x0b\x0c\x1c-\x1f\x85\xa0 ᠎ -‏    ⁠　﻿]")
 CHUNK_BYTES = 2 << 20
 #: Distinct units whose ids a worker remembers at most; beyond that it starts anew.
-KNOWN_UNITS = 1_000_000
+KNOWN_UNITS = 400_000
 #: Of each byte: 1 space or newline, 2 ASCII punctuation, 3 ASCII letter, 0 anything else.
 KIND = np.array([1 if c in b" \n" else 3 if chr(c).isalpha() and c < 128 else 2 if 32 < c < 127 and not chr(c).isdigit() else 0 for c in range(256)], np.uint8)
 

@@ -33,7 +33,7 @@ CHUNK_BYTES = 4 << 20
 #: Longest run of words handled at once; longer documents are handled in overlapping runs.
 MAX_WORDS = 1 << 19
 #: Raw bytes of packed strings that a reducing task unpacks at once.
-UNPACK_BYTES = 12 << 20
+UNPACK_BYTES = 8 << 20
 #: Document keys from here on stand for texts without a doc_id.
 KEYLESS = 1 << 62
 #: Bytes of text whose strings make a unit; units above this number of tasks share tasks.
@@ -99,7 +99,7 @@ def survey(docs: DataFrame, k: int) -> Plan:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, size = np.zeros(BUCKETS, np.int64), 0
-        for piece in pieces(batches, "text", CHUNK_BYTES):
+        for piece in pieces(batches, "text", CHUNK_BYTES // 4):
             data, _ = joined_words(utf8(piece.column("text")))
             buf = np.frombuffer(data, np.uint8)
             grams = gram_hashes(word_hashes(buf, *word_bounds(buf)), k)
@@ -172,6 +172,7 @@ def pack_chunk(batch: pa.RecordBatch, width: int, k: int, parts: int, frequent:
     rows: list[tuple] = []
     groups: list[int] = []
     spans: list[tuple] = []
+    doc = doc.astype(np.int32)
     for base in range(0, max(1, len(words) - width + 1), MAX_WORDS - width + 1):
         part = slice(base, min(len(words), base + MAX_WORDS))
         at, stop, place, least = runs_of_windows(words[part], doc[part], width, k, frequent)
@@ -189,6 +190,7 @@ def pack_chunk(batch: pa.RecordBatch, width: int, k: int, parts: int, frequent:
             elif (keys[d], w) != (keys[owners[i][0]], owners[i][1]):
                 d0, w0 = owners[i]
                 spans.append((*keys[d], w, n, *keys[d0], w0, -1))
+    del data, starts, ends, words, doc, seen
     press = zstandard.ZstdCompressor(level=3)
     group = np.array(groups, U64)
     to = (group % U64(parts)).astype(np.int64)
