@@ -34,6 +34,20 @@ def owner_merge(snapshots: list[DataFrame], id_col: str) -> DataFrame:
     return reduce(DataFrame.unionByName, [s.filter(F.pmod(F.col(id_col), F.lit(n)) == i) for i, s in enumerate(snapshots)])
 
 
+def verified_owner_merge(snapshots: list[DataFrame], id_col: str, identity: list[str], columns: list[str]) -> DataFrame:
+    """``owner_merge`` of replicas: refused unless all hold the same ids and identities, and unless
+    each owner's rows come out as they stand in its snapshot."""
+    digest = lambda df, names: df.agg(F.count("*").alias("n"), F.sum(F.xxhash64(*names).cast("decimal(38,0)")).alias("d")).first()
+    if len({tuple(digest(s, [id_col, *identity])) for s in snapshots}) > 1:
+        raise MergeRefused("snapshots differ in identity")
+    out, n = owner_merge(snapshots, id_col), len(snapshots)
+    for i, s in enumerate(snapshots):
+        own = F.pmod(F.col(id_col), F.lit(n)) == i
+        if digest(out.filter(own), columns) != digest(s.filter(own), columns):
+            raise MergeRefused(f"rows of owner {i} have changed")
+    return out
+
+
 def merge_shards(entries: DataFrame, shards: list[DataFrame], id_col: str, columns: list[str]) -> DataFrame:
     """Entries with the shards' columns, null too, in place of their own.
 

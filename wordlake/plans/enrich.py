@@ -17,6 +17,7 @@ ASSOCIATION_SCHEMA = "array<struct<word:string,defs:array<string>,tags:array<str
 # Part-of-speech tags and finished states.
 TAG_POS = {"n": "noun", "v": "verb", "adj": "adjective", "adv": "adverb"}
 FINISHED = ["completed", "partial", "not_found"]
+DEEP_LISTS = ["synonyms", "antonyms", "related_words", "phrases"]
 
 
 def each(values: Column, get) -> Column:  # noqa: ANN001
@@ -117,7 +118,10 @@ def combine_fields(dictionary: DataFrame, exact: DataFrame, key: str) -> DataFra
 
 
 def merge_enrichment(entries: DataFrame, fields: DataFrame, key: str) -> DataFrame:
-    """Entries with blank scalars filled, lists appended, frequency raised and the band renewed."""
+    """Entries with blank scalars filled, lists appended, frequency raised and the band renewed.
+
+    ``filled`` names the columns that took something new, in order.
+    """
     new = fields.select(key, *[F.col(c).alias(f"new_{c}") for c in fields.columns if c != key])
     joined = entries.join(new, key, "left")
     scalars = [c for c in ("definition", "pos", "us_phonetic", "uk_phonetic") if f"new_{c}" in joined.columns and c in entries.columns]
@@ -131,7 +135,11 @@ def merge_enrichment(entries: DataFrame, fields: DataFrame, key: str) -> DataFra
         out["frequency"] = F.coalesce(best, F.lit(0.0))
         if "difficulty" in entries.columns:
             out["difficulty"] = resolved_difficulty(F.col("difficulty"), F.col("frequency"), best)
-    return joined.select(*[out[c].alias(c) if c in out else F.col(c) for c in entries.columns])
+    # under names of their own first: an alias that hides a column would be seen inside later lambdas
+    joined = joined.withColumns({f"__out_{c}": x for c, x in out.items()})
+    took = [F.when(~F.to_json(F.struct(F.col(f"__out_{c}").alias("v"))).eqNullSafe(F.to_json(F.struct(F.col(c).alias("v")))), c) for c in out]
+    filled = F.filter(F.array(*took), lambda c: c.isNotNull()) if took else F.array().cast("array<string>")
+    return joined.select(*[F.col(f"__out_{c}").alias(c) if c in out else F.col(c) for c in entries.columns], filled.alias("filled"))
 
 
 def marker(statuses: Column) -> Column:
@@ -141,20 +149,38 @@ def marker(statuses: Column) -> Column:
     return F.when(ok & ~failed, "completed").when(ok | failed, "partial").otherwise("not_found")
 
 
-def worklist(entries: DataFrame, now: Column, retry_hours: float) -> DataFrame:
-    """Rows without a status, or unfinished ones whose last attempt is old enough."""
+def repair_marker(statuses: Column, gaps: Column) -> Column:
+    """Status of a repair: completed once no gap is left, whatever the sources said; else partial or not_found."""
+    answered = F.exists(statuses, lambda s: s != "not_found")
+    return F.when(F.size(gaps) == 0, "completed").when(answered, "partial").otherwise("not_found")
+
+
+def worklist(entries: DataFrame, now: Column, retry_hours: float, gaps: Column | None = None, deep: Column | None = None) -> DataFrame:
+    """Rows without a status, or unfinished ones whose last attempt is old enough.
+
+    With ``gaps``, finished rows that still have some are due again after the same time; with
+    ``deep`` (whether a row has had its deep pass), completed rows without one are due at once.
+    """
     age = F.unix_timestamp(now) - F.unix_timestamp("last_attempt")
-    due = F.col("last_attempt").isNull() | (age >= retry_hours * 3600)
-    return entries.filter(F.col("status").isNull() | ((F.col("status") != "completed") & due))
+    old = F.col("last_attempt").isNull() | (age >= retry_hours * 3600)
+    due = F.col("status").isNull() | ((F.col("status") != "completed") & old)
+    if gaps is not None:
+        due = due | ((F.size(gaps) > 0) & old)
+    if deep is not None:
+        due = due | ((F.col("status") == "completed") & ~deep)
+    return entries.filter(due)
 
 
 def plan_needs(entries: DataFrame, deep: bool = False) -> DataFrame:
-    """Per row what its gaps ask of the providers."""
+    """Per row what its gaps ask of the providers; phrases ask for no part of speech and no phonetic.
+
+    ``deep`` adds the four lists that associations can give.
+    """
     gaps = quality_gaps(F.col("term"), F.col("definition"), F.col("definition_zh"), F.col("us_phonetic"), F.col("uk_phonetic"), F.col("pos"))
     rows = entries.withColumn("__g", gaps)
     has = lambda g: F.array_contains("__g", g)
-    flags = [has("definition").alias("definition"), (has("pos") | has("phonetic")).alias("us_phonetic"), F.lit(deep).alias("relations")]
-    return rows.select("term", *flags)
+    flags = [has("definition").alias("definition"), has("definition_zh").alias("translation"), has("pos").alias("pos"), (has("pos") | has("phonetic")).alias("us_phonetic"), F.lit(deep).alias("relations")]
+    return rows.select("term", *flags, *[F.lit(deep).alias(c) for c in DEEP_LISTS])
 
 
 def provider_plan(needs: DataFrame, found: DataFrame) -> DataFrame:

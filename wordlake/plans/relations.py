@@ -96,14 +96,17 @@ def relation_delta(entries: DataFrame, records: DataFrame) -> DataFrame:
 
 
 def check_relation_delta(delta: DataFrame, entries: DataFrame) -> DataFrame:
-    """(code, example) rows: unknown ids, other keys, undefined words, unknown relations, moved senses."""
+    """(code, example) rows: repeated rows, unknown ids, other keys, undefined or repeated words, unknown relations, moved senses."""
     e = entries.select("id", F.col("normalized_word").alias("k"), F.coalesce("senses", F.array()).alias("senses"))
     joined = delta.join(e, "id", "left")
+    repeated = delta.groupBy("id").count().filter("count > 1").select(F.lit("duplicate_row").alias("code"), F.col("id").cast("string").alias("example"))
+    keys = lambda c: F.transform(c, lambda x: norm_key(x["word"]))
+    twice = (F.size(F.array_distinct(keys("related"))) < F.size("related")) | (F.size(F.array_distinct(keys("phrases"))) < F.size("phrases"))
     undefined = F.exists(F.concat("related", "phrases"), lambda x: blank(x["word"]) | blank(x["definition"]))
     unknown = F.exists("patches", lambda p: F.exists(F.map_keys(p["relations"]), lambda f: ~f.isin(*RELATION_FIELDS)))
     moved = F.exists("patches", lambda p: p["index"].isNotNull() & ~F.coalesce(fingerprint(F.try_element_at(F.col("senses"), (p["index"] + 1).cast("int"))), F.lit("")).eqNullSafe(p["fingerprint"]))
-    code = F.when(F.col("k").isNull(), "canonical_missing").when(F.col("k") != F.col("key"), "identity_mismatch").when(undefined, "unpaired_value").when(unknown, "unknown_relation").when(moved, "sense_mismatch")
-    return joined.select(code.alias("code"), F.col("id").cast("string").alias("example")).filter("code is not null")
+    code = F.when(F.col("k").isNull(), "canonical_missing").when(F.col("k") != F.col("key"), "identity_mismatch").when(undefined, "unpaired_value").when(twice, "duplicate_value").when(unknown, "unknown_relation").when(moved, "sense_mismatch")
+    return joined.select(code.alias("code"), F.col("id").cast("string").alias("example")).filter("code is not null").unionByName(repeated)
 
 
 def apply_relation_delta(entries: DataFrame, delta: DataFrame, id_range: tuple[int, int] | None = None) -> tuple[DataFrame, DataFrame]:

@@ -3,17 +3,19 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wordlake.functions.digest import row_digest, stream_digest
-from wordlake.functions.normalize import blank, is_phrase, lexical_reason, norm_key, phrase_evidence, quality_gaps
+from wordlake.functions.normalize import is_phrase, lexical_reason, norm_key, phrase_evidence, quality_gaps, shard_filter
 from wordlake.operators.aggregates import check_dense_rank, check_unique, issue_rollup
 from wordlake.operators.joins import index_diff
+from wordlake.operators.lineage import cut_lineage
 from wordlake.operators.rank import choose_counts, first_per_key, interleave, order_breaks, stream_rank
 from wordlake.operators.sets import MergeRefused, check_exact_union, three_way
-from wordlake.schema import CONTRACT_IDENTITY, PAYLOAD
+from wordlake.schema import CONTRACT_IDENTITY, MUTABLE, PAYLOAD
 
 # Gaps that a repair may fill, what each gap allows to change, the least words of the large edition.
 REPAIRABLE = ["definition", "definition_zh", "pos", "phonetic", "phonetic_unreliable"]
@@ -69,7 +71,8 @@ def repair_queue(entries: DataFrame, shards: int) -> DataFrame:
 def select(entries: DataFrame, limit: int, phrase_target: int, shards: int = 1) -> Candidate:
     """The edition of ``limit`` rows: phrases spread evenly among words, both in rank order."""
     pool, _ = candidate_pool(entries)
-    ranked = stream_rank(pool, "kind", [F.col("frequency_rank"), F.col("id")], limit)
+    # at most ``limit`` rows of each kind: stored, since counts, rows and provenance are taken from them
+    ranked = cut_lineage(stream_rank(pool, "kind", [F.col("frequency_rank"), F.col("id")], limit))
     counts = {r[0]: r[1] for r in ranked.groupBy("kind").count().collect()}
     words, phrases = choose_counts(limit, phrase_target, counts.get("word", 0), counts.get("phrase", 0), LARGE_EDITION_WORDS if limit == LARGE_EDITION else 0)
     chosen = interleave(ranked, F.col("kind") == "phrase", words + phrases, phrases)
@@ -84,20 +87,46 @@ def selection_digest(provenance: DataFrame) -> DataFrame:
     return provenance.agg(stream_digest(F.col("selected_rank"), text_digest(["id", "kind", "term_key", "canonical_rank", "identity_digest"])).alias("digest"))
 
 
-def violations(candidate: Candidate, canonical: DataFrame, limit: int, shards: int = 1) -> DataFrame:
-    """(code, example) rows of everything that breaks the edition's contract."""
+def with_provenance(entries: DataFrame, provenance: DataFrame) -> DataFrame:
+    """Entries with what is known of their selection; nulls where nothing is."""
+    return entries.join(provenance.select(F.col("id").alias("__p"), "selected_rank", "kind", "term_key", "evidence", "canonical_rank", "identity_digest", "content_digest"), F.col("id") == F.col("__p"), "left")
+
+
+def with_queue_flag(provenance: DataFrame, queue: DataFrame) -> DataFrame:
+    """Provenance with ``queued``: whether the row waits for a repair."""
+    return provenance.join(queue.select("id", F.lit(True).alias("queued")).distinct(), "id", "left").withColumn("queued", F.coalesce("queued", F.lit(False)))
+
+
+def say(df: DataFrame, code: str) -> DataFrame:
+    """(code, example) rows for the rows of df."""
+    return df.select(F.lit(code).alias("code"), F.col("id").cast("string").alias("example"))
+
+
+def internal_violations(candidate: Candidate, limit: int, shards: int = 1, phrases: int | None = None) -> DataFrame:
+    """(code, example) rows of what the edition's own tables say against it: no canonical rows needed."""
     e, p, q = candidate.entries, candidate.provenance, candidate.queue
-    say = lambda df, code: df.select(F.lit(code).alias("code"), F.col("id").cast("string").alias("example"))
-    both = e.join(p.select(F.col("id").alias("__p"), "selected_rank", "kind", "term_key", "canonical_rank", "identity_digest", "content_digest"), F.col("id") == F.col("__p"), "left")
-    now = canonical.select("id", F.col("frequency_rank").alias("rank_now"), text_digest(CONTRACT_IDENTITY).alias("identity_now"), text_digest(["id", *PAYLOAD]).alias("content_now"))
-    against = p.join(now, "id", "left")
+    both = with_provenance(e, p)
     counts = e.agg(F.count("*").alias("n")).filter(F.col("n") != limit).select(F.lit("row_count").alias("code"), F.col("n").cast("string").alias("example"))
     gaps = e.select("id", F.explode(gaps_of()).alias("code")).select("code", F.col("id").cast("string").alias("example"))
     expected = repair_queue(e, shards)
     queue = index_diff(expected, q, "id", ["frequency_rank", "gaps"])
     owners = q.filter(F.col("owner") != F.pmod(F.col("id"), F.lit(shards)))
+    flag = lambda path: F.get_json_object("scope", path)
+    key = norm_key(F.col("word"), "term_key")
+    lexical = lexical_reason(key, F.col("pos"), F.col("sources"), flag("$.kaikki"), flag("$.ecdictOxfordFlag"))
+    evidence = phrase_evidence(F.col("word"), F.col("pos"), F.col("sources"), flag("$.kaikki"), flag("$.ecdictOxfordFlag"))
+    declared = p.agg(F.count_if(F.col("kind") == "phrase").alias("n")).filter(F.col("n") != F.lit(phrases)).select(F.lit("selection_counts").alias("code"), F.col("n").cast("string").alias("example"))
+    few = p.agg(F.count_if(F.col("kind") == "word").alias("n")).filter((F.lit(limit) == LARGE_EDITION) & (F.col("n") < LARGE_EDITION_WORDS)).select(F.lit("minimum_word_count").alias("code"), F.col("n").cast("string").alias("example"))
+    json = lambda c: F.coalesce(F.try_parse_json(F.coalesce(c, F.lit("{}"))).isNull(), F.lit(True))
     parts = [
         counts,
+        declared,
+        few,
+        say(e.filter(json("scope") | json("enrichment")), "malformed_json"),
+        say(e.filter(lexical.isNotNull()), "lexical_policy"),
+        say(both.filter(F.coalesce("evidence", F.lit("?")) != F.coalesce(evidence, F.lit("?"))), "phrase_evidence"),
+        say(p.join(e.select("id"), "id", "left_anti"), "provenance_count"),
+        say(both.filter(text_digest(["id", *PAYLOAD]) != F.col("content_digest")), "candidate_digest_mismatch"),
         check_dense_rank(e, "frequency_rank"),
         check_unique(e, ["id", "normalized_word"]),
         say(both.filter("__p is null"), "provenance_count"),
@@ -107,22 +136,35 @@ def violations(candidate: Candidate, canonical: DataFrame, limit: int, shards: i
         say(both.filter((F.col("kind") == "phrase") != is_phrase(F.col("word"), F.col("pos"))), "phrase_evidence"),
         say(e.filter(F.size(F.coalesce("sources", F.array().cast("array<string>"))) == 0), "missing_source_provenance"),
         say(order_breaks(p, "kind", "selected_rank", "canonical_rank"), "stream_order"),
-        say(against.filter("identity_now is null"), "canonical_missing"),
-        say(against.filter("identity_now <> identity_digest"), "canonical_identity_mismatch"),
-        say(against.filter("content_now <> content_digest"), "canonical_content_mismatch"),
         say(queue, "repair_queue_mismatch"),
         say(owners, "shard_owner_mismatch"),
         gaps,
     ]
-    out = parts[0]
-    for x in parts[1:]:
-        out = out.unionByName(x)
-    return out
+    return reduce(DataFrame.unionByName, parts)
 
 
-def gate(candidate: Candidate, canonical: DataFrame, limit: int, shards: int = 1) -> tuple[DataFrame, dict]:
+def violations(candidate: Candidate, canonical: DataFrame, limit: int, shards: int = 1, phrases: int | None = None) -> DataFrame:
+    """(code, example) rows of everything that breaks the edition's contract with the canonical rows."""
+    now = canonical.select("id", F.col("frequency_rank").alias("rank_now"), text_digest(CONTRACT_IDENTITY).alias("identity_now"), text_digest(["id", *PAYLOAD]).alias("content_now"))
+    against = candidate.provenance.join(now, "id", "left")
+    parts = [
+        internal_violations(candidate, limit, shards, phrases),
+        say(against.filter("identity_now is null"), "canonical_missing"),
+        say(against.filter("identity_now <> identity_digest"), "canonical_identity_mismatch"),
+        say(against.filter("content_now <> content_digest"), "canonical_content_mismatch"),
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def assert_ready(report: DataFrame, verdict: dict) -> None:
+    """Raise, with the report, unless the gate found the edition ready."""
+    if not verdict["ready"]:
+        raise MergeRefused("not ready: " + ", ".join(f"{r['code']} {r['n']}" for r in report.orderBy("code").collect()))
+
+
+def gate(candidate: Candidate, canonical: DataFrame, limit: int, shards: int = 1, phrases: int | None = None) -> tuple[DataFrame, dict]:
     """(issue counts with examples, {structural, ready}): structural if only repairable issues remain."""
-    report = issue_rollup(violations(candidate, canonical, limit, shards))
+    report = cut_lineage(issue_rollup(violations(candidate, canonical, limit, shards, phrases)))
     codes = {r["code"] for r in report.select("code").collect()}
     structural = not codes - set(REPAIRABLE)
     return report, {"structural": structural, "ready": structural and not codes}
@@ -155,11 +197,10 @@ def refresh(canonical: DataFrame, template: Candidate, shards: int = 1, owner: i
 
 def preflight_owner(entries: DataFrame, candidate: Candidate, owner: int, shards: int) -> DataFrame:
     """(code, example): rows of an owner that differ from the baseline without being queued."""
-    p = candidate.provenance.filter(F.pmod(F.col("id"), F.lit(shards)) == owner).select("id", "content_digest")
-    q = candidate.queue.select("id", F.lit(True).alias("queued"))
+    p = with_queue_flag(candidate.provenance.filter(F.pmod(F.col("id"), F.lit(shards)) == owner).select("id", "content_digest"), candidate.queue)
     now = entries.select("id", text_digest(["id", *PAYLOAD]).alias("content_now"))
-    joined = p.join(now, "id", "left").join(q, "id", "left")
-    code = F.when(F.col("content_now").isNull(), "canonical_missing").when((F.col("content_now") != F.col("content_digest")) & F.col("queued").isNull(), "canonical_content_mismatch")
+    joined = p.join(now, "id", "left")
+    code = F.when(F.col("content_now").isNull(), "canonical_missing").when((F.col("content_now") != F.col("content_digest")) & ~F.col("queued"), "canonical_content_mismatch")
     return joined.select(code.alias("code"), F.col("id").cast("string").alias("example")).filter("code is not null")
 
 
@@ -198,6 +239,11 @@ def apply_union(canonical: DataFrame, candidate: Candidate, deltas: DataFrame, s
     return merged.drop("conflicts")
 
 
+def export_shard(entries: DataFrame, i: int, n: int, rank_cap: int | None = None) -> DataFrame:
+    """The id and the columns that enrichment may change, of contiguous shard ``i`` of ``n``."""
+    return shard_filter(entries, "id", i, n, rank_cap=rank_cap).select("id", *MUTABLE)
+
+
 def export_if_ready(entries: DataFrame, finished: Column, columns: list[str]) -> tuple[str, DataFrame | None]:
     """('ready', rows) once every row is finished, else ('waiting finished=f total=t', None)."""
     total, done = entries.agg(F.count("*"), F.count_if(finished)).first()

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from wordlake.functions import collect, normalize
 from wordlake.operators import aggregates, joins, lookup, rank
-from wordlake.operators.lineage import fresh_path
+from wordlake.operators.lineage import cut_lineage, fresh_path
 from wordlake.plans import assemble, enrich, relations, select
 from wordlake.queries.base import LEXICON_SQL, TOKENS_SQL, lexicon, table, terms
 from wordlake.schema import ENTRIES, conform
@@ -347,8 +347,10 @@ def refused_terms(spark: SparkSession, sf: str) -> DataFrame:
 EDITION_ROWS, EDITION_PHRASES, SHARDS = 600, 120, 3
 
 
-def edition(spark: SparkSession, sf: str) -> select.Candidate:
-    return select.select(term_entries(spark, sf), EDITION_ROWS, EDITION_PHRASES, SHARDS)
+def edition(spark: SparkSession, sf: str, entries: DataFrame | None = None) -> select.Candidate:
+    """The edition of the entries; its three bounded tables are stored, as a candidate is."""
+    c = select.select(term_entries(spark, sf) if entries is None else entries, EDITION_ROWS, EDITION_PHRASES, SHARDS)
+    return select.Candidate(cut_lineage(c.entries), cut_lineage(c.provenance), cut_lineage(c.queue))
 
 
 def edition_provenance(spark: SparkSession, sf: str) -> DataFrame:
@@ -374,15 +376,17 @@ def changed_canonical(entries: DataFrame) -> DataFrame:
 
 def edition_gate(spark: SparkSession, sf: str) -> DataFrame:
     """What the gate says of the edition against the entries of a later day, and of a queue with wrong owners."""
-    c = edition(spark, sf)
+    e = term_entries(spark, sf)
+    c = edition(spark, sf, e)
     wrong = c.queue.withColumn("owner", F.when(F.col("id") % 5 == 0, (F.col("owner") + 1) % SHARDS).otherwise(F.col("owner")))
-    report, verdict = select.gate(select.Candidate(c.entries, c.provenance, wrong), changed_canonical(term_entries(spark, sf)), EDITION_ROWS, SHARDS)
+    report, verdict = select.gate(select.Candidate(c.entries, c.provenance, wrong), changed_canonical(e), EDITION_ROWS, SHARDS, EDITION_PHRASES)
     return report.select("code", "n", F.lit(verdict["structural"]).alias("structural"))
 
 
 def edition_refresh(spark: SparkSession, sf: str) -> DataFrame:
     """The edition's rows of owner 1 with the translations of a later day, and the queue that is left."""
-    c, e = edition(spark, sf), term_entries(spark, sf)
+    e = term_entries(spark, sf)
+    c = edition(spark, sf, e)
     later = e.withColumn("definition_zh", F.when(F.col("id") % 8 == 0, "新").otherwise(F.lit("中文")))
     new = select.refresh(later, c, SHARDS, owner=1)
     gaps = new.queue.select("id", F.array_join("gaps", "|").alias("gaps"))
@@ -391,15 +395,32 @@ def edition_refresh(spark: SparkSession, sf: str) -> DataFrame:
 
 def owner_preflight(spark: SparkSession, sf: str) -> DataFrame:
     """Rows of owner 2 that changed without being queued, or are gone."""
-    return select.preflight_owner(changed_canonical(term_entries(spark, sf)), edition(spark, sf), 2, SHARDS)
+    e = term_entries(spark, sf)
+    return select.preflight_owner(changed_canonical(e), edition(spark, sf, e), 2, SHARDS)
+
+
+def edition_internal(spark: SparkSession, sf: str) -> DataFrame:
+    """What an edition with changed words, lost provenance and broken JSON says against itself."""
+    c = edition(spark, sf)
+    e = c.entries.withColumn("scope", F.when(F.col("id") % 8 == 0, "{broken").otherwise(F.col("scope"))).withColumn("pos", F.when(F.col("id") % 5 == 0, "verb").otherwise(F.col("pos")))
+    report = aggregates.issue_rollup(select.internal_violations(select.Candidate(e, c.provenance.filter("id % 13 <> 0"), c.queue), EDITION_ROWS, SHARDS, EDITION_PHRASES))
+    return report.filter(F.col("code").isin("malformed_json", "provenance_count", "candidate_digest_mismatch")).select("code", "n")
+
+
+def queue_flags(spark: SparkSession, sf: str) -> DataFrame:
+    """The edition's rows with their kind and whether they are queued."""
+    c = edition(spark, sf)
+    flags = select.with_queue_flag(c.provenance, c.queue).select("id", "queued")
+    return select.with_provenance(c.entries, c.provenance.filter("id % 13 <> 0")).select("id", "kind").join(flags, "id")
 
 
 def repaired(spark: SparkSession, sf: str) -> tuple[select.Candidate, DataFrame, DataFrame]:
     """The edition, its entries, and the deltas of all owners that fill every gap."""
-    c, e = edition(spark, sf), term_entries(spark, sf)
+    e = term_entries(spark, sf)
+    c = edition(spark, sf, e)
     fixed = e.withColumn("definition", F.when(F.col("definition") == "", "filled").otherwise(F.col("definition"))).withColumn("definition_zh", F.lit("中文")).withColumn("pos", F.lit("noun"))
     deltas = [select.export_repair(fixed, c, i, SHARDS) for i in range(SHARDS)]
-    return c, e, deltas[0].unionByName(deltas[1]).unionByName(deltas[2])
+    return c, e, cut_lineage(deltas[0].unionByName(deltas[1]).unionByName(deltas[2]))
 
 
 def repair_deltas(spark: SparkSession, sf: str) -> DataFrame:
@@ -420,8 +441,7 @@ def repair_applied(spark: SparkSession, sf: str) -> DataFrame:
 
 def shard_exports(spark: SparkSession, sf: str) -> DataFrame:
     """Rows of a contiguous shard, exported once all are finished; another that has to wait."""
-    e = part_entries(spark, sf)
-    mine = normalize.shard_filter(e, "id", 1, 4)
+    mine = select.export_shard(part_entries(spark, sf), 1, 4)
     done = select.export_if_ready(mine, F.lit(True), ["pos", "definition"])
     waits = select.export_if_ready(mine, F.col("id") % 2 == 0, ["pos"])
     return done[1].withColumn("said", F.lit(done[0])).withColumn("other", F.lit(waits[0]))
@@ -463,11 +483,21 @@ def merged_enrichment(spark: SparkSession, sf: str) -> DataFrame:
     """Part entries filled by fields for every second one."""
     e = part_entries(spark, sf)
     new = e.filter("id % 2 = 0").select("id", F.lit("found").alias("definition"), F.array(F.lit("s"), F.lit("t")).alias("synonyms"), (F.col("id") % 8).cast("double").alias("frequency"))
-    return enrich.merge_enrichment(e, new, "id").select("id", "definition", F.array_join("synonyms", "|").alias("synonyms"), "frequency", "difficulty")
+    return enrich.merge_enrichment(e, new, "id").select("id", "definition", F.array_join("synonyms", "|").alias("synonyms"), "frequency", "difficulty", F.array_join("filled", "|").alias("filled"))
 
 
 def work_plan(spark: SparkSession, sf: str) -> DataFrame:
-    return enrich.plan_needs(part_entries(spark, sf).withColumn("term", F.col("word")), deep=True).select("term", "definition", "us_phonetic", "relations")
+    needs = enrich.plan_needs(part_entries(spark, sf).withColumn("term", F.col("word")), deep=True)
+    return needs.select("term", "definition", "translation", "pos", "us_phonetic", "relations", "synonyms", "phrases")
+
+
+def repair_worklist(spark: SparkSession, sf: str) -> DataFrame:
+    """Part entries with made-up attempts: which are due, with the status that a repair gives them."""
+    e = part_entries(spark, sf).withColumns({
+        "status": pick(F.col("id"), None, "completed", "partial", "not_found"), "last_attempt": F.timestamp_seconds(F.lit(1_700_000_000) - F.pmod("id", F.lit(48)) * 3600), "g": select.gaps_of(),
+    })
+    due = enrich.worklist(e, F.timestamp_seconds(F.lit(1_700_000_000)), 24, F.col("g"), F.col("id") % 10 != 1)
+    return due.select("id", enrich.repair_marker(F.array(F.when(F.col("id") % 2 == 0, "ok").otherwise("not_found")), F.col("g")).alias("repaired"))
 
 
 def markers(spark: SparkSession, sf: str) -> DataFrame:
@@ -495,7 +525,7 @@ QUERIES = {
         dictionary_csv, dump_counts, dump_groups, entries_snapshot, bundle_and_delta, term_lists, report_check, row_rules, named_union, missing_columns, attempt_totals, list_change_stats, top_parts, queue_identity, term_book,
         scored_words, assembled_entries, wordnet_senses, wordnet_sense_links, wordnet_synset_links, wordnet_synonyms, wordnet_patch, patched_entries, patch_statistics, finalized, relation_senses, relation_delta, relation_applied,
         relation_violations, pool_of_terms, refused_terms, edition_provenance, edition_queue, edition_counts, edition_gate, edition_refresh, owner_preflight, repair_deltas, repair_check, repair_applied, shard_exports,
-        provider_fields, association_fields, combined_fields, merged_enrichment, work_plan, markers, enrichment_progress, page_fields,
+        provider_fields, association_fields, combined_fields, merged_enrichment, work_plan, markers, enrichment_progress, page_fields, edition_internal, queue_flags, repair_worklist,
     )
 }
 
@@ -620,8 +650,13 @@ SQL = {
     "combined_fields": """SELECT 'part ' || p_partkey AS term, CASE WHEN a THEN p_name ELSE 'n ' || p_type END AS definition, CASE WHEN a AND p_partkey % 2 = 1 THEN 'verb' ELSE 'noun' END AS pos, CASE WHEN a AND p_partkey % 3 = 0 THEN 's' ELSE 'x' END || p_partkey AS us,
       CASE WHEN a AND p_partkey % 3 = 1 THEN 's' || p_partkey ELSE '' END AS uk FROM (SELECT *, p_partkey % 5 <> 0 AS a FROM part)""",
     "merged_enrichment": """SELECT p_partkey AS id, CASE WHEN p_partkey % 3 <> 0 THEN p_name WHEN p_partkey % 2 = 0 THEN 'found' ELSE '' END AS definition, CASE WHEN p_partkey % 2 = 0 THEN 's|t' ELSE '' END AS synonyms, f AS frequency,
-      CASE WHEN f >= 6 THEN 'A1–A2' WHEN f >= 4.8 THEN 'B1–B2' ELSE 'C1–C2' END AS difficulty FROM (SELECT *, CAST(CASE WHEN p_partkey % 2 = 0 THEN greatest(4, p_partkey % 8) ELSE 4 END AS DOUBLE) AS f FROM part)""",
-    "work_plan": f"SELECT {WORD.format('p_partkey')} AS term, p_partkey % 3 = 0 AS definition, FALSE AS us_phonetic, TRUE AS relations FROM part",
+      concat_ws('|', CASE WHEN p_partkey % 6 = 0 THEN 'definition' END, CASE WHEN p_partkey % 2 = 0 THEN 'synonyms' END, CASE WHEN f > 4 THEN 'frequency' END, 'difficulty') AS filled, CASE WHEN f >= 6 THEN 'A1–A2' WHEN f >= 4.8 THEN 'B1–B2' ELSE 'C1–C2' END AS difficulty FROM (SELECT *, CAST(CASE WHEN p_partkey % 2 = 0 THEN greatest(4, p_partkey % 8) ELSE 4 END AS DOUBLE) AS f FROM part)""",
+    "work_plan": f"SELECT {WORD.format('p_partkey')} AS term, p_partkey % 3 = 0 AS definition, p_partkey % 3 <> 0 AND p_partkey % 4 = 0 AS translation, FALSE AS pos, FALSE AS us_phonetic, TRUE AS relations, TRUE AS synonyms, TRUE AS phrases FROM part",
+    "edition_internal": f"""WITH {EDITION_SQL}, v AS (SELECT 'malformed_json' AS code FROM e WHERE id % 8 = 0 UNION ALL SELECT 'provenance_count' FROM e WHERE id % 13 = 0
+        UNION ALL SELECT 'candidate_digest_mismatch' FROM e WHERE id % 5 = 0 AND id % 13 <> 0) SELECT code, count(*) AS n FROM v GROUP BY code""",
+    "queue_flags": f"WITH {EDITION_SQL} SELECT id, CASE WHEN id % 13 <> 0 THEN kind END AS kind, g1 OR g2 OR g3 AS queued FROM g",
+    "repair_worklist": """WITH p AS (SELECT p_partkey AS id, p_partkey % 3 = 0 OR p_partkey % 4 = 0 AS gap, p_partkey % 48 >= 24 AS old FROM part)
+      SELECT id, CASE WHEN NOT gap THEN 'completed' WHEN id % 2 = 0 THEN 'partial' ELSE 'not_found' END AS repaired FROM p WHERE id % 4 = 0 OR (id % 4 > 1 AND old) OR (gap AND old) OR (id % 4 = 1 AND id % 10 = 1)""",
     "markers": MARKERS_SQL,
     "enrichment_progress": f"SELECT count(*) AS total, count(*) FILTER (user_id % 4 <> 0) AS finished, round(100.0 * count(*) FILTER (user_id % 4 <> 0) / count(*), 3) AS percent FROM ({MARKERS_SQL})",
     "page_fields": "SELECT page_id, CASE WHEN page_id % 2 = 0 THEN 's' || page_id ELSE '' END AS ipa, CASE WHEN page_id % 3 <> 0 THEN 'page ' || page_id || chr(10) || 'a & b' ELSE '' END AS definition, CASE WHEN page_id % 3 <> 0 THEN 'noun' ELSE '' END AS pos FROM pages",

@@ -59,7 +59,7 @@ def snapshots(spark: SparkSession, sf: str) -> list[DataFrame]:
 
 
 def owner_merge(spark: SparkSession, sf: str) -> DataFrame:
-    return sets.owner_merge(snapshots(spark, sf), "o_orderkey").select("o_orderkey", "o_orderstatus")
+    return sets.verified_owner_merge(snapshots(spark, sf), "o_orderkey", ["o_custkey"], ["o_orderkey", *COLUMNS]).select("o_orderkey", "o_orderstatus")
 
 
 def shard_merge(spark: SparkSession, sf: str) -> DataFrame:
