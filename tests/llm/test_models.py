@@ -189,6 +189,26 @@ def test_pipeline_stages(spark):
         assert empty.count() == 0, name
 
 
+def test_pipeline_stages_on_odd_rows(spark):
+    """Nulls in any column, repeated rows, shared and missing ids, and columns with the operators' own names."""
+    stages = dict(corpus_pipeline.STAGES)
+    item = spark.read.parquet(f"{SF}/benchmark.parquet").orderBy(F.desc(F.length("text"))).first().text
+    passage = " ".join(f"p{i}" for i in range(60))
+    one, two = "the words of one text that is short " * 2, "and then of another that is not alike " * 2
+    rows = [(1, None), (2, ""), (3, one), (3, one), (3, two), (4, one.upper()), (None, two), (None, "alone"), (5, "x " + passage), (6, passage + " y"), (7, "before " + item + " after")]
+    docs = table(spark, rows).withColumn("node", F.lit(None).cast("long")).withColumn("copy", F.lit("mine"))
+    out = {name: stages[name](spark, docs, SF) for name in ("language_id", "near_dup", "suffix_dedup", "decontaminate")}
+    for name, df in out.items():
+        assert df.columns == docs.columns and {r["copy"] for r in df.collect()} <= {"mine"}, name
+    texts = {name: sorted((str(r.doc_id), (r.text or "")[:12]) for r in df.collect()) for name, df in out.items()}
+    assert texts["near_dup"] == sorted([("1", ""), ("2", ""), ("3", one[:12]), ("3", two[:12]), ("None", "alone"), ("5", "x p0 p1 p2 p3"[:12]), ("7", f"before {item}"[:12])])
+    assert ("6", "y") in texts["suffix_dedup"] and len(texts["suffix_dedup"]) == len(rows)
+    assert len(texts["decontaminate"]) == len(rows) - 1 and "7" not in {d for d, _ in texts["decontaminate"]}
+    assert not {"1", "2"} & {d for d, _ in texts["language_id"]}
+    packed = stages["pack"](spark, docs, SF).groupBy("sequence_id").count()
+    assert packed.filter("count > 1").count() == 0
+
+
 def test_pipeline_run(spark):
     out = corpus_pipeline.run(spark, SF).collect()
     assert out and len({r.sequence_id for r in out}) == len(out)

@@ -6,8 +6,6 @@ boundaries and 64-bit word hashes without a Python loop over words.
 
 from __future__ import annotations
 
-import os
-import tempfile
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,8 +18,6 @@ U64 = np.uint64
 WORD_BASE = U64(0x9E3779B97F4A7C15)
 GRAM_BASE = U64(0xD1342543DE82EF95)
 HASH_BLOCK = 1 << 20
-#: Only where the session names no shared folder.
-OWN_FOLDER: dict[str, str] = {}
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,30 +25,6 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``; unset on one machine, one of our own."""
-    named = spark.conf.get("spark.checkpoint.dir", "")
-    if not named:
-        master = spark.sparkContext.master
-        if not master.startswith("local") or master.startswith("local-cluster"):
-            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
-        named = OWN_FOLDER.setdefault("path", "") or os.path.join(tempfile.mkdtemp(prefix="spark-"), "shared")
-        OWN_FOLDER["path"] = named
-    return named
-
-
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Store ``df`` in the shared checkpoint folder and return it without its lineage.
-
-    The folder is the session's ``spark.checkpoint.dir``; only where that is unset (tests, a
-    single machine) a temporary folder is made.
-    """
-    sc = df.sparkSession.sparkContext
-    if not sc._jsc.sc().getCheckpointDir().isDefined():
-        sc.setCheckpointDir(shared_folder(df.sparkSession))
-    return df.checkpoint()
-
-
 def fold(column: Column, modulus: int) -> Column:
     """crc32 of the column's text form, modulo ``modulus``: the folds of the contracts."""
     return F.pmod(F.crc32(column.cast("string").cast("binary")), F.lit(modulus))

@@ -207,7 +207,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, n: int = 3, min_hits: int = 2,
 
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, n: int = 3, min_hits: int = 2, least: float = 0.4) -> DataFrame:
-    """``docs`` without the rows that hold a test item; rows without a doc_id are known by their text."""
-    keyed = docs.withColumn("__row", F.coalesce(F.col("doc_id").cast("long"), F.xxhash64("text")))
+    """``docs`` without the rows that hold a test item; a row is known by its doc_id and its text."""
+    keyed = docs.withColumn("__row", F.xxhash64("doc_id", "text"))
     found = leaks(keyed, benchmark, n, min_hits, least, "__row").select(F.col("doc_id").alias("__leak")).distinct()
     return keyed.join(found, F.col("__row") == F.col("__leak"), "left_anti").select(*docs.columns)

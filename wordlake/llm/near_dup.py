@@ -33,7 +33,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wordlake.llm.common import U64, cut_lineage, first_words, gram_hashes, joined_words, mix, pieces, utf8, word_bounds, word_hashes
+from wordlake.llm.common import U64, first_words, gram_hashes, joined_words, mix, pieces, utf8, word_bounds, word_hashes
+from wordlake.operators.lineage import cut_lineage
 
 CHUNK_BYTES = 1 << 20
 #: Nodes that are made of a text's digest, not of a doc_id, begin here.
