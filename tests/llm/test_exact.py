@@ -461,7 +461,7 @@ PAGES = {
     "forms": ("<article><form><p>Your mail address please</p></form><script>var a='</p>'</script><style>p{}</style><p>Text<br>more&nbsp;text</p><aside>side</aside><div class='cookie-notice'>We use cookies</div></article>", "Text more text"),
     "unclosed": ("<article><p>one<p>two<ul><li>x<li>y</ul>", "one\ntwo\nx\ny"),
     "no names": ("<body><div><div><a>Start</a></div><div><a>News</a></div><div><a>Map</a></div></div><div><h2>A heading</h2><p>A long paragraph with many words that tells us something about the matter at hand, at length.</p><p>So.</p><p>Another long paragraph with many words, so that the ratios alone say where the content of this page lies.</p></div><div><b>Site</b> <i>of</i> <b>us</b></div></body>", "A heading\nA long paragraph with many words that tells us something about the matter at hand, at length.\nSo.\nAnother long paragraph with many words, so that the ratios alone say where the content of this page lies."),
-    "anchors": ("<body class='has-sidebar'><nav>x</nav><main class='no-comments'><h2 id='related'>Related work</h2><p class='legal'>The law of the land says a lot about things like these, and so do we.</p><section id='search'><p>A search begins with a question, and ends with more of them than before.</p></section><div class='comments'><p>First!</p></div></main><div>Unnamed words that are about as long as a line of the article itself is.</div></body>", "Related work\nThe law of the land says a lot about things like these, and so do we.\nA search begins with a question, and ends with more of them than before."),
+    "anchors": ("<body class='has-sidebar'><nav>x</nav><main class='no-comments'><h2 id='related'>Related work</h2><p class='legal'>The law of the land says a lot about things like these, and so do we.</p><section id='search'><p>A search begins with a question, and ends with more of them than before.</p></section><div id='comments'><p>First! A reader has some words to say on this as well.</p></div></main><div>Unnamed words that are about as long as a line of the article itself is.</div></body>", "Related work\nThe law of the land says a lot about things like these, and so do we.\nA search begins with a question, and ends with more of them than before."),
     "two": ("<article class='post social'><p>" + "The first of two articles is long. " * 9 + "</p></article><article><p>The second one is short, but is an article too.</p></article>", " ".join(["The first of two articles is long."] * 9) + "\nThe second one is short, but is an article too."),
     "dense block": ("<article><p>Some words of an article that go on for a while, as they do.</p><div class='notice'><p>" + "A notice that is the story itself and goes on and on. " * 12 + "</p></div><p>And more words of an article that go on for a while.</p></article>", "Some words of an article that go on for a while, as they do.\n" + " ".join(["A notice that is the story itself and goes on and on."] * 12) + "\nAnd more words of an article that go on for a while."),
     "empty": ("", ""), "no text": ("<html><nav>menu</nav></html>", ""),

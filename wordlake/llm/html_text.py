@@ -41,6 +41,8 @@ UNLIKELY = {
     **dict.fromkeys("ad ads adv advert advertisement adsense sponsor sponsored promo promotion nav navbar navigation menu breadcrumb breadcrumbs sidebar footer masthead cookie cookies consent gdpr newsletter subscribe subscription signup login popup modal overlay comment comments disqus respond replies pagination pager toolbar".split(), 0.1),
     **dict.fromkeys("banner aside foot notice alert share sharing social related recommended reply widget skip search copyright legal hidden".split(), 0.4),
 }
+#: Ids that are no anchors of an article's own sections.
+SURE_IDS = frozenset("comments comment-list comments-list disqus_thread respond sidebar navigation newsletter cookie-banner cookie-notice".split())
 #: Such parts in front of a name say how the element looks, not what it is.
 STYLES = frozenset("has no with is without show not".split())
 CLOSES_P = BLOCKS - {"body", "html", "head"}
@@ -137,7 +139,7 @@ class Lines(HTMLParser):
             hidden = any(k == "hidden" or k == "aria-hidden" and v == "true" for k, v in attrs)
             new.dropped = tag in DROPPED or hidden or role in DROPPED_ROLES or tag == "header" and not new.main
             if tag in NAMED:
-                factor = name_factor(" ".join(v for k, v in attrs if v and (k == "class" or k == "id" and not new.main)))
+                factor = name_factor(" ".join(v for k, v in attrs if v and (k == "class" or k == "id" and (not new.main or v.lower() in SURE_IDS))))
                 if factor < 1:
                     new.factor *= factor
                     if not new.block:
