@@ -43,8 +43,8 @@ HASHED = 1 << 62
 SHARE = 512
 #: Edges that a task joins at once.
 EDGES = 1 << 20
-#: Hubs of a bucket of rare shingles in one round.
-HUBS = 1024
+#: Hubs of a bucket of rare shingles in one round; up to 1,000 Spark cuts such a choice down before its shuffle.
+HUBS = 1000
 
 
 def probe_order(bins: int, seed: int = 11) -> np.ndarray:
