@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from wordlake.operators import joins, lookup
 from wordlake.operators.rank import global_rank
-from wordlake.operators.sets import MergeRefused
+from wordlake.operators.sets import MergeRefused, verified_owner_merge
 from wordlake.plans import assemble, enrich, relations, select
 from wordlake.schema import ENTRIES, conform
 from wordlake.sources import files, snapshots
@@ -153,6 +153,26 @@ def test_snapshots_are_never_replaced(spark, tmp_path):
         snapshots.write_bundle({"entries": e}, str(tmp_path / "b"), e.select("id"))
     with pytest.raises(ValueError, match="sources"):
         conform(e.drop("sources"))
+    snapshots.write_delta(e, str(tmp_path / "d"), "abc", "CC0")
+    assert snapshots.read_delta(spark, str(tmp_path / "d"), "abc", "CC0").count() == 1
+    with pytest.raises(ValueError, match="another source"):
+        snapshots.read_delta(spark, str(tmp_path / "d"), "abd")
+
+
+def test_owner_merge_refuses_other_identities(spark):
+    a = spark.range(30).select("id", F.lit("w").alias("word"), F.lit(1).alias("n"))
+    assert verified_owner_merge([a, a.withColumn("n", F.lit(2))], "id", ["word"], ["id", "n"]).agg(F.sum("n")).first()[0] == 45
+    with pytest.raises(MergeRefused, match="identity"):
+        verified_owner_merge([a, a.filter("id < 29")], "id", ["word"], ["id", "n"])
+
+
+def test_ready_or_not(spark):
+    e = entries(spark, *[(i, w, {"definition": "" if w == "rasp" else "A tool."}) for i, w in enumerate(TOOLS, 1)])
+    report, verdict = select.gate(select.select(e, 8, 0), e, 8, phrases=0)
+    assert verdict == {"structural": True, "ready": False}
+    with pytest.raises(MergeRefused, match="definition 1"):
+        select.assert_ready(report, verdict)
+    assert {r.code for r in select.gate(select.select(e, 8, 0), e, 8, phrases=1)[0].collect()} == {"definition", "selection_counts"}
 
 
 def test_fuzzy_join_against_difflib(spark):

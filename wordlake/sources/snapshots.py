@@ -63,12 +63,14 @@ def write_delta(df: DataFrame, path: str, source_digest: str, licence: str) -> N
     df.sparkSession.createDataFrame([(source_digest, licence, n)], "source_digest string, licence string, n_rows long").coalesce(1).write.json(f"{path}/manifest")
 
 
-def read_delta(spark: SparkSession, path: str) -> DataFrame:
-    """A delta's rows, after its manifest was found whole."""
+def read_delta(spark: SparkSession, path: str, source_digest: str | None = None, licence: str | None = None) -> DataFrame:
+    """A delta's rows, after its manifest was found whole and, if given, of this source and licence."""
     m = spark.read.json(f"{path}/manifest").first()
     rows = spark.read.parquet(f"{path}/rows")
     if not m["source_digest"] or not m["licence"] or rows.count() != m["n_rows"]:
         raise ValueError("the delta's manifest does not fit its rows")
+    if source_digest not in (None, m["source_digest"]) or licence not in (None, m["licence"]):
+        raise ValueError("the delta is of another source or licence")
     return rows
 
 
