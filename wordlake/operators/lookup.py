@@ -40,8 +40,8 @@ def fuzzy_join(terms: DataFrame, entries: DataFrame, block: int = 5000, cutoff:
     """Per term the most similar word of the same first character among the block's best ranked.
 
     The block is a part of the rule.  Words meet terms of the same first character and of a length
-    that leaves the cutoff possible; a bound by common letters turns most of these away before the
-    UDF.
+    that leaves the cutoff possible; bounds by common letters and by edits turn most of these away
+    before the UDF.
     """
     near = best_per_key(entries.withColumn("letter", F.substring("word", 1, 1)), ["letter"], [F.col("rank"), F.col("word")], block)
     # 2 * min / (a + b) >= cutoff bounds the other length by this share
@@ -51,7 +51,9 @@ def fuzzy_join(terms: DataFrame, entries: DataFrame, block: int = 5000, cutoff:
     asked = terms.select("term", F.substring("term", 1, 1).alias("letter"), F.length("term").cast("long").alias("length"), *letter_counts("term", "t"))
     n = range(len(LETTERS) + 1)
     shared = sum((F.least(f"t{i}", f"w{i}") for i in n), F.lit(0))
-    pairs = asked.join(near.withColumn("length", F.col("length").cast("long")), ["letter", "length"]).filter(2.0 * shared >= cutoff * (F.col("length") + F.col("word_length")) - SLACK).select("term", "word")
+    pairs = asked.join(near.withColumn("length", F.col("length").cast("long")), ["letter", "length"]).filter(2.0 * shared >= cutoff * (F.col("length") + F.col("word_length")) - SLACK)
+    # matching blocks are a common subsequence, so the ratio is at most 1 - edits / length of both
+    pairs = pairs.filter(F.levenshtein("term", "word") <= (1 - cutoff) * (F.col("length") + F.col("word_length")) + SLACK).select("term", "word")
     scored = pairs.withColumn("score", ratio("term", "word")).filter(F.col("score") >= cutoff)
     return scored.groupBy("term").agg(F.max(F.struct("score", "word")).alias("b")).select("term", F.col("b.word").alias("word"), F.col("b.score").alias("score"))
 
