@@ -1,4 +1,4 @@
-"""Training-data operators: ten Spark jobs over a table of documents or pages.
+"""Training-data operators: thirteen Spark jobs over tables of documents, pages or vectors.
 
 Nothing else in the library imports this subpackage.
 """

@@ -6,6 +6,7 @@ boundaries and 64-bit word hashes without a Python loop over words.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -106,6 +107,32 @@ def word_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, salt: int
     return mix(out)
 
 
+def word_keys(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, known: dict = {}) -> np.ndarray:  # noqa: B006
+    """64-bit key of each word: words of up to 7 bytes never share one, longer words take theirs from a
+    cryptographic digest.  ``word_hashes`` is a polynomial, for which texts of one hash can be written down.
+
+    Digests are kept for the worker's next chunk, as long as these words take less than some MB.
+    """
+    padded = np.zeros(len(buf) + 8, np.uint8)
+    padded[: len(buf)] = buf
+    lanes = np.ndarray(len(buf) + 1, "<u8", padded, strides=(1,))
+    sizes = ends - starts
+    short = np.minimum(sizes, 7).astype(U64)
+    out = mix((lanes[starts] & ((U64(1) << (short * U64(8))) - U64(1))) | (short << U64(56)))
+    data = buf.tobytes()
+    for i in np.flatnonzero(sizes > 7).tolist():
+        word = data[starts[i] : ends[i]]
+        key = known.get(word)
+        if key is None:
+            key = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
+            if len(word) < 64:
+                if len(known) >= 1 << 16:
+                    known.clear()
+                known[word] = key
+        out[i] = key
+    return out
+
+
 def gram_hashes(words: np.ndarray, n: int) -> np.ndarray:
     """Hash of each run of n consecutive words (length len(words) - n + 1, empty if there is none)."""
     size = len(words) - n + 1

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wordlake.llm.common import U64, first_words, gram_hashes, pieces, utf8, word_bounds, word_hashes
+from wordlake.llm.common import U64, first_words, gram_hashes, pieces, utf8, word_bounds, word_keys
 
 CHUNK_BYTES = 2 << 20
 #: Bytes of item text in one block: what a pass broadcasts.
@@ -58,7 +58,7 @@ def hashed(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Word hashes of all texts in a row, and the words per text."""
     split = [t.decode().lower().encode().translate(SPACED).split() for t in texts]
     buf = np.frombuffer(b"\n".join([b" ".join(x) for x in split]), np.uint8)
-    return word_hashes(buf, *word_bounds(buf)), np.fromiter(map(len, split), np.int64, len(split))
+    return word_keys(buf, *word_bounds(buf)), np.fromiter(map(len, split), np.int64, len(split))
 
 
 def grams_of(words: np.ndarray, counts: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

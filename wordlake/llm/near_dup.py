@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wordlake.llm.common import U64, first_words, gram_hashes, joined_words, mix, pieces, utf8, word_bounds, word_hashes
+from wordlake.llm.common import U64, first_words, gram_hashes, joined_words, mix, pieces, utf8, word_bounds, word_keys
 from wordlake.operators.lineage import cut_lineage
 
 CHUNK_BYTES = 1 << 20
@@ -57,7 +57,7 @@ def shingle_sets(texts: list[bytes], n: int) -> tuple[np.ndarray, np.ndarray, li
     """Sorted distinct shingle hashes of all texts, their counts per text, and the texts' digests."""
     data, counts = joined_words([t.lower() for t in texts])
     buf = np.frombuffer(data, np.uint8)
-    words = word_hashes(buf, *word_bounds(buf))
+    words = word_keys(buf, *word_bounds(buf))
     first = first_words(counts)
     grams = gram_hashes(words, n)
     doc = np.repeat(np.arange(len(counts)), counts)
@@ -77,6 +77,12 @@ def shingle_sets(texts: list[bytes], n: int) -> tuple[np.ndarray, np.ndarray, li
     return hashes, np.bincount(of, minlength=len(counts)), digests
 
 
+def shingles_of(text: bytes, n: int) -> set[bytes]:
+    """The distinct shingles themselves: what a link is confirmed on in the end."""
+    words = text.lower().split()
+    return {b" ".join(words[i : i + n]) for i in range(max(1, len(words) - n + 1))} if words else set()
+
+
 def signatures(hashes: np.ndarray, counts: np.ndarray, bins: int, probes: np.ndarray) -> np.ndarray:
     """One densified signature per set; rows of empty sets mean nothing."""
     of = np.repeat(np.arange(len(counts)), counts)
@@ -170,19 +176,23 @@ def confirmed(edges: DataFrame, texts: DataFrame, shingle: int, percent: int) ->
     both = centres.unionByName(leaves).repartition("hub", "share").sortWithinPartitions("hub", "share", F.asc_nulls_first("leaf"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = np.empty(0, U64)
+        own, own_text, own_shingles = np.empty(0, U64), b"", None
         for piece in pieces(batches, "text", CHUNK_BYTES):
-            sets, counts, _ = shingle_sets(utf8(piece.column("text")), shingle)
+            texts = utf8(piece.column("text"))
+            sets, counts, _ = shingle_sets(texts, shingle)
             edge, out = first_words(counts).tolist(), []
             for i, leaf in enumerate(piece.column("leaf").to_pylist()):
                 mine = sets[edge[i] : edge[i + 1]]
                 if leaf is None:
-                    own = mine.copy()
+                    own, own_text, own_shingles = mine.copy(), texts[i], None
                     continue
                 at = np.minimum(np.searchsorted(own, mine), len(own) - 1)
                 common = int((own[at] == mine).sum())
-                if 100 * common >= percent * (len(mine) + len(own) - common):
-                    out.append(i)
+                if 100 * common >= percent * (len(mine) + len(own) - common):  # by hashes; now by the words
+                    own_shingles = own_shingles or shingles_of(own_text, shingle)
+                    both = shingles_of(texts[i], shingle)
+                    if 100 * len(both & own_shingles) >= percent * len(both | own_shingles):
+                        out.append(i)
             yield piece.select(["leaf", "hub"]).take(pa.array(out, pa.int64()))
 
     return both.mapInArrow(run, "leaf long, hub long")
@@ -313,6 +323,13 @@ def near_enough(edges: DataFrame, marks: DataFrame, percent: int) -> DataFrame:
     return edges.join(a, "leaf").join(b, "hub").filter(fine).select("leaf", "hub")
 
 
+def node_texts(docs: DataFrame, marks: DataFrame) -> DataFrame:
+    """node, text: one text of each class that ``marks`` (copy, id, node) names."""
+    rows = with_copy(docs.select(F.col("doc_id").cast("long"), "text")).withColumnRenamed("__copy", "copy")
+    mine = rows.join(marks.select("copy", "id", "node"), (rows["copy"] == marks["copy"]) & rows["doc_id"].eqNullSafe(marks["id"]))
+    return cut_lineage(mine.groupBy("node").agg(F.first("text").alias("text")))
+
+
 def linked_classes(docs: DataFrame, sketch: DataFrame, shingle: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """The classes of equal word sequences, and (node, component) of those that are not their component's least."""
     classes = cut_lineage(text_classes(sketch))
@@ -321,9 +338,7 @@ def linked_classes(docs: DataFrame, sketch: DataFrame, shingle: int, percent: in
     members = cut_lineage(buckets.join(hubs, "key"))
     nodes = members.select("node").distinct()
     marks = cut_lineage(classes.join(nodes, "node", "left_semi").select("node", "copy", "id", "n_shingles", "bits"))
-    rows = with_copy(docs.select(F.col("doc_id").cast("long"), "text")).withColumnRenamed("__copy", "copy")
-    mine = rows.join(marks.select("copy", "id", "node"), (rows["copy"] == marks["copy"]) & rows["doc_id"].eqNullSafe(marks["id"]))
-    texts = cut_lineage(mine.groupBy("node").agg(F.first("text").alias("text")))
+    texts = node_texts(docs, marks)
     # each leaf's nearest hub first: most leaves need no other
     stars = hub_edges(members)
     checked = cut_lineage(near_enough(stars.groupBy("leaf").agg(F.max_by("hub", F.struct("shared", -F.col("hub"))).alias("hub")), marks, percent))
@@ -351,7 +366,11 @@ def linked_classes(docs: DataFrame, sketch: DataFrame, shingle: int, percent: in
 def labelled(docs: DataFrame, shingle: int, percent: int, bands: int, rows: int) -> DataFrame:
     """Per row of docs: doc_id, copy, n_shingles, component (a node), node, id (its class's least doc_id), component_id."""
     sketch = cut_lineage(sketches(docs, shingle, bands, rows))
-    classes, found = linked_classes(docs, sketch, shingle, percent)
+    return with_components(sketch, *linked_classes(docs, sketch, shingle, percent))
+
+
+def with_components(sketch: DataFrame, classes: DataFrame, found: DataFrame) -> DataFrame:
+    """The rows of ``sketch`` with the component of their class."""
     known = classes.select("copy", "id", "node").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     # only nodes that are no doc_id can hide a smaller one
     hidden = known.filter(F.col("node") >= HASHED).groupBy("component").agg(F.min("id").alias("hidden_id"))

@@ -14,6 +14,7 @@ each on its own; other columns are ignored; an empty table gives no rows.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -22,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wordlake.llm.common import U64, first_words, gram_hashes, joined_words, pieces, utf8, word_bounds, word_hashes
+from wordlake.llm.common import U64, first_words, gram_hashes, joined_words, pieces, utf8, word_bounds, word_keys
 from wordlake.llm.training import fit_logistic, fit_platt, labelled_sample, sigmoid
 
 CHUNK_BYTES = 2 << 20
@@ -53,7 +54,7 @@ def describe(texts: list[bytes], with_features: bool = True) -> tuple[np.ndarray
     data, counts = joined_words(texts)
     buf = np.frombuffer(data, np.uint8)
     starts, ends = word_bounds(buf)
-    words = word_hashes(buf, starts, ends)
+    words = word_keys(buf, starts, ends)
     first = first_words(counts)
     base = np.zeros((len(texts), 5), np.int64)
     base[:, 0] = counts
@@ -74,6 +75,11 @@ def describe(texts: list[bytes], with_features: bool = True) -> tuple[np.ndarray
     twice = np.zeros(len(by), bool)
     twice[1:] |= same
     twice[:-1] |= same
+    if twice.any():  # of one hash; now of the same words?
+        flagged = by[twice]
+        spans = [(int(d), data[a:b]) for d, a, b in zip(doc[flagged], starts[flagged].tolist(), ends[flagged + 2].tolist(), strict=True)]
+        often = Counter(spans)
+        twice[np.flatnonzero(twice)] = [often[x] > 1 for x in spans]
     covered = np.zeros(len(words), bool)
     for k in range(3):
         covered[by[twice] + k] = True

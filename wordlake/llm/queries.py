@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wordlake.llm import decontaminate, html_text, language_id, license_scan, line_crf, near_dup, packing, quality_rules, substring_dedup, suffix_dedup
+from wordlake.llm import decontaminate, hard_negatives, html_text, language_id, lexical_search, license_scan, line_crf, near_dup, ngram_join, packing, quality_rules, substring_dedup, suffix_dedup
 from wordlake.llm.common import fold, read_table
 
 
@@ -61,6 +61,20 @@ def op10_line_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (fold(F.col("doc_id"), 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op11_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.jaccard_components(read_table(spark, sf_dir, "documents"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read_table(spark, sf_dir, "embeddings")
+    seventh = F.coalesce(F.col("vec_id") % 7 == 0, F.lit(False))
+    return hard_negatives.hard_negatives(rows.withColumn("label", F.when(seventh, (F.col("label") + 1) % 10).otherwise(F.col("label"))))
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_html_text": op2_html_text,
@@ -72,6 +86,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_near_dup": op8_near_dup,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_line_crf": op10_line_crf,
+    "op11_ngram_join": op11_ngram_join,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_lexical_search": op13_lexical_search,
 }
 
 OP8_SQL = r"""
@@ -103,4 +120,56 @@ SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(g.n, 0) AS B
 FROM words d LEFT JOIN gone_lists g USING (doc_id) LEFT JOIN kept k USING (doc_id)
 """
 
-SQL: dict[str, str] = {"op8_near_dup": OP8_SQL, "op9_substring_dedup": OP9_SQL}
+OP11_SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) >= 3 THEN list_sort(list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]))) WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END AS s FROM words),
+classes AS (SELECT s, min(doc_id) AS rep, len(s) AS n FROM sets WHERE len(s) > 0 GROUP BY s),
+items AS (SELECT rep, n, unnest(s) AS g FROM classes),
+pairs AS (
+  SELECT a.rep AS x, b.rep AS y FROM items a JOIN items b ON a.g = b.g AND a.rep < b.rep AND 100 * least(a.n, b.n) >= 90 * greatest(a.n, b.n)
+  GROUP BY a.rep, b.rep, a.n, b.n HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))),
+links AS (SELECT x, y FROM pairs UNION ALL SELECT y, x FROM pairs),
+reach AS (SELECT rep AS node, rep AS top FROM classes UNION SELECT l.y, r.top FROM reach r JOIN links l ON l.x = r.node),
+tops AS (SELECT node, min(top) AS top FROM reach GROUP BY node)
+SELECT d.doc_id, CAST(len(d.s) AS BIGINT) AS n_shingles, coalesce(t.top, d.doc_id) AS component_id
+FROM sets d LEFT JOIN classes c ON c.s = d.s LEFT JOIN tops t ON t.node = c.rep
+"""
+
+OP12_SQL = r"""
+WITH fine AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same, CAST(list_dot_product(a.v, b.v) AS BIGINT) AS score
+  FROM fine a JOIN fine b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+positives AS (
+  SELECT anchor_id, id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5),
+hard AS (
+  SELECT p.anchor_id, p.positive_id, p.positive_score, s.id AS negative_id, s.score AS negative_score,
+    row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.id) AS rank
+  FROM positives p JOIN scored s ON s.anchor_id = p.anchor_id AND NOT s.same AND 80 * p.positive_score <= 100 * s.score AND s.score <= p.positive_score)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM hard WHERE rank <= 5
+"""
+
+OP13_SQL = r"""
+WITH terms AS (
+  SELECT row_number() OVER () AS d, doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents),
+sizes AS (SELECT d, doc_id, count(*) AS n FROM terms GROUP BY d, doc_id),
+totals AS (SELECT count(*) AS nd, CAST(sum(n) AS BIGINT) AS l FROM sizes),
+items AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+tf AS (SELECT d, term, count(*) AS tf FROM terms WHERE term IN (SELECT term FROM items) GROUP BY d, term),
+weights AS (SELECT term, CAST(floor(1000 * ln((2.0::DOUBLE * nd + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM tf, totals GROUP BY term, nd),
+norms AS (SELECT d, doc_id, 50 + (50 * n * nd) // l AS m FROM sizes, totals),
+scores AS (
+  SELECT i.item_id, t.d, CAST(sum(w.w * ((1000000000 * t.tf) // (1000 * t.tf + 20 * m.m))) AS BIGINT) AS score
+  FROM items i JOIN tf t USING (term) JOIN weights w USING (term) JOIN norms m ON m.d = t.d GROUP BY i.item_id, t.d)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+FROM scores JOIN (SELECT d, doc_id FROM sizes) USING (d) WHERE score > 0
+QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) <= 50
+"""
+
+SQL: dict[str, str] = {"op8_near_dup": OP8_SQL, "op9_substring_dedup": OP9_SQL, "op11_ngram_join": OP11_SQL, "op12_hard_negatives": OP12_SQL, "op13_lexical_search": OP13_SQL}

@@ -27,7 +27,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wordlake.llm.common import U64, first_words, gram_hashes, joined_words, long_gram_hashes, pieces, sliding_min, utf8, word_bounds, word_hashes
+from wordlake.llm.common import U64, first_words, gram_hashes, joined_words, long_gram_hashes, pieces, sliding_min, utf8, word_bounds, word_hashes, word_keys
 
 CHUNK_BYTES = 4 << 20
 #: Longest run of words handled at once; longer documents are handled in overlapping runs.
@@ -237,7 +237,7 @@ def unpack(bodies: list[tuple[bytes, bytes]], turn: int, turns: int) -> Strings:
     order = np.lexsort((meta["start"], meta["text"], meta["doc"]))
     data = b"\n".join([strings[i] for i in order.tolist()])
     starts, ends = word_bounds(np.frombuffer(data, np.uint8))
-    words = word_hashes(np.frombuffer(data, np.uint8), starts, ends)
+    words = word_keys(np.frombuffer(data, np.uint8), starts, ends)
     breaks = np.frombuffer(data, np.uint8)[np.minimum(ends, max(0, len(data) - 1))] == 10
     of = np.concatenate([[0], np.cumsum(breaks)[:-1]]).astype(np.int64) if len(starts) else np.empty(0, np.int64)
     first = np.searchsorted(of, np.arange(len(meta) + 1))
