@@ -114,6 +114,56 @@ def test_relation_lists_stay_within_their_room(spark):
         relations.apply_relation_delta(e, delta.withColumn("related", F.transform("related", lambda x: F.struct(x["word"].alias("word"), F.lit("").alias("definition")))))
 
 
+def paired_brute(words, named, candidates, build):
+    """Both lists after all candidates, one by one, and the pairs taken."""
+    words, named, pairs = list(words), list(named), []
+    word_top, named_top = max(relations.CAP, len(words)), max(relations.CAP, len(named))
+    for word, definition in candidates:
+        key = word.lower()
+        lacks_word = key not in {w.lower() for w in words}
+        here = [d for w, d in named if w.lower() == key]
+        lacks_entry = not any(here)
+        if key in {w.lower() for w, _ in pairs} or (build and not lacks_word) or not (lacks_word or lacks_entry) or (lacks_entry and here):
+            continue
+        if (lacks_word and len(words) >= word_top) or (lacks_entry and len(named) >= named_top):
+            continue
+        pairs.append((word, definition))
+        words += [word] * lacks_word
+        named += [(word, definition)] * lacks_entry
+    return words, named, pairs
+
+
+def test_pairs_against_one_by_one(spark):
+    """Rich-only words, entries without a definition, case variants, full lists, and no cap on candidates."""
+    rng = random.Random(8)
+    names = [f"tool {i}" if i % 3 == 0 else f"Tool{i}" for i in range(70)]
+    known = [(100 + i, n, {"definition": "" if i % 10 == 9 else f"d{i}"}) for i, n in enumerate(names)]
+    rows, dump, wanted = [], [], {}
+    for i, word in enumerate(TOOLS):
+        size = rng.choice((0, 3, 38, 39, 40, 41))
+        words = rng.sample([*names, *(f"f{k}" for k in range(60))], size)
+        named = [(n, rng.choice(("", "own", "own"))) for n in rng.sample([*names, *(f"g{k}" for k in range(60))], rng.choice((0, 5, 36, 39, 40)))]
+        rows.append((i, word, {"related_words": words, "related_entries": named}))
+        links = [rng.choice((str.lower, str.upper, str))(n) for n in rng.choices([*names, "unheard of", word], k=rng.choice((3, 30, 90)))]
+        senses = [{"glosses": [f"sense {k}"], "hypernyms": [{"word": x} for x in links[k::2]]} for k in range(2)]
+        dump.append({"word": word, "senses": senses})
+        order = [x for k in range(2) for x in links[k::2]]
+        defined = {n.lower(): (n, f"d{k}") for k, n in enumerate(names) if k % 10 != 9}
+        wanted[i] = (words, named, [defined[x.lower()] for x in order if x.lower() in defined and x.lower() != word])
+    e = entries(spark, *rows, *known)
+    delta = relations.relation_delta(e, records(spark, *dump)[0])
+    got = {r.id: [tuple(x) for x in r.related] for r in delta.collect()}
+    assert got == {i: paired_brute(w, n, c, True)[2] for i, (w, n, c) in wanted.items()} and sum(map(len, got.values())) > 30
+    # another copy of the entries, with other lists, takes what it has room for; a second time nothing
+    other = entries(spark, *[(i, w, {"related_words": x["related_words"][::2] + ["mine"], "related_entries": x["related_entries"][:38] if i % 2 else x["related_entries"]}) for i, w, x in rows], *known)
+    out, _ = relations.apply_relation_delta(other, delta)
+    have = {r.id: (list(r.related_words), [tuple(x) for x in r.related_entries]) for r in out.filter("id < 100").collect()}
+    before = {r.id: (list(r.related_words), [tuple(x) for x in r.related_entries]) for r in other.filter("id < 100").collect()}
+    assert have == {i: paired_brute(*before[i], got[i], False)[:2] for i in before}
+    again, stats = relations.apply_relation_delta(out, delta)
+    assert stats.first().changed == 0
+
+
 def test_an_edition_that_cannot_be_filled(spark):
     e = entries(spark, *[(i, w, {}) for i, w in enumerate(TOOLS, 1)])
     with pytest.raises(ValueError, match="only 8 rows"):

@@ -1,19 +1,18 @@
 """Sense-relation deltas: build, check, apply.
 
 A delta holds, per entry, only what the entry lacks: typed relations per sense (found again by
-part of speech, definitions and sense ids) and flat related words, each with a definition and only
-while both capped lists have room.
+part of speech, definitions and sense ids) and related words that name an entry, each with that
+entry's definition and only while both capped lists have room.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wordlake.functions.collect import append_capped, clean_list
 from wordlake.functions.digest import framed
 from wordlake.functions.normalize import blank, norm_key
-from wordlake.operators.joins import resolve_links
 from wordlake.sources.files import RELATION_FIELDS
 
 # Relations that become related words, in this order.
@@ -66,22 +65,71 @@ def flat_links(senses: DataFrame) -> DataFrame:
     return rows.select("key", F.struct("line", "f", "ord", "p").alias("ord"), "word", F.lit(None).cast("string").alias("definition"))
 
 
+def keys_of(flat: Column, named: Column) -> Column:
+    """struct(words, entries, defined): normalized keys of a flat list, of a named list, and of its items with a definition."""
+    named = F.coalesce(named, F.array().cast(NAMED))
+    items = lambda c: F.transform(c, lambda e: norm_key(e["word"]))
+    return F.struct(F.transform(strings(flat), lambda w: norm_key(w)).alias("words"), items(named).alias("entries"), items(F.filter(named, lambda e: ~blank(e["definition"]))).alias("defined"))
+
+
+def paired(candidates: Column, flat: str, named: str, keys: str) -> Column:
+    """struct(words, entries, pairs) that a flat and a named list take from candidates, one after the other.
+
+    A candidate lacks its word, its entry, or both (by normalized key; ``keys`` is a column of
+    ``keys_of``) and is taken only if every list that lacks it has room, so the lists stay a pair.
+    An entry without a definition is neither replaced nor joined by a flat word.
+    """
+    room = lambda c: F.greatest(F.lit(0), F.lit(CAP) - F.size(c)).alias
+    start = F.struct(room(strings(F.col(flat)))("words"), room(F.coalesce(F.col(named), F.array().cast(NAMED)))("entries"), F.array().cast(NAMED).alias("pairs"), F.array().cast(NAMED).alias("new_words"), F.array().cast(NAMED).alias("new_entries"))
+
+    def step(state: Column, c: Column) -> Column:
+        key = norm_key(c["word"])
+        word, entry = ~F.array_contains(F.col(keys)["words"], key), ~F.array_contains(F.col(keys)["defined"], key)
+        fine = (word | entry) & ~(entry & F.array_contains(F.col(keys)["entries"], key)) & (~word | (state["words"] > 0)) & (~entry | (state["entries"] > 0))
+        fine = fine & ~blank(c["word"]) & ~blank(c["definition"]) & ~F.exists(state["pairs"], lambda x: norm_key(x["word"]) == key)
+        pair = F.array(F.struct(c["word"].alias("word"), c["definition"].alias("definition"))).cast(NAMED)
+        less = lambda n, lacks: (state[n] - F.when(fine & lacks, 1).otherwise(0)).alias(n)
+        more = lambda n, lacks: F.when(fine & lacks, F.concat(state[n], pair)).otherwise(state[n]).alias(n)
+        return F.struct(less("words", word), less("entries", entry), more("pairs", F.lit(True)), more("new_words", word), more("new_entries", entry))
+
+    done = lambda s: F.struct(F.transform(s["new_words"], lambda x: x["word"]).alias("words"), s["new_entries"].alias("entries"), s["pairs"].alias("pairs"))
+    return F.aggregate(F.coalesce(candidates, F.array().cast(NAMED)), start, step, done)
+
+
+def link_candidates(senses: DataFrame, entries: DataFrame) -> DataFrame:
+    """key, target, word, definition, ord, phrase_ord: the entries that a key's links name by normalized key, each once, with where it is named first."""
+    e = entries.select(F.col("normalized_word").alias("target"), F.col("word").alias("found"), "definition").filter(~blank(F.col("found")) & ~blank(F.col("definition")))
+    links = flat_links(senses).select("key", "ord", "word", norm_key(F.col("word")).alias("target")).filter((F.col("target") != F.col("key")) & (F.col("target") != ""))
+    part = lambda c: F.col(c).contains(" ") | F.col(c).contains("-")
+    named = links.join(e, "target")
+    return named.groupBy("key", "target").agg(F.first("found").alias("word"), F.first("definition").alias("definition"), F.min("ord").alias("ord"), F.min(F.when(part("word") | part("found"), F.col("ord"))).alias("phrase_ord"))
+
+
+def list_candidates(candidates: DataFrame, entries: DataFrame, flat: str, named: str, order: str) -> DataFrame:
+    """key and its candidates for one pair of lists, in order: no more than the lists could take.
+
+    Words that the flat list has, and entries without a definition, are left out first; of the
+    others the first ``CAP`` with an entry and the first ``CAP`` without one are all that the lists
+    could take, so no key gathers more.
+    """
+    has = entries.select(F.col("normalized_word").alias("key"), keys_of(F.col(flat), F.col(named)).alias("k"))
+    words = has.select("key", F.explode("k.words").alias("target")).distinct()
+    known = has.select("key", F.explode(F.arrays_zip(F.col("k.entries").alias("target"), F.transform("k.entries", lambda t: F.array_contains(F.col("k.defined"), t)).alias("defined"))).alias("x")).select("key", "x.*").groupBy("key", "target").agg(F.max("defined").alias("defined"))
+    open_ = candidates.filter(F.col(order).isNotNull()).join(words, ["key", "target"], "left_anti").join(known, ["key", "target"], "left").filter(F.coalesce("defined", F.lit(True)))
+    place = F.row_number().over(Window.partitionBy("key", F.col("defined").isNotNull()).orderBy(order, "target"))
+    rows = F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), "target", "word", "definition")))
+    return open_.withColumn("place", place).filter(F.col("place") <= CAP).groupBy("key").agg(F.transform(rows, lambda r: F.struct(r["word"].alias("word"), r["definition"].alias("definition"))).cast(NAMED).alias("c"))
+
+
 def relation_delta(entries: DataFrame, records: DataFrame) -> DataFrame:
     """Delta rows: id, key, related, phrases (named lists), patches (index, fingerprint, sense)."""
     senses = relation_senses(records).join(entries.select(F.col("normalized_word").alias("key")), "key", "left_semi")
-    links = flat_links(senses).filter(norm_key(F.col("word")) != F.col("key"))
-    defined = entries.select("normalized_word", F.col("word").alias("key"), "definition").filter(~blank(F.col("definition"))).select("key", "definition")
-    rich = resolve_links(links, defined, 1000)
-    joined = entries.join(merged_patches(senses), F.col("normalized_word") == F.col("key"), "inner").drop("key").join(rich.withColumnRenamed("key", "k"), F.col("normalized_word") == F.col("k"), "left").drop("k")
-    found = F.coalesce("links", F.array().cast(NAMED))
-
-    def room(flat: str, named: str, pick: Column) -> Column:
-        have = F.concat(F.transform(strings(F.col(flat)), lambda w: norm_key(w)), F.transform(F.coalesce(F.col(named), F.array().cast(NAMED)), lambda e: norm_key(e["word"])))
-        fresh = F.filter(pick, lambda e: ~F.array_contains(have, norm_key(e["word"])))
-        free = F.greatest(F.lit(0), F.lit(CAP) - F.greatest(F.size(strings(F.col(flat))), F.size(F.coalesce(F.col(named), F.array().cast(NAMED)))))
-        return F.slice(fresh, F.lit(1), free)
-
-    phrases = F.filter(found, lambda e: e["word"].contains(" ") | e["word"].contains("-"))
+    candidates = link_candidates(senses, entries)
+    joined = entries.join(merged_patches(senses), F.col("normalized_word") == F.col("key"), "inner").drop("key")
+    for name, flat, named, order in (("related", "related_words", "related_entries", "ord"), ("phrases", "phrases", "phrase_entries", "phrase_ord")):
+        found = list_candidates(candidates, entries, flat, named, order).select(F.col("key").alias("k"), F.col("c").alias(f"__{name}"))
+        joined = joined.join(found, F.col("normalized_word") == F.col("k"), "left").drop("k").withColumn(f"__{name}_keys", keys_of(F.col(flat), F.col(named)))
+    room = lambda name, flat, named: paired(F.col(f"__{name}"), flat, named, f"__{name}_keys")["pairs"].alias(name)
     own = F.coalesce("senses", F.array())
 
     def lacking(p: Column) -> Column:
@@ -91,7 +139,7 @@ def relation_delta(entries: DataFrame, records: DataFrame) -> DataFrame:
         return F.struct(at.alias("index"), F.when(at.isNotNull(), fingerprint(known)).alias("fingerprint"), p["pos"].alias("pos"), p["definitions"].alias("definitions"), p["sense_ids"].alias("sense_ids"), fresh.alias("relations"))
 
     patches = F.filter(F.transform("patches", lacking), lambda p: F.size(p["relations"]) > 0)
-    out = joined.select("id", F.col("normalized_word").alias("key"), room("related_words", "related_entries", found).alias("related"), room("phrases", "phrase_entries", phrases).alias("phrases"), patches.alias("patches"))
+    out = joined.select("id", F.col("normalized_word").alias("key"), room("related", "related_words", "related_entries"), room("phrases", "phrases", "phrase_entries"), patches.alias("patches"))
     return out.filter((F.size("related") > 0) | (F.size("phrases") > 0) | (F.size("patches") > 0))
 
 
@@ -120,13 +168,11 @@ def apply_relation_delta(entries: DataFrame, delta: DataFrame, id_range: tuple[i
         raise ValueError(f"delta refused: {bad}")
     d = delta.select(F.col("id").alias("__id"), F.col("related").alias("__r"), F.col("phrases").alias("__p"), F.col("patches").alias("__s"))
     joined = entries.join(d, F.col("id") == F.col("__id"), "left")
-    none = F.array().cast(NAMED)
+    joined = joined.withColumns({f"__{name}_keys": keys_of(F.col(flat), F.col(named)) for name, flat, named in (("r", "related_words", "related_entries"), ("p", "phrases", "phrase_entries"))})
+    joined = joined.withColumns({f"__{name}_new": paired(F.col(f"__{name}"), flat, named, f"__{name}_keys") for name, flat, named in (("r", "related_words", "related_entries"), ("p", "phrases", "phrase_entries"))})
 
-    def grown(flat: str, named: str, extra: str) -> tuple[Column, Column]:
-        have = F.concat(F.transform(strings(F.col(flat)), lambda w: norm_key(w)), F.transform(F.coalesce(F.col(named), none), lambda e: norm_key(e["word"])))
-        free = F.greatest(F.lit(0), F.lit(CAP) - F.greatest(F.size(strings(F.col(flat))), F.size(F.coalesce(F.col(named), none))))
-        new = F.slice(F.filter(F.coalesce(F.col(extra), none), lambda e: ~F.array_contains(have, norm_key(e["word"]))), F.lit(1), free)
-        return F.concat(strings(F.col(flat)), F.transform(new, lambda e: e["word"])), F.concat(F.coalesce(F.col(named), none), new)
+    def grown(flat: str, named: str, name: str) -> tuple[Column, Column]:
+        return F.concat(strings(F.col(flat)), F.col(f"{name}_new.words")), F.concat(F.coalesce(F.col(named), F.array().cast(NAMED)), F.col(f"{name}_new.entries"))
 
     relations = "map<string,array<string>>"
     own = F.coalesce("senses", F.array())

@@ -14,7 +14,7 @@ from wordlake.operators import aggregates, joins, lookup, rank
 from wordlake.operators.lineage import cut_lineage, fresh_path
 from wordlake.plans import assemble, enrich, relations, select
 from wordlake.queries.base import LEXICON_SQL, TOKENS_SQL, lexicon, table, terms
-from wordlake.schema import ENTRIES, conform
+from wordlake.schema import ENTRIES, NAMED, conform
 from wordlake.sources import files, snapshots
 
 STRINGS = "array<string>"
@@ -313,6 +313,26 @@ def relation_applied(spark: SparkSession, sf: str) -> DataFrame:
     return stats.select("n_rows", "changed", "related_added").join(F.broadcast(again.select(F.col("changed").alias("changed_again"))))
 
 
+def relation_capacity(spark: SparkSession, sf: str) -> DataFrame:
+    """Parts that name three neighbours in several cases, while their lists are full, hold rich entries only, or entries without a definition."""
+    e, k = part_entries(spark, sf), F.col("id")
+    word = lambda n: F.concat(F.lit("part "), F.translate(n.cast("string"), "0123456789", "abcdefghij"))
+    filler = lambda n, c: F.transform(F.sequence(F.lit(1), F.lit(n)), lambda i: F.concat(F.lit(c), i.cast("string")))
+    flat = F.when(k % 5 == 0, filler(39, "w")).when(k % 5 == 1, filler(38, "w")).otherwise(F.array().cast(STRINGS))
+    own = F.array(F.when(k % 4 == 0, F.struct(F.upper(word(k + 1)).alias("word"), F.lit("own").alias("definition"))).when(k % 4 == 1, F.struct(word(k + 1).alias("word"), F.lit(" ").alias("definition"))))
+    named = F.concat(F.filter(own, lambda x: x.isNotNull()), F.when(k % 7 == 0, F.transform(filler(39, "e"), lambda w: F.struct(w.alias("word"), F.lit("x").alias("definition")))).otherwise(F.array().cast(NAMED)))
+    e = e.withColumns({"related_words": flat, "related_entries": named})
+    links = F.array(*[F.struct(x.alias("word")) for x in (F.upper(word(k + 1)), word(k), word(k + 2), F.initcap(word(k + 1)), F.upper(word(k + 4)), word(k + 2))])
+    sense = F.struct(F.array(F.lit("a part")).alias("glosses"), links.alias("hypernyms"))
+    lines = e.select(k.alias("line"), F.to_json(F.struct("word", F.lit("en").alias("lang_code"), F.lit("noun").alias("pos"), F.array(sense).alias("senses"))).alias("value"))
+    delta = relations.relation_delta(e, files.parse_dump(lines)[0])
+    once, stats = relations.apply_relation_delta(e, delta)
+    again = relations.apply_relation_delta(once, delta)[1].select(F.col("changed").alias("changed_again"), F.col("related_added").alias("again"))
+    sizes = once.select("id", F.size("related_words").alias("n_words"), F.size("related_entries").alias("n_entries"))
+    pairs = delta.select("id", F.array_join(F.transform("related", lambda x: F.concat_ws("=", x["word"], x["definition"])), "|").alias("related"))
+    return sizes.join(pairs, "id", "left").join(F.broadcast(again))
+
+
 def relation_violations(spark: SparkSession, sf: str) -> DataFrame:
     """A delta with unknown ids, other keys and moved senses, checked."""
     e, records = relation_inputs(spark, sf)
@@ -523,7 +543,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         dictionary_csv, dump_counts, dump_groups, entries_snapshot, bundle_and_delta, term_lists, report_check, row_rules, named_union, missing_columns, attempt_totals, list_change_stats, top_parts, queue_identity, term_book,
-        scored_words, assembled_entries, wordnet_senses, wordnet_sense_links, wordnet_synset_links, wordnet_synonyms, wordnet_patch, patched_entries, patch_statistics, finalized, relation_senses, relation_delta, relation_applied,
+        scored_words, assembled_entries, wordnet_senses, wordnet_sense_links, wordnet_synset_links, wordnet_synonyms, wordnet_patch, patched_entries, patch_statistics, finalized, relation_senses, relation_delta, relation_applied, relation_capacity,
         relation_violations, pool_of_terms, refused_terms, edition_provenance, edition_queue, edition_counts, edition_gate, edition_refresh, owner_preflight, repair_deltas, repair_check, repair_applied, shard_exports,
         provider_fields, association_fields, combined_fields, merged_enrichment, work_plan, markers, enrichment_progress, page_fields, edition_internal, queue_flags, repair_worklist,
     )
@@ -619,6 +639,19 @@ SQL = {
     "relation_delta": f"""SELECT a.p_partkey AS id, CASE WHEN b.p_partkey % 3 <> 0 THEN {WORD.format('b.p_partkey')} || '=' || b.p_name ELSE '' END AS related, 1 AS n_patches, CASE WHEN a.p_partkey % 2 = 1 THEN 0 END AS sense, CASE WHEN a.p_partkey % 2 = 1 THEN 24 END AS n_fingerprint
       FROM part a LEFT JOIN part b ON b.p_partkey = a.p_partkey + 1""",
     "relation_applied": "SELECT count(*) AS n_rows, count(*) AS changed, count(*) FILTER (b.p_partkey % 3 <> 0) AS related_added, 0 AS changed_again FROM part a LEFT JOIN part b ON b.p_partkey = a.p_partkey + 1",
+    "relation_capacity": f"""
+      WITH e AS (SELECT p_partkey AS k, CASE p_partkey % 5 WHEN 0 THEN 39 WHEN 1 THEN 38 ELSE 0 END AS words, CASE WHEN p_partkey % 4 < 2 THEN 1 ELSE 0 END + CASE WHEN p_partkey % 7 = 0 THEN 39 ELSE 0 END AS entries FROM part),
+      t AS (SELECT e.*, d.step, p.p_partkey AS t, p.p_name, step = 1 AND k % 4 = 0 AS rich, step = 1 AND k % 4 = 1 AS blank
+        FROM e, (VALUES (1), (2), (4)) d(step) JOIN part p ON p.p_partkey = k + step WHERE p.p_partkey % 3 <> 0),
+      o AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY step) AS n FROM t WHERE NOT blank),
+      one AS (SELECT k, max(t) FILTER (n = 1) AS t1, max(t) FILTER (n = 2) AS t2, max(t) FILTER (n = 3) AS t3, coalesce(bool_or(rich) FILTER (n = 1), FALSE) AS r1, max(words) AS w, max(entries) AS x FROM o GROUP BY k),
+      a1 AS (SELECT *, t1 IS NOT NULL AND w < 40 AND (r1 OR x < 40) AS y1 FROM one), b1 AS (SELECT *, w + y1::INT AS w1, x + (y1 AND NOT r1)::INT AS x1 FROM a1),
+      a2 AS (SELECT *, t2 IS NOT NULL AND w1 < 40 AND x1 < 40 AS y2 FROM b1), b2 AS (SELECT *, w1 + y2::INT AS w2, x1 + y2::INT AS x2 FROM a2),
+      a3 AS (SELECT *, t3 IS NOT NULL AND w2 < 40 AND x2 < 40 AS y3 FROM b2)
+      SELECT e.k AS id, coalesce(w2 + y3::INT, e.words) AS n_words, coalesce(x2 + y3::INT, e.entries) AS n_entries,
+        coalesce(concat_ws('|', CASE WHEN y1 THEN {WORD.format('t1')} || '=' || p1.p_name END, CASE WHEN y2 THEN {WORD.format('t2')} || '=' || p2.p_name END, CASE WHEN y3 THEN {WORD.format('t3')} || '=' || p3.p_name END), '') AS related,
+        0 AS changed_again, 0 AS again
+      FROM e LEFT JOIN a3 USING (k) LEFT JOIN part p1 ON p1.p_partkey = t1 LEFT JOIN part p2 ON p2.p_partkey = t2 LEFT JOIN part p3 ON p3.p_partkey = t3""",
     "relation_violations": "SELECT CASE p_partkey % 10 WHEN 1 THEN 'identity_mismatch' WHEN 3 THEN 'canonical_missing' ELSE 'sense_mismatch' END AS code, count(*) AS n FROM part WHERE p_partkey % 10 IN (1, 3, 5) GROUP BY 1",
     "pool_of_terms": f"WITH {POOL_SQL} SELECT k AS id, kind, term AS term_key, CASE kind WHEN 'phrase' THEN 'kaikki-entry' ELSE '' END AS evidence FROM pool",
     "refused_terms": f"WITH {POOL_SQL} SELECT reason, count(*) AS n FROM judged WHERE reason IS NOT NULL GROUP BY reason",
