@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from wordlake.operators.lineage import cut_lineage
 
+#: Shares that meet in one round of a tournament.
+FAN = 16
+
 
 def global_rank(df: DataFrame, order: list[Column], out: str = "rank", parts: int | None = None) -> DataFrame:
     """Dense 1..n over the whole table without a one-task sort.
@@ -23,16 +26,19 @@ def global_rank(df: DataFrame, order: list[Column], out: str = "rank", parts: in
     return local.join(F.broadcast(before), "__part").withColumn(out, F.col("__local") + F.col("__before")).drop("__part", "__local", "__before")
 
 
-def stream_rank(df: DataFrame, kind: str, order: list[Column], limit: int, out: str = "stream_rank") -> DataFrame:
+def stream_rank(df: DataFrame, kind: str, order: list[Column], limit: int, out: str = "stream_rank", shares: int | None = None) -> DataFrame:
     """Rank within each kind, cut to the first ``limit`` of each.
 
-    Rows are first cut to ``limit`` within hash shares of each kind, so no task ever sorts a whole
-    kind; the last window ranks at most shares times limit rows of a kind.
+    A tournament: rows are cut to ``limit`` within hash shares of each kind, then ``FAN`` shares meet
+    at a time, so no task ever sorts more than its share or ``FAN`` times ``limit`` rows.
     """
-    shares = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = df.withColumn("__share", F.pmod(F.xxhash64(*[f.name for f in df.schema.fields if f.name != kind and "map<" not in f.dataType.simpleString()]), F.lit(shares)))
-    first = dealt.withColumn("__n", F.row_number().over(Window.partitionBy(kind, "__share").orderBy(*order))).filter(F.col("__n") <= limit).drop("__n", "__share")
-    return first.withColumn(out, F.row_number().over(Window.partitionBy(kind).orderBy(*order))).filter(F.col(out) <= limit)
+    shares = shares or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    left = df.withColumn("__share", F.pmod(F.xxhash64(*[f.name for f in df.schema.fields if f.name != kind and "map<" not in f.dataType.simpleString()]), F.lit(shares)))
+    while shares > 1:
+        left = left.withColumn("__n", F.row_number().over(Window.partitionBy(kind, "__share").orderBy(*order))).filter(F.col("__n") <= limit).drop("__n")
+        left = left.withColumn("__share", F.floor(F.col("__share") / FAN))
+        shares = -(-shares // FAN)
+    return left.drop("__share").withColumn(out, F.row_number().over(Window.partitionBy(kind).orderBy(*order))).filter(F.col(out) <= limit)
 
 
 def interleave(ranked: DataFrame, is_phrase: Column, limit: int | Column, phrases: int | Column, rank: str = "stream_rank", out: str = "selected_rank") -> DataFrame:

@@ -8,13 +8,14 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wordlake.functions.digest import row_digest, stream_digest
 from wordlake.functions.normalize import is_phrase, lexical_reason, norm_key, phrase_evidence, quality_gaps, shard_filter
 from wordlake.operators.aggregates import check_dense_rank, check_unique, issue_rollup
 from wordlake.operators.joins import index_diff
 from wordlake.operators.lineage import cut_lineage
 from wordlake.operators.rank import choose_counts, first_per_key, interleave, order_breaks, stream_rank
 from wordlake.operators.sets import MergeRefused, check_exact_union, three_way
+from wordlake.plans import contract
+from wordlake.plans.contract import json_digest as text_digest
 from wordlake.schema import CONTRACT_IDENTITY, MUTABLE, PAYLOAD
 
 # Gaps that a repair may fill, what each gap allows to change, the least words of the large edition.
@@ -36,11 +37,6 @@ def gaps_of(columns: str = "word definition definition_zh us_phonetic uk_phoneti
     return quality_gaps(*[F.col(c) for c in columns.split()])
 
 
-def text_digest(names: list[str]) -> Column:
-    """Row digest over columns of any type, in their JSON form."""
-    return row_digest(*[F.to_json(F.struct(c)) for c in names])
-
-
 def candidate_pool(entries: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(rows fit for selection with kind, key and evidence; refused rows with their reason)."""
     flag = lambda path: F.get_json_object("scope", path)
@@ -82,11 +78,6 @@ def select(entries: DataFrame, limit: int, phrase_target: int, shards: int = 1)
     return Candidate(rows, provenance, repair_queue(rows, shards))
 
 
-def selection_digest(provenance: DataFrame) -> DataFrame:
-    """One digest over the bounded edition's provenance in rank order."""
-    return provenance.agg(stream_digest(F.col("selected_rank"), text_digest(["id", "kind", "term_key", "canonical_rank", "identity_digest"])).alias("digest"))
-
-
 def with_provenance(entries: DataFrame, provenance: DataFrame) -> DataFrame:
     """Entries with what is known of their selection; nulls where nothing is."""
     return entries.join(provenance.select(F.col("id").alias("__p"), "selected_rank", "kind", "term_key", "evidence", "canonical_rank", "identity_digest", "content_digest"), F.col("id") == F.col("__p"), "left")
@@ -175,12 +166,17 @@ def backfilled_beyond(candidate: Candidate, limit: int) -> DataFrame:
     return candidate.provenance.agg(F.count_if(F.col("canonical_rank") > limit).alias("backfilled"))
 
 
-def refresh(canonical: DataFrame, template: Candidate, shards: int = 1, owner: int | None = None) -> Candidate:
+def refresh(canonical: DataFrame, template: Candidate, shards: int = 1, owner: int | None = None, manifest: DataFrame | None = None) -> Candidate:
     """The edition's rows with the canonical content of now; ids, ranks, kinds and keys stay.
 
-    With ``owner`` only its rows are renewed.  Refused if a row's identity has changed.
+    With ``owner`` only its rows are renewed.  Refused if a row's identity has changed, or if the
+    template's selection is not that of ``manifest``.
     """
     p = template.provenance
+    if manifest is not None:
+        declared = {r[0] for r in manifest.select("selection_digest").limit(2).collect()}
+        if declared != {contract.selection_digest(p).first()[0]}:
+            raise MergeRefused("selection_digest_mismatch: the template is another selection")
     mine = F.lit(True) if owner is None else F.pmod(F.col("id"), F.lit(shards)) == owner
     now = canonical.withColumn("identity_now", text_digest(CONTRACT_IDENTITY))
     due = p.filter(mine).select("id", "selected_rank", "identity_digest")
@@ -195,12 +191,18 @@ def refresh(canonical: DataFrame, template: Candidate, shards: int = 1, owner: i
     return Candidate(rows, renewed, repair_queue(rows, shards))
 
 
-def preflight_owner(entries: DataFrame, candidate: Candidate, owner: int, shards: int) -> DataFrame:
-    """(code, example): rows of an owner that differ from the baseline without being queued."""
-    p = with_queue_flag(candidate.provenance.filter(F.pmod(F.col("id"), F.lit(shards)) == owner).select("id", "content_digest"), candidate.queue)
-    now = entries.select("id", text_digest(["id", *PAYLOAD]).alias("content_now"))
+def preflight_owner(entries: DataFrame, candidate: Candidate, candidate_digest: str, shards: int, owner: int | None = None) -> DataFrame:
+    """(code, example): rows of an owner (of all, if none is named) that are gone, or differ from the baseline for no good reason.
+
+    A row may differ only if it is queued and its marker names this candidate, its owner and the
+    payload that it has now.
+    """
+    of = F.pmod(F.col("id"), F.lit(shards))
+    mine = candidate.provenance if owner is None else candidate.provenance.filter(of == owner)
+    p = with_queue_flag(mine.select("id", "content_digest"), candidate.queue)
+    now = entries.select("id", text_digest(["id", *PAYLOAD]).alias("content_now"), contract.marker_fits(candidate_digest, of).alias("marked"))
     joined = p.join(now, "id", "left")
-    code = F.when(F.col("content_now").isNull(), "canonical_missing").when((F.col("content_now") != F.col("content_digest")) & ~F.col("queued"), "canonical_content_mismatch")
+    code = F.when(F.col("content_now").isNull(), "canonical_missing").when((F.col("content_now") != F.col("content_digest")) & ~(F.col("queued") & F.col("marked")), "canonical_content_mismatch")
     return joined.select(code.alias("code"), F.col("id").cast("string").alias("example")).filter("code is not null")
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from wordlake.queries import corpus, flows, jobs, shards, tables
+from wordlake.queries import contracts, corpus, flows, jobs, shards, tables
 
-QUERIES = corpus.QUERIES | tables.QUERIES | shards.QUERIES | jobs.QUERIES | flows.QUERIES
-SQL = corpus.SQL | tables.SQL | shards.SQL | jobs.SQL | flows.SQL
+QUERIES = corpus.QUERIES | tables.QUERIES | shards.QUERIES | jobs.QUERIES | flows.QUERIES | contracts.QUERIES
+SQL = corpus.SQL | tables.SQL | shards.SQL | jobs.SQL | flows.SQL | contracts.SQL

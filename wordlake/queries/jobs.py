@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from wordlake.functions import collect, normalize
 from wordlake.operators import aggregates, joins, lookup, rank
 from wordlake.operators.lineage import cut_lineage, fresh_path
-from wordlake.plans import assemble, enrich, relations, select
+from wordlake.plans import assemble, contract, enrich, relations, select
 from wordlake.queries.base import LEXICON_SQL, TOKENS_SQL, lexicon, table, terms
 from wordlake.schema import ENTRIES, NAMED, conform
 from wordlake.sources import files, snapshots
@@ -414,9 +414,10 @@ def edition_refresh(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def owner_preflight(spark: SparkSession, sf: str) -> DataFrame:
-    """Rows of owner 2 that changed without being queued, or are gone."""
+    """Rows of owner 2 that changed without being queued, or are gone; queued ones carry their marker."""
     e = term_entries(spark, sf)
-    return select.preflight_owner(changed_canonical(e), edition(spark, sf, e), 2, SHARDS)
+    marked = contract.with_marker(changed_canonical(e), "of this test", F.pmod(F.col("id"), F.lit(SHARDS)))
+    return select.preflight_owner(marked, edition(spark, sf, e), "of this test", SHARDS, 2)
 
 
 def edition_internal(spark: SparkSession, sf: str) -> DataFrame:
