@@ -89,3 +89,19 @@ def test_shards(spark):
     wide = spark.range(3, 80)
     parts = [{r[0] for r in normalize.shard_filter(wide, "id", i, 7).collect()} for i in range(7)]
     assert sum(map(len, parts)) == 77 and set.union(*parts) == set(range(3, 80))
+
+
+def test_references_as_the_standard_library_decodes_them(spark):
+    import html
+    import random
+
+    from wordlake.functions.references import decoded
+
+    rng = random.Random(3)
+    names = sorted(html.entities.html5)
+    pieces = ["&", "&;", "&#;", "&#x;", "&#xZ;", "a b", "AT&T", "&amp;amp;", "&notit;", "&noti;", "&unknown;", "&ampx", "é&eacute"]
+    rows = [(i, "".join(rng.choice((f"&{rng.choice(names)}", f"&#{rng.randrange(70000)};", f"&#x{rng.randrange(1 << 21):x}", f"&#{rng.randrange(300)}", rng.choice(pieces), " ")) for _ in range(6))) for i in range(700)]
+    rows += [(9000 + i, f"&#{i};") for i in range(200)] + [(9900, "&#x110000;&#99999999999999999999;&#xFFFFFFFFFFFFF;&#0000000000000000065;"), (9901, None), (9902, "")]
+    got = {r.i: r.t for r in spark.createDataFrame(rows, "i int, t string").select("i", decoded(F.col("t")).alias("t")).collect()}
+    wrong = {t: (got[i], html.unescape(t)) for i, t in rows if t is not None and got[i] != html.unescape(t) and not any(0xD800 <= ord(c) < 0xE000 for c in html.unescape(t))}
+    assert not wrong and got[9901] is None

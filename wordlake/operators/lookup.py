@@ -11,6 +11,7 @@ from pyspark.sql.types import DoubleType
 
 from wordlake.functions.collect import clean_list
 from wordlake.functions.normalize import collapse
+from wordlake.functions.references import decoded
 from wordlake.operators.joins import best_per_key, prefix_join
 
 
@@ -100,18 +101,15 @@ def title_variants(term: Column) -> Column:
     return F.when(edge, F.array(term)).otherwise(F.array_distinct(F.array(term, twin)))
 
 
-# The named character references that are decoded (the ampersand last).
-REFERENCES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&apos;": "'", "&nbsp;": "\u00a0", "&copy;": "©", "&middot;": "·", "&hellip;": "…", "&ndash;": "–", "&mdash;": "—", "&amp;": "&"}
-
-
 def html_text(html: Column | str) -> Column:
-    """Visible text of a page: no scripts, styles, comments or tags, white space collapsed."""
+    """Text of a page: no scripts, styles, comments or tags (these part no words), references decoded, white space collapsed.
+
+    References are decoded twice, so what was escaped twice is plain, too.
+    """
     out = F.coalesce(F.col(html) if isinstance(html, str) else html, F.lit(""))
-    for pattern in (r"(?is)<(script|style)\b[^>]*>.*?</\1\s*>", r"(?s)<!--.*?-->", r"(?s)<[^>]*>"):
-        out = F.regexp_replace(out, pattern, " ")
-    for name, sign in REFERENCES.items():
-        out = F.replace(out, F.lit(name), F.lit(sign))
-    return collapse(out)
+    for pattern in (r"(?is)<(script|style)\b[^>]*>.*?(?:</\1\s*>|\z)", r"(?s)<!--.*?-->", r"(?s)</?[A-Za-z!?][^>]*>"):
+        out = F.regexp_replace(out, pattern, "")
+    return collapse(decoded(decoded(out)))
 
 
 def copied_runs(left: DataFrame, right: DataFrame, n: int = 8) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,9 +16,10 @@ DICTIONARY_SCHEMA = (
     "definitions:array<struct<definition:string,example:string,synonyms:array<string>,antonyms:array<string>>>>>>>"
 )
 ASSOCIATION_SCHEMA = "array<struct<word:string,defs:array<string>,tags:array<string>>>"
-# Part-of-speech tags and finished states.
+# Part-of-speech tags, finished states, the top of the frequency scale, lists that a deep pass fills.
 TAG_POS = {"n": "noun", "v": "verb", "adj": "adjective", "adv": "adverb"}
 FINISHED = ["completed", "partial", "not_found"]
+HIGHEST_FREQUENCY = 10
 DEEP_LISTS = ["synonyms", "antonyms", "related_words", "phrases"]
 
 
@@ -155,11 +158,17 @@ def repair_marker(statuses: Column, gaps: Column) -> Column:
     return F.when(F.size(gaps) == 0, "completed").when(answered, "partial").otherwise("not_found")
 
 
+def lacks_any(columns: list[str]) -> Column:
+    """Whether one of the lists is empty or absent."""
+    return reduce(lambda a, b: a | b, [F.coalesce(F.size(c), F.lit(0)) <= 0 for c in columns])
+
+
 def worklist(entries: DataFrame, now: Column, retry_hours: float, gaps: Column | None = None, deep: Column | None = None) -> DataFrame:
     """Rows without a status, or unfinished ones whose last attempt is old enough.
 
     With ``gaps``, finished rows that still have some are due again after the same time; with
-    ``deep`` (whether a row has had its deep pass), completed rows without one are due at once.
+    ``deep`` (whether a row has had its deep pass), completed rows without one are due at once if
+    one of their deep lists is empty.
     """
     age = F.unix_timestamp(now) - F.unix_timestamp("last_attempt")
     old = F.col("last_attempt").isNull() | (age >= retry_hours * 3600)
@@ -167,20 +176,41 @@ def worklist(entries: DataFrame, now: Column, retry_hours: float, gaps: Column |
     if gaps is not None:
         due = due | ((F.size(gaps) > 0) & old)
     if deep is not None:
-        due = due | ((F.col("status") == "completed") & ~deep)
+        due = due | ((F.col("status") == "completed") & ~deep & lacks_any(DEEP_LISTS))
     return entries.filter(due)
 
 
-def plan_needs(entries: DataFrame, deep: bool = False) -> DataFrame:
-    """Per row what its gaps ask of the providers; phrases ask for no part of speech and no phonetic.
+def plan_needs(entries: DataFrame, deep: bool = False, repair_only: bool = False) -> DataFrame:
+    """Per row what it asks of the providers, by what it lacks; phrases ask for no part of speech and no phonetic.
 
-    ``deep`` adds the four lists that associations can give.
+    Examples and a frequency on another scale count unless only repairs are wanted; the four lists
+    that associations give, each where it is empty, only with ``deep``.  ``network`` says whether
+    anything but a translation is asked for.
     """
     gaps = quality_gaps(F.col("term"), F.col("definition"), F.col("definition_zh"), F.col("us_phonetic"), F.col("uk_phonetic"), F.col("pos"))
     rows = entries.withColumn("__g", gaps)
     has = lambda g: F.array_contains("__g", g)
-    flags = [has("definition").alias("definition"), has("definition_zh").alias("translation"), has("pos").alias("pos"), (has("pos") | has("phonetic")).alias("us_phonetic"), F.lit(deep).alias("relations")]
-    return rows.select("term", *flags, *[F.lit(deep).alias(c) for c in DEEP_LISTS])
+    wide = F.lit(deep and not repair_only)
+    lists = {c: wide & lacks_any([c]) for c in DEEP_LISTS}
+    needs = {
+        "definition": has("definition"), "translation": has("definition_zh"), "pos": has("pos"), "us_phonetic": has("phonetic") | has("phonetic_unreliable"),
+        "examples": F.lit(not repair_only) & lacks_any(["examples"]), "frequency": F.lit(not repair_only) & F.coalesce(F.col("frequency") > HIGHEST_FREQUENCY, F.lit(False)),
+        **lists, "relations": reduce(lambda a, b: a | b, lists.values()),
+    }
+    # under names of their own first: an alias that hides a column would be seen inside later ones
+    rows = rows.withColumns({f"__need_{c}": x for c, x in needs.items()})
+    network = reduce(lambda a, b: a | b, [F.col(f"__need_{c}") for c in ("definition", "pos", "us_phonetic", "examples", "frequency", "relations")])
+    return rows.select("term", *[F.col(f"__need_{c}").alias(c) for c in needs], network.alias("network"))
+
+
+def request_plan(needs: DataFrame, repair_only: bool = False) -> DataFrame:
+    """term, requests: which sources a row's needs go to, in order."""
+    any_of = lambda *names: reduce(lambda a, b: a | b, [F.col(n) for n in names])
+    asked = [
+        F.when(any_of("definition", "us_phonetic", "examples"), "dictionary"), F.when(any_of("related_words", "phrases"), "related"), F.when(any_of("definition", "pos", "frequency"), "exact"),
+        F.when(F.col("synonyms"), "synonyms"), F.when(F.col("antonyms"), "antonyms"), F.when(F.lit(repair_only) & any_of("definition", "pos", "us_phonetic"), "page"),
+    ]
+    return needs.select("term", F.filter(F.array(*asked), lambda x: x.isNotNull()).alias("requests"))
 
 
 def provider_plan(needs: DataFrame, found: DataFrame) -> DataFrame:

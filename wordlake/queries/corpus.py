@@ -166,6 +166,14 @@ def import_terms(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", F.size("terms").cast("long").alias("n_terms"), F.array_join("terms", "|").alias("terms"))
 
 
+def html_references(spark: SparkSession, sf: str) -> DataFrame:
+    """The pages' addresses and beginnings between references: numeric, named, without a semicolon, escaped twice, and none at all."""
+    n = F.col("page_id")
+    code, wide = (33 + n % 90).cast("int"), (0x2200 + n % 200).cast("int")
+    text = F.concat(F.lit("<b>&#"), code, F.lit(";</b> &#x"), F.lower(F.hex(wide)), F.lit(" &#X1F"), F.lpad(F.hex(n % 256), 3, "6"), F.lit("; &eacute;&Eacute;t&eacute &notit; &amp;lt;"), n, F.lit("&amp;gt; AT&T &#128;&#0;&bogus; &#x110000; "), F.coalesce("url", F.lit("")))
+    return table(spark, sf, "pages").select("page_id", lookup.html_text(text).alias("text"))
+
+
 def html_text(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "pages").select("page_id", lookup.html_text("html").alias("text"))
 
@@ -195,7 +203,7 @@ QUERIES = {
     for f in (
         lexicon_counts, zipf_scores, frequency_bands, select_bounded, rank_sequence_check, dedupe_longest, dedupe_first, definition_fold, first_non_empty, lexical_reject_histogram,
         coverage_report, quality_report, gap_histogram, link_fallback, prefix_suggest, fuzzy_lookup, lookup_cascade, chunk_documents, reassemble, inverted_index, keyword_search,
-        index_consistency, import_terms, html_text, copied_runs, phrase_counts, translation_needs,
+        index_consistency, import_terms, html_text, html_references, copied_runs, phrase_counts, translation_needs,
     )
 }
 
@@ -234,8 +242,10 @@ SQL = {
         FROM (SELECT conv_id, k, trim(regexp_replace(acc, '\s+', ' ', 'g')) AS a FROM f) x JOIN t ON t.conv_id = x.conv_id AND t.k = x.k + 1)
       SELECT conv_id, acc AS folded FROM f QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY k DESC) = 1""",
     "reassemble": r"SELECT doc_id AS id, sha256(regexp_replace(text, '\s+', '', 'g')) AS digest FROM documents WHERE trim(coalesce(text, '')) <> ''",
+    "html_references": """SELECT page_id, chr(CAST(33 + page_id % 90 AS INTEGER)) || ' ' || chr(CAST(8704 + page_id % 200 AS INTEGER)) || ' ' || chr(CAST(CASE WHEN page_id % 256 < 16 THEN 128608 ELSE 128512 END + page_id % 256 AS INTEGER))
+        || ' éÉté ¬it; <' || page_id || '> AT&T €�&bogus; � ' || coalesce(url, '') AS text FROM pages""",
     "html_text": r"""
-      WITH t AS (SELECT page_id, regexp_replace(regexp_replace(regexp_replace(coalesce(html, ''), '<script[^>]*>.*?</script>', ' ', 'gs'), '<style[^>]*>.*?</style>', ' ', 'gs'), '<[^>]*>', ' ', 'g') AS h FROM pages)
+      WITH t AS (SELECT page_id, regexp_replace(regexp_replace(regexp_replace(coalesce(html, ''), '<script[^>]*>.*?</script>', '', 'gs'), '<style[^>]*>.*?</style>', '', 'gs'), '<[^>]*>', '', 'g') AS h FROM pages)
       SELECT page_id, trim(regexp_replace(replace(replace(replace(replace(replace(replace(h, '&copy;', '©'), '&middot;', '·'), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&amp;', '&'), '\s+', ' ', 'g')) AS text FROM t""",
     "first_non_empty": "SELECT conv_id, role, arg_min(text, turn) FILTER (trim(coalesce(text, '')) <> '') AS first_text FROM conversations GROUP BY conv_id, role",
     "lexical_reject_histogram": f"""

@@ -425,7 +425,7 @@ def edition_internal(spark: SparkSession, sf: str) -> DataFrame:
     c = edition(spark, sf)
     e = c.entries.withColumn("scope", F.when(F.col("id") % 8 == 0, "{broken").otherwise(F.col("scope"))).withColumn("pos", F.when(F.col("id") % 5 == 0, "verb").otherwise(F.col("pos")))
     report = aggregates.issue_rollup(select.internal_violations(select.Candidate(e, c.provenance.filter("id % 13 <> 0"), c.queue), EDITION_ROWS, SHARDS, EDITION_PHRASES))
-    return report.filter(F.col("code").isin("malformed_json", "provenance_count", "candidate_digest_mismatch")).select("code", "n")
+    return report.select("code", "n")
 
 
 def queue_flags(spark: SparkSession, sf: str) -> DataFrame:
@@ -507,15 +507,29 @@ def merged_enrichment(spark: SparkSession, sf: str) -> DataFrame:
     return enrich.merge_enrichment(e, new, "id").select("id", "definition", F.array_join("synonyms", "|").alias("synonyms"), "frequency", "difficulty", F.array_join("filled", "|").alias("filled"))
 
 
+def part_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Part entries some of which have phonetics, lists, examples, or a frequency on another scale; every sixth is a phrase."""
+    e, k = part_entries(spark, sf), F.col("id")
+    filled = lambda n, c: F.when(k % n == 0, F.array(F.lit("x"))).otherwise(F.col(c))
+    lists = {c: filled(n, c) for c, n in (("synonyms", 2), ("antonyms", 3), ("phrases", 5), ("related_words", 7), ("examples", 4))}
+    term = F.when(k % 6 == 0, F.col("word")).otherwise(F.replace(F.col("word"), F.lit(" "), F.lit("")))
+    return e.withColumns({**lists, "term": term, "us_phonetic": F.when(k % 8 == 1, "wɜːd").when(k % 8 == 2, "W ER1 D"), "uk_phonetic": F.when(k % 8 == 3, "wɜːd"), "frequency": F.when(k % 9 == 0, 250.0).otherwise(F.col("frequency"))})
+
+
 def work_plan(spark: SparkSession, sf: str) -> DataFrame:
-    needs = enrich.plan_needs(part_entries(spark, sf).withColumn("term", F.col("word")), deep=True)
-    return needs.select("term", "definition", "translation", "pos", "us_phonetic", "relations", "synonyms", "phrases")
+    """What each row asks for by what it lacks, in a deep pass, and the requests that come of it; the same for repairs alone."""
+    rows = part_rows(spark, sf)
+    needs, repairs = enrich.plan_needs(rows, deep=True), enrich.plan_needs(rows, deep=True, repair_only=True)
+    asked = enrich.request_plan(needs).withColumnRenamed("requests", "all").join(enrich.request_plan(repairs, repair_only=True).withColumnRenamed("requests", "repair"), "term")
+    flags = ["definition", "translation", "pos", "us_phonetic", "examples", "frequency", *enrich.DEEP_LISTS, "relations", "network"]
+    return needs.select("term", *flags).join(asked.select("term", F.array_join("all", "|").alias("requests"), F.array_join("repair", "|").alias("repairs")), "term")
 
 
 def repair_worklist(spark: SparkSession, sf: str) -> DataFrame:
     """Part entries with made-up attempts: which are due, with the status that a repair gives them."""
+    full = lambda c: F.when(F.col("id") % 20 == 1, F.array(F.lit("x"))).otherwise(F.col(c))
     e = part_entries(spark, sf).withColumns({
-        "status": pick(F.col("id"), None, "completed", "partial", "not_found"), "last_attempt": F.timestamp_seconds(F.lit(1_700_000_000) - F.pmod("id", F.lit(48)) * 3600), "g": select.gaps_of(),
+        "status": pick(F.col("id"), None, "completed", "partial", "not_found"), "last_attempt": F.timestamp_seconds(F.lit(1_700_000_000) - F.pmod("id", F.lit(48)) * 3600), "g": select.gaps_of(), **{c: full(c) for c in enrich.DEEP_LISTS},
     })
     due = enrich.worklist(e, F.timestamp_seconds(F.lit(1_700_000_000)), 24, F.col("g"), F.col("id") % 10 != 1)
     return due.select("id", enrich.repair_marker(F.array(F.when(F.col("id") % 2 == 0, "ok").otherwise("not_found")), F.col("g")).alias("repaired"))
@@ -566,20 +580,20 @@ SENSES_SQL = """
   yl AS (SELECT a.k, a.key, a.sense_id, 'hypernym' AS relation, b.key AS target_key, b.k AS target, 'meaning of ' || printf('y%08d', b.y) AS target_definition FROM s a JOIN s b ON b.y = a.y + 1 WHERE a.y % 2 = 0 AND a.k <> b.k),
   syn AS (SELECT a.k, a.key, a.y, a.sense_order, b.key AS target_key, b.k AS target FROM s a JOIN s b ON b.y = a.y AND a.k <> b.k)"""
 POOL_SQL = f"""
-  terms AS (SELECT term, kind, count(*) AS n FROM (
+  terms AS MATERIALIZED (SELECT term, kind, count(*) AS n FROM (
     SELECT unnest(w) AS term, 'word' AS kind FROM (SELECT {TOKENS_SQL} AS w FROM documents)
     UNION ALL SELECT unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])), 'phrase' FROM (SELECT {TOKENS_SQL} AS w FROM documents)) GROUP BY ALL HAVING count(*) > 1),
-  t AS (SELECT *, row_number() OVER (ORDER BY n DESC, term) AS k FROM terms),
+  t AS MATERIALIZED (SELECT *, row_number() OVER (ORDER BY n DESC, term) AS k FROM terms),
   judged AS (SELECT *, CASE WHEN k % 40 = 0 THEN 'missing_source_provenance' WHEN k % 50 = 0 AND term <> 'other' THEN 'normalized_word_mismatch' WHEN length(term) > 120 THEN 'invalid_length'
     WHEN NOT regexp_full_match(term, '[a-z]+( [a-z]+)*') THEN 'unsupported_punctuation' WHEN length(term) = 1 AND term NOT IN ('a', 'i') THEN 'single_letter_noise'
     WHEN kind = 'phrase' AND k % 6 = 0 THEN 'phrase_evidence_insufficient' END AS reason FROM t),
-  pool AS (SELECT *, row_number() OVER (PARTITION BY kind ORDER BY k) AS j FROM judged WHERE reason IS NULL)"""
+  pool AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY kind ORDER BY k) AS j FROM judged WHERE reason IS NULL)"""
 WORDS = EDITION_ROWS - EDITION_PHRASES
 EDITION_SQL = f"""{POOL_SQL},
-  e AS (SELECT k AS id, kind, term, n, CASE kind WHEN 'phrase' THEN CAST(ceil(j * {EDITION_ROWS} / CAST({EDITION_PHRASES} AS DOUBLE)) AS BIGINT) ELSE (j - 1) * {EDITION_ROWS} // {WORDS} + 1 END AS selected_rank
+  e AS MATERIALIZED (SELECT k AS id, kind, term, n, CASE kind WHEN 'phrase' THEN CAST(ceil(j * {EDITION_ROWS} / CAST({EDITION_PHRASES} AS DOUBLE)) AS BIGINT) ELSE (j - 1) * {EDITION_ROWS} // {WORDS} + 1 END AS selected_rank
     FROM pool WHERE j <= CASE kind WHEN 'phrase' THEN {EDITION_PHRASES} ELSE {WORDS} END),
-  g AS (SELECT *, id % 7 = 0 AS g1, id % 7 <> 0 AND id % 9 = 0 AS g2, kind = 'word' AND id % 11 = 0 AS g3 FROM e),
-  q AS (SELECT *, concat_ws('|', CASE WHEN g1 THEN 'definition' END, CASE WHEN g2 THEN 'definition_zh' END, CASE WHEN g3 THEN 'pos' END) AS gaps FROM g WHERE g1 OR g2 OR g3)"""
+  g AS MATERIALIZED (SELECT *, id % 7 = 0 AS g1, id % 7 <> 0 AND id % 9 = 0 AS g2, kind = 'word' AND id % 11 = 0 AS g3 FROM e),
+  q AS MATERIALIZED (SELECT *, concat_ws('|', CASE WHEN g1 THEN 'definition' END, CASE WHEN g2 THEN 'definition_zh' END, CASE WHEN g3 THEN 'pos' END) AS gaps FROM g WHERE g1 OR g2 OR g3)"""
 PATCHED_SQL = f"""SELECT p_partkey AS id, CASE WHEN p_partkey % 5 <> 0 THEN 'noun' WHEN p_partkey % 2 = 0 THEN 'verb' ELSE '' END AS pos,
   CASE WHEN p_partkey % 3 <> 0 THEN p_name WHEN p_partkey % 2 = 0 THEN 'patched ' || {WORD.format('p_partkey')} ELSE '' END AS definition, CASE WHEN p_partkey % 2 = 0 THEN 'a|b' ELSE '' END AS synonyms,
   CASE WHEN p_partkey % 2 = 0 THEN {WORD.format('p_partkey')} ELSE '' END AS examples, CASE WHEN p_partkey % 2 = 0 THEN 'kaikki|oewn' ELSE 'kaikki' END AS sources FROM part"""
@@ -685,12 +699,21 @@ SQL = {
       CASE WHEN a AND p_partkey % 3 = 1 THEN 's' || p_partkey ELSE '' END AS uk FROM (SELECT *, p_partkey % 5 <> 0 AS a FROM part)""",
     "merged_enrichment": """SELECT p_partkey AS id, CASE WHEN p_partkey % 3 <> 0 THEN p_name WHEN p_partkey % 2 = 0 THEN 'found' ELSE '' END AS definition, CASE WHEN p_partkey % 2 = 0 THEN 's|t' ELSE '' END AS synonyms, f AS frequency,
       concat_ws('|', CASE WHEN p_partkey % 6 = 0 THEN 'definition' END, CASE WHEN p_partkey % 2 = 0 THEN 'synonyms' END, CASE WHEN f > 4 THEN 'frequency' END, 'difficulty') AS filled, CASE WHEN f >= 6 THEN 'A1–A2' WHEN f >= 4.8 THEN 'B1–B2' ELSE 'C1–C2' END AS difficulty FROM (SELECT *, CAST(CASE WHEN p_partkey % 2 = 0 THEN greatest(4, p_partkey % 8) ELSE 4 END AS DOUBLE) AS f FROM part)""",
-    "work_plan": f"SELECT {WORD.format('p_partkey')} AS term, p_partkey % 3 = 0 AS definition, p_partkey % 3 <> 0 AND p_partkey % 4 = 0 AS translation, FALSE AS pos, FALSE AS us_phonetic, TRUE AS relations, TRUE AS synonyms, TRUE AS phrases FROM part",
+    "work_plan": f"""
+      WITH p AS (SELECT p_partkey AS k, p_partkey % 6 = 0 AS phrase, p_partkey % 3 = 0 AS d, p_partkey % 3 <> 0 AND p_partkey % 4 = 0 AS t, p_partkey % 9 = 0 AS f, p_partkey % 4 <> 0 AS x,
+        p_partkey % 2 <> 0 AS s, p_partkey % 3 <> 0 AS a, p_partkey % 5 <> 0 AS h, p_partkey % 7 <> 0 AS r FROM part),
+      n AS (SELECT *, NOT phrase AND k % 5 = 0 AS o, NOT phrase AND k % 8 NOT IN (1, 3) AS u FROM p)
+      SELECT CASE WHEN phrase THEN {WORD.format('k')} ELSE replace({WORD.format('k')}, ' ', '') END AS term, d AS definition, t AS translation, o AS pos, u AS us_phonetic, x AS examples, f AS frequency, s AS synonyms, a AS antonyms, h AS phrases, r AS related_words,
+        s OR a OR h OR r AS relations, d OR o OR u OR x OR f OR s OR a OR h OR r AS network,
+        concat_ws('|', CASE WHEN d OR u OR x THEN 'dictionary' END, CASE WHEN r OR h THEN 'related' END, CASE WHEN d OR o OR f THEN 'exact' END, CASE WHEN s THEN 'synonyms' END, CASE WHEN a THEN 'antonyms' END) AS requests,
+        concat_ws('|', CASE WHEN d OR u THEN 'dictionary' END, CASE WHEN d OR o THEN 'exact' END, CASE WHEN d OR o OR u THEN 'page' END) AS repairs FROM n""",
     "edition_internal": f"""WITH {EDITION_SQL}, v AS (SELECT 'malformed_json' AS code FROM e WHERE id % 8 = 0 UNION ALL SELECT 'provenance_count' FROM e WHERE id % 13 = 0
-        UNION ALL SELECT 'candidate_digest_mismatch' FROM e WHERE id % 5 = 0 AND id % 13 <> 0) SELECT code, count(*) AS n FROM v GROUP BY code""",
+        UNION ALL SELECT 'candidate_digest_mismatch' FROM e WHERE id % 5 = 0 AND id % 13 <> 0 UNION ALL SELECT 'phrase_evidence' FROM e WHERE id % 13 = 0 UNION ALL SELECT 'repair_queue_mismatch' FROM g WHERE g3 AND id % 5 = 0
+        UNION ALL SELECT 'definition' FROM g WHERE g1 UNION ALL SELECT 'definition_zh' FROM g WHERE g2 UNION ALL SELECT 'pos' FROM g WHERE g3 AND id % 5 <> 0
+        UNION ALL SELECT 'selection_counts' FROM e WHERE kind = 'phrase' HAVING count(*) FILTER (id % 13 <> 0) <> {EDITION_PHRASES}) SELECT code, count(*) AS n FROM v GROUP BY code""",
     "queue_flags": f"WITH {EDITION_SQL} SELECT id, CASE WHEN id % 13 <> 0 THEN kind END AS kind, g1 OR g2 OR g3 AS queued FROM g",
     "repair_worklist": """WITH p AS (SELECT p_partkey AS id, p_partkey % 3 = 0 OR p_partkey % 4 = 0 AS gap, p_partkey % 48 >= 24 AS old FROM part)
-      SELECT id, CASE WHEN NOT gap THEN 'completed' WHEN id % 2 = 0 THEN 'partial' ELSE 'not_found' END AS repaired FROM p WHERE id % 4 = 0 OR (id % 4 > 1 AND old) OR (gap AND old) OR (id % 4 = 1 AND id % 10 = 1)""",
+      SELECT id, CASE WHEN NOT gap THEN 'completed' WHEN id % 2 = 0 THEN 'partial' ELSE 'not_found' END AS repaired FROM p WHERE id % 4 = 0 OR (id % 4 > 1 AND old) OR (gap AND old) OR (id % 4 = 1 AND id % 10 = 1 AND id % 20 <> 1)""",
     "markers": MARKERS_SQL,
     "enrichment_progress": f"SELECT count(*) AS total, count(*) FILTER (user_id % 4 <> 0) AS finished, round(100.0 * count(*) FILTER (user_id % 4 <> 0) / count(*), 3) AS percent FROM ({MARKERS_SQL})",
     "page_fields": "SELECT page_id, CASE WHEN page_id % 2 = 0 THEN 's' || page_id ELSE '' END AS ipa, CASE WHEN page_id % 3 <> 0 THEN 'page ' || page_id || chr(10) || 'a & b' ELSE '' END AS definition, CASE WHEN page_id % 3 <> 0 THEN 'noun' ELSE '' END AS pos FROM pages",

@@ -23,10 +23,10 @@ def attempt_state(stream: DataFrame, keys: list[str], ts: str = "ts", status: st
     return stream.groupBy(*keys).agg(F.max_by(status, ts).alias("status"), F.max(ts).alias("updated_at"), F.count("*").alias("attempts"))
 
 
-def quota_ledger(stream: DataFrame, limits: dict[str, int], keys: tuple[str, ...] = ("day", "client", "kind")) -> DataFrame:
+def quota_ledger(stream: DataFrame, limits: dict[str, int], keys: tuple[str, ...] = ("day", "client", "kind"), other: int = 0) -> DataFrame:
     """Requests (keys, id, amount) with ``admitted`` and ``remaining``; refusals use nothing.
 
-    State is one number per key; it goes when the watermark has passed the key's day.
+    ``limits`` go by the last key; kinds that it does not name have the limit ``other``.  State is one number per key; it goes when the watermark has passed the key's day.
     """
     names = list(keys)
     types = {f.name: f.dataType.simpleString() for f in stream.schema.fields}
@@ -36,7 +36,7 @@ def quota_ledger(stream: DataFrame, limits: dict[str, int], keys: tuple[str, ...
         if state.hasTimedOut:
             state.remove()
             return
-        used, limit = (state.get[0] if state.exists else 0), limits.get(key[-1], 0)
+        used, limit = (state.get[0] if state.exists else 0), limits.get(key[-1], other)
         rows = pd.concat(list(frames)).sort_values(["ts", "id"])
         out = []
         for i, amount in zip(rows["id"], rows["amount"], strict=True):
