@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wordlake.functions.normalize import collapse
+from wordlake.functions.normalize import collapse, norm_key
 
 
 def clean_list(values: Column, cap: int | None = 40) -> Column:
@@ -27,6 +27,14 @@ def ordered_lists(df: DataFrame, keys: list[str], value: Column, *order: Column,
     return places.select(*keys).distinct().join(lists, keys, "left").withColumn(out, F.coalesce(out, F.array().cast("array<string>")))
 
 
+def ordered_words(df: DataFrame, keys: list[str], value: Column, *order: Column, cap: int = 40, out: str = "values") -> DataFrame:
+    """As ``ordered_lists`` for words that are one if their normalized keys are; the form named first stays."""
+    places = F.struct(*[o.alias(f"o{i}") for i, o in enumerate(order)], collapse(value).alias("v"))
+    rows = df.select(*keys, norm_key(value).alias("__k"), places.alias("__o")).filter("__k <> ''").groupBy(*keys, "__k").agg(F.min("__o").alias("__o"))
+    first = rows.withColumn("__n", F.row_number().over(Window.partitionBy(*keys).orderBy("__o", "__k"))).filter(F.col("__n") <= cap)
+    return first.groupBy(*keys).agg(F.transform(F.array_sort(F.collect_list(F.struct("__n", F.col("__o.v").alias("v")))), lambda r: r["v"]).alias(out))
+
+
 def collect_ordered(value: Column, *order: Column, cap: int = 40) -> Column:
     """Aggregate: the group's values in order, cleaned as ``clean_list``."""
     rows = F.array_sort(F.collect_list(F.struct(*[o.alias(f"o{i}") for i, o in enumerate(order)], value.alias("v"))))

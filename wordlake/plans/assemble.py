@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wordlake.functions.collect import append_capped, clean_list, collect_ordered, fold_text
+from wordlake.functions.collect import append_capped, clean_list, fold_text, ordered_lists, ordered_words
 from wordlake.functions.normalize import RELATED_RELATIONS, blank, fill_empty, keep_relation_types, map_pos
+from wordlake.functions.overlay import is_object, put_members
 from wordlake.operators.aggregates import dedupe
 from wordlake.operators.joins import resolve_links
 from wordlake.operators.rank import global_rank, top_n
+from wordlake.schema import ENTRIES
 from wordlake.sources.files import WordNet
 
 STRINGS = "array<string>"
@@ -147,27 +149,36 @@ def synonyms(wn: WordNet) -> DataFrame:
     return a.join(b, "synset_id").filter("key <> target_key")
 
 
+def own_texts() -> Column:
+    """The definitions of a sense's synset that are meant for the sense."""
+    own = F.filter("definitions", lambda d: d["source_sense"].isNull() | (d["source_sense"] == "") | (d["source_sense"] == F.col("sense_id")))
+    return F.transform(own, lambda d: d["text"])
+
+
 def wordnet_patch(wn: WordNet) -> DataFrame:
-    """Per key what WordNet says: pos, phonetics, definitions, examples, synonyms, antonyms, links."""
-    rows = sense_rows(wn).withColumn("o", F.struct("sense_order", "entry_id", "sense_id"))
-    own = F.filter("definitions", lambda d: d["source_sense"].isNull() | (d["source_sense"] == F.col("sense_id")))
-    texts = rows.withColumn("texts", F.transform(own, lambda d: d["text"])).withColumn("shown", F.concat("examples", "synset_examples"))
-    flat = lambda c: F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("o", F.col(c).alias("v")))), lambda r: r["v"]))
-    base = texts.groupBy("key").agg(
-        F.array_join(collect_ordered(map_pos(F.col("pos")), F.col("o"), cap=8), ", ").alias("pos"), F.array_join(clean_list(flat("texts"), 24), "\n").alias("definition"), clean_list(flat("shown"), 12).alias("examples")
-    )
+    """Per key what WordNet says: pos, phonetics, definitions, examples, synonyms, antonyms, links.
+
+    Every list is cut to its cap before it is collected, so no key gathers more.
+    """
+    rows = sense_rows(wn)
+    place = [F.col(c) for c in ("sense_order", "entry_id", "sense_id", "at")]
+    values = lambda c: rows.select("key", "sense_order", "entry_id", "sense_id", F.posexplode(c).alias("at", "v"))
+    listed = lambda c, cap, out: ordered_lists(values(c), ["key"], F.col("v"), *place, cap=cap, out=out)
+    base = listed(F.array(map_pos(F.col("pos"))), 8, "pos").join(listed(own_texts(), 24, "definition"), "key", "left").join(listed(F.concat("examples", "synset_examples"), 12, "examples"), "key", "left")
+    lines = lambda c, by: F.coalesce(F.array_join(c, by), F.lit("")).alias(c)
+    empty = F.array().cast(STRINGS)
+    base = base.select("key", lines("pos", ", "), lines("definition", "\n"), F.coalesce("examples", empty).alias("examples"))
     sound = wn.entries.select("key", "entry_id", F.posexplode("sounds").alias("ord", "s"))
     variety = lambda names: F.coalesce(F.min_by("s._VALUE", F.when(F.lower(F.col("s._variety")).isin(*names) & ~blank(F.col("s._VALUE")), F.struct("entry_id", "ord"))), F.lit(""))
     sounds = sound.groupBy("key").agg(variety(["us", "en-us", "ga"]).alias("us_phonetic"), variety(["gb", "uk", "en-gb", "rp"]).alias("uk_phonetic"))
-    same = synonyms(wn).groupBy("key").agg(collect_ordered(F.col("target_word"), F.col("sense_order"), F.col("target_order"), F.col("target_entry")).alias("synonyms"))
+    same = ordered_lists(synonyms(wn), ["key"], F.col("target_word"), F.col("sense_order"), F.col("target_order"), F.col("target_entry"), out="synonyms")
     columns = ["key", "kind", "sense_order", "ord", "target_entry", "relation", "target_word", "target_definition"]
     links = sense_links(wn).select(*columns).unionByName(synset_links(wn).select(*columns)).withColumn("o", F.struct("kind", "sense_order", "ord", "target_entry"))
-    against = links.filter("relation = 'antonym'").groupBy("key").agg(collect_ordered(F.col("target_word"), F.col("o")).alias("antonyms"))
+    against = ordered_lists(links.filter("relation = 'antonym'"), ["key"], F.col("target_word"), F.col("o"), out="antonyms")
     near = links.filter(F.col("relation").isin(*RELATED_RELATIONS)).select("key", F.col("o").alias("ord"), F.col("target_word").alias("word"), F.col("target_definition").alias("definition"))
     known = base.select("key", "definition")
     related = resolve_links(near, known).withColumnRenamed("links", "related_entries")
     out = base.join(sounds, "key", "left").join(same, "key", "left").join(against, "key", "left").join(related, "key", "left")
-    empty = F.array().cast(STRINGS)
     named = F.coalesce("related_entries", F.array().cast("array<struct<word:string,definition:string>>"))
     return out.select(
         "key", "pos", "definition", "examples", F.coalesce("us_phonetic", F.lit("")).alias("us_phonetic"), F.coalesce("uk_phonetic", F.lit("")).alias("uk_phonetic"),
@@ -175,6 +186,53 @@ def wordnet_patch(wn: WordNet) -> DataFrame:
     ).withColumn("phrases", F.filter("related_words", lambda w: w.contains(" ") | w.contains("-")))
 
 
+def wordnet_senses(wn: WordNet, source: str = "oewn") -> DataFrame:
+    """One row per sense: key, place, source, synset, form, and ``sense`` as the entries hold it.
+
+    Relations are typed: per type the words named by the sense, then by its synset.  What the
+    entries' senses have no column for (synset, form, order, ili, examples, synonyms) is in the
+    sense's ``extra``, an open JSON object.
+    """
+    rows = sense_rows(wn).withColumn("texts", clean_list(own_texts(), 24))
+    columns = ["key", "sense_id", "kind", "ord", "target_entry", "relation", "target_word"]
+    links = sense_links(wn).select(*columns).unionByName(synset_links(wn).select(*columns))
+    typed = ordered_words(links, ["key", "sense_id", "relation"], F.col("target_word"), F.col("kind"), F.col("ord"), F.col("target_entry"), out="words")
+    relations = typed.groupBy("key", "sense_id").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("relation", "words")))).alias("relations"))
+    same = ordered_words(synonyms(wn), ["key", "synset_id"], F.col("target_word"), F.col("target_order"), F.col("target_entry"), out="synonyms")
+    joined = rows.join(relations, ["key", "sense_id"], "left").join(same, ["key", "synset_id"], "left")
+    shown = clean_list(F.concat("examples", "synset_examples"), 40)
+    filled = lambda c: F.when(F.size(c) > 0, c)
+    extra = F.to_json(F.struct(
+        F.lit(source).alias("source"), F.col("synset_id").alias("synset"), F.col("written").alias("writtenForm"), F.col("sense_order").alias("order"),
+        F.when(~blank(F.col("ili")), F.col("ili")).alias("ili"), filled(shown).alias("examples"), filled(F.col("synonyms")).alias("synonyms"),
+    ))
+    sense = F.struct(F.coalesce("pos", F.lit("")).alias("pos"), F.col("texts").alias("definitions"), F.lit(None).cast(STRINGS).alias("sense_ids"), F.col("relations"), F.lit(None).cast("map<string,array<string>>").alias("relation_sources"), extra.alias("extra"))
+    return joined.select("key", F.struct("sense_order", "entry_id", "sense_id").alias("place"), F.lit(source).alias("source"), F.col("synset_id").alias("synset"), F.col("written").alias("form"), F.coalesce("pos", F.lit("")).alias("pos"), sense.alias("sense"))
+
+
+def apply_senses(entries: DataFrame, senses: DataFrame, key: str = "normalized_word", cap: int = 40, provenance: tuple[str, str] | None = None) -> DataFrame:
+    """Entries with the senses they lack, by (source, synset, form, pos): at most ``cap`` new ones each.
+
+    What is there stays as it is, keys of ``extra`` that nobody knows too.  With ``provenance`` (a
+    key and a JSON object) rows that have a patch say so in their scope; a scope that is no JSON
+    object is left alone.
+    """
+    of = ["source", "synset", "form", "pos"]
+    said = lambda path: F.coalesce(F.get_json_object("s.extra", path), F.lit(""))
+    known = entries.select(F.col(key).alias("key"), F.explode("senses").alias("s")).select("key", said("$.source").alias("source"), said("$.synset").alias("synset"), said("$.writtenForm").alias("form"), F.coalesce("s.pos", F.lit("")).alias("pos")).distinct()
+    first = senses.groupBy("key", *of).agg(F.min("place").alias("place"), F.min_by("sense", "place").alias("sense"))
+    new = first.join(known, ["key", *of], "left_anti").withColumn("n", F.row_number().over(Window.partitionBy("key").orderBy("place"))).filter(F.col("n") <= cap)
+    lists = new.groupBy("key").agg(F.transform(F.array_sort(F.collect_list(F.struct("n", F.to_json("sense").alias("sense")))), lambda r: F.from_json(r["sense"], ENTRIES["senses"][len("array<"):-1])).alias("__new"))
+    patched = senses.select("key").distinct().join(lists, "key", "left").withColumnRenamed("key", "__key")
+    joined = entries.join(patched, F.col(key) == F.col("__key"), "left")
+    none = F.array().cast(ENTRIES["senses"])
+    out = {"senses": F.concat(F.coalesce("senses", none), F.coalesce("__new", none).cast(ENTRIES["senses"]))}
+    if provenance:
+        fine = F.col("__key").isNotNull() & (is_object(F.col("scope")) | blank(F.col("scope")))
+        out["scope"] = F.when(fine, put_members(F.col("scope"), {provenance[0]: F.lit(provenance[1])})).otherwise(F.col("scope"))
+    return joined.select(*[out[c].alias(c) if c in out else F.col(c) for c in entries.columns])
+
+
 def apply_patch(entries: DataFrame, patch: DataFrame, key: str = "normalized_word", source: str = "oewn") -> tuple[DataFrame, DataFrame]:
     """(entries with blanks filled and lists appended, statistics); rows are never added."""
     scalars = [c for c in ("pos", "us_phonetic", "uk_phonetic", "definition") if c in entries.columns]

@@ -7,6 +7,7 @@ table has changed, and a repaired row can name the candidate that it was repaire
 
 from __future__ import annotations
 
+import json
 from functools import reduce
 from typing import TYPE_CHECKING
 
@@ -14,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wordlake.functions.digest import row_digest, table_digest
+from wordlake.functions.overlay import put_members
 from wordlake.operators.joins import index_diff
 from wordlake.operators.lookup import build_index
 from wordlake.schema import PAYLOAD
@@ -118,17 +120,9 @@ def payload_digest() -> Column:
 
 
 def with_marker(entries: DataFrame, candidate_digest: str, owner: Column) -> DataFrame:
-    """Entries whose ``enrichment`` names the candidate, the owner and the payload they were repaired for.
-
-    Other keys of the JSON stay as they are, text by text; an older marker is replaced.
-    """
-    old = F.trim(F.coalesce("enrichment", F.lit("{}")))
-    keys = "|".join(MARKER.values())
-    rest = F.regexp_replace(old, rf'"(?:{keys})"\s*:\s*(?:"[^"]*"|-?\d+)\s*,?\s*', "")
-    rest = F.regexp_replace(F.regexp_replace(rest, r",\s*\}$", "}"), r"^\{\s*\}$", "")
-    marker = F.to_json(F.struct(F.lit(candidate_digest).alias(MARKER["digest"]), owner.alias(MARKER["owner"]), payload_digest().alias(MARKER["payload"])))
-    is_object = rest.startswith("{")
-    return entries.withColumn("enrichment", F.when(is_object, F.concat(F.regexp_replace(rest, r"\}$", ","), F.substring(marker, 2, 1 << 20))).otherwise(marker))
+    """Entries whose ``enrichment`` names the candidate, the owner and the payload they were repaired for; its other keys stay."""
+    said = {MARKER["digest"]: F.lit(json.dumps(candidate_digest)), MARKER["owner"]: owner.cast("string"), MARKER["payload"]: F.concat(F.lit('"'), payload_digest(), F.lit('"'))}
+    return entries.withColumn("enrichment", put_members(F.col("enrichment"), said))
 
 
 def marker_fits(candidate_digest: str, owner: Column) -> Column:

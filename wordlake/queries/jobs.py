@@ -247,6 +247,30 @@ def wordnet_patch(spark: SparkSession, sf: str) -> DataFrame:
     return patch.select("key", "pos", "definition", F.array_join("examples", "|").alias("examples"), "us_phonetic", "uk_phonetic", F.array_join("synonyms", "|").alias("synonyms"), F.array_join("antonyms", "|").alias("antonyms"), F.size("related_entries").cast("long").alias("n_related"))
 
 
+def wordnet_sense_patch(spark: SparkSession, sf: str) -> DataFrame:
+    """Senses of WordNet with their typed relations, as the entries will hold them."""
+    s = assemble.wordnet_senses(part_wordnet(spark, sf))
+    typed = F.array_join(F.transform(F.map_entries(F.coalesce("sense.relations", F.create_map().cast("map<string,array<string>>"))), lambda e: F.concat_ws("=", e["key"], F.array_join(e["value"], "/"))), "|")
+    json = lambda path: F.get_json_object("sense.extra", path)
+    return s.select("key", "synset", "pos", json("$.order").cast("int").alias("place"), F.array_join("sense.definitions", "|").alias("definition"), typed.alias("relations"), F.coalesce(json("$.examples[0]"), F.lit("")).alias("example"), F.coalesce(json("$.synonyms"), F.lit("[]")).alias("synonyms"))
+
+
+def patched_senses(spark: SparkSession, sf: str) -> DataFrame:
+    """Entries with senses of their own, some of WordNet's already, and open keys: after the patch, and after a second one."""
+    senses = assemble.wordnet_senses(part_wordnet(spark, sf))
+    k = F.col("id")
+    own = F.struct(F.lit("noun").alias("pos"), F.array(F.lit("own")).alias("definitions"), F.lit(None).cast(STRINGS).alias("sense_ids"), F.lit(None).cast("map<string,array<string>>").alias("relations"), F.lit(None).cast("map<string,array<string>>").alias("relation_sources"), F.lit('{"custom":{"a":[1,2]}}').alias("extra"))
+    held = senses.filter("place.sense_order = 1").select("key", F.array("sense").cast(ENTRIES["senses"]).alias("held"))
+    e = part_entries(spark, sf).withColumn("normalized_word", F.concat(F.lit("part "), k)).withColumn("scope", F.when(k % 4 == 0, F.lit('{"flag":{"x":1}}')).when(k % 4 == 1, F.lit("broken")).otherwise(F.lit(None)))
+    e = e.join(held, F.col("normalized_word") == F.col("key"), "left").withColumn("senses", F.when(k % 3 == 0, F.array(own)).when(k % 3 == 1, F.coalesce("held", F.array().cast(ENTRIES["senses"]))).otherwise(F.array().cast(ENTRIES["senses"])))
+    e = e.select(*ENTRIES)
+    said = ("oewn", '{"license":"CC BY 4.0"}')
+    once = cut_lineage(assemble.apply_senses(e, senses.filter("key <> 'part 7'"), provenance=said))
+    twice = assemble.apply_senses(once, senses.filter("key <> 'part 7'"), provenance=said)
+    forms = F.array_join(F.transform("senses", lambda x: F.coalesce(F.get_json_object(x["extra"], "$.synset"), F.get_json_object(x["extra"], "$.custom.a"))), "|")
+    return once.select("id", forms.alias("senses"), "scope").join(twice.select("id", F.size("senses").alias("n_again")), "id")
+
+
 def patched(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     """Part entries with a patch for every second one."""
     e = part_entries(spark, sf)
@@ -558,7 +582,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         dictionary_csv, dump_counts, dump_groups, entries_snapshot, bundle_and_delta, term_lists, report_check, row_rules, named_union, missing_columns, attempt_totals, list_change_stats, top_parts, queue_identity, term_book,
-        scored_words, assembled_entries, wordnet_senses, wordnet_sense_links, wordnet_synset_links, wordnet_synonyms, wordnet_patch, patched_entries, patch_statistics, finalized, relation_senses, relation_delta, relation_applied, relation_capacity,
+        scored_words, assembled_entries, wordnet_senses, wordnet_sense_links, wordnet_synset_links, wordnet_synonyms, wordnet_patch, wordnet_sense_patch, patched_senses, patched_entries, patch_statistics, finalized, relation_senses, relation_delta, relation_applied, relation_capacity,
         relation_violations, pool_of_terms, refused_terms, edition_provenance, edition_queue, edition_counts, edition_gate, edition_refresh, owner_preflight, repair_deltas, repair_check, repair_applied, shard_exports,
         provider_fields, association_fields, combined_fields, merged_enrichment, work_plan, markers, enrichment_progress, page_fields, edition_internal, queue_flags, repair_worklist,
     )
@@ -644,6 +668,18 @@ SQL = {
       SELECT 'part ' || k AS key, CASE k % 2 WHEN 0 THEN 'noun' ELSE 'verb' END AS pos, definition, examples, CASE k % 3 WHEN 0 THEN 'ˈ' || k ELSE '' END AS us_phonetic, CASE k % 3 WHEN 1 THEN 'ˈ' || k ELSE '' END AS uk_phonetic,
         coalesce(synonyms, '') AS synonyms, coalesce(antonyms, '') AS antonyms, coalesce(n_related, 0) AS n_related FROM d LEFT JOIN sy USING (k) LEFT JOIN a USING (k) LEFT JOIN n USING (k)""",
     "patched_entries": PATCHED_SQL,
+    "wordnet_sense_patch": f"""
+      WITH {SENSES_SQL}, l AS (SELECT key, k, printf('s%08d', k) AS sense_id, relation, target_key, target FROM sl UNION ALL SELECT key, k, sense_id, relation, target_key, target FROM yl),
+      w AS (SELECT sense_id, relation, string_agg(target_key, '/' ORDER BY target) FILTER (n <= 40) AS words FROM (SELECT *, row_number() OVER (PARTITION BY sense_id, relation ORDER BY target) AS n FROM (SELECT DISTINCT sense_id, relation, target_key, target FROM l)) GROUP BY ALL),
+      r AS (SELECT sense_id, string_agg(relation || '=' || words, '|' ORDER BY relation) AS relations FROM w GROUP BY sense_id),
+      y AS (SELECT k, y, '[' || string_agg('"' || target_key || '"', ',' ORDER BY target_order, target) || ']' AS synonyms FROM (SELECT a.k, a.y, b.key AS target_key, min(b.sense_order) AS target_order, b.k AS target FROM s a JOIN s b ON b.y = a.y AND a.k <> b.k GROUP BY ALL) GROUP BY ALL)
+      SELECT s.key, printf('y%08d', s.y) AS synset, CASE s.k % 2 WHEN 0 THEN 'n' ELSE 'v' END AS pos, sense_order AS place, 'meaning of ' || printf('y%08d', s.y) AS definition, coalesce(relations, '') AS relations, substr(s.sense_id, 1, 1) || ' ' || p_name AS example, coalesce(synonyms, '[]') AS synonyms
+      FROM s LEFT JOIN r USING (sense_id) LEFT JOIN y ON y.k = s.k AND y.y = s.y""",
+    "patched_senses": """
+      WITH p AS (SELECT p_partkey AS k, printf('y%08d', p_partkey // 3) AS a, printf('y%08d', (p_partkey + 1000000) // 4) AS b FROM part)
+      SELECT k AS id, CASE WHEN k = 7 THEN a WHEN k % 3 = 0 THEN '[1,2]|' || a || '|' || b ELSE a || '|' || b END AS senses,
+        CASE WHEN k = 7 THEN NULL WHEN k % 4 = 0 THEN '{"flag":{"x":1},"oewn":{"license":"CC BY 4.0"}}' WHEN k % 4 = 1 THEN 'broken' ELSE '{"oewn":{"license":"CC BY 4.0"}}' END AS scope,
+        CASE WHEN k = 7 THEN 1 WHEN k % 3 = 0 THEN 3 ELSE 2 END AS n_again FROM p""",
     "patch_statistics": """SELECT count(*) AS n_rows, count(*) FILTER (e) AS matched, count(*) FILTER (e AND k % 5 = 0) AS pos_filled, count(*) FILTER (e AND k % 3 = 0) AS definition_filled, 2 * count(*) FILTER (e) AS synonyms_added, count(*) FILTER (e) AS examples_added,
       count(*) FILTER (e AND k % 5 <> 0) + count(*) FILTER (e AND k % 3 <> 0) AS conflicts_kept FROM (SELECT p_partkey AS k, p_partkey % 2 = 0 AS e FROM part)""",
     "finalized": f"""
