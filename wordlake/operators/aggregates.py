@@ -77,6 +77,17 @@ def latest_attempt(state: DataFrame, keys: list[str], at: str, tie: str) -> Data
     return state.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct(at, tie)).alias("r")).select(*keys, "r.*")
 
 
+def staleness(state: DataFrame, keys: list[str], at: str, now: Column, limit_seconds: float) -> DataFrame:
+    """One row: the newest attempt of all with its age, and whether that is more than max(60 s, the limit).
+
+    Among rows of one time the one with the greatest keys counts; an empty state is stale.
+    """
+    rest = [c for c in state.columns if c not in (at, *keys)]
+    newest = state.agg(F.max_by(F.struct(*keys, *rest, at), F.struct(at, *keys)).alias("r")).select("r.*")
+    age = F.greatest(F.lit(0.0), now.cast("double") - F.col(at).cast("timestamp").cast("double"))
+    return newest.withColumn("stale_seconds", F.round(age, 1)).withColumn("stale", F.coalesce(age > max(60.0, limit_seconds), F.lit(True)))
+
+
 def change_stats(before: DataFrame, after: DataFrame, key: str, scalars: list[str], lists: list[str]) -> DataFrame:
     """Per column, how many rows changed and how many list values were added."""
     b, a = before.alias("b"), after.alias("a")
@@ -111,8 +122,29 @@ def progress_rollup(shards: DataFrame, n_shards: int, counters: list[str], same:
     return shards.agg(*sums, (whole & one).alias("consistent"))
 
 
-def check_report(reports: DataFrame) -> DataFrame:
-    """(code, example) rows for counts that are negative or do not add up."""
+def check_report(reports: DataFrame, version: int | None = None, digest: str | None = None, shards: int | None = None) -> DataFrame:
+    """(code, example) rows for counts that are negative or do not add up; and for reports of another
+    gate version, of shards that do not exist or report twice, or of another candidate."""
     total, complete, incomplete = F.col("total"), F.col("complete"), F.col("incomplete")
-    code = F.when((total < 0) | (complete < 0) | (incomplete < 0) | total.isNull() | complete.isNull() | incomplete.isNull(), "negative_count").when(complete + incomplete != total, "sum_mismatch")
-    return reports.select(code.alias("code"), F.col("shard").cast("string").alias("example")).filter("code is not null")
+    negative = (total < 0) | (complete < 0) | (incomplete < 0) | total.isNull() | complete.isNull() | incomplete.isNull()
+    code = F.when(negative, "negative_count").when(complete + incomplete != total, "sum_mismatch")
+    rules = [code]
+    if version is not None:
+        rules.append(F.when(~F.col("version").eqNullSafe(F.lit(version)), "version_mismatch"))
+    if shards is not None:
+        rules.append(F.when(~F.coalesce(F.col("shard").between(0, shards - 1), F.lit(False)), "shard_mismatch"))
+    if digest is not None:
+        malformed = ~F.coalesce(F.col("digest").rlike("^[0-9a-f]{64}$"), F.lit(False))
+        rules.append(F.when(malformed, "digest_malformed").when(F.col("digest") != digest, "digest_mismatch"))
+    example = F.col("shard").cast("string").alias("example")
+    found = reports.select(F.explode(F.filter(F.array(*rules), lambda c: c.isNotNull())).alias("code"), example)
+    if shards is None:
+        return found
+    twice = reports.groupBy("shard").count().filter("count > 1").select(F.lit("shard_repeated").alias("code"), example)
+    return found.unionByName(twice)
+
+
+def clamped(reports: DataFrame) -> DataFrame:
+    """Reports whose ``finished`` lies between 0 and ``total``, with the percentage that follows."""
+    finished = F.least(F.greatest(F.col("finished"), F.lit(0)), F.col("total"))
+    return reports.withColumn("finished", finished).withColumn("percent", F.when(F.col("total") == 0, 100.0).otherwise(F.round(100.0 * F.col("finished") / F.col("total"), 3)))

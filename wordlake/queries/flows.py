@@ -51,13 +51,27 @@ def stream_stalls(spark: SparkSession, sf: str) -> DataFrame:
     return sessions.groupBy("user_id").agg(F.count("*").alias("sessions"), F.max("n").alias("largest"))
 
 
+ROCKSDB = ("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+
+
+def stream_silence(spark: SparkSession, sf: str) -> DataFrame:
+    """Every silence of 45 minutes, and how it was noticed: by the user's next event, or by the user's timer."""
+    before = spark.conf.get(ROCKSDB[0])
+    spark.conf.set(*ROCKSDB)
+    try:
+        alerts = landed(streams.silence_alerts(event_stream(spark, sf)), "silence")
+    finally:
+        spark.conf.set(ROCKSDB[0], before)
+    return alerts.select("user_id", F.date_format("last_seen", "yyyy-MM-dd HH:mm:ss").alias("last_seen"), "by_timer")
+
+
 def stream_freshness(spark: SparkSession, sf: str) -> DataFrame:
     """Events received late, early or in time: those that are fresh."""
     received = event_stream(spark, sf).withColumn("received_at", F.col("ts") + F.expr("make_interval(0, 0, 0, 0, CAST(event_id % 6 AS INT) - 1)"))
     return landed(streams.fresh_only(received), "fresh").select("event_id")
 
 
-QUERIES = {f.__name__: f for f in (stream_attempts, stream_quota, stream_progress, stream_stalls, stream_freshness)}
+QUERIES = {f.__name__: f for f in (stream_attempts, stream_quota, stream_progress, stream_stalls, stream_silence, stream_freshness)}
 
 SQL = {
     "stream_attempts": "SELECT user_id, arg_max(event_type, ts) AS status, count(*) AS attempts FROM events GROUP BY user_id",
@@ -69,5 +83,9 @@ SQL = {
       WITH g AS (SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) < INTERVAL 45 MINUTE THEN 0 ELSE 1 END AS new FROM events),
       s AS (SELECT user_id, ts, sum(new) OVER (PARTITION BY user_id ORDER BY ts RANGE UNBOUNDED PRECEDING) AS s FROM g), n AS (SELECT user_id, s, count(*) AS n, max(ts) + INTERVAL 45 MINUTE AS stop FROM s GROUP BY ALL)
       SELECT user_id, count(*) AS sessions, max(n) AS largest FROM n WHERE stop <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events) GROUP BY user_id""",
+    "stream_silence": """
+      WITH t AS (SELECT user_id, ts, lead(ts) OVER (PARTITION BY user_id ORDER BY ts) AS next FROM events)
+      SELECT user_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS last_seen, next IS NULL AS by_timer FROM t
+      WHERE next - ts >= INTERVAL 45 MINUTE OR next IS NULL AND ts + INTERVAL 45 MINUTE <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events)""",
     "stream_freshness": "SELECT event_id FROM events WHERE event_id % 6 BETWEEN 1 AND 4",
 }

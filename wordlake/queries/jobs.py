@@ -6,6 +6,8 @@ documents, conversations or events into such input and sends all of it through t
 
 from __future__ import annotations
 
+import html
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -230,6 +232,68 @@ def wordnet_senses(spark: SparkSession, sf: str) -> DataFrame:
     return assemble.sense_rows(part_wordnet(spark, sf)).select("key", "sense_id", "synset_id", "sense_order")
 
 
+RELEASE = {"id": "parts", "label": "Parts", "version": "1"}
+
+
+def wordnet_xml(spark: SparkSession, sf: str, changed: bool = False) -> str:
+    """Parts as WordNet XML files in a folder; with ``changed`` the same but for one letter."""
+    path = fresh_path(spark, "wordnet-xml")
+    k, parts = F.col("p_partkey"), table(spark, sf, "part")
+    strings = lambda *c: F.array(*c).cast(STRINGS)
+    relation = F.array(F.struct(F.lit("antonym").alias("_relType"), F.format_string("s%08d", k + 1).alias("_target")))
+    sense = lambda letter, synset, n, shown, links: F.struct(F.format_string(f"{letter}%08d", k).alias("_id"), F.format_string("y%08d", synset).alias("_synset"), n.cast("string").alias("_n"), shown.alias("SenseExample"), links.alias("SenseRelation"))
+    first = sense("s", F.floor(k / 3), F.when(k % 2 == 0, 5).otherwise(0), strings("p_name"), F.when(k % 3 == 0, relation))
+    second = sense("t", F.floor(k / 4), F.lit(0), strings(), F.lit(None))
+    nameless = F.struct(F.lit(None).alias("_id"), F.lit("y0").alias("_synset"), F.lit("0").alias("_n"), strings().alias("SenseExample"), F.lit(None).alias("SenseRelation"))
+    senses = F.filter(F.array(F.when(k % 50 == 0, nameless), first, second), lambda x: x.isNotNull())
+    sound = F.array(F.struct(F.concat(F.lit("ˈ"), k).alias("_VALUE"), F.lit("US").alias("_variety")))
+    lemma = F.struct(F.concat(F.lit("part "), k).alias("_writtenForm"), F.lit("n").alias("_partOfSpeech"), sound.alias("Pronunciation"))
+    entries = parts.select(F.format_string("e%08d", k).alias("_id"), lemma.alias("Lemma"), senses.alias("Sense"))
+    text = F.concat(F.when(F.lit(changed) & (k == 1), "Meaning").otherwise("meaning"), F.lit(" <"), k.cast("string"), F.lit(">"))
+    synsets = parts.select(F.format_string("y%08d", k).alias("_id"), F.lit("n").alias("_partOfSpeech"), F.array(text).alias("Definition"))
+    root = "Lexicon " + " ".join(f'{name}="{html.escape(value)}"' for name, value in RELEASE.items())
+    for rows, tag in ((entries, "LexicalEntry"), (synsets, "Synset")):
+        rows.write.format("xml").options(rootTag=root, rowTag=tag, maxRecordsPerFile=5000).mode("append").save(path)
+    return path
+
+
+def wordnet_file(spark: SparkSession, sf: str) -> DataFrame:
+    """Senses read from XML files, with relations, examples and definitions; whether files with one other letter were refused, and another release."""
+    path = wordnet_xml(spark, sf)
+    digest = files.file_digest(spark, path)
+    wn = files.read_wordnet_xml(spark, path, RELEASE, digest)
+    refused = []
+    for other, release in ((wordnet_xml(spark, sf, changed=True), RELEASE), (path, RELEASE | {"version": "2"})):
+        try:
+            files.read_wordnet_xml(spark, other, release, digest)
+            refused.append(False)
+        except ValueError:
+            refused.append(True)
+    links = wn.sense_relations.groupBy("sense_id").agg(F.min("target").alias("target"))
+    rows = assemble.sense_rows(wn).join(links, "sense_id", "left")
+    return rows.select("key", "sense_id", "synset_id", "sense_order", F.array_join("examples", "|").alias("examples"), F.array_join(F.transform("definitions", lambda d: d["text"]), "|").alias("definition"), "target", F.lit(refused[0]).alias("changed_refused"), F.lit(refused[1]).alias("release_refused"))
+
+
+def attempt_staleness(spark: SparkSession, sf: str) -> DataFrame:
+    """The newest attempt per event type's state and its age at two times, under a limit of ten minutes."""
+    state = table(spark, sf, "events").select("user_id", "event_id", "event_type", F.col("ts").cast("timestamp").alias("ts"))
+    last = state.agg(F.max("ts")).first()[0]
+    ages = [aggregates.staleness(state, ["user_id", "event_id"], "ts", F.lit(last) + F.expr(f"interval {n} seconds"), 600).select(F.lit(n).alias("after"), "user_id", "event_id", "event_type", "stale_seconds", "stale") for n in (-5, 59, 600, 601)]
+    return ages[0].unionByName(ages[1]).unionByName(ages[2]).unionByName(ages[3])
+
+
+def report_rules(spark: SparkSession, sf: str) -> DataFrame:
+    """Reports per user as shards, some of another version, shard or candidate, some twice: what is wrong with each."""
+    digest, other = "ab" * 32, "cd" * 32
+    k = F.col("shard")
+    good = F.count_if(F.col("value") > 20)
+    reports = table(spark, sf, "events").groupBy(F.col("user_id").alias("shard")).agg(F.count("*").alias("total"), good.alias("complete"), F.count_if(~(F.col("value") > 20)).alias("incomplete"))
+    reports = reports.withColumns({"version": F.when(k % 4 == 0, 1).otherwise(2), "digest": F.when(k % 5 == 0, other).when(k % 7 == 0, "AB").otherwise(digest), "finished": F.when(k % 3 == 0, F.col("total") + 5).when(k % 3 == 1, -1).otherwise(F.col("complete"))})
+    twice = reports.unionByName(reports.filter(k % 6 == 0))
+    wrong = aggregates.check_report(twice, 2, digest, 40).groupBy(F.col("example").cast("long").alias("shard")).agg(F.array_join(F.array_sort(F.collect_set("code")), "|").alias("codes"))
+    return aggregates.clamped(reports).select("shard", "finished", "percent").join(wrong, "shard", "left")
+
+
 def wordnet_sense_links(spark: SparkSession, sf: str) -> DataFrame:
     return assemble.sense_links(part_wordnet(spark, sf)).select("key", "relation", "target_key", "target_definition")
 
@@ -582,7 +646,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         dictionary_csv, dump_counts, dump_groups, entries_snapshot, bundle_and_delta, term_lists, report_check, row_rules, named_union, missing_columns, attempt_totals, list_change_stats, top_parts, queue_identity, term_book,
-        scored_words, assembled_entries, wordnet_senses, wordnet_sense_links, wordnet_synset_links, wordnet_synonyms, wordnet_patch, wordnet_sense_patch, patched_senses, patched_entries, patch_statistics, finalized, relation_senses, relation_delta, relation_applied, relation_capacity,
+        scored_words, assembled_entries, wordnet_file, attempt_staleness, report_rules, wordnet_senses, wordnet_sense_links, wordnet_synset_links, wordnet_synonyms, wordnet_patch, wordnet_sense_patch, patched_senses, patched_entries, patch_statistics, finalized, relation_senses, relation_delta, relation_applied, relation_capacity,
         relation_violations, pool_of_terms, refused_terms, edition_provenance, edition_queue, edition_counts, edition_gate, edition_refresh, owner_preflight, repair_deltas, repair_check, repair_applied, shard_exports,
         provider_fields, association_fields, combined_fields, merged_enrichment, work_plan, markers, enrichment_progress, page_fields, edition_internal, queue_flags, repair_worklist,
     )
@@ -631,6 +695,17 @@ SQL = {
       SELECT key, 'noun' AS pos, examples, synonyms, related_words, phrases, n_senses, us_phonetic, uk_phonetic FROM l JOIN g USING (key)""",
     "entries_snapshot": "SELECT count(*) AS read, count(*) AS words, count(*) AS n_rows, min(p_partkey) AS min_id, max(p_partkey) AS max_id, 'from parts' AS made FROM part",
     "bundle_and_delta": f"WITH {EDITION_SQL} SELECT 'entries' AS name, count(*) AS n FROM e UNION ALL SELECT 'provenance', count(*) FROM e UNION ALL SELECT 'queue', count(*) FROM q",
+    "wordnet_file": """
+      WITH s AS (SELECT p_partkey AS k, printf('s%08d', p_partkey) AS sense_id, p_partkey // 3 AS y, CASE WHEN p_partkey % 2 = 0 THEN 5 WHEN p_partkey % 50 = 0 THEN 2 ELSE 1 END AS sense_order, p_name AS examples, CASE WHEN p_partkey % 3 = 0 THEN printf('s%08d', p_partkey + 1) END AS target FROM part
+        UNION ALL SELECT p_partkey, printf('t%08d', p_partkey), p_partkey // 4, CASE WHEN p_partkey % 50 = 0 THEN 3 ELSE 2 END, '', NULL FROM part)
+      SELECT 'part ' || k AS key, sense_id, printf('y%08d', y) AS synset_id, sense_order, examples, 'meaning <' || y || '>' AS definition, target, TRUE AS changed_refused, TRUE AS release_refused FROM s JOIN part p ON p.p_partkey = y""",
+    "attempt_staleness": """
+      WITH n AS (SELECT user_id, event_id, event_type FROM events WHERE ts = (SELECT max(ts) FROM events) ORDER BY user_id DESC, event_id DESC LIMIT 1)
+      SELECT after, user_id, event_id, event_type, CAST(greatest(after, 0) AS DOUBLE) AS stale_seconds, after > 600 AS stale FROM n, (VALUES (-5), (59), (600), (601)) t(after)""",
+    "report_rules": """
+      WITH r AS (SELECT user_id AS k, count(*) AS total, count(*) FILTER (value > 20) AS complete, count(*) FILTER (NOT value > 20) AS incomplete FROM events GROUP BY user_id), f AS (SELECT *, CASE k % 3 WHEN 0 THEN total WHEN 1 THEN 0 ELSE complete END AS finished FROM r)
+      SELECT k AS shard, finished, round(100.0 * finished / total, 3) AS percent, nullif(concat_ws('|', CASE WHEN k % 5 <> 0 AND k % 7 = 0 THEN 'digest_malformed' END, CASE WHEN k % 5 = 0 THEN 'digest_mismatch' END, CASE WHEN k NOT BETWEEN 0 AND 39 THEN 'shard_mismatch' END,
+        CASE WHEN k % 6 = 0 THEN 'shard_repeated' END, CASE WHEN complete + incomplete <> total THEN 'sum_mismatch' END, CASE WHEN k % 4 = 0 THEN 'version_mismatch' END), '') AS codes FROM f""",
     "term_lists": """SELECT DISTINCT term FROM (SELECT trim(regexp_replace(lower(unnest(string_split_regex(coalesce(text, ''), '[\\r\\n,，;；\\t]+'))), '\\s+', ' ', 'g')) AS term FROM documents)
       WHERE regexp_full_match(term, '[a-z][a-z'' .-]*') AND length(term) <= 120""",
     "report_check": """

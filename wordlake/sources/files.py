@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -67,10 +68,25 @@ ENTRY_XML = (
 SYNSET_XML = "_id string, _ili string, _partOfSpeech string, Definition array<struct<_VALUE:string,_sourceSense:string>>, Example array<string>, SynsetRelation array<struct<_relType:string,_target:string>>"
 
 
-def read_wordnet_xml(spark: SparkSession, path: str, release: dict[str, str] | None = None) -> WordNet:
-    """Five tables from a WordNet XML file; rows without ids go; the release's attributes must agree."""
+def file_digest(spark: SparkSession, path: str) -> str:
+    """sha256 of a file; of several files, over their digests in order, so their names do not count.
+
+    The files' bytes are digested in tasks, one file each (up to 2 GB); only the digests are gathered.
+    """
+    each = spark.read.format("binaryFile").load(path).select(F.sha2("content", 256).alias("d"))
+    digests = sorted(r["d"] for r in each.collect())
+    return digests[0] if len(digests) == 1 else hashlib.sha256("\n".join(digests).encode()).hexdigest()
+
+
+def read_wordnet_xml(spark: SparkSession, path: str, release: dict[str, str] | None = None, digest: str | None = None) -> WordNet:
+    """Five tables from a WordNet XML file; rows without ids go.
+
+    Refused before anything is read if the file's digest or the release's attributes are others.
+    """
+    if digest is not None and (got := file_digest(spark, path)) != digest:
+        raise ValueError(f"another file: {got}")
     if release:
-        head = spark.read.format("xml").option("rowTag", "Lexicon").schema(", ".join(f"_{k} string" for k in release)).load(path).limit(1).collect()
+        head = spark.read.format("xml").option("rowTag", "Lexicon").schema(", ".join(f"_{k} string" for k in release)).load(path).filter(" or ".join(f"_{k} is not null" for k in release)).limit(1).collect()
         got = {k: head[0][f"_{k}"] for k in release} if head else {}
         if got != release:
             raise ValueError(f"another release: {got}")

@@ -56,18 +56,26 @@ def read_bundle(spark: SparkSession, path: str) -> dict[str, DataFrame]:
     return out
 
 
-def write_delta(df: DataFrame, path: str, source_digest: str, licence: str) -> None:
-    """A delta with its source's digest and licence."""
+def rows_digest(df: DataFrame, id_col: str) -> str:
+    """A digest over all columns of all rows in the order of their ids, by levels of buckets; rows of one id by their contents."""
+    rest = sorted(c for c in df.columns if c != id_col)
+    rows = table_digest(df, id_col, row_digest(F.col(id_col), *[F.to_json(F.struct(c)) for c in rest])).select("digest").first()
+    return rows["digest"]
+
+
+def write_delta(df: DataFrame, path: str, source_digest: str, licence: str, id_col: str = "id") -> None:
+    """A delta with its source's digest, its licence and the digest of its own rows."""
     df.write.mode("errorifexists").parquet(f"{path}/rows")
-    n = df.sparkSession.read.parquet(f"{path}/rows").count()
-    df.sparkSession.createDataFrame([(source_digest, licence, n)], "source_digest string, licence string, n_rows long").coalesce(1).write.json(f"{path}/manifest")
+    rows = df.sparkSession.read.parquet(f"{path}/rows")
+    about = [(source_digest, licence, rows.count(), id_col, rows_digest(rows, id_col))]
+    df.sparkSession.createDataFrame(about, "source_digest string, licence string, n_rows long, id_column string, rows_digest string").coalesce(1).write.json(f"{path}/manifest")
 
 
 def read_delta(spark: SparkSession, path: str, source_digest: str | None = None, licence: str | None = None) -> DataFrame:
-    """A delta's rows, after its manifest was found whole and, if given, of this source and licence."""
+    """A delta's rows, after its manifest was found whole, of these very rows and, if given, of this source and licence."""
     m = spark.read.json(f"{path}/manifest").first()
     rows = spark.read.parquet(f"{path}/rows")
-    if not m["source_digest"] or not m["licence"] or rows.count() != m["n_rows"]:
+    if not m["source_digest"] or not m["licence"] or rows.count() != m["n_rows"] or rows_digest(rows, m["id_column"]) != m["rows_digest"]:
         raise ValueError("the delta's manifest does not fit its rows")
     if source_digest not in (None, m["source_digest"]) or licence not in (None, m["licence"]):
         raise ValueError("the delta is of another source or licence")

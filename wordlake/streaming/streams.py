@@ -10,6 +10,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 
@@ -62,6 +63,52 @@ def stalls(stream: DataFrame, silence: str = "45 minutes", key: str = "user_id",
     return sessions.select(key, F.col("w.start").alias("start"), "last_seen", "n")
 
 
+class SilenceWatch(StatefulProcessor):
+    """Per key the time it was last seen, and a timer that speaks up once it has been silent too long."""
+
+    def __init__(self, key: str, ts: str, silence_ms: int) -> None:
+        self.key, self.ts, self.silence_ms = key, ts, silence_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.seen = handle.getValueState("seen", "ms long")
+
+    def alert(self, key: tuple, ms: int, by_timer: bool) -> tuple:
+        return (key[0], pd.Timestamp(ms, unit="ms", tz="UTC").tz_localize(None), by_timer)
+
+    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: object) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
+        times = sorted(int(t.timestamp() * 1000) for frame in rows for t in frame[self.ts])
+        out, last = [], self.seen.get()[0] if self.seen.exists() else None
+        for ms in times:
+            if last is not None and ms - last >= self.silence_ms:
+                out.append(self.alert(key, last, False))
+            last = ms if last is None else max(last, ms)
+        for timer in list(self.handle.listTimers()):
+            self.handle.deleteTimer(timer)
+        self.seen.update((last,))
+        self.handle.registerTimer(last + self.silence_ms)
+        yield pd.DataFrame(out, columns=[self.key, "last_seen", "by_timer"])
+
+    def handleExpiredTimer(self, key: tuple, timerValues: object, expiredTimerInfo: object) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
+        last = self.seen.get()[0]
+        self.seen.clear()
+        yield pd.DataFrame([self.alert(key, last, True)], columns=[self.key, "last_seen", "by_timer"])
+
+    def close(self) -> None:
+        pass
+
+
+def silence_alerts(stream: DataFrame, silence: str = "45 minutes", key: str = "user_id", ts: str = "ts") -> DataFrame:
+    """key, last_seen, by_timer: each silence of a key, reported when it is over or, by the key's own
+    timer, once the watermark has passed its length: no further event of the key is needed (append mode).
+
+    Needs the RocksDB state store.
+    """
+    kind = stream.schema[key].dataType.simpleString()
+    watch = SilenceWatch(key, ts, int(pd.Timedelta(silence).total_seconds() * 1000))
+    return stream.select(key, ts).groupBy(key).transformWithStateInPandas(watch, f"{key} {kind}, last_seen timestamp, by_timer boolean", "Append", "EventTime")
+
+
 def fresh_only(stream: DataFrame, max_age: str = "3 hours", ts: str = "ts", now: str = "received_at") -> DataFrame:
     """Rows that were neither too old nor from the future when received."""
     return stream.filter((F.col(ts) <= F.col(now)) & (F.col(ts) >= F.col(now) - F.expr(f"interval {max_age}")))
