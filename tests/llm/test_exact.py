@@ -484,15 +484,47 @@ def test_html_on_pages(spark):
         assert r.text == "\n".join(b for b in blocks if b) and r.n_chars == len(r.text)
 
 
-def test_html_is_chosen_by_ratios(monkeypatch):
-    for name, changed in (("no names", True), ("plain", False), ("anchors", False)):
-        html, text = PAGES[name]
-        with monkeypatch.context() as m:
-            m.setattr(html_text, "smoothed", lambda r, sigma: r * 0 + 1)  # flat
-            assert (html_text.main_text(html) != text) == changed
-        with monkeypatch.context() as m:
-            m.setattr(html_text, "smoothed", lambda r, sigma: -r)
-            assert html_text.main_text(html) != text or name != "no names"
+ARTICLE = "<article><h1>News</h1><p>" + "A long paragraph of the article goes here and on. " * 4 + "</p>{}<p>" + "Another long paragraph of the article goes here. " * 4 + "</p></article>"
+AROUND = "<body><div class='ad'>Buy this thing now and here.</div><nav><a>Home</a></nav>{}<div class='share-bar'>Tell all your friends.</div><footer>imprint</footer></body>"
+
+
+@pytest.mark.parametrize("name", ["divs", "forms", "no names", "anchors", *(f"around {n}" for n in ("plain", "two", "dense block"))])
+def test_html_is_chosen_by_ratios(monkeypatch, name):
+    """With flat ratios the text is another one, on every page that holds more than its content."""
+    html, text = PAGES[name.removeprefix("around ")]
+    html = AROUND.format(html) if name.startswith("around") else html
+    assert html_text.main_text(html) == text
+    monkeypatch.setattr(html_text, "smoothed", lambda r, sigma: r * 0 + 1)
+    assert html_text.main_text(html) != text
+
+
+def test_html_ratios_decide_on_given_pages(spark, monkeypatch):
+    pages = [r.html for r in spark.read.parquet(f"{SF}/pages.parquet").collect()]
+    texts = [html_text.main_text(h) for h in pages]
+    monkeypatch.setattr(html_text, "smoothed", lambda r, sigma: r * 0 + 1)
+    assert sum(html_text.main_text(h) != t for h, t in zip(pages, texts, strict=True)) > len(pages) / 2
+
+
+@pytest.mark.parametrize(("block", "lines"), [
+    ("<div class='share-price'><p>Price: 4 euro</p></div>", ["Price: 4 euro"]), ("<dl class='search-terms'><dt>Term</dt><dd>Its meaning</dd></dl>", ["Term", "Its meaning"]), ("<p>Be.</p>", ["Be."]),
+    ("<ul><li><a href=a>First source</a></li><li><a href=b>Second source</a></li></ul>", ["First source", "Second source"]), ("<div class='ad-box'>Buy</div>", []), ("<div class='comment-list'><p>First!</p></div>", []), ("<nav><a>x</a></nav><form>mail</form>", []),
+])
+def test_html_short_blocks(block, lines):
+    assert html_text.main_text(AROUND.format(ARTICLE.format(block))).split("\n")[2:-1] == lines
+
+
+def test_html_second_column():
+    page = "<body><div class=menu>a b</div><div><div><p>" + "Some words of a column that is long enough. " * 6 + "</p><p>" + "More of it. " * 20 + "</p></div><div><p>Short second column.</p></div></div><div class=footer>imprint</div></body>"
+    assert html_text.main_text(page).split("\n")[1:] == [("More of it. " * 20).strip(), "Short second column."]
+
+
+@pytest.mark.parametrize("page", ["<article>" + "<div>" * 4000 + "<p>Some text that is deep inside.</p>" * 50 + "</div>" * 4000 + "</article>", "<article><ul>" + "<li><b>Some text that is deep inside." * 2000])
+def test_html_deep_pages(page):
+    import time
+
+    began = time.process_time()
+    assert html_text.main_text(page).count("deep inside") in (50, 2000)
+    assert time.process_time() - began < 5
 
 
 def test_empty_table_of_pages(spark):
