@@ -36,7 +36,9 @@ from pyspark.sql import functions as F
 from wordlake.operators.lineage import cut_lineage
 
 #: Candidates of a block, points of a leaf, centres of a level.
-BLOCK_ROWS, LEAF, CENTRES = 1 << 14, 64, 16
+BLOCK_ROWS, LEAF, CENTRES = 1 << 14, 256, 16
+#: Points of leaves that are verified at once, once a search has gone on for a while.
+READ = 4096
 #: Levels after which nodes are parted evenly, whatever lies far.
 DEEP = 40
 #: What rounding may take from an angle.
@@ -71,30 +73,35 @@ class Node:
     angles: np.ndarray | None = None  # covering angle of each child
     children: list | None = None
     masks: np.ndarray | None = None  # labels of each child
-    single: np.ndarray | None = None  # the child's only label, if it has one
-    points: np.ndarray | None = None
+    single: np.ndarray | None = None  # whether the child has one label only
+    only: np.ndarray | None = None  # a label of each child
+    points: slice | None = None
 
 
 class CoverTree:
-    """A cover tree over one block's candidates."""
+    """A cover tree over one block's candidates; the points of a leaf stand together in its arrays."""
 
     def __init__(self, ids: np.ndarray, labels: np.ndarray, rows: np.ndarray, vectors: np.ndarray) -> None:
-        self.ids, self.labels, self.rows, self.vectors = ids, labels, rows, vectors
-        self.most = float(np.abs(vectors).max(initial=0))
         squares = (vectors * vectors).sum(1)
         self.length = float(np.sqrt(squares.max())) or 1.0
-        raised = np.concatenate([vectors, np.sqrt(np.maximum(self.length**2 - squares, 0))[:, None]], 1)
-        self.unit = raised / self.length
-        self.root = self.built(np.arange(len(ids)))
-
-    def built(self, at: np.ndarray, depth: int = 0) -> Node:
+        self.most = float(np.abs(vectors).max(initial=0))
+        raised = np.concatenate([vectors, np.sqrt(np.maximum(self.length**2 - squares, 0))[:, None]], 1) / self.length
+        self.order: list[np.ndarray] = []
+        self.placed = 0
+        self.root = self.built(np.arange(len(ids)), raised, labels)
+        order = np.concatenate(self.order)
+        self.ids, self.labels, self.rows, self.vectors = ids[order], labels[order], rows[order], vectors[order]
+
+    def built(self, at: np.ndarray, unit: np.ndarray, labels: np.ndarray, depth: int = 0) -> Node:
         if len(at) <= LEAF:
-            return Node(points=at)
+            self.order.append(at)
+            self.placed += len(at)
+            return Node(points=slice(self.placed - len(at), self.placed))
         # farthest first: each new centre is the point farthest from those there are
         nearest, owner, centres = np.full(len(at), -2.0), np.zeros(len(at), np.int64), []
         new = 0
         while len(centres) < (CENTRES if depth < DEEP else 1):
-            cosine = self.unit[at] @ self.unit[at[new]]
+            cosine = unit[at] @ unit[at[new]]
             closer = cosine > nearest
             nearest[closer], owner[closer] = cosine[closer], len(centres)
             centres.append(at[new])
@@ -104,58 +111,67 @@ class CoverTree:
         if len(centres) == 1:  # copies of one vector, or centres that part too little: parted evenly
             owner = np.arange(len(at)) * CENTRES // len(at)
             centres = [at[0]] * CENTRES
-        children, angles, masks, single, kept = [], [], [], [], []
+        children, angles, masks, single, only, kept = [], [], [], [], [], []
         for c, centre in enumerate(centres):
             mine = owner == c
             below = at[mine]
             if not len(below):
                 continue
             kept.append(centre)
-            children.append(self.built(below, depth + 1))
+            children.append(self.built(below, unit, labels, depth + 1))
             angles.append(float(np.arccos(np.clip(nearest[mine].min(), -1, 1))) + 1e-7)
-            bits = np.unique(self.labels[below])
-            masks.append(int(np.bitwise_or.reduce(np.left_shift(np.uint64(1), (bits % 64).astype(np.uint64)))))
-            single.append(int(bits[0]) if len(bits) == 1 else None)
-        return Node(self.unit[kept], np.array(angles), children, np.array(masks, np.uint64), single)
+            own = np.unique(labels[below])
+            masks.append(np.bitwise_or.reduce(np.left_shift(np.uint64(1), (own % 64).astype(np.uint64))))
+            single.append(len(own) == 1)
+            only.append(own[0])
+        return Node(unit[kept], np.array(angles), children, np.array(masks, np.uint64), np.array(single), np.array(only))
 
-    def descend(self, vector: np.ndarray, wanted: Callable[[int, int | None], bool], asks: Callable[[float, float], bool], take: Callable[[np.ndarray, np.ndarray], None]) -> None:
-        """Visit nodes by their upper bound, best first: those of ``wanted`` labels whose bounds ``asks`` accepts; leaves go to ``take``."""
+    def descend(self, vector: np.ndarray, wanted: Callable[[Node], np.ndarray], asks: Callable[[float, float], bool], take: Callable[[slice | np.ndarray, np.ndarray], None]) -> None:
+        """Visit nodes by their upper bound, best first: those of ``wanted`` labels whose bounds ``asks`` accepts.
+
+        The leaves' points go to ``take`` with their scores: first one leaf, then twice as much each time, up to ``READ`` points.
+        """
         length = float(np.sqrt((vector * vector).sum()))
         top = length * self.length
         slack = ROUNDING * (top + 1)
         heap: list[tuple] = [(-top, 0, -top, self.root)]
-        number = 0
+        number, size = 0, 1
         while heap:
-            high, _, low, node = heapq.heappop(heap)
-            if not asks(low - slack, slack - high):
-                continue
-            if node.points is not None:
-                take(node.points, scores_of(self.vectors[node.points], vector, self.most))
-                continue
-            angle = np.arccos(np.clip(node.centres[:, :-1] @ vector / (length or 1.0), -1, 1))
-            highs, lows = top * np.cos(np.maximum(angle - node.angles, 0)), top * np.cos(np.minimum(angle + node.angles, np.pi))
-            for child, mask, only, a, b in zip(node.children, node.masks.tolist(), node.single, highs.tolist(), lows.tolist(), strict=True):
-                if wanted(mask, only) and asks(b - slack, a + slack):
-                    number += 1
-                    heapq.heappush(heap, (-a, number, b, child))
-
-
-def nearest_first(scores: list, ids: list, limit: int) -> list[int]:
-    """Places of the ``limit`` best: higher scores first, then smaller ids."""
-    return sorted(range(len(scores)), key=lambda i: (-scores[i], ids[i]))[:limit]
+            leaves, held = [], 0
+            while heap and held < size:
+                high, _, low, node = heapq.heappop(heap)
+                if not asks(low - slack, slack - high):
+                    continue
+                if node.points is not None:
+                    leaves.append(node.points)
+                    held += node.points.stop - node.points.start
+                    continue
+                angle = np.arccos(np.clip(node.centres[:, :-1] @ vector / (length or 1.0), -1, 1))
+                highs, lows = top * np.cos(np.maximum(angle - node.angles, 0)), top * np.cos(np.minimum(angle + node.angles, np.pi))
+                for fine, child, a, b in zip(wanted(node).tolist(), node.children, highs.tolist(), lows.tolist(), strict=True):
+                    if fine:
+                        number += 1
+                        heapq.heappush(heap, (-a, number, b, child))
+            if leaves:
+                at = np.concatenate([np.arange(x.start, x.stop) for x in leaves])
+                take(at, scores_of(np.concatenate([self.vectors[x] for x in leaves]), vector, self.most))
+            size = min(max(2 * held, size), READ)
 
 
 def positives_in(tree: CoverTree, anchor: dict, limit: int) -> list[tuple]:
     """(score, id, row) of the block's ``limit`` best rows of the anchor's label, without the anchor's own."""
     best: list[tuple] = []
-    bit, label, own = 1 << (anchor["label"] % 64), anchor["label"], anchor["row"]
+    bit, label, own = np.uint64(1 << (int(anchor["label"]) % 64)), anchor["label"], anchor["row"]
 
     def take(at: np.ndarray, scores: np.ndarray) -> None:
         nonlocal best
-        at_, scores_ = (x[(tree.labels[at] == label) & (tree.rows[at] != own)] for x in (at, scores))
+        fine = (tree.labels[at] == label) & (tree.rows[at] != own)
+        if len(best) == limit:
+            fine &= scores >= -best[-1][0]
+        at_, scores_ = at[fine], scores[fine]
         best = sorted([*best, *zip((-scores_).tolist(), tree.ids[at_].tolist(), tree.rows[at_].tolist(), strict=True)])[:limit]
 
-    tree.descend(anchor["vector"], lambda mask, only: bool(mask & bit), lambda low, high: len(best) < limit or high >= -best[-1][0], take)
+    tree.descend(anchor["vector"], lambda node: node.masks & bit != 0, lambda low, high: len(best) < limit or high >= -best[-1][0], take)
     return [(int(-s), i, r) for s, i, r in best]
 
 
@@ -165,18 +181,22 @@ def negatives_in(tree: CoverTree, anchor: dict, windows: list[tuple[int, int]],
     label = anchor["label"]
 
     def asks(low: float, high: float) -> bool:
-        return any(low <= b and high >= a and (len(x) < limit or high >= -x[-1][0]) for (a, b), x in zip(windows, best, strict=True))
+        return any(low <= b and high >= (a if len(x) < limit else -x[-1][0]) for (a, b), x in zip(windows, best, strict=True))
 
     def take(at: np.ndarray, scores: np.ndarray) -> None:
-        other = tree.labels[at] != label
+        # no window can use a score below all of their least, or above all of their most
+        open_ = [(max(a, -best[w][-1][0]) if len(best[w]) == limit else a, b) for w, (a, b) in enumerate(windows)]
+        other = (scores >= min(a for a, _ in open_)) & (scores <= max(b for _, b in open_)) & (tree.labels[at] != label)
+        if not other.any():
+            return
         at_, scores_ = at[other], scores[other]
-        for w, (a, b) in enumerate(windows):
+        for w, (a, b) in enumerate(open_):
             inside = np.flatnonzero((scores_ >= a) & (scores_ <= b))
             if len(inside):
                 some = at_[inside]
                 best[w] = sorted([*best[w], *zip((-scores_[inside]).tolist(), tree.ids[some].tolist(), tree.rows[some].tolist(), strict=True)])[:limit]
 
-    tree.descend(anchor["vector"], lambda mask, only: only != label, asks, take)
+    tree.descend(anchor["vector"], lambda node: ~node.single | (node.only != label), asks, take)
     return [[(int(-s), i, r) for s, i, r in x] for x in best]
 
 
