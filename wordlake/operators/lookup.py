@@ -13,6 +13,7 @@ from wordlake.functions.collect import clean_list
 from wordlake.functions.normalize import collapse
 from wordlake.functions.references import decoded
 from wordlake.operators.joins import best_per_key, prefix_join
+from wordlake.operators.rank import stream_rank
 
 
 @F.pandas_udf(DoubleType())
@@ -40,11 +41,11 @@ def letter_counts(word: str, prefix: str) -> list[Column]:
 def fuzzy_join(terms: DataFrame, entries: DataFrame, block: int = 5000, cutoff: float = 0.72) -> DataFrame:
     """Per term the most similar word of the same first character among the block's best ranked.
 
-    The block is a part of the rule.  Words meet terms of the same first character and of a length
+    The block is a part of the rule; it is cut by a tournament, so no task sorts all words of a letter.  Words meet terms of the same first character and of a length
     that leaves the cutoff possible; bounds by common letters and by edits turn most of these away
     before the UDF.
     """
-    near = best_per_key(entries.withColumn("letter", F.substring("word", 1, 1)), ["letter"], [F.col("rank"), F.col("word")], block)
+    near = stream_rank(entries.select("word", "rank", F.substring("word", 1, 1).alias("letter")), "letter", [F.col("rank"), F.col("word")], block)
     # 2 * min / (a + b) >= cutoff bounds the other length by this share
     reach = cutoff / (2 - cutoff)
     lengths = F.explode(F.sequence(F.ceil(F.length("word") * reach - SLACK), F.floor(F.length("word") / reach + SLACK)))

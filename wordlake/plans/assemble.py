@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from wordlake.functions.collect import append_capped, clean_list, fold_text, ordered_lists, ordered_words
+from wordlake.functions.digest import table_digest
 from wordlake.functions.normalize import RELATED_RELATIONS, blank, fill_empty, keep_relation_types, map_pos
 from wordlake.functions.overlay import is_object, put_members
 from wordlake.operators.aggregates import dedupe
 from wordlake.operators.joins import resolve_links
 from wordlake.operators.rank import global_rank, top_n
+from wordlake.plans import contract
 from wordlake.schema import ENTRIES
 from wordlake.sources.files import WordNet
+from wordlake.sources.snapshots import manifest, read_bundle, write_bundle
 
 STRINGS = "array<string>"
 LINKS = "array<struct<word:string>>"
@@ -65,18 +68,22 @@ def ordered(column: str, line: str = "line") -> Column:
 
 
 def group_dump(extracted: DataFrame) -> DataFrame:
-    """One row per key: lists united in line order under one cap, definitions folded."""
+    """One row per key: lists united in line order under one cap, definitions folded.
+
+    Lists and senses are cut to their caps before they are collected; a definition is all that the
+    key's records say, so it grows with them.
+    """
     lists = {"examples": CAPS["examples"], "synonyms": 40, "antonyms": 40, "related_words": 40}
     first = lambda c: F.coalesce(F.min_by(c, F.when(~blank(F.col(c)), F.col("line"))), F.lit("")).alias(c)
-    return extracted.groupBy("key").agg(
-        F.min_by("word", "line").alias("word"),
-        first("pos"),
-        fold_text(ordered("definition")).alias("definition"),
-        *[clean_list(F.flatten(ordered(c)), n).alias(c) for c, n in lists.items()],
-        F.slice(F.flatten(ordered("senses")), 1, CAPS["senses"]).alias("senses"),
-        first("us_phonetic"),
-        first("uk_phonetic"),
-    ).withColumn("phrases", F.filter("related_words", lambda w: w.contains(" ") | w.contains("-")))
+    out = extracted.groupBy("key").agg(F.min_by("word", "line").alias("word"), first("pos"), fold_text(ordered("definition")).alias("definition"), first("us_phonetic"), first("uk_phonetic"))
+    for c, n in lists.items():
+        values = extracted.select("key", "line", F.posexplode(c).alias("at", "v"))
+        out = out.join(ordered_lists(values, ["key"], F.col("v"), F.col("line"), F.col("at"), cap=n, out=c), "key", "left").withColumn(c, F.coalesce(c, F.array().cast(STRINGS)))
+    senses = extracted.select("key", "line", F.posexplode("senses").alias("at", "s")).withColumn("n", F.row_number().over(Window.partitionBy("key").orderBy("line", "at"))).filter(F.col("n") <= CAPS["senses"])
+    kept = senses.groupBy("key").agg(F.transform(F.array_sort(F.collect_list(F.struct("n", "s"))), lambda r: r["s"]).alias("senses"))
+    none = F.array().cast(extracted.schema["senses"].dataType)
+    out = out.join(kept, "key", "left").withColumn("senses", F.coalesce("senses", none))
+    return out.withColumn("phrases", F.filter("related_words", lambda w: w.contains(" ") | w.contains("-")))
 
 
 def assemble_entries(csv: DataFrame, dump: DataFrame, frequency: DataFrame) -> DataFrame:
@@ -117,6 +124,27 @@ def finalize(entries: DataFrame, n: int) -> tuple[DataFrame, DataFrame]:
     return top_n(ranked, "frequency_rank", n, "normalized_word"), counts
 
 
+def publish(entries: DataFrame, n: int, path: str) -> None:
+    """The n best entries as a bundle: rows ranked anew, their index built anew, and a manifest of both."""
+    top, counts = finalize(entries, n)
+    write_bundle({"entries": top, "index": contract.entry_index(top), "counts": counts}, path)
+    rows = entries.sparkSession.read.parquet(f"{path}/entries")
+    index = contract.posting_digests(entries.sparkSession.read.parquet(f"{path}/index"))
+    about = manifest(rows).join(F.broadcast(table_digest(index, "id", F.col("digest")).select(F.col("digest").alias("index_digest"))))
+    about.write.mode("errorifexists").json(f"{path}/manifest")
+
+
+def published(spark: SparkSession, path: str) -> dict[str, DataFrame]:
+    """The tables of a published bundle; refused if rows or index are not those of its manifest."""
+    tables = read_bundle(spark, path)
+    said = spark.read.json(f"{path}/manifest").first()
+    now = manifest(tables["entries"]).first()
+    index = table_digest(contract.posting_digests(tables["index"]), "id", F.col("digest")).first()
+    if now["digest"] != said["digest"] or index["digest"] != said["index_digest"]:
+        raise ValueError("the bundle is not that of its manifest")
+    return tables
+
+
 def sense_rows(wn: WordNet) -> DataFrame:
     """Entry, sense and synset of every sense."""
     return wn.entries.select("entry_id", "key", "written", "pos").join(wn.senses, "entry_id").join(wn.synsets.select("synset_id", "ili", F.col("definitions"), F.col("examples").alias("synset_examples")), "synset_id")

@@ -144,7 +144,7 @@ def relation_delta(entries: DataFrame, records: DataFrame) -> DataFrame:
 
 
 def check_relation_delta(delta: DataFrame, entries: DataFrame) -> DataFrame:
-    """(code, example) rows: repeated rows, unknown ids, other keys, undefined or repeated words, unknown relations, moved senses."""
+    """(code, example) rows, all that a row breaks: repeated rows, unknown ids, other keys, undefined or repeated words, unknown relations, moved senses."""
     e = entries.select("id", F.col("normalized_word").alias("k"), F.coalesce("senses", F.array()).alias("senses"))
     joined = delta.join(e, "id", "left")
     repeated = delta.groupBy("id").count().filter("count > 1").select(F.lit("duplicate_row").alias("code"), F.col("id").cast("string").alias("example"))
@@ -153,8 +153,21 @@ def check_relation_delta(delta: DataFrame, entries: DataFrame) -> DataFrame:
     undefined = F.exists(F.concat("related", "phrases"), lambda x: blank(x["word"]) | blank(x["definition"]))
     unknown = F.exists("patches", lambda p: F.exists(F.map_keys(p["relations"]), lambda f: ~f.isin(*RELATION_FIELDS)))
     moved = F.exists("patches", lambda p: p["index"].isNotNull() & ~F.coalesce(fingerprint(F.try_element_at(F.col("senses"), (p["index"] + 1).cast("int"))), F.lit("")).eqNullSafe(p["fingerprint"]))
-    code = F.when(F.col("k").isNull(), "canonical_missing").when(F.col("k") != F.col("key"), "identity_mismatch").when(undefined, "unpaired_value").when(twice, "duplicate_value").when(unknown, "unknown_relation").when(moved, "sense_mismatch")
-    return joined.select(code.alias("code"), F.col("id").cast("string").alias("example")).filter("code is not null").unionByName(repeated)
+    there = F.col("k").isNotNull()
+    rules = {"canonical_missing": ~there, "identity_mismatch": there & (F.col("k") != F.col("key")), "unpaired_value": undefined, "duplicate_value": twice, "unknown_relation": unknown, "sense_mismatch": there & moved}
+    codes = F.filter(F.array(*[F.when(F.coalesce(rule, F.lit(False)), code) for code, rule in rules.items()]), lambda c: c.isNotNull())
+    return joined.select(F.explode(codes).alias("code"), F.col("id").cast("string").alias("example")).unionByName(repeated)
+
+
+def check_delta_manifest(delta: DataFrame, manifest: DataFrame, licence: str) -> DataFrame:
+    """(code, example): a manifest that is no single row, or of another licence, digest form or number of rows than the delta's."""
+    one = manifest.agg(F.count("*").alias("rows"), *[F.min(c).alias(c) for c in ("licence", "source_digest", "n_rows")]).join(F.broadcast(delta.agg(F.count("*").alias("found"))))
+    rules = {
+        "metadata": (F.col("rows") != 1, F.col("rows").cast("string")), "licence_mismatch": (~F.col("licence").eqNullSafe(F.lit(licence)), F.col("licence")),
+        "digest_malformed": (~F.coalesce(F.col("source_digest").rlike("^[0-9a-f]{64}$"), F.lit(False)), F.col("source_digest")), "row_count": (~F.col("n_rows").eqNullSafe(F.col("found")), F.col("found").cast("string")),
+    }
+    codes = F.array(*[F.when(rule, F.struct(F.lit(code).alias("code"), example.alias("example"))) for code, (rule, example) in rules.items()])
+    return one.select(F.explode(F.filter(codes, lambda c: c.isNotNull())).alias("c")).select("c.code", "c.example")
 
 
 def apply_relation_delta(entries: DataFrame, delta: DataFrame, id_range: tuple[int, int] | None = None) -> tuple[DataFrame, DataFrame]:

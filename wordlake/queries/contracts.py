@@ -7,10 +7,10 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wordlake.operators.lineage import cut_lineage
+from wordlake.operators.lineage import cut_lineage, fresh_path
 from wordlake.operators.sets import MergeRefused
-from wordlake.plans import contract, select
-from wordlake.queries.jobs import EDITION_ROWS, EDITION_SQL, SHARDS, edition, pick, term_entries
+from wordlake.plans import assemble, contract, relations, select
+from wordlake.queries.jobs import EDITION_PHRASES, EDITION_ROWS, EDITION_SQL, SHARDS, edition, pick, term_entries
 
 
 def contract_manifest(spark: SparkSession, sf: str) -> DataFrame:
@@ -96,7 +96,51 @@ def raw_sources(spark: SparkSession, sf: str) -> DataFrame:
     return contract.malformed_sources(term_entries(spark, sf).withColumn("raw", text), "id", "raw")
 
 
-QUERIES = {f.__name__: f for f in (contract_manifest, contract_codes, index_codes, marked_preflight, edition_renewed, raw_sources)}
+def edition_ready(spark: SparkSession, sf: str) -> DataFrame:
+    """Whether the gate lets an edition pass: as selected with its gaps, after all are filled, and with a row too few."""
+    e = term_entries(spark, sf)
+    filled = e.withColumn("definition", F.coalesce(F.nullif("definition", F.lit("")), F.lit("filled"))).withColumn("definition_zh", F.lit("中文")).withColumn("pos", F.lit("noun"))
+    whole, c = edition(spark, sf, filled), edition(spark, sf, e)
+    cases = {"gaps": (c, e), "filled": (whole, filled), "short": (select.Candidate(whole.entries.filter("frequency_rank > 1"), whole.provenance.filter("selected_rank > 1"), whole.queue), filled)}
+    out = []
+    for name, (candidate, canonical) in cases.items():
+        report, verdict = select.gate(candidate, canonical, EDITION_ROWS, SHARDS, EDITION_PHRASES)
+        try:
+            select.assert_ready(report, verdict)
+            passed = True
+        except MergeRefused:
+            passed = False
+        codes = report.agg(F.array_join(F.array_sort(F.collect_set("code")), "|").alias("codes"))
+        out.append(codes.select(F.lit(name).alias("edition"), F.lit(passed).alias("passed"), F.lit(verdict["structural"]).alias("structural"), "codes"))
+    return reduce(DataFrame.unionByName, out)
+
+
+def published_edition(spark: SparkSession, sf: str) -> DataFrame:
+    """The 300 most frequent terms published as a bundle and read again: rows and postings per field; whether a changed index was refused."""
+    path, other = fresh_path(spark, "published"), fresh_path(spark, "published")
+    e = term_entries(spark, sf).withColumn("frequency", 1_000_000.0 - F.col("id"))
+    assemble.publish(e, 300, path)
+    tables = assemble.published(spark, path)
+    assemble.publish(e, 300, other)
+    contract.entry_index(tables["entries"].filter("id > 1")).write.mode("overwrite").parquet(f"{other}/index")
+    try:
+        assemble.published(spark, other)
+        refused = False
+    except ValueError:
+        refused = True
+    clean = contract.index_violations(tables["entries"], tables["index"]).isEmpty()
+    return tables["index"].groupBy("field").agg(F.countDistinct("id").alias("entries"), F.sum("n").alias("hits")).withColumns({"clean": F.lit(clean), "refused": F.lit(refused)})
+
+
+def delta_manifest(spark: SparkSession, sf: str) -> DataFrame:
+    """What is wrong with the manifest of the queue's delta under another licence, with a short digest, with rows lost, or twice."""
+    q = edition(spark, sf).queue
+    good = q.agg(F.count("*").alias("n_rows")).withColumns({"licence": F.lit("CC BY-SA 4.0"), "source_digest": F.lit("0" * 64)})
+    cases = {"good": (q, good), "licence": (q, good.withColumn("licence", F.lit("none"))), "digest": (q, good.withColumn("source_digest", F.lit("0a"))), "rows": (q.filter("id % 3 <> 0"), good), "twice": (q, good.unionByName(good))}
+    return reduce(DataFrame.unionByName, [relations.check_delta_manifest(d, m, "CC BY-SA 4.0").select(F.lit(name).alias("manifest"), "code", "example") for name, (d, m) in cases.items()])
+
+
+QUERIES = {f.__name__: f for f in (contract_manifest, contract_codes, index_codes, marked_preflight, edition_renewed, raw_sources, edition_ready, published_edition, delta_manifest)}
 
 SQL = {
     "contract_manifest": f"""WITH {EDITION_SQL} SELECT 1 AS version, '{contract.POLICY}' AS policy, count(*) AS n_rows, count(*) FILTER (kind = 'word') AS n_words, count(*) FILTER (kind = 'phrase') AS n_phrases,
@@ -115,4 +159,10 @@ SQL = {
       SELECT id, selected_rank AS frequency_rank, CASE WHEN id % 8 = 0 THEN '新' ELSE '中文' END AS definition_zh, TRUE AS refused, nullif(concat_ws('|', CASE WHEN y1 THEN 'definition' END, CASE WHEN g3 THEN 'pos' END), '') AS gaps,
         CASE WHEN y1 OR g3 THEN id % {SHARDS} END AS owner, id % 8 = 0 OR id % 9 = 0 OR id % 14 = 0 AS renewed FROM x""",
     "raw_sources": f"WITH {EDITION_SQL} SELECT 'malformed_source_json' AS code, CAST(k AS VARCHAR) AS example FROM t WHERE k % 10 IN (0, 1, 2, 4)",
+    "edition_ready": f"""WITH {EDITION_SQL}, c AS (SELECT string_agg(code, '|' ORDER BY code) AS codes FROM (SELECT 'definition' AS code FROM g WHERE g1 UNION SELECT 'definition_zh' FROM g WHERE g2 UNION SELECT 'pos' FROM g WHERE g3))
+      SELECT 'gaps' AS edition, FALSE AS passed, TRUE AS structural, codes FROM c UNION ALL SELECT 'filled', TRUE, TRUE, '' UNION ALL SELECT 'short', FALSE, FALSE, CASE WHEN (SELECT kind FROM e WHERE selected_rank = 1) = 'phrase' THEN 'rank_sequence|row_count|selection_counts' ELSE 'rank_sequence|row_count' END""",
+    "published_edition": f"""WITH {EDITION_SQL}, p AS (SELECT * FROM t WHERE k <= 300), f AS (SELECT k, 'word' AS field, len(regexp_extract_all(term, '[\\p{{L}}\\p{{N}}]+')) AS n FROM p UNION ALL SELECT k, 'definition', 2 FROM p WHERE k % 7 <> 0 UNION ALL SELECT k, 'definition_zh', 1 FROM p WHERE k % 9 <> 0)
+      SELECT field, count(*) AS entries, sum(n) AS hits, TRUE AS clean, TRUE AS refused FROM f GROUP BY field""",
+    "delta_manifest": f"""WITH {EDITION_SQL}, n AS (SELECT count(*) FILTER (id % 3 <> 0) AS n FROM q) SELECT manifest, code, coalesce(example, CAST(n AS VARCHAR)) AS example FROM n,
+      (VALUES ('licence', 'licence_mismatch', 'none'), ('digest', 'digest_malformed', '0a'), ('rows', 'row_count', NULL), ('twice', 'metadata', '2')) t(manifest, code, example)""",
 }
