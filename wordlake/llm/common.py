@@ -19,6 +19,8 @@ U64 = np.uint64
 WORD_BASE = U64(0x9E3779B97F4A7C15)
 GRAM_BASE = U64(0xD1342543DE82EF95)
 HASH_BLOCK = 1 << 20
+#: Bits of one row of a bit table: what Spark's bitmap functions hold.
+BIT_ROW = 1 << 15
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -36,6 +38,23 @@ def hash01(*columns: Column | str) -> Column:
     return F.pmod(F.xxhash64(*columns), F.lit(1 << 30)) / F.lit(float(1 << 30))
 
 
+def bit_table(bits: DataFrame, size: int) -> np.ndarray:
+    """The set bits among ``size`` (column ``bit``), eight to a byte.
+
+    Whatever the number of rows, size / 8 bytes come to the driver, in rows of up to 4 KB.
+    """
+    rows = bits.groupBy((F.col("bit") / BIT_ROW).cast("int").alias("row")).agg(F.bitmap_construct_agg(F.pmod("bit", F.lit(BIT_ROW))).alias("bits"))
+    out = np.zeros(max(1, size // BIT_ROW) * BIT_ROW // 8, np.uint8)
+    for row, part in rows.collect():
+        out[row * BIT_ROW // 8 : (row + 1) * BIT_ROW // 8] = np.frombuffer(part, np.uint8)
+    return out
+
+
+def is_set(table: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    """Which of the bits are set."""
+    return (table[bits >> 3] >> (bits & 7).astype(np.uint8) & 1).astype(bool)
+
+
 def utf8(column: pa.Array) -> list[bytes]:
     """The texts of an Arrow column as UTF-8; null becomes empty."""
     return [x or b"" for x in column.cast(pa.large_binary()).to_pylist()]

@@ -27,14 +27,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wordlake.llm.common import U64, pieces, utf8, word_bounds, word_hashes, word_keys
+from wordlake.llm.common import U64, bit_table, is_set, pieces, utf8, word_bounds, word_hashes, word_keys
 from wordlake.operators.lineage import cut_lineage
 
 CHUNK_BYTES = 1 << 20
 #: ASCII letters are lowered; what belongs to no term becomes a space.
 LOWERED = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
-#: Bits of the table of asked terms (1 MB), and bits of one of its rows.
-FILTER_BITS, FILTER_ROW = 1 << 23, 1 << 15
+#: Bits of the table of asked terms: 1 MB, whatever their number.
+FILTER_BITS = 1 << 23
 #: Postings of a shard, about.
 SHARD_POSTINGS = 1 << 21
 MOST_TASKS = 20_000
@@ -56,7 +56,7 @@ def term_counts(texts: list[bytes], asked: np.ndarray | None) -> tuple[np.ndarra
     total = np.bincount(of, minlength=len(texts))
     if asked is not None:
         bit = (word_hashes(buf, starts, ends) % U64(FILTER_BITS)).astype(np.int64)
-        mine = np.flatnonzero(asked[bit >> 3] >> (bit & 7).astype(np.uint8) & 1)
+        mine = np.flatnonzero(is_set(asked, bit))
         starts, ends, of = starts[mine], ends[mine], of[mine]
     keys = word_keys(buf, starts, ends)
     by = np.lexsort((keys, of))
@@ -81,15 +81,6 @@ def item_terms(items: DataFrame) -> DataFrame:
     return different.select("item", "item_id", "text").mapInArrow(run, "item long, item_id long, term string, bit long")
 
 
-def bit_table(terms: DataFrame) -> np.ndarray:
-    """The bits of all asked terms: 256 rows of 4 KB at most come to the driver, however many terms there are."""
-    rows = terms.groupBy((F.col("bit") / FILTER_ROW).cast("int").alias("row")).agg(F.bitmap_construct_agg(F.pmod("bit", F.lit(FILTER_ROW))).alias("bits"))
-    out = np.zeros(FILTER_BITS // 8, np.uint8)
-    for row, bits in rows.collect():
-        out[row * FILTER_ROW // 8 : (row + 1) * FILTER_ROW // 8] = np.frombuffer(bits, np.uint8)
-    return out
-
-
 def postings(docs: DataFrame, asked: np.ndarray) -> DataFrame:
     """Per document with terms: doc_id, n (its terms), terms and tf (of those whose bit is set)."""
     sent = docs.sparkSession.sparkContext.broadcast(asked)
@@ -189,7 +180,7 @@ class Shard:
 def search(docs: DataFrame, items: DataFrame, k: int = 50) -> DataFrame:
     """The k best documents of each item: item_id, rank, doc_id, score."""
     asked = cut_lineage(item_terms(items))
-    held = cut_lineage(postings(docs, bit_table(asked)))
+    held = cut_lineage(postings(docs, bit_table(asked, FILTER_BITS)))
     n_docs, n_terms, size = held.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum(F.size("terms")), F.lit(0))).first()
     df = held.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("df"))
     weighed = asked.join(df, "term").withColumn("w", weight(F.lit(float(n_docs)), F.col("df")))

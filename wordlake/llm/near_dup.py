@@ -33,12 +33,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wordlake.llm.common import U64, first_words, gram_hashes, joined_words, mix, pieces, utf8, word_bounds, word_keys
+from wordlake.llm.common import U64, bit_table, first_words, gram_hashes, is_set, joined_words, mix, pieces, utf8, word_bounds, word_keys
 from wordlake.operators.lineage import cut_lineage
 
 CHUNK_BYTES = 1 << 20
 #: Nodes that are made of a text's digest, not of a doc_id, begin here.
 HASHED = 1 << 62
+#: Bits of the table of wanted texts: 8 MB, whatever their number.
+COPY_BITS = 1 << 26
 #: Leaves of one hub that are confirmed in one place.
 SHARE = 512
 #: Edges that a task joins at once.
@@ -139,25 +141,30 @@ def sketches(docs: DataFrame, shingle: int, bands: int, rows: int) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, copy binary, n_shingles long, keys array<long>, bits array<long>")
 
 
-def with_copy(docs: DataFrame) -> DataFrame:
-    """``docs`` with ``__copy``, the digest of the lower-cased word sequence."""
+def with_copy(docs: DataFrame, only: np.ndarray | None = None) -> DataFrame:
+    """``docs`` with ``__copy``, the digest of the lower-cased word sequence; of rows whose bit is set in the table ``only``."""
     schema = T.StructType([*docs.schema.fields, T.StructField("__copy", T.BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in pieces(batches, "text", CHUNK_BYTES):
             digests = [hashlib.blake2b(b" ".join(t.lower().split()), digest_size=16).digest() for t in utf8(piece.column("text"))]
-            yield pa.record_batch([*piece.columns, pa.array(digests, pa.binary())], names=[*piece.schema.names, "__copy"])
+            out = pa.record_batch([*piece.columns, pa.array(digests, pa.binary())], names=[*piece.schema.names, "__copy"])
+            if sent is not None:
+                bits = np.array([int.from_bytes(d[:4], "big") for d in digests], np.int64) % COPY_BITS
+                out = out.filter(pa.array(is_set(sent.value, bits)))
+            yield out
 
+    sent = None if only is None else docs.sparkSession.sparkContext.broadcast(only)
     return docs.mapInArrow(run, schema)
 
 
-def text_classes(sketch: DataFrame) -> DataFrame:
-    """One row per distinct word sequence: copy, id (least doc_id), node, n_shingles, keys, bits.
+def text_classes(sketch: DataFrame, carried: tuple[str, ...] = ("n_shingles", "keys", "bits")) -> DataFrame:
+    """One row per distinct word sequence: copy, id (least doc_id), the ``carried`` columns, node.
 
     The node is the id where no other sequence has it, else a number above all doc_ids that is
     made of the digest: so every sequence has a node of its own.
     """
-    classes = cut_lineage(sketch.filter("n_shingles > 0").groupBy("copy").agg(F.min("doc_id").alias("id"), *[F.first(c).alias(c) for c in ("n_shingles", "keys", "bits")]))
+    classes = cut_lineage(sketch.filter("n_shingles > 0").groupBy("copy").agg(F.min("doc_id").alias("id"), *[F.first(c).alias(c) for c in carried]))
     clash = classes.filter(F.col("id").isNotNull()).groupBy("id").count().filter("count > 1").select("id", F.lit(True).alias("clash"))
     own = F.when(F.col("clash").isNull(), F.col("id"))
     return classes.join(clash, "id", "left").withColumn("node", F.coalesce(own, F.lit(HASHED) + F.pmod(F.xxhash64("copy"), F.lit(HASHED)))).drop("clash")
@@ -323,18 +330,30 @@ def near_enough(edges: DataFrame, marks: DataFrame, percent: int) -> DataFrame:
     return edges.join(a, "leaf").join(b, "hub").filter(fine).select("leaf", "hub")
 
 
+def class_keys(sketch: DataFrame, classes: DataFrame) -> DataFrame:
+    """node, key: the keys of each class, from the row of its least doc_id."""
+    own = classes.select(F.col("copy").alias("c"), "id", "node")
+    return sketch.filter("n_shingles > 0").join(own, (F.col("copy") == F.col("c")) & F.col("doc_id").eqNullSafe(F.col("id"))).select("node", F.explode("keys").alias("key"))
+
+
 def node_texts(docs: DataFrame, marks: DataFrame) -> DataFrame:
-    """node, text: one text of each class that ``marks`` (copy, id, node) names."""
-    rows = with_copy(docs.select(F.col("doc_id").cast("long"), "text")).withColumnRenamed("__copy", "copy")
+    """node, text: one text of each class that ``marks`` (copy, id, node) names.
+
+    A bit table of 8 MB turns away most other texts before they are shuffled; where it fills up,
+    the join alone decides.
+    """
+    bit = F.conv(F.hex(F.substring("copy", 1, 4)), 16, 10).cast("long") % COPY_BITS
+    only = bit_table(marks.select(bit.alias("bit")), COPY_BITS)
+    rows = with_copy(docs.select(F.col("doc_id").cast("long"), "text"), only).withColumnRenamed("__copy", "copy")
     mine = rows.join(marks.select("copy", "id", "node"), (rows["copy"] == marks["copy"]) & rows["doc_id"].eqNullSafe(marks["id"]))
     return cut_lineage(mine.groupBy("node").agg(F.first("text").alias("text")))
 
 
 def linked_classes(docs: DataFrame, sketch: DataFrame, shingle: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """The classes of equal word sequences, and (node, component) of those that are not their component's least."""
-    classes = cut_lineage(text_classes(sketch))
-    buckets = classes.select("node", F.explode("keys").alias("key"))
-    hubs = buckets.groupBy("key").agg(F.min("node").alias("hub"), F.count("*").alias("size")).filter("size > 1").select("key", "hub")
+    classes = cut_lineage(text_classes(sketch.drop("keys"), ("n_shingles", "bits")))
+    buckets = class_keys(sketch, classes)
+    hubs = buckets.groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("last")).filter("hub < last").select("key", "hub")
     members = cut_lineage(buckets.join(hubs, "key"))
     nodes = members.select("node").distinct()
     marks = cut_lineage(classes.join(nodes, "node", "left_semi").select("node", "copy", "id", "n_shingles", "bits"))
