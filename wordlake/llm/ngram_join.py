@@ -15,8 +15,9 @@ Empty groups would make huge cells: a set with more than s of them is dealt agai
 
 First each block's star around its least member is verified.  Blocks that then hold several
 components are asked by the members outside the largest one: askers and tree come in shares of
-about ``SHARE``, and an asker gives its nearest partners first, 4, then 64, then all: most find
-their component at once, so a group of many copies never lists all its pairs.
+about ``SHARE``, and an asker gives its 1,024 nearest partners of other components first and the rest
+only if there are more and it has not found its component by then, so a group of many copies never
+lists all its pairs.
 
 Defined results: null, empty and blank texts are components of their own; repeated rows get equal
 results; rows that share a doc_id with other words are judged apart; rows with a null doc_id take
@@ -44,9 +45,8 @@ DEALS = 4
 SHARE, SHARE_ELEMENTS = 4096, 1 << 22
 #: Points of a leaf, and children of an inner node.
 FANOUT = 16
-#: Partners that an asker gives in each round; a share holds no more than the last.
-ROUNDS = (4, 64, 1 << 62)
-NAMES = ["doc_id", "copy", "n_shingles", "keys", "bits"]
+#: Up to which of its nearest partners an asker names them in each round; a share holds no more than the last.
+ROUNDS = (1024, 1 << 62)
 
 
 def most_unlike(sizes: np.ndarray, percent: int) -> np.ndarray:
@@ -121,8 +121,8 @@ def points(hashes: np.ndarray, counts: np.ndarray, percent: int) -> list[bytes]:
 
 
 def sketches(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """Per row of docs: doc_id, copy (digest of the word sequence), n_shingles, keys (cells), bits (the point)."""
-    arrow = pa.schema(list(zip(NAMES, [pa.int64(), pa.binary(), pa.int64(), pa.list_(pa.int64()), pa.binary()], strict=True)))
+    """Per row of docs: doc_id, copy (digest of the word sequence), n_shingles, keys (cells)."""
+    arrow = pa.schema([("doc_id", pa.int64()), ("copy", pa.binary()), ("n_shingles", pa.int64()), ("keys", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in pieces(batches, "text", near_dup.CHUNK_BYTES):
@@ -130,9 +130,19 @@ def sketches(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
             of, keys = cell_keys(hashes, counts, percent)
             edges = first_words(np.bincount(of, minlength=len(counts))).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(edges), pa.array(keys.view(np.int64)))
-            yield pa.record_batch([piece.column("doc_id").cast(pa.int64()), pa.array(digests, pa.binary()), pa.array(counts.astype(np.int64)), lists, pa.array(points(hashes, counts, percent), pa.binary())], schema=arrow)
+            yield pa.record_batch([piece.column("doc_id").cast(pa.int64()), pa.array(digests, pa.binary()), pa.array(counts.astype(np.int64)), lists], schema=arrow)
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, copy binary, n_shingles long, keys array<long>, bits binary")
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, copy binary, n_shingles long, keys array<long>")
+
+
+def marks_of(texts: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """node, n_shingles, bits (the point) of each text."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for piece in pieces(batches, "text", near_dup.CHUNK_BYTES):
+            hashes, counts, _ = near_dup.shingle_sets(utf8(piece.column("text")), shingle)
+            yield pa.record_batch([piece.column("node"), pa.array(counts.astype(np.int64)), pa.array(points(hashes, counts, percent), pa.binary())], names=["node", "n_shingles", "bits"])
+
+    return texts.select("node", "text").mapInArrow(run, "node long, n_shingles long, bits binary")
 
 
 def folded(vectors: list[bytes], size: int) -> np.ndarray:
@@ -262,13 +272,15 @@ def mixed_blocks(members: DataFrame, found: DataFrame) -> DataFrame:
 
 def linked_classes(docs: DataFrame, sketch: DataFrame, shingle: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """The classes of equal word sequences, and (node, component) of those that are not their component's least."""
-    classes = cut_lineage(near_dup.text_classes(sketch))
-    cells = classes.select("node", "n_shingles", F.explode("keys").alias("key"))
-    hubs = cells.groupBy("key").agg(F.min("node").alias("block"), F.count("*").alias("size")).filter("size > 1").select("key", "block")
-    members = cut_lineage(cells.join(hubs, "key").select("block", "node", "n_shingles").distinct())
-    marks = cut_lineage(classes.join(members.select("node").distinct(), "node", "left_semi").select("node", "copy", "id", "n_shingles", "bits"))
-    texts = near_dup.node_texts(docs, marks)
-    stars = members.filter("node <> block").select(F.col("node").alias("leaf"), F.col("block").alias("hub"))
+    classes = cut_lineage(near_dup.text_classes(sketch.drop("keys"), ("n_shingles",)))
+    cells = near_dup.class_keys(sketch, classes)
+    hubs = cells.groupBy("key").agg(F.min("node").alias("block"), F.max("node").alias("last")).filter("block < last").select("key", "block")
+    shared = cut_lineage(cells.join(hubs, "key").select("block", "node").distinct())
+    wanted = classes.join(shared.select("node").distinct(), "node", "left_semi").select("node", "copy", "id")
+    texts = near_dup.node_texts(docs, wanted)
+    marks = cut_lineage(marks_of(texts, shingle, percent))
+    members = shared.join(marks.select("node", "n_shingles"), "node")
+    stars = shared.filter("node <> block").select(F.col("node").alias("leaf"), F.col("block").alias("hub"))
     links = cut_lineage(near_dup.confirmed(possible(stars, marks, percent), texts, shingle, percent))
     found = near_dup.components(links)
     # who asks, and in how many shares, is fixed here, so that the rounds' orders agree
@@ -276,18 +288,20 @@ def linked_classes(docs: DataFrame, sketch: DataFrame, shingle: int, percent: in
     placed = cut_lineage(components_of(members.join(blocks, "block"), found).withColumn("outside", F.col("component") != F.col("largest")).drop("component", "largest").join(marks.select("node", "bits"), "node"))
     after = 0
     for upto in ROUNDS:
-        open_ = mixed_blocks(placed.select("block", "node", "n_shingles"), found).select("block")
-        now = components_of(placed.join(open_, "block", "left_semi"), found)
+        now = components_of(placed, found)
+        if after:
+            now = now.join(mixed_blocks(placed.select("block", "node", "n_shingles"), found).select("block"), "block", "left_semi")
         share = lambda n: F.pmod(F.xxhash64("node", F.lit(3)), F.col(n))
         all_of = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
         rest = ["block", "node", "component", "n_shingles", "bits"]
         trees = now.select(*rest, F.lit(False).alias("asks"), share("trees").alias("b"), all_of("askers").alias("a"))
         askers = now.filter("outside").select(*rest, F.lit(True).alias("asks"), share("askers").alias("a"), all_of("trees").alias("b"))
         pairs = cut_lineage(tree_pairs(trees.unionByName(askers), percent, after, upto))
-        more = near_dup.confirmed(pairs.filter("hub is not null"), texts, shingle, percent)
-        links = cut_lineage(links.unionByName(more))
-        found = near_dup.components(links)
-        if pairs.filter("hub is null").isEmpty():
+        named, unnamed = pairs.agg(F.count("hub"), F.count_if(F.col("hub").isNull())).first()
+        if named:
+            links = cut_lineage(links.unionByName(near_dup.confirmed(pairs.filter("hub is not null"), texts, shingle, percent)))
+            found = near_dup.components(links)
+        if not unnamed:
             break
         after = upto
     return classes, found
