@@ -47,7 +47,8 @@ def norm_key(c: Column, variant: str = "norm") -> Column:
     if variant == "lookup":
         return F.lower(F.trim(c))
     if variant == "term_key":
-        c = nfkc(c)
+        plain = c.rlike(r"\A[\x00-\x7F]*\z")  # ASCII is its own compatibility form: only other texts go to Python
+        c = F.coalesce(F.when(plain, c), nfkc(F.when(~plain, c)))
     if variant not in ("norm", "term", "term_key", "edge"):
         raise ValueError(f"unknown key variant {variant}")
     out = collapse(F.lower(c))

@@ -36,15 +36,24 @@ def owner_merge(snapshots: list[DataFrame], id_col: str) -> DataFrame:
 
 def verified_owner_merge(snapshots: list[DataFrame], id_col: str, identity: list[str], columns: list[str]) -> DataFrame:
     """``owner_merge`` of replicas: refused unless all hold the same ids and identities, and unless
-    each owner's rows come out as they stand in its snapshot."""
-    digest = lambda df, names: df.agg(F.count("*").alias("n"), F.sum(F.xxhash64(*names).cast("decimal(38,0)")).alias("d")).first()
-    if len({tuple(digest(s, [id_col, *identity])) for s in snapshots}) > 1:
-        raise MergeRefused("snapshots differ in identity")
-    out, n = owner_merge(snapshots, id_col), len(snapshots)
-    for i, s in enumerate(snapshots):
-        own = F.pmod(F.col(id_col), F.lit(n)) == i
-        if digest(out.filter(own), columns) != digest(s.filter(own), columns):
-            raise MergeRefused(f"rows of owner {i} have changed")
+    each owner's rows come out as they stand in its snapshot.
+
+    One aggregate per side by snapshot and owner, however many snapshots there are.
+    """
+    n = len(snapshots)
+    owner = F.pmod(F.col(id_col), F.lit(n)).alias("owner")
+    total = lambda names: F.sum(F.xxhash64(*names).cast("decimal(38,0)"))
+    both = reduce(DataFrame.unionByName, [s.select(*dict.fromkeys([id_col, *identity, *columns])).withColumn("__i", F.lit(i)) for i, s in enumerate(snapshots)])
+    sides = both.groupBy("__i", owner).agg(F.count("*").alias("n"), total([id_col, *identity]).alias("identity"), total(columns).alias("content")).collect()
+    for o in {r["owner"] for r in sides}:
+        same = {(r["n"], r["identity"]) for r in sides if r["owner"] == o}
+        if len(same) > 1 or sum(r["owner"] == o for r in sides) != n:
+            raise MergeRefused("snapshots differ in identity")
+    out = owner_merge(snapshots, id_col)
+    merged = {r["owner"]: (r["n"], r["content"]) for r in out.groupBy(owner).agg(F.count("*").alias("n"), total(columns).alias("content")).collect()}
+    for r in sides:
+        if r["__i"] == r["owner"] and merged.get(r["owner"]) != (r["n"], r["content"]):
+            raise MergeRefused(f"rows of owner {r['owner']} have changed")
     return out
 
 

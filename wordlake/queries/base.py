@@ -21,11 +21,9 @@ def lexicon(docs: DataFrame) -> DataFrame:
     return docs.select(F.explode(tokens()).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
 
 
-def ranked_lexicon(docs: DataFrame) -> DataFrame:
-    """word, n, rank (by count, then word)."""
-    from wordlake.operators.rank import global_rank
-
-    return global_rank(lexicon(docs), [F.desc("n"), F.asc("word")])
+def ordered_lexicon(docs: DataFrame) -> DataFrame:
+    """word, n and a ``rank`` that orders words by count; words tie in it, and no numbering of the table is needed."""
+    return lexicon(docs).withColumn("rank", -F.col("n"))
 
 
 def terms(docs: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from wordlake.functions import collect, normalize
 from wordlake.operators import aggregates, joins, lookup, rank
-from wordlake.queries.base import LEXICON_SQL, TOKENS_SQL, lexicon, ranked_lexicon, table, terms, tokens
+from wordlake.queries.base import LEXICON_SQL, TOKENS_SQL, lexicon, ordered_lexicon, table, terms, tokens
 
 EDITION, PHRASES = 2000, 400
 
@@ -110,7 +110,7 @@ def prefixes(words: DataFrame) -> DataFrame:
 
 def prefix_suggest(spark: SparkSession, sf: str) -> DataFrame:
     """The five most frequent words for every three-letter beginning of the test items' words."""
-    words = ranked_lexicon(table(spark, sf, "documents"))
+    words = ordered_lexicon(table(spark, sf, "documents"))
     asked = prefixes(lexicon(table(spark, sf, "benchmark")))
     return lookup.suggest(asked, words, 5).select("prefix", "word", "n", F.col("place").cast("long").alias("place"))
 
@@ -122,14 +122,14 @@ def misspelt(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def fuzzy_lookup(spark: SparkSession, sf: str) -> DataFrame:
-    return lookup.fuzzy_join(misspelt(spark, sf), ranked_lexicon(table(spark, sf, "documents"))).withColumn("score", F.round("score", 6))
+    return lookup.fuzzy_join(misspelt(spark, sf), ordered_lexicon(table(spark, sf, "documents"))).withColumn("score", F.round("score", 6))
 
 
 def lookup_cascade(spark: SparkSession, sf: str) -> DataFrame:
     """Test items' words, whole and cut by their last letter, looked up exactly or by prefix."""
     words = lexicon(table(spark, sf, "benchmark"))
     asked = words.select(F.col("word").alias("term")).unionByName(words.filter(F.length("word") > 3).select(F.expr("substring(word, 1, length(word) - 1)").alias("term")))
-    return lookup.lookup(asked, ranked_lexicon(table(spark, sf, "documents")), fuzzy=False)
+    return lookup.lookup(asked, ordered_lexicon(table(spark, sf, "documents")), fuzzy=False)
 
 
 def chunk_documents(spark: SparkSession, sf: str) -> DataFrame:
