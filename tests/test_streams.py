@@ -41,3 +41,20 @@ def test_quota(spark, tmp_path):
     source = spark.readStream.schema(spark.read.parquet(str(tmp_path / "q")).schema).parquet(str(tmp_path / "q"))
     got = run(streams.quota_ledger(streams.timed(source), {"export": 5}), "append", spark, "w4")
     assert [r["admitted"] for r in got.orderBy("id").collect()] == [True, True, False, True, False]
+
+
+def test_a_silent_key_is_reported_by_its_timer(spark, tmp_path):
+    """No further event of the key comes: the watermark of the others fires its timer."""
+    at = lambda *minutes: [pd.Timestamp("2024-01-01") + pd.Timedelta(minutes=m) for m in minutes]
+    rows = [(1, t) for t in at(0, 10, 20)] + [(2, t) for t in at(*range(0, 400, 20))] + [(3, t) for t in at(0, 90)]
+    spark.createDataFrame(pd.DataFrame(rows, columns=["user_id", "ts"])).withColumn("ts", F.col("ts").cast("timestamp")).coalesce(1).write.parquet(str(tmp_path / "s"))
+    source = spark.readStream.schema(spark.read.parquet(str(tmp_path / "s")).schema).parquet(str(tmp_path / "s"))
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        got = run(streams.silence_alerts(streams.timed(source)), "append", spark, "w5")
+        minute = (F.col("last_seen").cast("long") - F.lit(pd.Timestamp("2024-01-01").timestamp()).cast("long")) / 60
+        assert sorted(tuple(r) for r in got.select("user_id", minute.cast("int"), "by_timer").collect()) == [(1, 20, True), (3, 0, False), (3, 90, True)]
+    finally:
+        spark.conf.set(key, before)
