@@ -84,7 +84,7 @@ def staleness(state: DataFrame, keys: list[str], at: str, now: Column, limit_sec
     """
     rest = [c for c in state.columns if c not in (at, *keys)]
     newest = state.agg(F.max_by(F.struct(*keys, *rest, at), F.struct(at, *keys)).alias("r")).select("r.*")
-    age = F.greatest(F.lit(0.0), now.cast("double") - F.col(at).cast("timestamp").cast("double"))
+    age = F.when(F.col(at).isNotNull(), F.greatest(F.lit(0.0), now.cast("double") - F.col(at).cast("timestamp").cast("double")))
     return newest.withColumn("stale_seconds", F.round(age, 1)).withColumn("stale", F.coalesce(age > max(60.0, limit_seconds), F.lit(True)))
 
 
