@@ -94,7 +94,8 @@ def test_title_variants(spark):
 
 def test_html_text(spark):
     pages = spark.createDataFrame([("<p>A &amp; <script>x('</p>')</script>B<!-- c -->&amp;lt;</p>",), (None,)], "html string")
-    assert [r[0] for r in pages.select(lookup.html_text("html")).collect()] == ["A & B &lt;", ""]
+    # the rule decodes what the parser has decoded once more, and tags leave nothing behind
+    assert [r[0] for r in pages.select(lookup.html_text("html")).collect()] == ["A & B<", ""]
 
 
 def rows(spark, *values):
