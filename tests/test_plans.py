@@ -272,3 +272,16 @@ def test_dictionary_responses_never_guess_a_dialect(spark):
     sounds = [{"text": "/ræsp/", "audio": ""}, {"text": "/rɑːsp/", "audio": "https://x/rasp-uk.mp3"}]
     d = enrich.dictionary_fields(spark.createDataFrame([("rasp", json.dumps([{"word": "rasp", "phonetics": sounds, "meanings": []}])), ("vice", "[]"), ("anvil", None)], "term string, response string"))
     assert {r.term: (r.us, r.uk, r.definition) for r in d.collect()} == {"rasp": ("", "rɑːsp", ""), "vice": ("", "", ""), "anvil": ("", "", "")}
+
+
+def test_growing_tables_are_not_broadcast(spark):
+    """However small the tables look when the plan is made: packed lists unpack to many times their size in the driver."""
+    e = entries(spark, *[(i, w, {}) for i, w in enumerate(TOOLS, 1)])
+    held = files.WordNet(*[spark.createDataFrame([], t) for t in (
+        "entry_id string, written string, pos string, sounds array<struct<_VALUE:string,_variety:string>>, key string", "entry_id string, sense_id string, synset_id string, sense_order int, examples array<string>", "sense_id string, ord int, relation string, target string",
+        "synset_id string, ili string, pos string, definitions array<struct<text:string,source_sense:string>>, examples array<string>", "synset_id string, ord int, relation string, target string",
+    )])
+    senses = assemble.wordnet_senses(held)
+    delta = relations.relation_delta(e, records(spark, {"word": "rasp", "senses": [{"glosses": ["a file"], "hypernyms": [{"word": "vice"}]}]})[0])
+    for made in (senses, assemble.wordnet_patch(held), assemble.apply_senses(e, senses), delta, relations.check_relation_delta(delta, e), relations.apply_relation_delta(e, delta)[0]):
+        assert "BroadcastHashJoin" not in made._jdf.queryExecution().executedPlan().toString()

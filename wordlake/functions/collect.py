@@ -24,7 +24,7 @@ def ordered_lists(df: DataFrame, keys: list[str], value: Column, *order: Column,
     places = df.select(*keys, clean.alias("__v"), F.struct(*[o.alias(f"o{i}") for i, o in enumerate(order)]).alias("__o")).groupBy(*keys, "__v").agg(F.min("__o").alias("__o"))
     first = places.filter("__v <> ''").withColumn("__n", F.row_number().over(Window.partitionBy(*keys).orderBy("__o", "__v"))).filter(F.col("__n") <= cap)
     lists = first.groupBy(*keys).agg(F.transform(F.array_sort(F.collect_list(F.struct("__n", "__v"))), lambda r: r["__v"]).alias(out))
-    return places.select(*keys).distinct().join(lists, keys, "left").withColumn(out, F.coalesce(out, F.array().cast("array<string>")))
+    return places.select(*keys).distinct().join(lists.hint("merge"), keys, "left").withColumn(out, F.coalesce(out, F.array().cast("array<string>")))
 
 
 def ordered_words(df: DataFrame, keys: list[str], value: Column, *order: Column, cap: int = 40, out: str = "values") -> DataFrame:

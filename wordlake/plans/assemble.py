@@ -10,7 +10,7 @@ from wordlake.functions.digest import table_digest
 from wordlake.functions.normalize import RELATED_RELATIONS, blank, fill_empty, keep_relation_types, map_pos
 from wordlake.functions.overlay import is_object, put_members
 from wordlake.operators.aggregates import dedupe
-from wordlake.operators.joins import resolve_links
+from wordlake.operators.joins import resolve_links, unbroadcast
 from wordlake.operators.rank import global_rank, top_n
 from wordlake.plans import contract
 from wordlake.schema import ENTRIES
@@ -32,7 +32,7 @@ def words(links: Column) -> Column:
 
 def score_frequency(rows: DataFrame, frequency: DataFrame) -> DataFrame:
     """``score`` of rows (key, frq, bnc): Zipf if known, else negative logs of the ranks, else 0."""
-    joined = rows.join(frequency.select("key", "zipf"), "key", "left")
+    joined = rows.join(unbroadcast(frequency.select("key", "zipf")), "key", "left")
     frq, bnc = F.col("frq").try_cast("double"), F.col("bnc").try_cast("double")
     return joined.withColumn("score", F.when(F.col("zipf") > 0, F.col("zipf")).when(frq > 0, -F.log10(frq + 1)).when(bnc > 0, -10 - F.log10(bnc + 1)).otherwise(0.0))
 
@@ -78,11 +78,11 @@ def group_dump(extracted: DataFrame) -> DataFrame:
     out = extracted.groupBy("key").agg(F.min_by("word", "line").alias("word"), first("pos"), fold_text(ordered("definition")).alias("definition"), first("us_phonetic"), first("uk_phonetic"))
     for c, n in lists.items():
         values = extracted.select("key", "line", F.posexplode(c).alias("at", "v"))
-        out = out.join(ordered_lists(values, ["key"], F.col("v"), F.col("line"), F.col("at"), cap=n, out=c), "key", "left").withColumn(c, F.coalesce(c, F.array().cast(STRINGS)))
+        out = out.join(unbroadcast(ordered_lists(values, ["key"], F.col("v"), F.col("line"), F.col("at"), cap=n, out=c)), "key", "left").withColumn(c, F.coalesce(c, F.array().cast(STRINGS)))
     senses = extracted.select("key", "line", F.posexplode("senses").alias("at", "s")).withColumn("n", F.row_number().over(Window.partitionBy("key").orderBy("line", "at"))).filter(F.col("n") <= CAPS["senses"])
     kept = senses.groupBy("key").agg(F.transform(F.array_sort(F.collect_list(F.struct("n", "s"))), lambda r: r["s"]).alias("senses"))
     none = F.array().cast(extracted.schema["senses"].dataType)
-    out = out.join(kept, "key", "left").withColumn("senses", F.coalesce("senses", none))
+    out = out.join(unbroadcast(kept), "key", "left").withColumn("senses", F.coalesce("senses", none))
     return out.withColumn("phrases", F.filter("related_words", lambda w: w.contains(" ") | w.contains("-")))
 
 
@@ -147,7 +147,7 @@ def published(spark: SparkSession, path: str) -> dict[str, DataFrame]:
 
 def sense_rows(wn: WordNet) -> DataFrame:
     """Entry, sense and synset of every sense."""
-    return wn.entries.select("entry_id", "key", "written", "pos").join(wn.senses, "entry_id").join(wn.synsets.select("synset_id", "ili", F.col("definitions"), F.col("examples").alias("synset_examples")), "synset_id")
+    return wn.entries.select("entry_id", "key", "written", "pos").join(unbroadcast(wn.senses), "entry_id").join(unbroadcast(wn.synsets.select("synset_id", "ili", F.col("definitions"), F.col("examples").alias("synset_examples"))), "synset_id")
 
 
 def targets(wn: WordNet) -> DataFrame:
@@ -160,21 +160,21 @@ def sense_links(wn: WordNet) -> DataFrame:
     """Links between words over sense relations, one row per source key and target."""
     edges = keep_relation_types(wn.sense_relations)
     source = sense_rows(wn).select("key", "sense_id", "sense_order", "entry_id")
-    return source.join(edges, "sense_id").join(targets(wn), F.col("target") == F.col("target_sense")).filter("key <> target_key").withColumn("kind", F.lit(0))
+    return source.join(unbroadcast(edges), "sense_id").join(unbroadcast(targets(wn)), F.col("target") == F.col("target_sense")).filter("key <> target_key").withColumn("kind", F.lit(0))
 
 
 def synset_links(wn: WordNet) -> DataFrame:
     """Links between words over synset relations."""
     edges = keep_relation_types(wn.synset_relations)
     source = sense_rows(wn).select("key", "sense_id", "sense_order", "entry_id", "synset_id")
-    return source.join(edges, "synset_id").join(targets(wn), F.col("target") == F.col("target_synset")).filter("key <> target_key").withColumn("kind", F.lit(1))
+    return source.join(unbroadcast(edges), "synset_id").join(unbroadcast(targets(wn)), F.col("target") == F.col("target_synset")).filter("key <> target_key").withColumn("kind", F.lit(1))
 
 
 def synonyms(wn: WordNet) -> DataFrame:
     """Pairs of words that share a synset."""
     a = sense_rows(wn).select("key", "entry_id", "sense_order", "synset_id")
     b = sense_rows(wn).select("synset_id", F.col("key").alias("target_key"), F.col("written").alias("target_word"), F.col("sense_order").alias("target_order"), F.col("entry_id").alias("target_entry"))
-    return a.join(b, "synset_id").filter("key <> target_key")
+    return a.join(unbroadcast(b), "synset_id").filter("key <> target_key")
 
 
 def own_texts() -> Column:
@@ -192,7 +192,7 @@ def wordnet_patch(wn: WordNet) -> DataFrame:
     place = [F.col(c) for c in ("sense_order", "entry_id", "sense_id", "at")]
     values = lambda c: rows.select("key", "sense_order", "entry_id", "sense_id", F.posexplode(c).alias("at", "v"))
     listed = lambda c, cap, out: ordered_lists(values(c), ["key"], F.col("v"), *place, cap=cap, out=out)
-    base = listed(F.array(map_pos(F.col("pos"))), 8, "pos").join(listed(own_texts(), 24, "definition"), "key", "left").join(listed(F.concat("examples", "synset_examples"), 12, "examples"), "key", "left")
+    base = listed(F.array(map_pos(F.col("pos"))), 8, "pos").join(unbroadcast(listed(own_texts(), 24, "definition")), "key", "left").join(unbroadcast(listed(F.concat("examples", "synset_examples"), 12, "examples")), "key", "left")
     lines = lambda c, by: F.coalesce(F.array_join(c, by), F.lit("")).alias(c)
     empty = F.array().cast(STRINGS)
     base = base.select("key", lines("pos", ", "), lines("definition", "\n"), F.coalesce("examples", empty).alias("examples"))
@@ -206,7 +206,9 @@ def wordnet_patch(wn: WordNet) -> DataFrame:
     near = links.filter(F.col("relation").isin(*RELATED_RELATIONS)).select("key", F.col("o").alias("ord"), F.col("target_word").alias("word"), F.col("target_definition").alias("definition"))
     known = base.select("key", "definition")
     related = resolve_links(near, known).withColumnRenamed("links", "related_entries")
-    out = base.join(sounds, "key", "left").join(same, "key", "left").join(against, "key", "left").join(related, "key", "left")
+    out = base
+    for more in (sounds, same, against, related):
+        out = out.join(unbroadcast(more), "key", "left")
     named = F.coalesce("related_entries", F.array().cast("array<struct<word:string,definition:string>>"))
     return out.select(
         "key", "pos", "definition", "examples", F.coalesce("us_phonetic", F.lit("")).alias("us_phonetic"), F.coalesce("uk_phonetic", F.lit("")).alias("uk_phonetic"),
@@ -227,7 +229,7 @@ def wordnet_senses(wn: WordNet, source: str = "oewn") -> DataFrame:
     typed = ordered_words(links, ["key", "sense_id", "relation"], F.col("target_word"), F.col("kind"), F.col("ord"), F.col("target_entry"), out="words")
     relations = typed.groupBy("key", "sense_id").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("relation", "words")))).alias("relations"))
     same = ordered_words(synonyms(wn), ["key", "synset_id"], F.col("target_word"), F.col("target_order"), F.col("target_entry"), out="synonyms")
-    joined = rows.join(relations, ["key", "sense_id"], "left").join(same, ["key", "synset_id"], "left")
+    joined = rows.join(unbroadcast(relations), ["key", "sense_id"], "left").join(unbroadcast(same), ["key", "synset_id"], "left")
     shown = clean_list(F.concat("examples", "synset_examples"), 40)
     filled = lambda c: F.when(F.size(c) > 0, c)
     extra = F.to_json(F.struct(
@@ -249,10 +251,10 @@ def apply_senses(entries: DataFrame, senses: DataFrame, key: str = "normalized_w
     said = lambda path: F.coalesce(F.get_json_object("s.extra", path), F.lit(""))
     known = entries.select(F.col(key).alias("key"), F.explode("senses").alias("s")).select("key", said("$.source").alias("source"), said("$.synset").alias("synset"), said("$.writtenForm").alias("form"), F.coalesce("s.pos", F.lit("")).alias("pos")).distinct()
     first = senses.groupBy("key", *of).agg(F.min("place").alias("place"), F.min_by("sense", "place").alias("sense"))
-    new = first.join(known, ["key", *of], "left_anti").withColumn("n", F.row_number().over(Window.partitionBy("key").orderBy("place"))).filter(F.col("n") <= cap)
+    new = first.join(unbroadcast(known), ["key", *of], "left_anti").withColumn("n", F.row_number().over(Window.partitionBy("key").orderBy("place"))).filter(F.col("n") <= cap)
     lists = new.groupBy("key").agg(F.transform(F.array_sort(F.collect_list(F.struct("n", F.to_json("sense").alias("sense")))), lambda r: F.from_json(r["sense"], ENTRIES["senses"][len("array<"):-1])).alias("__new"))
-    patched = senses.select("key").distinct().join(lists, "key", "left").withColumnRenamed("key", "__key")
-    joined = entries.join(patched, F.col(key) == F.col("__key"), "left")
+    patched = senses.select("key").distinct().join(unbroadcast(lists), "key", "left").withColumnRenamed("key", "__key")
+    joined = entries.join(unbroadcast(patched), F.col(key) == F.col("__key"), "left")
     none = F.array().cast(ENTRIES["senses"])
     out = {"senses": F.concat(F.coalesce("senses", none), F.coalesce("__new", none).cast(ENTRIES["senses"]))}
     if provenance:
@@ -266,7 +268,7 @@ def apply_patch(entries: DataFrame, patch: DataFrame, key: str = "normalized_wor
     scalars = [c for c in ("pos", "us_phonetic", "uk_phonetic", "definition") if c in entries.columns]
     lists = [c for c in ("synonyms", "antonyms", "examples", "phrases", "related_words") if c in entries.columns]
     p = patch.select(F.col("key").alias("__key"), *[F.col(c).alias(f"p_{c}") for c in scalars + lists])
-    joined = entries.join(p, F.col(key) == F.col("__key"), "left")
+    joined = entries.join(unbroadcast(p), F.col(key) == F.col("__key"), "left")
     filled = {c: fill_empty(F.col(c), F.col(f"p_{c}")) for c in scalars}
     grown = {c: append_capped(F.col(c), F.col(f"p_{c}"), 40) for c in lists}
     hit = F.col("__key").isNotNull()
