@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from wordlake.functions.collect import append_capped, clean_list
 from wordlake.functions.digest import framed
 from wordlake.functions.normalize import blank, norm_key
+from wordlake.operators.joins import unbroadcast
 from wordlake.sources.files import RELATION_FIELDS
 
 # Relations that become related words, in this order.
@@ -101,7 +102,7 @@ def link_candidates(senses: DataFrame, entries: DataFrame) -> DataFrame:
     e = entries.select(F.col("normalized_word").alias("target"), F.col("word").alias("found"), "definition").filter(~blank(F.col("found")) & ~blank(F.col("definition")))
     links = flat_links(senses).select("key", "ord", "word", norm_key(F.col("word")).alias("target")).filter((F.col("target") != F.col("key")) & (F.col("target") != ""))
     part = lambda c: F.col(c).contains(" ") | F.col(c).contains("-")
-    named = links.join(e, "target")
+    named = links.join(unbroadcast(e), "target")
     return named.groupBy("key", "target").agg(F.first("found").alias("word"), F.first("definition").alias("definition"), F.min("ord").alias("ord"), F.min(F.when(part("word") | part("found"), F.col("ord"))).alias("phrase_ord"))
 
 
@@ -115,7 +116,7 @@ def list_candidates(candidates: DataFrame, entries: DataFrame, flat: str, named:
     has = entries.select(F.col("normalized_word").alias("key"), keys_of(F.col(flat), F.col(named)).alias("k"))
     words = has.select("key", F.explode("k.words").alias("target")).distinct()
     known = has.select("key", F.explode(F.arrays_zip(F.col("k.entries").alias("target"), F.transform("k.entries", lambda t: F.array_contains(F.col("k.defined"), t)).alias("defined"))).alias("x")).select("key", "x.*").groupBy("key", "target").agg(F.max("defined").alias("defined"))
-    open_ = candidates.filter(F.col(order).isNotNull()).join(words, ["key", "target"], "left_anti").join(known, ["key", "target"], "left").filter(F.coalesce("defined", F.lit(True)))
+    open_ = candidates.filter(F.col(order).isNotNull()).join(unbroadcast(words), ["key", "target"], "left_anti").join(unbroadcast(known), ["key", "target"], "left").filter(F.coalesce("defined", F.lit(True)))
     place = F.row_number().over(Window.partitionBy("key", F.col("defined").isNotNull()).orderBy(order, "target"))
     rows = F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), "target", "word", "definition")))
     return open_.withColumn("place", place).filter(F.col("place") <= CAP).groupBy("key").agg(F.transform(rows, lambda r: F.struct(r["word"].alias("word"), r["definition"].alias("definition"))).cast(NAMED).alias("c"))
@@ -123,12 +124,12 @@ def list_candidates(candidates: DataFrame, entries: DataFrame, flat: str, named:
 
 def relation_delta(entries: DataFrame, records: DataFrame) -> DataFrame:
     """Delta rows: id, key, related, phrases (named lists), patches (index, fingerprint, sense)."""
-    senses = relation_senses(records).join(entries.select(F.col("normalized_word").alias("key")), "key", "left_semi")
+    senses = relation_senses(records).join(unbroadcast(entries.select(F.col("normalized_word").alias("key"))), "key", "left_semi")
     candidates = link_candidates(senses, entries)
-    joined = entries.join(merged_patches(senses), F.col("normalized_word") == F.col("key"), "inner").drop("key")
+    joined = entries.join(unbroadcast(merged_patches(senses)), F.col("normalized_word") == F.col("key"), "inner").drop("key")
     for name, flat, named, order in (("related", "related_words", "related_entries", "ord"), ("phrases", "phrases", "phrase_entries", "phrase_ord")):
         found = list_candidates(candidates, entries, flat, named, order).select(F.col("key").alias("k"), F.col("c").alias(f"__{name}"))
-        joined = joined.join(found, F.col("normalized_word") == F.col("k"), "left").drop("k").withColumn(f"__{name}_keys", keys_of(F.col(flat), F.col(named)))
+        joined = joined.join(unbroadcast(found), F.col("normalized_word") == F.col("k"), "left").drop("k").withColumn(f"__{name}_keys", keys_of(F.col(flat), F.col(named)))
     room = lambda name, flat, named: paired(F.col(f"__{name}"), flat, named, f"__{name}_keys")["pairs"].alias(name)
     own = F.coalesce("senses", F.array())
 
@@ -146,7 +147,7 @@ def relation_delta(entries: DataFrame, records: DataFrame) -> DataFrame:
 def check_relation_delta(delta: DataFrame, entries: DataFrame) -> DataFrame:
     """(code, example) rows, all that a row breaks: repeated rows, unknown ids, other keys, undefined or repeated words, unknown relations, moved senses."""
     e = entries.select("id", F.col("normalized_word").alias("k"), F.coalesce("senses", F.array()).alias("senses"))
-    joined = delta.join(e, "id", "left")
+    joined = delta.join(unbroadcast(e), "id", "left")
     repeated = delta.groupBy("id").count().filter("count > 1").select(F.lit("duplicate_row").alias("code"), F.col("id").cast("string").alias("example"))
     keys = lambda c: F.transform(c, lambda x: norm_key(x["word"]))
     twice = (F.size(F.array_distinct(keys("related"))) < F.size("related")) | (F.size(F.array_distinct(keys("phrases"))) < F.size("phrases"))
@@ -180,7 +181,7 @@ def apply_relation_delta(entries: DataFrame, delta: DataFrame, id_range: tuple[i
     if bad := check_relation_delta(delta, entries).limit(5).collect():
         raise ValueError(f"delta refused: {bad}")
     d = delta.select(F.col("id").alias("__id"), F.col("related").alias("__r"), F.col("phrases").alias("__p"), F.col("patches").alias("__s"))
-    joined = entries.join(d, F.col("id") == F.col("__id"), "left")
+    joined = entries.join(unbroadcast(d), F.col("id") == F.col("__id"), "left")
     joined = joined.withColumns({f"__{name}_keys": keys_of(F.col(flat), F.col(named)) for name, flat, named in (("r", "related_words", "related_entries"), ("p", "phrases", "phrase_entries"))})
     joined = joined.withColumns({f"__{name}_new": paired(F.col(f"__{name}"), flat, named, f"__{name}_keys") for name, flat, named in (("r", "related_words", "related_entries"), ("p", "phrases", "phrase_entries"))})
 
