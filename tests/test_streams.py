@@ -43,6 +43,20 @@ def test_quota(spark, tmp_path):
     assert [r["admitted"] for r in got.orderBy("id").collect()] == [True, True, False, True, False]
 
 
+def test_quota_calls_python_once_per_share(spark, tmp_path):
+    """Python's work goes by shares of a day; keys of one share, nulls among them, and limits by kind stay apart."""
+    n = 600
+    rows = spark.range(n).select(F.lit("2024-01-01").alias("day"), F.when(F.col("id") % 300 != 7, F.col("id") % 300).alias("client"), F.when(F.col("id") % 2 == 0, "export").otherwise("other").alias("kind"), "id", F.lit(2).alias("amount"), F.timestamp_seconds(F.lit(1_704_067_200) + F.col("id")).alias("ts"))
+    rows.coalesce(1).write.parquet(str(tmp_path / "k"))
+    source = spark.readStream.schema(spark.read.parquet(str(tmp_path / "k")).schema).parquet(str(tmp_path / "k"))
+    ledger = streams.quota_ledger(streams.timed(source), {"export": 3}, other=5, shares=2)
+    assert "__share" in ledger._jdf.queryExecution().analyzed().toString()
+    got = {r.id: r for r in run(ledger, "append", spark, "w6").collect()}
+    assert len(got) == n and all(r.admitted == (i < 300 or i % 2 == 1) for i, r in got.items())
+    assert all((r.client, r.kind) == (None if i % 300 == 7 else i % 300, "export" if i % 2 == 0 else "other") for i, r in got.items())
+    assert all(r.remaining == (1 if i % 2 == 0 else 3 if i < 300 else 1) for i, r in got.items())
+
+
 def test_a_silent_key_is_reported_by_its_timer(spark, tmp_path):
     """No further event of the key comes: the watermark of the others fires its timer."""
     at = lambda *minutes: [pd.Timestamp("2024-01-01") + pd.Timedelta(minutes=m) for m in minutes]

@@ -5,6 +5,7 @@ Event time must be a timestamp with time zone; NTZ columns are cast first.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 
 import pandas as pd
@@ -24,32 +25,38 @@ def attempt_state(stream: DataFrame, keys: list[str], ts: str = "ts", status: st
     return stream.groupBy(*keys).agg(F.max_by(status, ts).alias("status"), F.max(ts).alias("updated_at"), F.count("*").alias("attempts"))
 
 
-def quota_ledger(stream: DataFrame, limits: dict[str, int], keys: tuple[str, ...] = ("day", "client", "kind"), other: int = 0) -> DataFrame:
+def quota_ledger(stream: DataFrame, limits: dict[str, int], keys: tuple[str, ...] = ("day", "client", "kind"), other: int = 0, shares: int = 256) -> DataFrame:
     """Requests (keys, id, amount) with ``admitted`` and ``remaining``; refusals use nothing.
 
-    ``limits`` go by the last key; kinds that it does not name have the limit ``other``.  State is one number per key; it goes when the watermark has passed the key's day.
+    ``limits`` go by the last key; kinds that it does not name have the limit ``other``.  A day's keys
+    are dealt to ``shares``, so that Python is called once per share and not once per key. State is one number per key that has
+    used something, one text per share; it goes when the watermark has passed the share's day.
     """
     names = list(keys)
     types = {f.name: f.dataType.simpleString() for f in stream.schema.fields}
-    schema = ", ".join([*(f"{k} {types[k]}" for k in names), "id long, admitted boolean, remaining long"])
+    named = F.struct(*names)
+    dealt = stream.select(F.col(names[0]).alias("__day"), F.pmod(F.xxhash64(*names), F.lit(shares)).alias("__share"), F.to_json(named).alias("__key"), F.col(names[-1]).alias("__kind"), "id", "amount", "ts")
 
     def step(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
             state.remove()
             return
-        used, limit = (state.get[0] if state.exists else 0), limits.get(key[-1], other)
+        used = json.loads(state.get[0]) if state.exists else {}
         rows = pd.concat(list(frames)).sort_values(["ts", "id"])
         out = []
-        for i, amount in zip(rows["id"], rows["amount"], strict=True):
-            fine = used + amount <= limit
-            used += int(amount) if fine else 0
-            out.append((*key, i, fine, limit - used))
-        state.update((used,))
+        for name, kind, i, amount in zip(rows["__key"], rows["__kind"], rows["id"], rows["amount"], strict=True):
+            so_far, limit = used.get(name, 0), limits.get(kind, other)
+            fine = so_far + amount <= limit
+            if fine:
+                so_far = used[name] = so_far + int(amount)
+            out.append((name, i, fine, limit - so_far))
+        state.update((json.dumps(used),))
         day_end = int((pd.Timestamp(key[0]) + pd.Timedelta(days=1)).timestamp() * 1000)
         state.setTimeoutTimestamp(max(day_end, state.getCurrentWatermarkMs() + 1))
-        yield pd.DataFrame(out, columns=[*names, "id", "admitted", "remaining"])
+        yield pd.DataFrame(out, columns=["__key", "id", "admitted", "remaining"])
 
-    return stream.groupBy(*names).applyInPandasWithState(step, schema, "used long", "append", GroupStateTimeout.EventTimeTimeout)
+    out = dealt.groupBy("__day", "__share").applyInPandasWithState(step, "__key string, id long, admitted boolean, remaining long", "used string", "append", GroupStateTimeout.EventTimeTimeout)
+    return out.withColumn("__key", F.from_json("__key", ", ".join(f"{k} {types[k]}" for k in names))).select("__key.*", "id", "admitted", "remaining")
 
 
 def progress_windows(stream: DataFrame, width: str = "5 minutes", ts: str = "ts", status: str = "status") -> DataFrame:
