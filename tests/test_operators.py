@@ -98,6 +98,11 @@ def test_html_text(spark):
     assert [r[0] for r in pages.select(lookup.html_text("html")).collect()] == ["A & B<", ""]
 
 
+def test_strict_html_text_leaves_broken_references(spark):
+    pages = spark.createDataFrame([("<p>A&amp</p><p>&amp;&am</p>&#65;&#65 &amp;lt; &copy&copy;",)], "html string")
+    assert pages.select(lookup.html_text("html", lenient=False)).first()[0] == "A&amp&&amA&#65 &lt; &copy©"
+
+
 def rows(spark, *values):
     return spark.createDataFrame(values, "id long, a string, b string")
 

@@ -35,19 +35,25 @@ def character(code: Column) -> Column:
     return F.when(code == 0x0D, "\r").when(code.isin(0x81, 0x8D, 0x8F, 0x90, 0x9D), text).when(code.between(0x80, 0x9F), table({str(k): v for k, v in WINDOWS.items()})[code.cast("string")]).when(odd, text).when(gone, "").otherwise(text)
 
 
-def decoded(c: Column) -> Column:
-    """The text with its references decoded once, from left to right; what is none stays."""
+def decoded(c: Column, bare: bool = True) -> Column:
+    """The text with its references decoded once, from left to right; what is none stays.
+
+    Without ``bare`` only those count that end in a semicolon.
+    """
     def first(part: Column) -> Column:
         rest = lambda pattern: F.regexp_replace(part, pattern, "")
         decimal, hexadecimal = F.regexp_extract(part, NUMBER, 1), F.regexp_extract(part, NUMBER, 2)
         plain = lambda digits, n: F.when(F.length(F.ltrim(digits, F.lit("0"))) <= n, digits).otherwise("110000" if n == 8 else str(0x110000))
         number = F.when(decimal != "", plain(decimal, 9).try_cast("long")).otherwise(F.conv(plain(hexadecimal, 8), 16, 10).try_cast("long"))
         named = table(NAMED)[F.regexp_extract(part, NAME, 1)]
-        bare = F.regexp_extract(part, PREFIX, 1)
+        prefix = F.regexp_extract(part, PREFIX, 1)
+        if not bare:
+            whole = NUMBER.removesuffix("?")
+            return F.when(part.rlike(whole), F.concat(character(number), rest(whole))).when(part.rlike(NAME) & named.isNotNull(), F.concat(named, rest(NAME))).otherwise(part)
         return (
             F.when(part.rlike(NUMBER), F.concat(character(number), rest(NUMBER)))
             .when(part.rlike(NAME) & named.isNotNull(), F.concat(named, rest(NAME)))
-            .when(bare != "", F.concat(table({k: html.entities.html5[k] for k in BARE})[bare], rest(PREFIX)))
+            .when(prefix != "", F.concat(table({k: html.entities.html5[k] for k in BARE})[prefix], rest(PREFIX)))
             .otherwise(part)
         )
 

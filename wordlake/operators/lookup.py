@@ -102,15 +102,15 @@ def title_variants(term: Column) -> Column:
     return F.when(edge, F.array(term)).otherwise(F.array_distinct(F.array(term, twin)))
 
 
-def html_text(html: Column | str) -> Column:
+def html_text(html: Column | str, lenient: bool = True) -> Column:
     """Text of a page: no scripts, styles, comments or tags (these part no words), references decoded, white space collapsed.
 
-    References are decoded twice, so what was escaped twice is plain, too.
+    References are decoded twice, so what was escaped twice is plain, too; without ``lenient`` once, and only those that end in a semicolon.
     """
     out = F.coalesce(F.col(html) if isinstance(html, str) else html, F.lit(""))
     for pattern in (r"(?is)<(script|style)\b[^>]*>.*?(?:</\1\s*>|\z)", r"(?s)<!--.*?-->", r"(?s)</?[A-Za-z!?][^>]*>"):
         out = F.regexp_replace(out, pattern, "")
-    return collapse(decoded(decoded(out)))
+    return collapse(decoded(decoded(out)) if lenient else decoded(out, bare=False))
 
 
 def copied_runs(left: DataFrame, right: DataFrame, n: int = 8) -> DataFrame:
