@@ -183,10 +183,11 @@ def own_texts() -> Column:
     return F.transform(own, lambda d: d["text"])
 
 
-def wordnet_patch(wn: WordNet) -> DataFrame:
+def wordnet_patch(wn: WordNet, target_order: bool = True) -> DataFrame:
     """Per key what WordNet says: pos, phonetics, definitions, examples, synonyms, antonyms, links.
 
-    Every list is cut to its cap before it is collected, so no key gathers more.
+    Every list is cut to its cap before it is collected, so no key gathers more.  Synonyms of one
+    sense stand by their own senses' order and then by entry; without ``target_order`` by entry alone.
     """
     rows = sense_rows(wn)
     place = [F.col(c) for c in ("sense_order", "entry_id", "sense_id", "at")]
@@ -199,7 +200,7 @@ def wordnet_patch(wn: WordNet) -> DataFrame:
     sound = wn.entries.select("key", "entry_id", F.posexplode("sounds").alias("ord", "s"))
     variety = lambda names: F.coalesce(F.min_by("s._VALUE", F.when(F.lower(F.col("s._variety")).isin(*names) & ~blank(F.col("s._VALUE")), F.struct("entry_id", "ord"))), F.lit(""))
     sounds = sound.groupBy("key").agg(variety(["us", "en-us", "ga"]).alias("us_phonetic"), variety(["gb", "uk", "en-gb", "rp"]).alias("uk_phonetic"))
-    same = ordered_lists(synonyms(wn), ["key"], F.col("target_word"), F.col("sense_order"), F.col("target_order"), F.col("target_entry"), out="synonyms")
+    same = ordered_lists(synonyms(wn), ["key"], F.col("target_word"), F.col("sense_order"), *([F.col("target_order")] if target_order else []), F.col("target_entry"), out="synonyms")
     columns = ["key", "kind", "sense_order", "ord", "target_entry", "relation", "target_word", "target_definition"]
     links = sense_links(wn).select(*columns).unionByName(synset_links(wn).select(*columns)).withColumn("o", F.struct("kind", "sense_order", "ord", "target_entry"))
     against = ordered_lists(links.filter("relation = 'antonym'"), ["key"], F.col("target_word"), F.col("o"), out="antonyms")
