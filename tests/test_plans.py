@@ -298,3 +298,18 @@ def test_terms_are_judged_once_per_row(spark):
     kept = {r.id: (r.term_key, r.kind, r.evidence) for r in pool.collect()}
     assert kept == {**{i: (w, "word", "") for i, w in enumerate(TOOLS, 1)}, 12: ("two words", "phrase", "kaikki-entry")}
     assert {r.id: r.reason for r in refused.collect()} == {9: "duplicate_term_key", 10: "duplicate_term_key", 11: "unsupported_punctuation", 13: "duplicate_term_key", 14: "unsupported_punctuation"}
+
+
+def test_wordnet_patch_where_first_and_second_senses_share_synsets(spark, tmp_path):
+    """Part numbers from 750,000 on have first senses in the synsets that the second senses of the first parts are in."""
+    import duckdb
+
+    from wordlake.queries.jobs import QUERIES, SQL
+
+    part = spark.range(40).select((F.col("id") % 20 + F.when(F.col("id") < 20, 0).otherwise(750_000)).alias("p_partkey"), F.concat(F.lit("name "), "id").alias("p_name"))
+    part.coalesce(1).write.parquet(str(tmp_path / "part.parquet"))
+    c = duckdb.connect()
+    c.sql(f"create view part as select * from read_parquet('{tmp_path}/part.parquet/*.parquet')")
+    want = c.sql(f"select key, synonyms from ({SQL['wordnet_patch']})").fetchall()
+    assert sorted(map(tuple, QUERIES["wordnet_patch"](spark, str(tmp_path)).select("key", "synonyms").collect())) == sorted(want)
+    assert any("part 7500" in synonyms and not key.startswith("part 7500") for key, synonyms in want)
