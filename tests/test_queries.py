@@ -6,6 +6,7 @@ import os
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 from tests.conftest import SF
 from wordlake.queries import QUERIES, SQL
@@ -45,3 +46,19 @@ def test_oracle(spark, duck, name):
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - set(SQL)))
 def test_runs(spark, name):
     assert QUERIES[name](spark, SF).count() > 0
+
+
+def test_global_rank_of_nulls_and_ties(spark, tmp_path):
+    """Nulls stand last as in the SQL, and lines that its order leaves tied get the same ranks however they are dealt."""
+    lines = spark.read.parquet(f"{SF}/lineitem.parquet").limit(40)
+    k = F.col("l_partkey")
+    lines = lines.withColumns({"l_orderkey": F.when(k % 3 > 0, k % 5), "l_linenumber": F.when(k % 4 > 0, 1), "l_extendedprice": F.when(k % 7 > 0, k % 2 + 0.5)}).localCheckpoint()
+    found = []
+    for n in (1, 3):
+        lines.repartition(n, "l_suppkey").write.parquet(f"{tmp_path}/{n}/lineitem.parquet")
+        found.append(sorted(QUERIES["global_rank"](spark, f"{tmp_path}/{n}").collect(), key=lambda r: r["rank"]))
+    assert found[0] == found[1]
+    order = [(r["l_extendedprice"], r["l_orderkey"], r["l_linenumber"]) for r in found[0]]
+    c = duckdb.connect()
+    c.sql(f"create view lineitem as select * from read_parquet('{tmp_path}/3/lineitem.parquet/*.parquet')")
+    assert order == c.sql(f"select l_extendedprice, l_orderkey, l_linenumber from ({SQL['global_rank']}) order by rank").fetchall()

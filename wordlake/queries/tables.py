@@ -13,8 +13,14 @@ from wordlake.streaming import streams
 
 
 def global_rank(spark: SparkSession, sf: str) -> DataFrame:
-    """All columns of all order lines, and their rank by price."""
-    return rank.global_rank(table(spark, sf, "lineitem"), [F.desc("l_extendedprice"), F.asc("l_orderkey"), F.asc("l_linenumber")])
+    """All columns of all order lines, and their rank by price.
+
+    Nulls come last, as in its SQL; lines that its order leaves tied stand by their other columns, so the ranks are the same in every run.
+    """
+    lines = table(spark, sf, "lineitem")
+    order = ["l_orderkey", "l_linenumber"]
+    order += [c for c in lines.columns if c not in order and c != "l_extendedprice"]
+    return rank.global_rank(lines, [F.desc("l_extendedprice"), *[F.asc_nulls_last(c) for c in order]])
 
 
 def zigzag_order(spark: SparkSession, sf: str) -> DataFrame:
