@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import os
 import random
 import re
 import zlib
@@ -555,3 +556,23 @@ def test_queries_against_sql(spark):
 
 def test_digest_is_of_the_kept_words():
     assert hashlib.sha256(b"").hexdigest().startswith("e3b0c442")
+
+
+def test_near_duplicates_leave_few_shuffle_files(spark):
+    """The files of finished steps and rounds go while the job still runs."""
+    import time
+
+    def shuffles():
+        top = spark.conf.get("spark.local.dir")
+        return {n.split("_")[1] for _, _, names in os.walk(top) for n in names if n.startswith("shuffle_")}
+
+    words = [f"w{i}" for i in range(60)]
+    docs = table(spark, [(i, " ".join(words[i % 7 : 50 + i % 7])) for i in range(40)])
+    before = shuffles()
+    found = near_dup.near_duplicates(docs)
+    for _ in range(50):
+        if len(left := shuffles() - before) <= 12:
+            break
+        time.sleep(0.2)
+    assert len(left) <= 12
+    assert found.count() == 40

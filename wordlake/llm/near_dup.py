@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wordlake.llm.common import U64, bit_table, first_words, gram_hashes, is_set, joined_words, mix, pieces, utf8, word_bounds, word_keys
-from wordlake.operators.lineage import cut_lineage
+from wordlake.operators.lineage import cut_lineage, stored
 
 CHUNK_BYTES = 1 << 20
 #: Nodes that are made of a text's digest, not of a doc_id, begin here.
@@ -164,7 +164,7 @@ def text_classes(sketch: DataFrame, carried: tuple[str, ...] = ("n_shingles", "k
     The node is the id where no other sequence has it, else a number above all doc_ids that is
     made of the digest: so every sequence has a node of its own.
     """
-    classes = cut_lineage(sketch.filter("n_shingles > 0").groupBy("copy").agg(F.min("doc_id").alias("id"), *[F.first(c).alias(c) for c in carried]))
+    classes = stored(sketch.filter("n_shingles > 0").groupBy("copy").agg(F.min("doc_id").alias("id"), *[F.first(c).alias(c) for c in carried]))
     clash = classes.filter(F.col("id").isNotNull()).groupBy("id").count().filter("count > 1").select("id", F.lit(True).alias("clash"))
     own = F.when(F.col("clash").isNull(), F.col("id"))
     return classes.join(clash, "id", "left").withColumn("node", F.coalesce(own, F.lit(HASHED) + F.pmod(F.xxhash64("copy"), F.lit(HASHED)))).drop("clash")
@@ -265,7 +265,7 @@ def components(links: DataFrame) -> DataFrame:
     """
     e = contracted(links.select(F.greatest("leaf", "hub").alias("u"), F.least("leaf", "hub").alias("v")).filter("u <> v"))
     while True:
-        e = cut_lineage(contracted(e, "u"))
+        e = stored(contracted(e, "u"))
         up = e.select(F.col("u").alias("v"), F.col("v").alias("w"))
         jumped = e.join(up, "v").select("u", F.col("w").alias("v"))
         if jumped.isEmpty():
@@ -346,45 +346,45 @@ def node_texts(docs: DataFrame, marks: DataFrame) -> DataFrame:
     only = bit_table(marks.select(bit.alias("bit")), COPY_BITS)
     rows = with_copy(docs.select(F.col("doc_id").cast("long"), "text"), only).withColumnRenamed("__copy", "copy")
     mine = rows.join(marks.select("copy", "id", "node"), (rows["copy"] == marks["copy"]) & rows["doc_id"].eqNullSafe(marks["id"]))
-    return cut_lineage(mine.groupBy("node").agg(F.first("text").alias("text")))
+    return stored(mine.groupBy("node").agg(F.first("text").alias("text")))
 
 
 def linked_classes(docs: DataFrame, sketch: DataFrame, shingle: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """The classes of equal word sequences, and (node, component) of those that are not their component's least."""
-    classes = cut_lineage(text_classes(sketch.drop("keys"), ("n_shingles", "bits")))
+    classes = stored(text_classes(sketch.drop("keys"), ("n_shingles", "bits")))
     buckets = class_keys(sketch, classes)
     hubs = buckets.groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("last")).filter("hub < last").select("key", "hub")
-    members = cut_lineage(buckets.join(hubs, "key"))
+    members = stored(buckets.join(hubs, "key"))
     nodes = members.select("node").distinct()
-    marks = cut_lineage(classes.join(nodes, "node", "left_semi").select("node", "copy", "id", "n_shingles", "bits"))
+    marks = stored(classes.join(nodes, "node", "left_semi").select("node", "copy", "id", "n_shingles", "bits"))
     texts = node_texts(docs, marks)
     # each leaf's nearest hub first: most leaves need no other
     stars = hub_edges(members)
-    checked = cut_lineage(near_enough(stars.groupBy("leaf").agg(F.max_by("hub", F.struct("shared", -F.col("hub"))).alias("hub")), marks, percent))
-    links = cut_lineage(confirmed(checked, texts, shingle, percent))
+    checked = stored(near_enough(stars.groupBy("leaf").agg(F.max_by("hub", F.struct("shared", -F.col("hub"))).alias("hub")), marks, percent))
+    links = stored(confirmed(checked, texts, shingle, percent))
     found = components(links)
     unsure = mixed(members.select("key", "node"), found).select("node").distinct()
-    left = cut_lineage(rare_prefixes(texts.join(unsure, "node", "left_semi"), shingle, percent))
+    left = stored(rare_prefixes(texts.join(unsure, "node", "left_semi"), shingle, percent))
     while True:
-        now = cut_lineage(mixed(left, found).join(marks.select("node", "bits"), "node"))
+        now = stored(mixed(left, found).join(marks.select("node", "bits"), "node"))
         if now.isEmpty():
             return classes, found
         order = Window.partitionBy("key").orderBy("own", "component", "node")
-        hubs = cut_lineage(now.withColumn("turn", F.row_number().over(order)).filter(F.col("turn") <= HUBS).select("key", F.col("node").alias("hub"), F.col("component").alias("of"), F.col("size").alias("hub_size"), F.col("place").alias("hub_place"), F.col("bits").alias("hub_bits")))
+        hubs = stored(now.withColumn("turn", F.row_number().over(order)).filter(F.col("turn") <= HUBS).select("key", F.col("node").alias("hub"), F.col("component").alias("of"), F.col("size").alias("hub_size"), F.col("place").alias("hub_place"), F.col("bits").alias("hub_bits")))
         pairs = now.join(hubs, "key").filter((F.col("component") != F.col("of")) & possible(percent)).select(F.greatest("node", "hub").alias("leaf"), F.least("node", "hub").alias("hub")).distinct()
         done = checked.select(F.greatest("leaf", "hub").alias("leaf"), F.least("leaf", "hub").alias("hub"))
-        fresh = cut_lineage(pairs.join(done, ["leaf", "hub"], "left_anti"))
-        more = cut_lineage(confirmed(fresh, texts, shingle, percent))
+        fresh = stored(pairs.join(done, ["leaf", "hub"], "left_anti"))
+        more = stored(confirmed(fresh, texts, shingle, percent))
         if not more.isEmpty():
-            links = cut_lineage(links.unionByName(more))
+            links = stored(links.unionByName(more))
             found = components(links)
-        checked = cut_lineage(checked.unionByName(fresh))
+        checked = stored(checked.unionByName(fresh))
         left = now.join(hubs.select("key", F.col("hub").alias("node")), ["key", "node"], "left_anti").select("node", "key", "size", "place")
 
 
 def labelled(docs: DataFrame, shingle: int, percent: int, bands: int, rows: int) -> DataFrame:
     """Per row of docs: doc_id, copy, n_shingles, component (a node), node, id (its class's least doc_id), component_id."""
-    sketch = cut_lineage(sketches(docs, shingle, bands, rows))
+    sketch = stored(sketches(docs, shingle, bands, rows))
     return with_components(sketch, *linked_classes(docs, sketch, shingle, percent))
 
 
