@@ -313,3 +313,19 @@ def test_wordnet_patch_where_first_and_second_senses_share_synsets(spark, tmp_pa
     want = c.sql(f"select key, synonyms from ({SQL['wordnet_patch']})").fetchall()
     assert sorted(map(tuple, QUERIES["wordnet_patch"](spark, str(tmp_path)).select("key", "synonyms").collect())) == sorted(want)
     assert any("part 7500" in synonyms and not key.startswith("part 7500") for key, synonyms in want)
+
+
+def test_selection_judges_no_more_ranks_than_it_needs(spark, monkeypatch):
+    words = [f"{a} {b}" if i % 3 == 0 else f"{a}{b}" for i, (a, b) in enumerate((a, b) for a in TOOLS for b in TOOLS)]
+    rows = entries(spark, *[(i + 1, w, {"frequency_rank": i // 2 + 1, "sources": ["kaikki"]}) for i, w in enumerate(words)])
+    whole, _ = select.candidate_pool(rows)
+    want = sorted((r["id"], r["stream_rank"]) for r in select.stream_rank(whole, "kind", [F.col("frequency_rank"), F.col("id")], 4).collect())
+    judged, pool = [], select.candidate_pool
+    monkeypatch.setattr(select, "candidate_pool", lambda e: (judged.append(e.count()), pool(e))[1])
+    assert len(want) == 8
+    assert len(select.select(rows, 4, 2).entries.collect()) == 4
+    assert max(judged) <= len(words)
+    for reach, counts in ((2, [4, 64]), (8, [16]), (100, [64])):
+        judged.clear()
+        assert sorted((r["id"], r["stream_rank"]) for r in select.first_of_kinds(rows, 4, reach).collect()) == want
+        assert judged == counts
