@@ -129,3 +129,17 @@ def test_exact_union(spark):
     deltas = spark.createDataFrame([(1, 1), (2, 0), (3, 0), (4, 0), (4, 0), (9, 1)], "id long, owner int")
     got = {(r["code"], r["example"]) for r in sets.check_exact_union(expected, deltas, "id", "owner", 2).collect()}
     assert got == {("wrong_owner", "3"), ("overlap", "4"), ("extra", "9"), ("missing", "5")}
+
+
+def test_chunks_need_no_python(spark):
+    """The expression equals the plain loop on odd white space, long words, characters of four bytes and empty texts; its plan calls no Python."""
+    import random
+
+    rng = random.Random(5)
+    signs = " \n\t\r  　\x1c\x85​" + "abé中\U0001f600" * 4
+    texts = [None, "", " \n ", "x" * 25, " a" * 30, "\U0001f600" * 23, *("".join(rng.choice(signs) for _ in range(rng.randrange(90))) for _ in range(400))]
+    df = spark.createDataFrame(list(enumerate(texts)), "i long, t string")
+    for limit in (1, 7, 10):
+        found = lookup.chunk_text(df, "i", "t", limit)
+        assert sorted(map(tuple, found.collect())) == [(i, n, c) for i, t in enumerate(texts) for n, c in enumerate(lookup.chunks(t, limit))]
+    assert "Python" not in found._jdf.queryExecution().executedPlan().toString()

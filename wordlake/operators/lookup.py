@@ -130,6 +130,10 @@ def copied_runs(left: DataFrame, right: DataFrame, n: int = 8) -> DataFrame:
     return mine.join(other, "run").groupBy("left_id", "right_id").agg(F.count("*").alias("n_runs"))
 
 
+#: What Python's ``strip`` takes away.
+WHITE = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
+
+
 def chunks(text: str | None, limit: int) -> list[str]:
     """Ordered pieces of at most ``limit`` characters, cut at the last space, newline or tab."""
     rest, out = (text or "").strip(), []
@@ -142,12 +146,12 @@ def chunks(text: str | None, limit: int) -> list[str]:
 
 
 def chunk_text(df: DataFrame, id_col: str, text: str, limit: int = 480) -> DataFrame:
-    """(id, pos, chunk) rows."""
-    @F.pandas_udf("array<string>")
-    def cut(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: chunks(t, limit))
-
-    return df.select(F.col(id_col).alias("id"), F.posexplode(cut(F.col(text))).alias("pos", "chunk"))
+    """(id, pos, chunk) rows: ``chunks`` as one expression, so no batch of long texts goes to Python."""
+    bare = lambda c: F.btrim(c, F.lit(WHITE))
+    # the rest if it fits, else up to the last space that a piece can end before, else cut hard
+    piece = rf"(?s)(.{{1,{limit}}}+\z|.{{1,{limit}}}(?=[ \n\t])|.{{{limit}}})[{WHITE}]*+"
+    found = F.regexp_extract_all(bare(F.coalesce(F.col(text), F.lit(""))), F.lit(piece), F.lit(1))
+    return df.select(F.col(id_col).alias("id"), F.posexplode(F.transform(found, bare)).alias("pos", "chunk"))
 
 
 def reassemble(chunks_df: DataFrame, expected: DataFrame, joiner: str = "\n") -> DataFrame:
