@@ -62,3 +62,13 @@ def test_global_rank_of_nulls_and_ties(spark, tmp_path):
     c = duckdb.connect()
     c.sql(f"create view lineitem as select * from read_parquet('{tmp_path}/3/lineitem.parquet/*.parquet')")
     assert order == c.sql(f"select l_extendedprice, l_orderkey, l_linenumber from ({SQL['global_rank']}) order by rank").fetchall()
+
+
+def test_synonym_self_join_deals_orders_by_their_number(spark, duck, monkeypatch):
+    from wordlake.queries import tables
+
+    monkeypatch.setattr(tables, "SHARE", 100, raising=False)
+    found = QUERIES["synonym_self_join"](spark, SF)
+    n = duck.sql("select count(*) from lineitem").fetchall()[0][0]
+    assert "hashpartitioning(k#" in (plan := found._jdf.queryExecution().executedPlan().toString()) and f", {1 + n // 100}), REPARTITION_BY_NUM" in plan
+    assert sorted(map(tuple, found.collect())) == sorted(duck.sql(SQL["synonym_self_join"]).fetchall())

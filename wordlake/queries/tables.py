@@ -12,6 +12,10 @@ from wordlake.queries.base import table
 from wordlake.streaming import streams
 
 
+#: Order lines that a task pairs at once.
+SHARE = 250_000
+
+
 def global_rank(spark: SparkSession, sf: str) -> DataFrame:
     """All columns of all order lines, and their rank by price.
 
@@ -78,8 +82,12 @@ def overlay_upsert(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def synonym_self_join(spark: SparkSession, sf: str) -> DataFrame:
-    """Pairs of different parts that share an order, with the number of such orders."""
-    a = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("k"), F.col("l_partkey").alias("a")).distinct()
+    """Pairs of different parts that share an order, with the number of such orders.
+
+    Orders are dealt once, in shares of about ``SHARE`` lines, so what a task sorts, pairs and counts does not grow with the table.
+    """
+    lines = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("k"), F.col("l_partkey").alias("a"))
+    a = lines.repartition(1 + lines.count() // SHARE, "k").distinct()
     b = a.select("k", F.col("a").alias("b"))
     return a.join(b, "k").filter("a < b").groupBy("a", "b").agg(F.count("*").alias("n_orders"))
 
