@@ -72,3 +72,27 @@ def test_synonym_self_join_deals_orders_by_their_number(spark, duck, monkeypatch
     n = duck.sql("select count(*) from lineitem").fetchall()[0][0]
     assert "hashpartitioning(k#" in (plan := found._jdf.queryExecution().executedPlan().toString()) and f", {1 + n // 100}), REPARTITION_BY_NUM" in plan
     assert sorted(map(tuple, found.collect())) == sorted(duck.sql(SQL["synonym_self_join"]).fetchall())
+
+
+def test_relation_expand_deals_lines_by_their_number(spark, duck, monkeypatch):
+    from wordlake.queries import tables
+
+    monkeypatch.setattr(tables, "SHARE", 100)
+    found = QUERIES["relation_expand"](spark, SF)
+    n = duck.sql("select count(*) from lineitem").fetchall()[0][0]
+    assert "hashpartitioning(l_orderkey#" in (plan := found._jdf.queryExecution().executedPlan().toString()) and plan.count(f", {1 + n // 100}), REPARTITION_BY_NUM") >= 3
+    assert sorted(map(tuple, found.collect())) == sorted(duck.sql(SQL["relation_expand"]).fetchall())
+
+
+def test_relation_expand_counts_parts_that_stand_twice(spark, tmp_path):
+    c = duckdb.connect()
+    for t in ("region", "nation", "customer", "part", "orders", "lineitem"):
+        p = f"{SF}/{t}.parquet"
+        c.sql(f"create table {t} as select * from read_parquet('{p}{'/*.parquet' if os.path.isdir(p) else ''}')")
+    c.sql("insert into part select * from part where p_partkey % 3 = 0")
+    c.sql("insert into part select * replace ('other' as p_brand) from part where p_partkey % 5 = 0")
+    c.sql("update lineitem set l_partkey = null where l_linenumber = 3")
+    c.sql("update lineitem set l_extendedprice = null where l_linenumber = 2")
+    for t in ("region", "nation", "customer", "part", "orders", "lineitem"):
+        c.sql(f"copy {t} to '{tmp_path}/{t}.parquet' (format parquet)")
+    assert sorted(map(tuple, QUERIES["relation_expand"](spark, str(tmp_path)).collect())) == sorted(c.sql(SQL["relation_expand"]).fetchall())
