@@ -105,3 +105,34 @@ def test_references_as_the_standard_library_decodes_them(spark):
     got = {r.i: r.t for r in spark.createDataFrame(rows, "i int, t string").select("i", decoded(F.col("t")).alias("t")).collect()}
     wrong = {t: (got[i], html.unescape(t)) for i, t in rows if t is not None and got[i] != html.unescape(t) and not any(0xD800 <= ord(c) < 0xE000 for c in html.unescape(t))}
     assert not wrong and got[9901] is None
+
+
+def test_fold_text_is_the_plain_fold_and_linear(spark):
+    import random
+    import time
+
+    from pyspark.sql import functions as F
+
+    from wordlake.functions.collect import fold_text
+
+    def plain(values):
+        text = ""
+        for v in values:
+            item, line = " ".join((v or "").split()), " ".join(text.split())
+            text = line if item in ("", line) else f"{line}\n{item}" if line else item
+        return text
+
+    rng = random.Random(3)
+    rows = [[rng.choice(["a", "b", "a b", "b a", "a a", "a b a", "a a a", "ü", " ", None, "a  b a b"]) for _ in range(rng.randint(0, 9))] for _ in range(1500)]
+    rows += [["x"] * 50, [], [None], ["a", "a", "b", "a b", "a b", "", "c", "a b c", "d"], ["a", "b", ""]]
+    df = spark.createDataFrame([(i, r) for i, r in enumerate(rows)], "i int, v array<string>")
+    found = dict(df.select("i", fold_text(F.col("v"))).collect())
+    assert [found[i] for i in range(len(rows))] == [plain(r) for r in rows]
+
+    def seconds(n):
+        began = time.time()
+        spark.range(1).select(F.length(fold_text(F.transform(F.sequence(F.lit(1), F.lit(n)), lambda i: F.concat(F.lit("some definition of this number "), i.cast("string")))))).collect()
+        return time.time() - began
+
+    seconds(100)
+    assert seconds(20_000) < 5

@@ -42,17 +42,38 @@ def collect_ordered(value: Column, *order: Column, cap: int = 40) -> Column:
 
 
 def fold_text(values: Column) -> Column:
-    """Left fold of texts: each step collapses what is there to one line and adds a line unless equal."""
-    # what is held: one collapsed line, and the line added last
-    state = lambda line, last: F.struct(line.alias("line"), last.alias("last"))
-    none = F.lit("")
+    """Left fold of texts: each step collapses what is there to one line and adds a line unless equal.
 
-    def step(held: Column, item: Column) -> Column:
-        a = F.when(held["last"] == "", held["line"]).otherwise(F.concat(held["line"], F.lit(" "), held["last"]))
-        return F.when((item == "") | (a == item), state(a, none)).when(a == "", state(item, none)).otherwise(state(a, item))
-
-    texts = F.transform(values, lambda v: F.coalesce(collapse(v), none))
-    return F.aggregate(texts, state(none, none), step, lambda h: F.when(h["last"] == "", h["line"]).otherwise(F.concat(h["line"], F.lit("\n"), h["last"])))
+    Only the line's length is carried along: it is put together where a text is as long as it, and in
+    the end, so that the work grows with the texts and not with their square.
+    """
+    none, space = F.lit(""), F.lit(" ")
+    let = lambda value, body: F.get(F.transform(F.array(value), body), F.lit(0))
+
+    def fold(texts: Column) -> Column:
+        # what is held: the line of the first ``upto`` texts, texts seen, bytes of the whole line, whether the last text was added to a line
+        state = lambda line, upto, seen, size, added: F.struct(line.alias("line"), upto.alias("upto"), seen.alias("seen"), size.alias("size"), added.alias("added"))
+        no, yes = F.lit(False), F.lit(True)
+
+        def whole(s: Column, seen: Column) -> Column:
+            rest = F.filter(F.slice(texts, s["upto"] + 1, F.greatest(seen - s["upto"], F.lit(0))), lambda x: x != "")
+            return F.when(F.size(rest) == 0, s["line"]).when(s["line"] == "", F.array_join(rest, " ")).otherwise(F.concat(s["line"], space, F.array_join(rest, " ")))
+
+        def step(s: Column, item: Column) -> Column:
+            seen, more = s["seen"] + 1, s["size"] + 1 + F.octet_length(item)
+            line = F.when(s["size"] == F.octet_length(s["line"]), s["line"]).otherwise(whole(s, s["seen"]))
+            compared = let(line, lambda a: F.when(a == item, state(a, seen, seen, s["size"], no)).otherwise(state(a, s["seen"], seen, more, yes)))
+            return (
+                F.when(item == "", state(s["line"], s["upto"], seen, s["size"], no))
+                .when(s["size"] == 0, state(none, s["upto"], seen, F.octet_length(item), no))
+                .when(s["size"] == F.octet_length(item), compared)
+                .otherwise(state(s["line"], s["upto"], seen, more, yes))
+            )
+
+        done = lambda s: F.when(s["added"], F.concat(whole(s, s["seen"] - 1), F.lit("\n"), F.element_at(texts, s["seen"]))).otherwise(whole(s, s["seen"]))
+        return F.aggregate(texts, state(none, F.lit(0), F.lit(0), F.lit(0), no), step, done)
+
+    return let(F.transform(values, lambda v: F.coalesce(collapse(v), none)), fold)
 
 
 def first_non_empty(value: Column, *order: Column) -> Column:

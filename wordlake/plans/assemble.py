@@ -11,6 +11,7 @@ from wordlake.functions.normalize import RELATED_RELATIONS, blank, fill_empty, k
 from wordlake.functions.overlay import is_object, put_members
 from wordlake.operators.aggregates import dedupe
 from wordlake.operators.joins import resolve_links, unbroadcast
+from wordlake.operators.lineage import written
 from wordlake.operators.rank import global_rank, top_n
 from wordlake.plans import contract
 from wordlake.schema import ENTRIES
@@ -71,8 +72,9 @@ def group_dump(extracted: DataFrame) -> DataFrame:
     """One row per key: lists united in line order under one cap, definitions folded.
 
     Lists and senses are cut to their caps before they are collected; a definition is all that the
-    key's records say, so it grows with them.
+    key's records say, so it grows with them.  The records are stored once, as every list reads them.
     """
+    extracted = written(extracted, "dump-records")
     lists = {"examples": CAPS["examples"], "synonyms": 40, "antonyms": 40, "related_words": 40}
     first = lambda c: F.coalesce(F.min_by(c, F.when(~blank(F.col(c)), F.col("line"))), F.lit("")).alias(c)
     out = extracted.groupBy("key").agg(F.min_by("word", "line").alias("word"), first("pos"), fold_text(ordered("definition")).alias("definition"), first("us_phonetic"), first("uk_phonetic"))
