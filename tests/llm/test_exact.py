@@ -576,3 +576,23 @@ def test_near_duplicates_leave_few_shuffle_files(spark):
         time.sleep(0.2)
     assert len(left) <= 12
     assert found.count() == 40
+
+
+def test_freed_memory_is_given_back():
+    import re
+
+    import pyarrow as pa
+
+    from wordlake.llm.common import pieces
+
+    def resident():
+        with open("/proc/self/smaps_rollup") as f:
+            return int(re.search(r"Rss:\s+(\d+)", f.read())[1]) // 1024
+
+    held = [b"x" * 100_000 for _ in range(2000)]
+    last = held[-1]
+    del held
+    before = resident()
+    batch = pa.record_batch([pa.array(["a b", None])], names=["text"])
+    assert sum(p.num_rows for p in pieces(iter([batch]), "text", 1)) == 2
+    assert before - resident() > 100 and len(last) == 100_000

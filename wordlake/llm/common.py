@@ -6,6 +6,7 @@ boundaries and 64-bit word hashes without a Python loop over words.
 
 from __future__ import annotations
 
+import ctypes
 import hashlib
 from collections.abc import Iterator
 
@@ -60,8 +61,21 @@ def utf8(column: pa.Array) -> list[bytes]:
     return [x or b"" for x in column.cast(pa.large_binary()).to_pylist()]
 
 
+def give_back() -> None:
+    """Return freed memory to the system: workers serve one task after another, and what the allocators
+    keep of a task's arrays would stand beside the executor's own memory in all steps that follow."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of glibc
+    if trim is not None:
+        trim(0)
+
+
 def pieces(batches: Iterator[pa.RecordBatch], column: str, limit: int) -> Iterator[pa.RecordBatch]:
-    """Slices of the batches whose texts in ``column`` hold about ``limit`` bytes, one row at least."""
+    """Slices of the batches whose texts in ``column`` hold about ``limit`` bytes, one row at least.
+
+    Memory that was freed before is given back at the task's begin and end.
+    """
+    give_back()
     for batch in batches:
         sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
         at, held = 0, 0
@@ -72,6 +86,7 @@ def pieces(batches: Iterator[pa.RecordBatch], column: str, limit: int) -> Iterat
             held += n
         if at < batch.num_rows:
             yield batch.slice(at)
+    give_back()
 
 
 def powers(base: np.uint64, n: int, known: dict = {}) -> tuple[np.ndarray, np.ndarray]:  # noqa: B006
