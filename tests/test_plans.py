@@ -329,3 +329,12 @@ def test_selection_judges_no_more_ranks_than_it_needs(spark, monkeypatch):
         judged.clear()
         assert sorted((r["id"], r["stream_rank"]) for r in select.first_of_kinds(rows, 4, reach).collect()) == want
         assert judged == counts
+
+
+def test_relation_delta_parses_the_dump_once(spark):
+    from tests.conftest import SF
+    from wordlake.plans import relations
+    from wordlake.queries import jobs
+
+    delta = relations.relation_delta(*jobs.relation_inputs(spark, SF))
+    assert "from_json" not in delta._jdf.queryExecution().optimizedPlan().toString()

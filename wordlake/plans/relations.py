@@ -14,6 +14,7 @@ from wordlake.functions.collect import append_capped, clean_list
 from wordlake.functions.digest import framed
 from wordlake.functions.normalize import blank, norm_key
 from wordlake.operators.joins import unbroadcast
+from wordlake.operators.lineage import written
 from wordlake.sources.files import RELATION_FIELDS
 
 # Relations that become related words, in this order.
@@ -123,8 +124,11 @@ def list_candidates(candidates: DataFrame, entries: DataFrame, flat: str, named:
 
 
 def relation_delta(entries: DataFrame, records: DataFrame) -> DataFrame:
-    """Delta rows: id, key, related, phrases (named lists), patches (index, fingerprint, sense)."""
-    senses = relation_senses(records).join(unbroadcast(entries.select(F.col("normalized_word").alias("key"))), "key", "left_semi")
+    """Delta rows: id, key, related, phrases (named lists), patches (index, fingerprint, sense).
+
+    The senses are stored once, as lists and patches are both made of them.
+    """
+    senses = written(relation_senses(records).join(unbroadcast(entries.select(F.col("normalized_word").alias("key"))), "key", "left_semi"), "relation-senses")
     candidates = link_candidates(senses, entries)
     joined = entries.join(unbroadcast(merged_patches(senses)), F.col("normalized_word") == F.col("key"), "inner").drop("key")
     for name, flat, named, order in (("related", "related_words", "related_entries", "ord"), ("phrases", "phrases", "phrase_entries", "phrase_ord")):
