@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wordlake.llm import decontaminate, language_id, near_dup, packing, suffix_dedup
-from wordlake.llm.common import read_table
+from wordlake.llm.common import give_back, read_table
 from wordlake.operators.lineage import fresh_path
 
 
@@ -24,6 +24,7 @@ def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     Without labelled rows no language is known and every document goes.
     """
     model = language_id.train(docs.select("text", "lang"))
+    give_back()  # the sample's tables were the driver's; they would stand beside all later stages
     found = language_id.predict(docs, model, names=("__lang", "__score", "__ambiguous"))
     return found.filter((F.col("__lang") != language_id.UNKNOWN) & ~F.col("__ambiguous")).select(*docs.columns)
 

@@ -596,3 +596,44 @@ def test_freed_memory_is_given_back():
     batch = pa.record_batch([pa.array(["a b", None])], names=["text"])
     assert sum(p.num_rows for p in pieces(iter([batch]), "text", 1)) == 2
     assert before - resident() > 100 and len(last) == 100_000
+
+
+def test_components_take_few_tasks(spark):
+    """The driver keeps what it knows of each task: a round is one join, not three."""
+    rng = random.Random(3)
+    nodes = list(range(400))
+    rng.shuffle(nodes)
+    edges = spark.createDataFrame(list(zip(nodes, nodes[1:])), "leaf long, hub long").repartition(7)
+    sc, held = spark.sparkContext, spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    sc.setJobGroup("components", "")
+    try:
+        got = near_dup.components(edges)
+        tracker = sc.statusTracker()
+        stages = {s for j in tracker.getJobIdsForGroup("components") for s in tracker.getJobInfo(j).stageIds}
+        tasks = sum(i.numTasks for i in map(tracker.getStageInfo, stages) if i and i.numCompletedTasks)
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", held)
+    assert sorted(map(tuple, got.collect())) == [(i, 0) for i in range(1, 400)]
+    assert tasks <= 200, tasks
+
+
+def test_counts_of_a_sample_stand_once(spark):
+    """The sample's table is the driver's largest: no wider copy of it is held beside it, and what is left is given back."""
+    import tracemalloc
+
+    import numpy as np
+
+    from wordlake.llm.training import hashed_counts
+
+    rng = np.random.RandomState(3)
+    keys = [rng.randint(0, 4096, n) for n in rng.randint(0, 300, 700)]
+    tracemalloc.start()
+    got = hashed_counts(iter(keys), 4096)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    plain = np.array([np.sqrt(np.bincount(k, minlength=4096)) for k in keys], np.float32)
+    plain = plain / np.maximum(np.sqrt((plain * plain).sum(1, keepdims=True)), 1e-9)
+    assert (got == plain).all() and got.dtype == np.float32
+    assert peak < 2.5 * got.nbytes

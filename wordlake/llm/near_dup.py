@@ -261,17 +261,18 @@ def components(links: DataFrame) -> DataFrame:
 
     Each round joins what stands together in a task, brings all labels of a node together (a node
     has one per task at most, so no node is hot), and lets every node jump to its label's own
-    label.  Rounds grow with the logarithm of the longest chain.
+    label.  Rounds grow with the logarithm of the longest chain.  A round is two short jobs: every
+    stage has as many tasks as there are partitions, and the driver keeps what it knows of each.
     """
     e = contracted(links.select(F.greatest("leaf", "hub").alias("u"), F.least("leaf", "hub").alias("v")).filter("u <> v"))
     while True:
         e = stored(contracted(e, "u"))
         up = e.select(F.col("u").alias("v"), F.col("v").alias("w"))
-        jumped = e.join(up, "v").select("u", F.col("w").alias("v"))
-        if jumped.isEmpty():
+        # w is null where the label has no label of its own
+        jumped = stored(e.join(up, "v", "left"))
+        if jumped.filter("w is not null").isEmpty():
             return e.select(F.col("u").alias("node"), F.col("v").alias("component"))
-        roots = e.join(up.select("v"), "v", "left_anti").select("u", "v")
-        e = contracted(jumped.unionByName(roots))
+        e = contracted(jumped.select("u", F.coalesce("w", "v").alias("v")))
 
 
 def hub_edges(members: DataFrame) -> DataFrame:
@@ -361,8 +362,7 @@ def linked_classes(docs: DataFrame, sketch: DataFrame, shingle: int, percent: in
     # each leaf's nearest hub first: most leaves need no other
     stars = hub_edges(members)
     checked = stored(near_enough(stars.groupBy("leaf").agg(F.max_by("hub", F.struct("shared", -F.col("hub"))).alias("hub")), marks, percent))
-    links = stored(confirmed(checked, texts, shingle, percent))
-    found = components(links)
+    found = components(stored(confirmed(checked, texts, shingle, percent)))
     unsure = mixed(members.select("key", "node"), found).select("node").distinct()
     left = stored(rare_prefixes(texts.join(unsure, "node", "left_semi"), shingle, percent))
     while True:
@@ -376,9 +376,9 @@ def linked_classes(docs: DataFrame, sketch: DataFrame, shingle: int, percent: in
         fresh = stored(pairs.join(done, ["leaf", "hub"], "left_anti"))
         more = stored(confirmed(fresh, texts, shingle, percent))
         if not more.isEmpty():
-            links = stored(links.unionByName(more))
-            found = components(links)
-        checked = stored(checked.unionByName(fresh))
+            # the stars found so far join what all links of before do
+            found = components(found.select(F.col("node").alias("leaf"), F.col("component").alias("hub")).unionByName(more))
+        checked = checked.unionByName(fresh)
         left = now.join(hubs.select("key", F.col("hub").alias("node")), ["key", "node"], "left_anti").select("node", "key", "size", "place")
 
 

@@ -96,7 +96,10 @@ def fit_platt(margin: np.ndarray, y: np.ndarray, steps: int = 400) -> tuple[floa
 
 def hashed_counts(keys: Iterable[np.ndarray], size: int) -> np.ndarray:
     """Square roots of hashed n-gram counts, each row scaled to length 1 (float32)."""
-    rows = [np.sqrt(np.bincount(k, minlength=size)) for k in keys]
+    rows = [np.sqrt(np.bincount(k, minlength=size)).astype(np.float32) for k in keys]
     out = np.array(rows, np.float32) if rows else np.zeros((0, size), np.float32)
-    norm = np.sqrt((out * out).sum(1, keepdims=True))
-    return out / np.maximum(norm, 1e-9)
+    del rows
+    for a in range(0, len(out), 256):  # in place and in blocks: in training this is the driver's largest table
+        some = out[a : a + 256]
+        some /= np.maximum(np.sqrt((some * some).sum(1, keepdims=True)), 1e-9)
+    return out
