@@ -338,3 +338,29 @@ def test_relation_delta_parses_the_dump_once(spark):
 
     delta = relations.relation_delta(*jobs.relation_inputs(spark, SF))
     assert "from_json" not in delta._jdf.queryExecution().optimizedPlan().toString()
+
+
+@pytest.mark.parametrize("reach", [5, 40, 10**6])
+def test_frequent_terms_are_the_first_of_all(spark, monkeypatch, reach):
+    """The ranks are those among all terms, ties at the bound included; pairs of rarer words are not counted."""
+    from wordlake.queries import base, jobs
+
+    docs = spark.createDataFrame([(" ".join(TOOLS[j % (1 + i % len(TOOLS))] for j in range(3 * i)).upper() + f" rare{i} {'x' * (i % 3 + 1)}",) for i in range(60)] + [(None,), ("",)], "text string")
+    monkeypatch.setattr(jobs, "table", lambda *_: docs)
+    ranked = lambda e: sorted((r.frequency_rank, r.word, r.definition) for r in e.select("frequency_rank", "word", "definition").collect())
+    whole, some = ranked(jobs.term_entries(spark, "")), ranked(jobs.term_entries(spark, "", reach))
+    assert some == whole[: len(some)] and len(some) >= min(reach, len(whole))
+    found = base.frequent_terms(docs, reach).collect()
+    assert reach != 5 or len(found) < base.terms(docs).count() / 2
+    assert reach != 10**6 or len(some) == len(whole)
+
+
+def test_selection_of_a_function_asks_no_further_than_it_needs(spark):
+    words = [f"{a} {b}" if i % 3 == 0 else f"{a}{b}" for i, (a, b) in enumerate((a, b) for a in TOOLS for b in TOOLS)]
+    rows = entries(spark, *[(i + 1, w, {"frequency_rank": i + 1, "sources": ["kaikki"]}) for i, w in enumerate(words)])
+    asked = []
+    given = lambda reach: (asked.append(reach), rows if reach is None else rows.filter(F.col("frequency_rank") <= reach + 1))[1]
+    got, want = select.select(given, 4, 2), select.select(rows, 4, 2)
+    assert got.entries.columns == rows.columns and asked == [64]
+    assert sorted(map(str, got.entries.collect())) == sorted(map(str, want.entries.collect()))
+    assert sorted(map(str, got.queue.collect())) == sorted(map(str, want.queue.collect()))
